@@ -1,0 +1,22 @@
+"""Join helpers: broadcast only behind a size check, shuffle otherwise."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest side (rows) we broadcast. Dictionaries are a few hundred rows; people tables are
+# bounded by the cohort, not by the readings. Anything larger is joined by shuffle.
+DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+
+
+def bounded_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1 rows)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                    known_small: bool | None = None) -> DataFrame:
+    """Broadcast hint when the side is proven small, the plain frame otherwise."""
+    small = known_small if known_small is not None else bounded_rows(df, max_rows)
+    return F.broadcast(df) if small else df
