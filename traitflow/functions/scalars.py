@@ -184,9 +184,12 @@ def parse_datetime_strict(c: ColumnOrName, fmt: str, what: str = "datetime") ->
         F.concat(F.lit(f"strict parse of {what} ({fmt}) failed: "), c)).cast("timestamp_ntz")))
 
 
-def parse_date_clock12(c: ColumnOrName) -> Column:
+def parse_date_clock12(c: ColumnOrName, strict: bool = False) -> Column:
     """``Apr 11 2022  5:12AM`` style stamps (repeated spaces collapsed first) -> date."""
-    return F.try_to_timestamp(collapse_spaces(c), F.lit("MMM d yyyy h:mma")).cast("date")
+    fmt = "MMM d yyyy h:mma"
+    if strict:
+        return parse_date_strict(collapse_spaces(c), fmt, "12-hour date")
+    return F.try_to_timestamp(collapse_spaces(c), F.lit(fmt)).cast("date")
 
 
 def first_valid_date(cols: list[ColumnOrName], fmt: str = "yyyy-MM-dd HH:mm") -> Column:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from traitflow.functions.scalars import round_half_away
+
 
 class DataQualityError(ValueError):
     pass
@@ -27,17 +29,23 @@ def audit_steps(df: DataFrame, steps: list[tuple[str, Column]]) -> DataFrame:
                               F.col(f"c{i}").alias("before"), F.col(f"c{i + 1}").alias("after"))
                      for i, (lbl, _) in enumerate(steps)])
     out = counts.select(F.explode(rows).alias("r")).select("r.*")
-    pct = F.when(F.col("before") > 0, F.round((F.col("after") - F.col("before")) * 100.0 / F.col("before"), 1))
+    pct = F.when(F.col("before") > 0, round_half_away((F.col("after") - F.col("before")) * 100.0 / F.col("before"), 1))
     return out.withColumn("pct_change", pct)
 
 
 def audit_join(left: DataFrame, right: DataFrame, on, how: str, label: str = "join") -> tuple[DataFrame, DataFrame]:
-    """The joined frame plus a one-row count table ``(label, left_rows, right_rows, rows)``."""
+    """The joined frame plus a long count table ``(label, side, rows)`` for left, right, result."""
     joined = left.join(right, on, how)
-    counts = (left.agg(F.count("*").alias("left_rows"))
-              .join(right.agg(F.count("*").alias("right_rows")), how="inner")  # one row each side
-              .join(joined.agg(F.count("*").alias("rows")), how="inner"))
-    return joined, counts.select(F.lit(label).alias("label"), "left_rows", "right_rows", "rows")
+    counts = [df.agg(F.count("*").alias("rows")).select(F.lit(label).alias("label"), F.lit(side).alias("side"), "rows")
+              for side, df in (("left", left), ("right", right), ("result", joined))]
+    return joined, counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+def audit_unique(df: DataFrame, keys: list[str], label: str = "unique") -> DataFrame:
+    """One row ``(label, before, after, pct_change)``: rows vs distinct ``keys`` (nulls equal)."""
+    c = df.agg(F.count("*").alias("before"), F.countDistinct(F.struct(*keys)).alias("after"))
+    pct = F.when(F.col("before") > 0, round_half_away((F.col("after") - F.col("before")) * 100.0 / F.col("before"), 1))
+    return c.select(F.lit(label).alias("label"), "before", "after", pct.alias("pct_change"))
 
 
 class AuditLog:

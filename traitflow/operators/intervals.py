@@ -87,6 +87,22 @@ def split_and_remerge_intervals(df: DataFrame, id_col: str = "pseudo_nhs_number"
         canonical_regions(F.col("_a"), F.col("_bb"), F.col("_ba")).alias(regions_col))
 
 
+def boundaries(df: DataFrame, id_col: str = "pseudo_nhs_number", start_col: str = "start_date",
+               end_col: str = "end_date") -> DataFrame:
+    """Distinct non-null (id, boundary) from the start and end columns (unpivot + distinct)."""
+    long = df.select(id_col, start_col, end_col).unpivot(id_col, [start_col, end_col], "kind", "boundary")
+    return long.filter(F.col("boundary").isNotNull()).select(id_col, "boundary").distinct()
+
+
+def elementary_segments(df: DataFrame, id_col: str = "pseudo_nhs_number", start_col: str = "start_date",
+                        end_col: str = "end_date") -> DataFrame:
+    """Consecutive boundary pairs per id: ``(id, start, end)`` with end = next boundary."""
+    b = boundaries(df, id_col, start_col, end_col)
+    nxt = F.lead("boundary").over(Window.partitionBy(id_col).orderBy("boundary"))
+    return (b.select(id_col, F.col("boundary").alias(start_col), nxt.alias(end_col))
+            .filter(F.col(end_col).isNotNull()))
+
+
 def admission_windows(stays: DataFrame, min_days: int = S.MIN_ADMISSION_DAYS,
                       before: int = S.BUFFER_BEFORE_DAYS, after: int = S.BUFFER_AFTER_DAYS,
                       id_col: str = "pseudo_nhs_number",

@@ -508,3 +508,661 @@ def q_covariate_megawide_exome(spark, d):
 def q_power_round(spark, d):
     return pre_tiling(spark, d).select("pseudo_nhs_number", "test_date", "trait",
                                        X.power_round("age_at_test", 2, 1).alias("age_squared"))
+
+
+# --- messy result text (scalars and filters) ------------------------------------------------
+
+NUM_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+TEXT_SQL = with_clause("readings") + """, T AS (SELECT l_orderkey, l_linenumber, original_term, result_value_units,
+    test_date, pseudo_nhs_number, q,
+    CASE l_orderkey % 10 WHEN 0 THEN '<' || q WHEN 1 THEN '>' || q WHEN 2 THEN 'Less than ' || q
+      WHEN 3 THEN ' ' || q WHEN 4 THEN 'NA' WHEN 5 THEN '{' || q || '}' WHEN 6 THEN q || '%'
+      WHEN 7 THEN q || 'cm' WHEN 8 THEN q ELSE '.' END AS text,
+    CASE WHEN l_linenumber % 3 = 0 THEN '1,' || q ELSE q END AS text2,
+    q || '.1' AS typo
+  FROM (SELECT *, CAST(CAST(result AS BIGINT) AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR) AS q
+        FROM readings) r)
+"""
+
+
+def readings_text(spark, d):
+    li = B.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag",
+                                              "l_linestatus")
+    q = F.concat(F.col("l_quantity").cast("bigint").cast("string"), F.lit("."), F.col("l_linenumber").cast("string"))
+    k = F.col("l_orderkey") % 10
+    text = (F.when(k == 0, F.concat(F.lit("<"), q)).when(k == 1, F.concat(F.lit(">"), q))
+            .when(k == 2, F.concat(F.lit("Less than "), q)).when(k == 3, F.concat(F.lit(" "), q))
+            .when(k == 4, F.lit("NA")).when(k == 5, F.concat(F.lit("{"), q, F.lit("}")))
+            .when(k == 6, F.concat(q, F.lit("%"))).when(k == 7, F.concat(q, F.lit("cm")))
+            .when(k == 8, q).otherwise(F.lit(".")))
+    return li.select("l_orderkey", "l_linenumber", F.concat("l_returnflag", "l_linestatus").alias("original_term"),
+                     q.alias("q"), text.alias("text"),
+                     F.when(F.col("l_linenumber") % 3 == 0, F.concat(F.lit("1,"), q)).otherwise(q).alias("text2"),
+                     F.concat(q, F.lit(".1")).alias("typo"))
+
+
+def _sql_num(expr):
+    return f"CASE WHEN regexp_matches({expr}, '{NUM_RE}') THEN CAST({expr} AS DOUBLE) END"
+
+
+@query("parse_number_lenient", TEXT_SQL + f"SELECT l_orderkey, l_linenumber, text, {_sql_num('text')} AS result FROM T")
+def q_parse_number_lenient(spark, d):
+    t = readings_text(spark, d)
+    return t.select("l_orderkey", "l_linenumber", "text", X.parse_number_lenient("text").alias("result"))
+
+
+@query("parse_number_strict", TEXT_SQL + "SELECT l_orderkey, l_linenumber, CAST(q AS DOUBLE) AS result FROM T")
+def q_parse_number_strict(spark, d):
+    t = readings_text(spark, d)
+    return t.select("l_orderkey", "l_linenumber", X.parse_number_strict("q").alias("result"))
+
+
+PREFIXES = ["<", ">", "Less than ", " "]
+SUFFIXES = ["%", "cm"]
+
+
+@query("strip_prefix_chain", TEXT_SQL + """SELECT l_orderkey, l_linenumber, s, """ + _sql_num("s") + """ AS result
+    FROM (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '^<', ''), '^>', ''),
+      '^Less than ', ''), '^ ', '') AS s FROM T) x""")
+def q_strip_prefix_chain(spark, d):
+    t = readings_text(spark, d).withColumn("s", X.strip_prefix_chain("text", PREFIXES))
+    return t.select("l_orderkey", "l_linenumber", "s", X.parse_number_lenient("s").alias("result"))
+
+
+@query("strip_suffix_chain", TEXT_SQL + """SELECT l_orderkey, l_linenumber,
+    regexp_replace(regexp_replace(text, '%$', ''), 'cm$', '') AS s FROM T""")
+def q_strip_suffix_chain(spark, d):
+    t = readings_text(spark, d)
+    return t.select("l_orderkey", "l_linenumber", X.strip_suffix_chain("text", SUFFIXES).alias("s"))
+
+
+@query("unwrap_brackets", TEXT_SQL + r"""SELECT l_orderkey, l_linenumber, regexp_replace(regexp_replace(
+    regexp_replace(text, '^\{(.*?)\}$', '\1'), '^\((.*?)\)$', '\1'), '^\*\{(.*?)\}$', '\1') AS s FROM T""")
+def q_unwrap_brackets(spark, d):
+    t = readings_text(spark, d)
+    return t.select("l_orderkey", "l_linenumber", X.unwrap_brackets("text").alias("s"))
+
+
+@query("replace_first", TEXT_SQL + "SELECT l_orderkey, l_linenumber, regexp_replace(text, '[0-9]', '#') AS s FROM T")
+def q_replace_first(spark, d):
+    t = readings_text(spark, d)
+    return t.select("l_orderkey", "l_linenumber", X.replace_first("text", "[0-9]", "#").alias("s"))
+
+
+@query("replace_all_literal", TEXT_SQL + "SELECT l_orderkey, l_linenumber, replace(text, '.', '') AS s FROM T")
+def q_replace_all_literal(spark, d):
+    t = readings_text(spark, d)
+    return t.select("l_orderkey", "l_linenumber", X.replace_all_literal("text", ".").alias("s"))
+
+
+@query("strip_chars", TEXT_SQL + r"""SELECT l_orderkey, l_linenumber,
+    regexp_replace(text, '^\s+|\s+$', '', 'g') AS s FROM T""")
+def q_strip_chars(spark, d):
+    t = readings_text(spark, d)
+    return t.select("l_orderkey", "l_linenumber", X.strip_chars("text").alias("s"))
+
+
+@query("filter_literal_blocklist", TEXT_SQL + """SELECT text, count(*) AS n FROM T
+    WHERE text NOT IN ('NA', '.') GROUP BY text""")
+def q_filter_literal_blocklist(spark, d):
+    return FL.filter_literal_blocklist(readings_text(spark, d), "text", ["NA", "."]) \
+        .groupBy("text").agg(F.count("*").alias("n"))
+
+
+@query("filter_in_blocklist", TEXT_SQL + """SELECT original_term, count(*) AS n FROM T
+    WHERE original_term NOT IN ('AF', 'RO') GROUP BY original_term""")
+def q_filter_in_blocklist(spark, d):
+    return FL.filter_in_blocklist(readings_text(spark, d), "original_term", ["AF", "RO"]) \
+        .groupBy("original_term").agg(F.count("*").alias("n"))
+
+
+REGEX_BLOCK = ["(?i)less than", "[a-zA-Z]", "%", r"^\{"]
+
+
+@query("filter_regex_blocklist", TEXT_SQL + r"""SELECT l_orderkey, l_linenumber, text FROM T
+    WHERE NOT regexp_matches(text, '(?i)less than') AND NOT regexp_matches(text, '[a-zA-Z]')
+      AND NOT regexp_matches(text, '%') AND NOT regexp_matches(text, '^\{')""")
+def q_filter_regex_blocklist(spark, d):
+    t = FL.filter_regex_blocklist(readings_text(spark, d), "text", REGEX_BLOCK)
+    return t.select("l_orderkey", "l_linenumber", "text")
+
+
+@query("filter_prefix_suffix", TEXT_SQL + """SELECT l_orderkey, l_linenumber, text FROM T
+    WHERE NOT starts_with(text, ' ') AND NOT ends_with(text, 'cm')""")
+def q_filter_prefix_suffix(spark, d):
+    t = FL.filter_prefix_suffix(readings_text(spark, d), "text", [" "], ["cm"])
+    return t.select("l_orderkey", "l_linenumber", "text")
+
+
+@query("filter_regex_allowlist", TEXT_SQL + r"""SELECT l_orderkey, l_linenumber, text FROM T
+    WHERE regexp_matches(text, '^\d+\.\d+$')""")
+def q_filter_regex_allowlist(spark, d):
+    t = FL.filter_regex_allowlist(readings_text(spark, d), "text", r"^\d+\.\d+$")
+    return t.select("l_orderkey", "l_linenumber", "text")
+
+
+@query("filter_not_nan", TEXT_SQL + f"""SELECT l_orderkey, l_linenumber, result FROM
+    (SELECT *, {_sql_num('text')} AS result FROM T) x WHERE result IS NOT NULL AND NOT isnan(result)""")
+def q_filter_not_nan(spark, d):
+    t = readings_text(spark, d).withColumn("result", X.parse_number_lenient("text"))
+    return FL.filter_not_nan(t, "result").select("l_orderkey", "l_linenumber", "result")
+
+
+@query("filter_nonempty", TEXT_SQL + r"""SELECT l_orderkey, l_linenumber, s FROM
+    (SELECT *, regexp_replace(text, '\.$', '') AS s FROM T) x WHERE s <> ''""")
+def q_filter_nonempty(spark, d):
+    t = readings_text(spark, d).withColumn("s", X.strip_suffix("text", "."))
+    return FL.filter_nonempty(t, "s").select("l_orderkey", "l_linenumber", "s")
+
+
+@query("conditional_value_repair", TEXT_SQL + """SELECT l_orderkey, l_linenumber, original_term,
+    CASE WHEN original_term = 'AF' THEN replace(text2, ',', '') ELSE text2 END AS text2 FROM T""")
+def q_conditional_value_repair(spark, d):
+    t = FL.conditional_value_repair(readings_text(spark, d), "text2", "original_term", "AF")
+    return t.select("l_orderkey", "l_linenumber", "original_term", "text2")
+
+
+@query("typo_repair", TEXT_SQL + r"""SELECT l_orderkey, l_linenumber,
+    regexp_replace(typo, '3\.6\.1', '36.1') AS typo FROM T""")
+def q_typo_repair(spark, d):
+    return FL.typo_repair(readings_text(spark, d), "typo").select("l_orderkey", "l_linenumber", "typo")
+
+
+@query("impute_unit_from_term", """SELECT p_partkey, p_name, CASE WHEN regexp_matches(p_name, '(?i)green') THEN 'kg'
+    WHEN regexp_matches(p_name, '(?i)blue') THEN 'cm' WHEN regexp_matches(p_name, '(?i)red') THEN 'mmHg' END
+    AS result_value_units FROM part""")
+def q_impute_unit_from_term(spark, d):
+    p = B.table(spark, d, "part").select("p_partkey", "p_name")
+    return FL.impute_unit_from_term(p, "p_name", [("green", "kg"), ("blue", "cm"), ("red", "mmHg")])
+
+
+@query("impute_unit_for_term", with_clause("readings") + """SELECT pseudo_nhs_number, test_date, original_term,
+    result, CASE WHEN original_term = 'RF' AND result_value_units IS NULL THEN 'millimol/L'
+    ELSE result_value_units END AS result_value_units FROM readings""")
+def q_impute_unit_for_term(spark, d):
+    r = FL.impute_unit_for_term(B.readings(spark, d), "RF", "millimol/L")
+    return r.select("pseudo_nhs_number", "test_date", "original_term", "result", "result_value_units")
+
+
+@query("coalesce_columns", with_clause("readings") + """SELECT original_term,
+    coalesce(result_value_units, 'none') AS unit, count(*) AS n FROM readings GROUP BY ALL""")
+def q_coalesce_columns(spark, d):
+    r = B.readings(spark, d)
+    return r.groupBy("original_term", X.coalesce_columns("result_value_units", F.lit("none")).alias("unit")) \
+        .agg(F.count("*").alias("n"))
+
+
+@query("row_hash", with_clause("readings") + """SELECT count(DISTINCT {'p': pseudo_nhs_number, 'd': test_date,
+    't': original_term, 'r': result, 'u': result_value_units}) AS n_distinct FROM readings""")
+def q_row_hash(spark, d):
+    r = B.readings(spark, d).select(X.row_hash(*S.READING_KEY).alias("hash"))
+    return r.agg(F.countDistinct("hash").alias("n_distinct"))
+
+
+@query("file_stem", r"""SELECT page_id, string_split(regexp_replace(url, '\.html$', ''), '/')[-1] AS stem
+    FROM pages""")
+def q_file_stem(spark, d):
+    p = B.table(spark, d, "pages").select("page_id", "url")
+    return p.select("page_id", X.file_stem("url", ".html").alias("stem"))
+
+
+DATE_TEXT_SQL = with_clause("readings") + """, DT AS (SELECT l_orderkey, l_linenumber, iso,
+    CASE l_orderkey % 3 WHEN 0 THEN iso WHEN 1 THEN strftime(test_date, '%d/%m/%Y') ELSE iso || ' 10:30' END AS t,
+    CASE l_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'garbage' ELSE '4' || substr(iso, 2) || ' 10:00' END AS c1,
+    iso || ' 00:00' AS c2
+  FROM (SELECT *, strftime(test_date, '%Y-%m-%d') AS iso FROM readings) r)
+"""
+
+
+def date_text(spark, d):
+    li = B.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("dt"))
+    iso = F.date_format("dt", "yyyy-MM-dd")
+    k3, k4 = F.col("l_orderkey") % 3, F.col("l_orderkey") % 4
+    t = (F.when(k3 == 0, iso).when(k3 == 1, F.date_format("dt", "dd/MM/yyyy"))
+         .otherwise(F.concat(iso, F.lit(" 10:30"))))
+    c1 = (F.when(k4 == 0, F.lit(None).cast("string")).when(k4 == 1, F.lit("garbage"))
+          .otherwise(F.concat(F.lit("4"), F.substring(iso, 2, 100), F.lit(" 10:00"))))
+    return li.select("l_orderkey", "l_linenumber", iso.alias("iso"), t.alias("t"), c1.alias("c1"),
+                     F.concat(iso, F.lit(" 00:00")).alias("c2"))
+
+
+@query("parse_dates_multi", DATE_TEXT_SQL + """SELECT l_orderkey, l_linenumber, t,
+    CAST(coalesce(try_strptime(t, '%Y-%m-%d'), try_strptime(t, '%d/%m/%Y'), try_strptime(t, '%Y-%m-%d %H:%M'))
+    AS DATE) AS test_date FROM DT""")
+def q_parse_dates_multi(spark, d):
+    t = date_text(spark, d)
+    parsed = F.coalesce(*[X.parse_date_lenient("t", f) for f in ["yyyy-MM-dd", "dd/MM/yyyy", "yyyy-MM-dd HH:mm"]])
+    return t.select("l_orderkey", "l_linenumber", "t", parsed.alias("test_date"))
+
+
+@query("first_valid_date", DATE_TEXT_SQL + """SELECT l_orderkey, l_linenumber, CAST(coalesce(
+    try_strptime(c1, '%Y-%m-%d %H:%M'), try_strptime(c2, '%Y-%m-%d %H:%M')) AS DATE) AS test_date FROM DT""")
+def q_first_valid_date(spark, d):
+    t = date_text(spark, d)
+    return t.select("l_orderkey", "l_linenumber", X.first_valid_date(["c1", "c2"]).alias("test_date"))
+
+
+# --- pulls, unions and dedup ----------------------------------------------------------------
+
+PULLS = [("pull_a", (0, 1)), ("pull_b", (1, 2)), ("pull_c", (2, 3)), ("pull_d", (3, 0))]
+PULL_SQL = with_clause("readings") + ", PULLS AS (" + " UNION ALL ".join(
+    f"""SELECT pseudo_nhs_number, test_date, original_term, result, result_value_units, '{p}' AS provenance,
+        source, {i + 1} AS rk FROM readings WHERE l_suppkey % 4 IN {r}""" for i, (p, r) in enumerate(PULLS)) + ")\n"
+
+
+def pulls(spark, d):
+    """Four overlapping pulls of the readings (by supplier residue), each tagged as its own source."""
+    r = B.readings(spark, d)
+    return [r.filter(F.col("provenance").isin(*[f"pull_{'abcd'[k]}" for k in ks])).withColumn("provenance", F.lit(p))
+            for p, ks in PULLS]
+
+
+@query("union_sources", PULL_SQL + "SELECT provenance, count(*) AS n FROM PULLS GROUP BY provenance")
+def q_union_sources(spark, d):
+    return DD.union_sources(pulls(spark, d)).groupBy("provenance").agg(F.count("*").alias("n"))
+
+
+DEDUP_SQL = """SELECT pseudo_nhs_number, test_date, original_term, result, result_value_units,
+    min({'r': rk, 'p': provenance, 's': source}).p AS provenance, min({'r': rk, 'p': provenance, 's': source}).s AS source
+    FROM PULLS {where} GROUP BY pseudo_nhs_number, test_date, original_term, result, result_value_units"""
+
+
+@query("dedup_readings", PULL_SQL + DEDUP_SQL.replace("{where}", ""))
+def q_dedup_readings(spark, d):
+    return DD.dedup_readings(DD.union_sources(pulls(spark, d)), B.PROVENANCE_ORDER)
+
+
+@query("merge_primary", PULL_SQL + DEDUP_SQL.replace("{where}", "WHERE provenance IN ('pull_a', 'pull_b')"))
+def q_merge_primary(spark, d):
+    p = pulls(spark, d)
+    return DD.merge(p[:2], B.PROVENANCE_ORDER)
+
+
+@query("merge_secondary", PULL_SQL + DEDUP_SQL.replace("{where}", "WHERE provenance IN ('pull_c', 'pull_d')"))
+def q_merge_secondary(spark, d):
+    p = pulls(spark, d)
+    return DD.merge(p[2:], B.PROVENANCE_ORDER)
+
+
+@query("merge_all_sources", PULL_SQL + DEDUP_SQL.replace("{where}", ""))
+def q_merge_all_sources(spark, d):
+    p = pulls(spark, d)
+    primary, secondary = DD.merge(p[:2], B.PROVENANCE_ORDER), DD.merge(p[2:], B.PROVENANCE_ORDER)
+    return DD.merge([primary, secondary], B.PROVENANCE_ORDER)
+
+
+@query("tag_provenance", with_clause("readings") + """SELECT pseudo_nhs_number, test_date, original_term, result,
+    result_value_units, 'pull_x' AS provenance, 'secondary_care' AS source FROM readings""")
+def q_tag_provenance(spark, d):
+    r = B.readings(spark, d).drop("provenance", "source")
+    return FL.canonical_select(FL.tag_provenance(r, "pull_x", "secondary_care"))
+
+
+@query("canonical_select", """SELECT 'P' || CAST(o_custkey AS VARCHAR) AS pseudo_nhs_number,
+    CAST(l_shipdate AS DATE) AS test_date, l_returnflag AS original_term, l_quantity AS result,
+    l_linestatus AS result_value_units, 'raw' AS provenance, 'primary_care' AS source
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+def q_canonical_select(spark, d):
+    li = B.table(spark, d, "lineitem")
+    od = B.table(spark, d, "orders")
+    raw = li.join(od, li.l_orderkey == od.o_orderkey).select(
+        F.concat(F.lit("P"), F.col("o_custkey").cast("string")).alias("STUDY_ID"), "l_shipdate", "l_returnflag",
+        "l_quantity", "l_linestatus")
+    raw = FL.tag_provenance(raw.withColumn("l_shipdate", F.col("l_shipdate").cast("date")), "raw", "primary_care")
+    return FL.canonical_select(raw, {"STUDY_ID": "pseudo_nhs_number", "l_shipdate": "test_date",
+                                     "l_returnflag": "original_term", "l_quantity": "result",
+                                     "l_linestatus": "result_value_units"})
+
+
+@query("sort_stays", with_clause("stays") + "SELECT pseudo_nhs_number, adm, dis FROM stays ORDER BY 1, 2, 3 DESC")
+def q_sort_stays(spark, d):
+    st = B.stays(spark, d).select("pseudo_nhs_number", F.col("hospital_admission_datetime").alias("adm"),
+                                  F.col("hospital_discharge_datetime").alias("dis"))
+    return st.orderBy("pseudo_nhs_number", "adm", F.desc("dis"))
+
+
+@query("sort_desc_counts", with_clause("readings") + """SELECT original_term, result_value_units, count(*) AS n
+    FROM (SELECT DISTINCT pseudo_nhs_number, original_term, result_value_units FROM readings) x
+    GROUP BY ALL ORDER BY n DESC""")
+def q_sort_desc_counts(spark, d):
+    return TR.units_counts(B.readings(spark, d))
+
+
+# --- reshaping ------------------------------------------------------------------------------
+
+@query("unpivot_bp", """SELECT pseudo_nhs_number, test_date, original_term, result, 'mmHg' AS result_value_units
+    FROM (SELECT 'P' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS pseudo_nhs_number,
+                 CAST(l_shipdate AS DATE) AS test_date, l_quantity + 50 AS dia, l_quantity + 90 AS sys FROM lineitem) x
+    UNPIVOT (result FOR original_term IN (dia AS 'Diastolic arterial pressure', sys AS 'Systolic arterial pressure'))
+    WHERE result IS NOT NULL""")
+def q_unpivot_bp(spark, d):
+    li = B.table(spark, d, "lineitem")
+    nda = li.select(F.concat(F.lit("P"), F.col("l_orderkey").cast("string"), F.lit("-"),
+                             F.col("l_linenumber").cast("string")).alias("STUDY_ID"),
+                    F.col("l_shipdate").cast("date").alias("BP_Date"),
+                    (F.col("l_quantity") + 50).alias("DIASTOLIC_VALUE"),
+                    (F.col("l_quantity") + 90).alias("SYSTOLIC_VALUE"))
+    from traitflow.sources.ingest import unpivot_bp
+    return unpivot_bp(nda, "STUDY_ID", "BP_Date")
+
+
+@query("unpivot_boundaries", with_clause("iv1") + """SELECT DISTINCT id, x FROM (SELECT id, s AS x FROM iv1
+    UNION ALL SELECT id, e FROM iv1) u WHERE x IS NOT NULL""")
+def q_unpivot_boundaries(spark, d):
+    st = B.stays(spark, d)
+    b = IV.boundaries(st, "pseudo_nhs_number", "hospital_admission_datetime", "hospital_discharge_datetime")
+    return b.select(F.col("pseudo_nhs_number").alias("id"), F.col("boundary").alias("x"))
+
+
+@query("next_boundary", with_clause("m1_seg") + "SELECT id, s, e FROM m1_seg WHERE e IS NOT NULL")
+def q_next_boundary(spark, d):
+    st = B.stays(spark, d)
+    s = IV.elementary_segments(st, "pseudo_nhs_number", "hospital_admission_datetime", "hospital_discharge_datetime")
+    return s.select(F.col("pseudo_nhs_number").alias("id"), F.col("hospital_admission_datetime").alias("s"),
+                    F.col("hospital_discharge_datetime").alias("e"))
+
+
+# --- audit and checks -----------------------------------------------------------------------
+
+@query("audit_row_counts", with_clause("with_demo") + f"""SELECT step, label, before, after,
+    CASE WHEN before > 0 THEN round((after - before) * 100.0 / before, 1) END AS pct_change FROM (
+    SELECT 1 AS step, 'range_ok' AS label, count(*) AS before,
+           CAST(sum(CASE WHEN coalesce(range_position = 'ok', false) THEN 1 ELSE 0 END) AS BIGINT) AS after FROM with_demo
+    UNION ALL SELECT 2, 'plausible_dates',
+           CAST(sum(CASE WHEN coalesce(range_position = 'ok', false) THEN 1 ELSE 0 END) AS BIGINT),
+           CAST(sum(CASE WHEN coalesce(range_position = 'ok', false) AND coalesce(age_at_test >= 0 AND
+             test_date <= {"DATE '" + B.AS_OF + "'"}, false) THEN 1 ELSE 0 END) AS BIGINT) FROM with_demo
+    UNION ALL SELECT 3, 'min_age',
+           CAST(sum(CASE WHEN coalesce(range_position = 'ok', false) AND coalesce(age_at_test >= 0 AND
+             test_date <= {"DATE '" + B.AS_OF + "'"}, false) THEN 1 ELSE 0 END) AS BIGINT),
+           CAST(sum(CASE WHEN coalesce(range_position = 'ok', false) AND coalesce(age_at_test >= 0 AND
+             test_date <= {"DATE '" + B.AS_OF + "'"}, false) AND coalesce(age_at_test >= 16, false)
+             THEN 1 ELSE 0 END) AS BIGINT) FROM with_demo) x""")
+def q_audit_row_counts(spark, d):
+    demo = PE.valid_demographics(B.linkage(spark, d), PE.questionnaire_demographics(B.questionnaire(spark, d)))
+    wd = PE.join_demographics(PE.join_valid_people_semi(ranged(spark, d),
+                                                        PE.valid_pseudo_nhs_numbers(B.linkage(spark, d))), demo)
+    return AU.audit_steps(wd, [
+        ("range_ok", F.col("range_position") == "ok"),
+        ("plausible_dates", (F.col("age_at_test") >= 0) & (F.col("test_date") <= F.lit(B.AS_OF).cast("date"))),
+        ("min_age", F.col("age_at_test") >= 16)])
+
+
+@query("audit_unique", with_clause("readings") + """SELECT 'readings' AS label, count(*) AS before,
+    count(DISTINCT {'p': pseudo_nhs_number, 'd': test_date, 't': original_term, 'r': result, 'u': result_value_units})
+    AS after, round((count(DISTINCT {'p': pseudo_nhs_number, 'd': test_date, 't': original_term, 'r': result,
+    'u': result_value_units}) - count(*)) * 100.0 / count(*), 1) AS pct_change FROM readings""")
+def q_audit_unique(spark, d):
+    return AU.audit_unique(B.readings(spark, d), S.READING_KEY, "readings")
+
+
+@query("audit_join", with_clause("readings", "valid_demo") + """SELECT 'demographics' AS label, 'left' AS side,
+    count(*) AS rows FROM readings UNION ALL SELECT 'demographics', 'right', count(*) FROM valid_demo
+    UNION ALL SELECT 'demographics', 'result', count(*) FROM readings r
+    LEFT JOIN valid_demo v ON r.pseudo_nhs_number = v.pseudo_nhs_number""")
+def q_audit_join(spark, d):
+    demo = PE.valid_demographics(B.linkage(spark, d), PE.questionnaire_demographics(B.questionnaire(spark, d)))
+    _, counts = AU.audit_join(B.readings(spark, d), demo, "pseudo_nhs_number", "left", "demographics")
+    return counts
+
+
+@query("check_dictionary_unique", with_clause("units_d") + """SELECT result_value_units, target, count(*) AS n
+    FROM units_d GROUP BY ALL HAVING count(*) > 1""")
+def q_check_dictionary_unique(spark, d):
+    u = B.units(spark)
+    AU.check_dictionary_unique(u, ["result_value_units", "target"])
+    return AU.duplicates(u, ["result_value_units", "target"])
+
+
+@query("check_m1", with_clause("readings", "segs") + """SELECT pseudo_nhs_number, test_date, count(*) AS n FROM (
+    SELECT DISTINCT p.pseudo_nhs_number, p.test_date, s.s FROM readings p JOIN segs s
+      ON p.pseudo_nhs_number = s.id AND p.test_date >= s.s AND p.test_date < s.e) x
+    GROUP BY ALL HAVING count(*) > 1""")
+def q_check_m1(spark, d):
+    lookup = RG.region_lookup(B.readings(spark, d), segments(spark, d))
+    return AU.duplicates(lookup, ["pseudo_nhs_number", "test_date"])
+
+
+@query("check_unique_ids", with_clause("linkage") + """SELECT count(OrageneID) AS n,
+    count(DISTINCT OrageneID) AS n_distinct FROM linkage""")
+def q_check_unique_ids(spark, d):
+    lk = B.linkage(spark, d)
+    AU.check_unique_ids(lk, "OrageneID")
+    return lk.agg(F.count("OrageneID").alias("n"), F.countDistinct("OrageneID").alias("n_distinct"))
+
+
+@query("check_closed_set", with_clause("readings") + """SELECT provenance, count(*) AS n FROM readings
+    WHERE provenance NOT IN ('pull_a', 'pull_b', 'pull_c', 'pull_d') GROUP BY provenance""")
+def q_check_closed_set(spark, d):
+    r = B.readings(spark, d)
+    S.check_closed_set(r, "provenance", B.PROVENANCE_ORDER)
+    return r.filter(~F.col("provenance").isin(B.PROVENANCE_ORDER)).groupBy("provenance").agg(F.count("*").alias("n"))
+
+
+# --- sources: readers, recipes, stays, linkage ---------------------------------------------
+
+from traitflow.plans import extracts as EX  # noqa: E402
+from traitflow.sources import dictionaries as DI  # noqa: E402
+from traitflow.sources import ingest as IN  # noqa: E402
+from traitflow.sources import lines as LN  # noqa: E402
+from traitflow.sources import readers as RD  # noqa: E402
+from traitflow.sources import recipes as RC  # noqa: E402
+from traitflow.sources import sinks as SK  # noqa: E402
+from traitflow.session import staging_path  # noqa: E402
+
+Q_SQL = "CAST(CAST(result AS BIGINT) AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR)"
+
+
+def _combo_sql(where: str, term: str = "original_term", result: str = "result", unit: str = "result_value_units",
+               key: str = "", source: str = "secondary_care") -> str:
+    return with_clause("readings") + f"""SELECT DISTINCT pseudo_nhs_number, test_date, {term} AS original_term,
+    CAST({result} AS DOUBLE) AS result, {unit} AS result_value_units, '{key}' AS provenance, '{source}' AS source
+    FROM readings WHERE {where}"""
+
+
+@query("ingest_primary_care", _combo_sql("result_value_units IS NOT NULL AND l_orderkey % 29 <> 0",
+                                         key="2024_12_Discovery_path", source="primary_care"))
+def q_ingest_primary_care(spark, d):
+    return IN.ingest(spark, RC.primary_care("2024_12_Discovery_path"), EX.primary_care(spark, d))
+
+
+@query("ingest_nda_bmi", _combo_sql("l_linenumber <> 7", "'Body Mass Index Measured'", unit="'kg/m2'",
+                                    key=RC.NDA_KEY, source="primary_care"))
+def q_ingest_nda_bmi(spark, d):
+    return IN.ingest(spark, RC.nda("BMI"), EX.nda_bmi(spark, d))
+
+
+@query("ingest_nda_bp", with_clause("readings") + f"""SELECT DISTINCT pseudo_nhs_number, test_date, original_term,
+    result, 'mmHg' AS result_value_units, '{RC.NDA_KEY}' AS provenance, 'primary_care' AS source FROM (
+      SELECT pseudo_nhs_number, test_date, 'Diastolic arterial pressure' AS original_term, result + 50 AS result
+      FROM readings WHERE l_linenumber <> 6
+      UNION ALL SELECT pseudo_nhs_number, test_date, 'Systolic arterial pressure', result + 90
+      FROM readings WHERE l_linenumber <> 6) x""")
+def q_ingest_nda_bp(spark, d):
+    return IN.ingest(spark, RC.nda_bp(), EX.nda_bp(spark, d))
+
+
+@query("ingest_bradford_path_2023_05", _combo_sql("l_orderkey % 8 NOT IN (4, 5)", result=Q_SQL,
+                                                  key="2023_05_Bradford_path"))
+def q_ingest_bradford_path(spark, d):
+    return IN.ingest(spark, RC.bradford_path_2023_05(), EX.bradford_path(spark, d))
+
+
+@query("ingest_barts_path_2022_03", _combo_sql("l_orderkey % 17 <> 0 AND l_orderkey % 6 NOT IN (3, 4)",
+                                               result=Q_SQL, key="2022_03_Barts_path"))
+def q_ingest_barts_2022_03(spark, d):
+    return IN.ingest(spark, RC.barts_path_2022_03(), EX.barts_2022_03(spark, d))
+
+
+@query("ingest_bradford_meas_2022_06", _combo_sql(
+    "true", term="""CASE l_linenumber % 4 WHEN 0 THEN 'Weight Measured' WHEN 1 THEN 'HEIGHT'
+      WHEN 2 THEN 'Body Mass Index' ELSE 'Pulse rate' END""", result=Q_SQL,
+    unit="CASE l_linenumber % 4 WHEN 0 THEN 'kg' WHEN 1 THEN 'cm' WHEN 2 THEN 'kg/m2' END",
+    key="2022_06_Bradford_measurements"))
+def q_ingest_bradford_meas(spark, d):
+    return IN.ingest(spark, RC.bradford_meas_2022_06(), EX.bradford_meas(spark, d))
+
+
+@query("ingest_barts_meas_2023_05", _combo_sql(
+    "l_orderkey % 5 <> 1", result=f"CASE WHEN l_orderkey % 5 = 2 THEN '36.1' ELSE {Q_SQL} END",
+    key="2023_05_Barts_measurements"))
+def q_ingest_barts_meas(spark, d):
+    return IN.ingest(spark, RC.barts_meas_2023_05(), EX.barts_meas(spark, d))
+
+
+@query("ingest_hes_stays", with_clause("stays") + """SELECT pseudo_nhs_number, adm AS hospital_admission_datetime,
+    dis AS hospital_discharge_datetime, 'APC' AS hospital_stay_type FROM stays""")
+def q_ingest_hes_stays(spark, d):
+    path = EX.hes(spark, d)
+    return IN.combine_stays([IN.ingest_stays(spark, path), IN.ingest_stays(spark, path)])
+
+
+@query("load_linkage", with_clause("linkage") + "SELECT OrageneID, pseudo_nhs_number, gsa_id, exome_id FROM linkage")
+def q_load_linkage(spark, d):
+    return IN.load_linkage(spark, EX.linkage(spark, d)).select("OrageneID", "pseudo_nhs_number", "gsa_id", "exome_id")
+
+
+@query("scan_header_replaced", with_clause("linkage") + """SELECT OrageneID, s1qst_gender, pseudo_nhs_number
+    FROM linkage""")
+def q_scan_header_replaced(spark, d):
+    df = RD.read_raw(spark, EX.linkage(spark, d), ",", ("",), True,
+                     rename_all=["OrageneID", "n", "s1qst_gender", "valid", "pseudo_nhs_number", "gsa", "ex1", "ex2"])
+    return df.select("OrageneID", "s1qst_gender", "pseudo_nhs_number")
+
+
+@query("scan_delimited_strings", with_clause("readings") + """SELECT pseudo_nhs_number,
+    CASE WHEN l_orderkey % 29 = 0 THEN NULL ELSE strftime(test_date, '%Y-%m-%d') END AS clinical_effective_date,
+    original_term, result_value_units FROM readings""")
+def q_scan_delimited_strings(spark, d):
+    df = RD.read_raw(spark, EX.primary_care(spark, d), ",", ("NULL", ""), True)
+    return df.select("pseudo_nhs_number", "clinical_effective_date", "original_term", "result_value_units")
+
+
+@query("scan_headerless_positional", with_clause("readings") + """SELECT pseudo_nhs_number AS c1,
+    CASE WHEN l_orderkey % 29 = 0 THEN NULL ELSE strftime(test_date, '%Y-%m-%d') END AS c2,
+    original_term AS c3, true AS has_file FROM readings""")
+def q_scan_headerless_positional(spark, d):
+    df = RD.read_raw(spark, EX.primary_care(spark, d), ",", ("NULL", ""), True,
+                     columns=["c1", "c2", "c3", "c4", "c5", "c6"], file_col="file")
+    return df.select("c1", "c2", "c3", X.file_stem("file").isNotNull().alias("has_file"))
+
+
+@query("scan_typed", with_clause("readings") + """SELECT pseudo_nhs_number AS STUDY_ID,
+    CAST(year(test_date) AS INTEGER) AS AUDIT_YEAR,
+    CASE WHEN l_linenumber = 7 THEN NULL ELSE result END AS BMI_VALUE FROM readings""")
+def q_scan_typed(spark, d):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("STUDY_ID", T.StringType()), T.StructField("BMI_DATE", T.StringType()),
+                           T.StructField("AUDIT_YEAR", T.IntegerType()), T.StructField("BMI_VALUE", T.DoubleType())])
+    return RD.read_typed(spark, EX.nda_bmi(spark, d), schema, "|").select("STUDY_ID", "AUDIT_YEAR", "BMI_VALUE")
+
+
+@query("scan_dictionary", with_clause("dict_d") + "SELECT trait, target_units, \"min\", \"max\", alias FROM dict_d")
+def q_scan_dictionary(spark, d):
+    paths = EX.dictionaries(spark)
+    units = DI.load_units(spark, paths["units"])
+    traits = DI.load_traits(spark, paths["traits"], DI.target_units(units) + ["mmol/mol"])
+    return TR.trait_dictionary(traits, DI.load_aliases(spark, paths["aliases"]))
+
+
+# --- raw-line hygiene on whole document texts -----------------------------------------------
+
+LINES_SQL = "WITH L AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS value FROM documents)\n"
+
+
+def doc_lines(spark, d):
+    docs = B.table(spark, d, "documents").select("doc_id", "text")
+    return docs.select("doc_id", F.explode(F.split("text", "\n", -1)).alias("value"))
+
+
+@query("drop_quoted_delimiter_lines", LINES_SQL + """SELECT doc_id, value FROM L
+    WHERE NOT regexp_matches(value, ',"[^"]*,')""")
+def q_drop_quoted_delimiter_lines(spark, d):
+    kept, _ = LN.drop_quoted_delimiter_lines(doc_lines(spark, d), ",")
+    return kept
+
+
+@query("drop_unterminated_quote_lines", LINES_SQL + """SELECT doc_id, value FROM L
+    WHERE NOT regexp_matches(value, ' "[^"]* ')""")
+def q_drop_unterminated_quote_lines(spark, d):
+    kept, _ = LN.drop_unterminated_quote_lines(doc_lines(spark, d), " ")
+    return kept
+
+
+@query("strip_double_quotes", LINES_SQL + "SELECT doc_id, replace(value, '\"', '') AS value FROM L")
+def q_strip_double_quotes(spark, d):
+    return LN.strip_double_quotes(doc_lines(spark, d))
+
+
+@query("delimiter_count_profile", LINES_SQL + """SELECT length(value) - length(replace(value, ',', '')) AS n_delimiters,
+    count(*) AS n_lines FROM L WHERE value <> '' GROUP BY 1""")
+def q_delimiter_count_profile(spark, d):
+    return LN.delimiter_count_profile(doc_lines(spark, d), ",").select(
+        F.col("n_delimiters").cast("long").alias("n_delimiters"), "n_lines")
+
+
+@query("keep_expected_width_lines", LINES_SQL + """SELECT doc_id, value FROM L WHERE value <> ''
+    AND length(value) - length(replace(value, ',', '')) = 2""")
+def q_keep_expected_width_lines(spark, d):
+    kept, _ = LN.keep_expected_width_lines(doc_lines(spark, d), ",", 2)
+    return kept
+
+
+# --- sinks (written, then read back) --------------------------------------------------------
+
+@query("checkpoint_columnar", with_clause("ranged") + """SELECT pseudo_nhs_number, test_date, trait, final,
+    range_position FROM ranged""")
+def q_checkpoint_columnar(spark, d):
+    r = ranged(spark, d).select("pseudo_nhs_number", "test_date", "trait", "final", "range_position")
+    return SK.stage(spark, r, staging_path(spark, "stage-ranged"))
+
+
+READINGS_FILE_SCHEMA = ("pseudo_nhs_number string, unit string, value double, date date, gender string, "
+                        "age_at_test double, minmax_outlier string, setting string, trait string")
+
+
+@query("sink_per_trait_readings", with_clause("tiled_set") + """SELECT pseudo_nhs_number, trait, unit, value, date,
+    gender, age_at_test, minmax_outlier, setting FROM tiled_set""")
+def q_sink_per_trait_readings(spark, d):
+    path = staging_path(spark, "readings-by-trait")
+    SK.write_by_trait(tiled_settings(spark, d).select(*S.READINGS_FILE_COLUMNS, "setting"), path)
+    return spark.read.option("header", True).schema(READINGS_FILE_SCHEMA).csv(path).select(
+        *S.READINGS_FILE_COLUMNS, "setting")
+
+
+@query("partition_by_trait", with_clause("tiled_set") + """SELECT setting, trait, count(*) AS n FROM tiled_set
+    GROUP BY ALL""")
+def q_partition_by_trait(spark, d):
+    path = staging_path(spark, "readings-by-trait-parquet")
+    SK.write_by_trait(tiled_settings(spark, d).select(*S.READINGS_FILE_COLUMNS, "setting"), path, fmt="parquet")
+    return spark.read.parquet(path).groupBy("setting", "trait").agg(F.count("*").alias("n"))
+
+
+STATS_FILE_SCHEMA = ("pseudo_nhs_number string, median double, mean double, max double, min double, "
+                     "earliest double, latest double, n long, setting string, trait string")
+
+
+@query("sink_per_trait_stats", ORACLE["per_individual_stats"])
+def q_sink_per_trait_stats(spark, d):
+    path = staging_path(spark, "stats-by-trait")
+    stats = ST.per_individual_stats(tiled_settings(spark, d), extra_keys=("setting",))
+    SK.write_by_trait(stats.withColumn("mean", X.round_half_away("mean", 9)), path)
+    back = spark.read.option("header", True).schema(STATS_FILE_SCHEMA).csv(path)
+    return back.select("setting", *S.PER_PERSON_STATS_COLUMNS)
+
+
+@query("sink_tsv_na", ORACLE["covariate_megawide"])
+def q_sink_tsv_na(spark, d):
+    wide = q_covariate_megawide(spark, d)
+    path = staging_path(spark, "megawide-tsv")
+    SK.write_tsv(wide, path, "NA", partition_by=["setting"])
+    schema = wide.schema
+    back = spark.read.option("sep", "\t").option("header", True).option("nullValue", "NA").schema(schema).csv(path)
+    return back.select(*[F.col(f"`{c}`") for c in wide.columns])
+
+
+@query("sink_counts", ORACLE["units_counts"])
+def q_sink_counts(spark, d):
+    path = staging_path(spark, "units-counts")
+    SK.write_counts(TR.units_counts(B.readings(spark, d)), path)
+    return spark.read.parquet(f"{path}/parquet")
