@@ -58,14 +58,15 @@ def split_and_remerge_intervals(df: DataFrame, id_col: str = "pseudo_nhs_number"
     def delta(label: str, sign: int):
         return F.when(valid & F.array_contains(r, label), F.lit(sign)).otherwise(F.lit(0))
 
-    src = df.filter(s.isNotNull())
-    starts = src.select(F.col(id_col).alias("_id"), s.alias("_x"),
-                        *[delta(lbl, 1).alias(f) for lbl, f in zip(S.REGION_ORDER, _FLAGS)])
-    ends = src.filter(e.isNotNull()).select(
-        F.col(id_col).alias("_id"), e.alias("_x"),
-        *[delta(lbl, -1).alias(f) for lbl, f in zip(S.REGION_ORDER, _FLAGS)])
-    points = (starts.unionByName(ends).groupBy("_id", "_x")
-              .agg(*[F.sum(f).alias(f) for f in _FLAGS]))
+    # Both events of an interval come from one pass over the input (no union of two scans).
+    def event(x, sign):
+        return F.struct(x.alias("_x"), *[delta(lbl, sign).alias(f) for lbl, f in zip(S.REGION_ORDER, _FLAGS)])
+
+    events = (df.filter(s.isNotNull())
+              .select(F.col(id_col).alias("_id"), F.explode(F.array(event(s, 1), event(e, -1))).alias("_ev"))
+              .select("_id", "_ev.*")
+              .filter(F.col("_x").isNotNull()))
+    points = events.groupBy("_id", "_x").agg(*[F.sum(f).alias(f) for f in _FLAGS])
 
     w = Window.partitionBy("_id").orderBy("_x")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

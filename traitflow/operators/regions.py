@@ -56,8 +56,16 @@ def join_regions_m1(readings: DataFrame, lookup: DataFrame, id_col: str = "pseud
 
 
 def add_region_types(readings: DataFrame, segments: DataFrame, id_col: str = "pseudo_nhs_number",
-                     date_col: str = "test_date") -> DataFrame:
-    return join_regions_m1(readings, region_lookup(readings, segments, id_col, date_col), id_col, date_col)
+                     date_col: str = "test_date", via_lookup: bool = False) -> DataFrame:
+    """Readings + ``region_types`` (null outside every region); the row count is unchanged.
+
+    Default: one bucketed left range join straight from the readings (a single pass over the
+    readings, one shuffle on (id, bucket); a hot key is split by AQE's skew handling).
+    ``via_lookup``: distinct (id, date) first, range join, then join back - better when the
+    readings repeat each person-day many times (raw combo rows)."""
+    if via_lookup:
+        return join_regions_m1(readings, region_lookup(readings, segments, id_col, date_col), id_col, date_col)
+    return range_join_regions(readings, segments, id_col, date_col, how="left").drop("start_date", "end_date")
 
 
 def classify_regions(df: DataFrame, regions_col: str = "region_types") -> DataFrame:

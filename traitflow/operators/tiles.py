@@ -16,18 +16,28 @@ from traitflow.functions import scalars as X
 
 
 def tile_dedup_11d(df: DataFrame, every_days: int = S.TILE_EVERY_DAYS,
-                   carry: tuple[str, ...] = ("target_units", "gender", "age_at_test", "range_position")) -> DataFrame:
+                   dependent: tuple[str, ...] = ("target_units", "gender", "dob", "range_position")) -> DataFrame:
     """Ranged readings (``final``, ``test_date``, ...) -> tiled readings with the output names
-    ``unit, value, date, minmax_outlier``. The carried columns depend on (person, trait, date)
-    only, so ties on the earliest date cannot change the output."""
+    ``unit, value, date, gender, age_at_test, minmax_outlier``.
+
+    The survivor of a tile is its earliest reading. Every carried column is fixed by the group
+    key (unit by trait, gender and dob by person, the range flag is 'ok' after filtering), so
+    they join the grouping key and the step is a plain ``min(date)`` hash aggregation with
+    map-side combine; ``age_at_test`` is recomputed for the surviving date."""
     keyed = (df.filter(F.col("final").isNotNull())
              .withColumn("_tile", X.tile_index("test_date", every_days)))
-    carry = [c for c in carry if c in df.columns]
-    first = keyed.groupBy("pseudo_nhs_number", "trait", "final", "_tile").agg(
-        F.min(F.struct("test_date", *carry)).alias("_w"))
+    extra = [c for c in dependent if c in df.columns]
+    first = keyed.groupBy("pseudo_nhs_number", "trait", "final", "_tile", *extra).agg(
+        F.min("test_date").alias("date"))
     names = {"target_units": "unit", "range_position": "minmax_outlier"}
-    return first.select(
-        "pseudo_nhs_number", "trait",
-        *[F.col(f"_w.{c}").alias(names.get(c, c)) for c in carry if c == "target_units"],
-        F.col("final").alias("value"), F.col("_w.test_date").alias("date"),
-        *[F.col(f"_w.{c}").alias(names.get(c, c)) for c in carry if c != "target_units"])
+    cols = ["pseudo_nhs_number", "trait"]
+    if "target_units" in extra:
+        cols.append(F.col("target_units").alias("unit"))
+    cols += [F.col("final").alias("value"), "date"]
+    if "gender" in extra:
+        cols.append("gender")
+    if "dob" in extra:
+        cols.append(X.age_at_test("date", "dob").alias("age_at_test"))
+    if "range_position" in extra:
+        cols.append(F.col("range_position").alias(names["range_position"]))
+    return first.select(*cols)

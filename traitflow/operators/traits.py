@@ -18,7 +18,8 @@ DICTIONARY_MAX_ROWS = 1_000_000
 
 def trait_dictionary(traits: DataFrame, aliases: DataFrame) -> DataFrame:
     """Denormalised trait x alias x bounds (left join: a trait without aliases keeps a row)."""
-    return traits.join(aliases, "trait", "left").select("trait", "target_units", "min", "max", "alias")
+    return traits.join(sized_broadcast(aliases, DICTIONARY_MAX_ROWS), "trait", "left").select(
+        "trait", "target_units", "min", "max", "alias")
 
 
 def join_terms_to_traits(df: DataFrame, dictionary: DataFrame, term_col: str = "original_term") -> DataFrame:

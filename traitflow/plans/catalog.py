@@ -27,6 +27,7 @@ from traitflow.operators import traits as TR
 from traitflow.plans import bindings as B
 from traitflow.plans import pipeline as P
 from traitflow.plans.sql_bindings import REGION_TEXT, with_clause
+from traitflow.plans.staging import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -48,7 +49,7 @@ def region_text(c="region_types"):
 # --- shared Spark building blocks ---------------------------------------------------------
 
 def segments(spark, d):
-    return IV.admission_windows(B.stays(spark, d))
+    return staged(spark, f"segments:{d}", lambda: IV.admission_windows(B.stays(spark, d)))
 
 
 def ranged(spark, d):
@@ -60,8 +61,10 @@ def pre_tiling(spark, d):
 
 
 def tiled(spark, d):
-    return P.quant_pipeline(B.readings(spark, d), B.stays(spark, d), B.traits(spark), B.aliases(spark),
-                            B.units(spark), B.linkage(spark, d), B.questionnaire(spark, d), B.AS_OF)
+    """The tiled, region-classified readings, written once and shared by every output query."""
+    return staged(spark, f"tiled:{d}", lambda: P.quant_pipeline(
+        B.readings(spark, d), B.stays(spark, d), B.traits(spark), B.aliases(spark), B.units(spark),
+        B.linkage(spark, d), B.questionnaire(spark, d), B.AS_OF, segments=segments(spark, d)))
 
 
 def tiled_settings(spark, d):
@@ -193,7 +196,7 @@ def q_range_join_regions(spark, d):
     FROM readings r LEFT JOIN segs s ON r.pseudo_nhs_number = s.id AND r.test_date >= s.s AND r.test_date < s.e""")
 def q_join_regions_m1(spark, d):
     r = B.readings(spark, d)
-    out = RG.add_region_types(r, segments(spark, d))
+    out = RG.add_region_types(r, segments(spark, d), via_lookup=True)
     return out.select("pseudo_nhs_number", "test_date", "original_term", "result", "result_value_units",
                       "provenance", region_text())
 
@@ -419,7 +422,7 @@ def q_dedup_subset(spark, d):
     min(test_date) AS date FROM dense WHERE final IS NOT NULL
     GROUP BY pseudo_nhs_number, trait, final, floor(date_diff('day', DATE '1970-01-01', test_date) / 11.0)""")
 def q_tile_dedup_11d(spark, d):
-    return TI.tile_dedup_11d(B.dense_readings(spark, d), carry=())
+    return TI.tile_dedup_11d(B.dense_readings(spark, d), dependent=())
 
 
 @query("first_in_tile", with_clause("tiles") + """SELECT pseudo_nhs_number, trait, value, w.d AS date

@@ -40,9 +40,12 @@ def people_restricted(ranged: DataFrame, linkage: DataFrame, questionnaire: Data
 
 
 def quant_pipeline(readings: DataFrame, stays: DataFrame, traits: DataFrame, aliases: DataFrame,
-                   units: DataFrame, linkage: DataFrame, questionnaire: DataFrame, as_of: str) -> DataFrame:
-    """Tiled readings with ``region_types`` (columns ``schema.TILED_COLUMNS``)."""
-    segments = IV.admission_windows(stays)
+                   units: DataFrame, linkage: DataFrame, questionnaire: DataFrame, as_of: str,
+                   segments: DataFrame | None = None) -> DataFrame:
+    """Tiled readings with ``region_types`` (columns ``schema.TILED_COLUMNS``).
+
+    ``segments`` may be passed in when the admission windows are already staged."""
+    segments = IV.admission_windows(stays) if segments is None else segments
     pre = people_restricted(ranged_readings(readings, traits, aliases, units), linkage, questionnaire, as_of)
     tiled = TI.tile_dedup_11d(pre)
     with_regions = RG.add_region_types(tiled.withColumnRenamed("date", "test_date"), segments)
