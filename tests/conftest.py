@@ -16,7 +16,7 @@ def spark():
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
     s = builder.getOrCreate()
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="traitflow-test-"))
+    if not s.conf.get("spark.checkpoint.dir", None) and s.sparkContext.getCheckpointDir() is None:
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="traitflow-test-"))
     s.sparkContext.setLogLevel("ERROR")
     yield s

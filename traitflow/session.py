@@ -38,17 +38,19 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local runs, tests)
-    a local folder is chosen and registered.
+    Uses the cluster's ``spark.checkpoint.dir`` (or a checkpoint folder already set on the
+    context); only when neither exists (local runs, tests) a local folder is chosen and set on
+    the context.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+        root = sc.getCheckpointDir()
     if not root:
         root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "traitflow-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(root)
+    elif sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
