@@ -1013,6 +1013,21 @@ def q_ingest_barts_meas(spark, d):
     return IN.ingest(spark, RC.barts_meas_2023_05(), EX.barts_meas(spark, d))
 
 
+@query("ingest_bradford_path_2024_12", _combo_sql("l_orderkey % 6 IN (0, 4, 5)", result=Q_SQL,
+                                                  key="2024_12_Bradford_path"))
+def q_ingest_bradford_path_2024(spark, d):
+    return IN.ingest(spark, RC.bradford_path_2024_12(), EX.bradford_path_2024(spark, d))
+
+
+@query("ingest_barts_meas_2024_09", _combo_sql(
+    "l_orderkey % 13 <> 0 AND l_orderkey % 7 NOT IN (0, 1, 4) AND result_value_units IS NOT NULL",
+    term="CASE WHEN l_orderkey % 7 = 3 THEN 'Child''s Birth Weight (g)' ELSE original_term END",
+    result=f"CASE l_orderkey % 7 WHEN 2 THEN '36.1' WHEN 3 THEN '1' || {Q_SQL} ELSE {Q_SQL} END",
+    key="2024_09_Barts_measurements"))
+def q_ingest_barts_meas_2024(spark, d):
+    return IN.ingest(spark, RC.barts_meas_2024_09(), EX.barts_meas_2024(spark, d))
+
+
 @query("ingest_hes_stays", with_clause("stays") + """SELECT pseudo_nhs_number, adm AS hospital_admission_datetime,
     dis AS hospital_discharge_datetime, 'APC' AS hospital_stay_type FROM stays""")
 def q_ingest_hes_stays(spark, d):

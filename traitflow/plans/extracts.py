@@ -126,6 +126,37 @@ def barts_meas(spark, d) -> str:
     return write_text_table(out, spark, "extract-barts-meas", "\t")
 
 
+def bradford_path_2024(spark, d) -> str:
+    x = _lines(spark, d)
+    k = F.col("l_orderkey") % 6
+    q = _q()
+    res = (F.when(k == 0, F.concat(F.lit("Less than "), q)).when(k == 1, F.lit("NA"))
+           .when(k == 2, F.lit("Not detected")).when(k == 3, F.lit("-No evidence of past infection."))
+           .when(k == 4, F.concat(F.lit("<"), q)).otherwise(q))
+    out = x.select(F.col("person").alias("PseudoNHS_2024-07-10"),
+                   F.date_format("l_shipdate", "yyyy-MM-dd").alias("lab_test_performed_date"),
+                   F.col("term").alias("EVENT_DESCRIPTION"), res.alias("RESULT"), F.col("unit").alias("RESULT_UNIT_DESC"))
+    return write_text_table(out, spark, "extract-bradford-path-2024", "\t")
+
+
+def barts_meas_2024(spark, d) -> str:
+    x = _lines(spark, d)
+    k = F.col("l_orderkey") % 7
+    q = _q()
+    res = (F.when(k == 0, F.lit(".")).when(k == 1, F.concat(q, F.lit("x"))).when(k == 2, F.lit("3.6.1"))
+           .when(k == 3, F.concat(F.lit("1,"), q)).otherwise(q))
+    term = F.when(k == 3, F.lit("Child's Birth Weight (g)")).otherwise(F.col("term"))
+    units = F.when(k == 4, F.lit("0")).otherwise(F.col("unit"))
+    text = F.when(F.col("l_orderkey") % 13 == 0, F.lit("free\ttext")).otherwise(F.lit("note"))
+    stamp = F.concat(F.date_format("l_shipdate", "MMM d yyyy"), F.lit("  "), F.date_format("l_shipdate", "h:mma"))
+    out = x.select(F.col("person").alias("PseudoNHS_2024-07-10"), F.lit("sys").alias("SystemLookup"),
+                   stamp.alias("ClinicalSignificanceDate"), F.lit("").alias("ResultNumeric"), res.alias("EventResult"),
+                   F.lit("u").alias("UnitsCode"), units.alias("UnitsDesc"), F.lit("n").alias("NormalCode"),
+                   F.lit("n").alias("NormalDesc"), F.lit("0").alias("LowValue"), F.lit("9").alias("HighValue"),
+                   text.alias("EventText"), term.alias("EventType"), F.lit("p").alias("EventParent"))
+    return write_text_table(out, spark, "extract-barts-meas-2024", "\t")
+
+
 def linkage(spark, d) -> str:
     lk = B.linkage(spark, d)
     out = lk.select("OrageneID", F.lit("1").alias("Number of OrageneIDs with this NHS number"),

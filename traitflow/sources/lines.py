@@ -12,7 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traitflow.sources.readers import apply_null_tokens, string_schema
+from traitflow.sources.readers import apply_null_tokens
 
 
 def read_lines(spark: SparkSession, paths) -> DataFrame:
@@ -61,11 +61,11 @@ def keep_expected_width_lines(lines: DataFrame, sep: str, n: int) -> tuple[DataF
 def parse_lines(lines: DataFrame, sep: str, columns: list[str], null_values=("",),
                 header: bool = True, keep_file: bool = False) -> DataFrame:
     """Parse text lines into all-string columns; header lines (equal to the column names) drop."""
-    ddl = string_schema(columns).simpleString()
+    ddl = ", ".join(f"`{c}` STRING" for c in columns)
     opts = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
     parsed = lines.select(F.from_csv(F.col("value"), ddl, opts).alias("_r"),
                           *(["file_path"] if keep_file else []))
-    out = parsed.select(*[F.col("_r")[c].alias(c) for c in columns], *(["file_path"] if keep_file else []))
+    out = parsed.select(*[F.col("_r").getField(c).alias(c) for c in columns], *(["file_path"] if keep_file else []))
     if header:
         out = out.filter(~F.coalesce(F.col(f"`{columns[0]}`") == columns[0], F.lit(False)))
     return apply_null_tokens(out, null_values)

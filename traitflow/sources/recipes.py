@@ -62,6 +62,27 @@ BARTS_2022_03_PREFIXES = ["< ", "<", ">"]
 BARTS_MEAS_2023_05_REGEX = [r"^\..*?"]
 BARTS_MEAS_2023_05_SUFFIXES = ["cm"]
 BARTS_MEAS_TYPO = (r"3\.6\.1", "36.1")
+
+BRADFORD_PATH_2024_12_REGEX = ["-No evidence of past infection."]
+BRADFORD_PATH_2024_12_PREFIXES = [
+    "less thn ", "Less thn ", "Less than", "Less Thn ", "Greater than ", "Grtr thn ", " ", "<", ">", "NA",
+    "N/A", "Error", "High", ";INS", "Negative", "Positive", "POSITIVE", "TNP", "See Film Comms.",
+]
+BRADFORD_PATH_2024_12_REPLACE_FIRST = [
+    ("(?i)detected", ""), ("(?i)see comment", ""), ("(?i)unable to process", ""), ("not ", ""), ("Not ", ""),
+    ("NOT ", ""),
+]
+
+BARTS_MEAS_COLUMNS_2024_09 = [
+    "PseudoNHS_2024-07-10", "SystemLookup", "ClinicalSignificanceDate", "ResultNumeric", "EventResult",
+    "UnitsCode", "UnitsDesc", "NormalCode", "NormalDesc", "LowValue", "HighValue", "EventText", "EventType",
+    "EventParent",
+]
+BARTS_MEAS_TABS = 13
+BARTS_MEAS_2024_09_UNITS_NE = ["0"]
+BARTS_MEAS_2024_09_RESULT_NE = [".", ".2.2"]
+BARTS_MEAS_2024_09_REGEX = [r"[\)a-zA-Z/\s-]"]
+BARTS_MEAS_COMMA_TERM = "Child's Birth Weight (g)"
 # ---------------------------------------------------------------------------------------
 
 
@@ -159,3 +180,30 @@ def barts_meas_2023_05() -> Recipe:
                ("strip_suffix", "result", BARTS_MEAS_2023_05_SUFFIXES),
                ("replace_first", "result", *BARTS_MEAS_TYPO)],
         clock12=True)
+
+
+def bradford_path_2024_12() -> Recipe:
+    return Recipe(
+        key="2024_12_Bradford_path", sep="\t",
+        rename={"PseudoNHS_2024-07-10": "pseudo_nhs_number", "lab_test_performed_date": "test_date",
+                "EVENT_DESCRIPTION": "original_term", "RESULT": "result", "RESULT_UNIT_DESC": "result_value_units"},
+        steps=[("regex_block", "result", BRADFORD_PATH_2024_12_REGEX),
+               ("not_null", ["result"]),
+               ("strip_prefix", "result", BRADFORD_PATH_2024_12_PREFIXES),
+               *[("replace_first", "result", pat, rep) for pat, rep in BRADFORD_PATH_2024_12_REPLACE_FIRST],
+               ("nonempty", "result")],
+        date_format="yyyy-MM-dd")
+
+
+def barts_meas_2024_09() -> Recipe:
+    return Recipe(
+        key="2024_09_Barts_measurements", sep="\t", columns=BARTS_MEAS_COLUMNS_2024_09,
+        line_rules=[("width", BARTS_MEAS_TABS)],
+        rename={"PseudoNHS_2024-07-10": "pseudo_nhs_number", "ClinicalSignificanceDate": "test_date",
+                "EventType": "original_term", "EventResult": "result", "UnitsDesc": "result_value_units"},
+        steps=[("ne", "result_value_units", BARTS_MEAS_2024_09_UNITS_NE),
+               ("ne", "result", BARTS_MEAS_2024_09_RESULT_NE),
+               ("regex_block", "result", BARTS_MEAS_2024_09_REGEX),
+               ("value_repair", "result", BARTS_MEAS_COMMA_TERM, ","),
+               ("replace_first", "result", *BARTS_MEAS_TYPO)],
+        clock12=True)
