@@ -1028,6 +1028,12 @@ def q_ingest_barts_meas_2024(spark, d):
     return IN.ingest(spark, RC.barts_meas_2024_09(), EX.barts_meas_2024(spark, d))
 
 
+@query("ingest_barts_path_2024_09", _combo_sql("l_orderkey % 9 IN (0, 2, 4, 7, 8) AND l_orderkey % 11 <> 0",
+                                               result=Q_SQL, key="2024_09_Barts_path"))
+def q_ingest_barts_path_2024(spark, d):
+    return IN.ingest(spark, RC.barts_path_2024_09(), EX.barts_path_2024(spark, d))
+
+
 @query("ingest_hes_stays", with_clause("stays") + """SELECT pseudo_nhs_number, adm AS hospital_admission_datetime,
     dis AS hospital_discharge_datetime, 'APC' AS hospital_stay_type FROM stays""")
 def q_ingest_hes_stays(spark, d):

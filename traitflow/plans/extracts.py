@@ -157,6 +157,22 @@ def barts_meas_2024(spark, d) -> str:
     return write_text_table(out, spark, "extract-barts-meas-2024", "\t")
 
 
+def barts_path_2024(spark, d) -> str:
+    x = _lines(spark, d)
+    k = F.col("l_orderkey") % 9
+    q = _q()
+    res = (F.when(k == 0, F.concat(F.lit('"'), q, F.lit('"'))).when(k == 1, F.lit("NA"))
+           .when(k == 2, F.concat(F.lit("("), q, F.lit(")"))).when(k == 3, F.concat(q, F.lit("cm")))
+           .when(k == 4, F.concat(F.lit("+-"), q)).when(k == 5, F.concat(q, F.lit("%")))
+           .when(k == 6, F.lit("1:32")).when(k == 7, F.concat(F.lit("< "), q)).otherwise(q))
+    date = F.when(F.col("l_orderkey") % 11 == 0, F.lit("unknown")) \
+        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm"))
+    out = x.select(F.col("person").alias("PseudoNHS_2024-07-10"), date.alias("ReportDate"),
+                   F.col("term").alias("TestDesc"), res.alias("ResultTxt"), F.col("unit").alias("ResultUnit"),
+                   F.lit('say "hi"').alias("Comment"))
+    return write_text_table(out, spark, "extract-barts-path-2024", "\t")
+
+
 def linkage(spark, d) -> str:
     lk = B.linkage(spark, d)
     out = lk.select("OrageneID", F.lit("1").alias("Number of OrageneIDs with this NHS number"),

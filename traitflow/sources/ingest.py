@@ -100,9 +100,12 @@ def read_source(spark: SparkSession, recipe: Recipe, paths) -> DataFrame:
         elif rule[0] == "width":
             width = rule[1]
             lines, _ = LN.keep_expected_width_lines(lines, recipe.sep, width)
-    if recipe.columns is None:
-        raise ValueError("line rules need the column list")
-    return LN.parse_lines(lines, recipe.sep, recipe.columns, recipe.null_values, recipe.header)
+    columns = recipe.columns
+    if columns is None:
+        if not recipe.header:
+            raise ValueError("line rules on a headerless source need the column list")
+        columns = LN.header_columns(lines, recipe.sep)
+    return LN.parse_lines(lines, recipe.sep, columns, recipe.null_values, recipe.header)
 
 
 def unpivot_bp(df: DataFrame, id_col: str, date_col: str, fmt: str | None = None) -> DataFrame:

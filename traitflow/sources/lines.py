@@ -58,6 +58,14 @@ def keep_expected_width_lines(lines: DataFrame, sep: str, n: int) -> tuple[DataF
     return nonblank.filter(ok), nonblank.filter(~ok)
 
 
+def header_columns(lines: DataFrame, sep: str) -> list[str]:
+    """Column names from the first line (one row read; the header is a single bounded line)."""
+    first = lines.select("value").first()
+    if first is None:
+        raise ValueError("no lines to take a header from")
+    return first[0].split(sep)
+
+
 def parse_lines(lines: DataFrame, sep: str, columns: list[str], null_values=("",),
                 header: bool = True, keep_file: bool = False) -> DataFrame:
     """Parse text lines into all-string columns; header lines (equal to the column names) drop."""

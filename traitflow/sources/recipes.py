@@ -73,6 +73,25 @@ BRADFORD_PATH_2024_12_REPLACE_FIRST = [
     ("NOT ", ""),
 ]
 
+BARTS_PATH_2024_09_STEP1_REGEX = ["[a-zA-Z]"]
+BARTS_PATH_2024_09_STEP1_NE = ["-", "-"]
+BARTS_PATH_2024_09_STEP2_NE = [
+    "**", "***", "****", "*****", "*", "* -", "-", "--", "- -", "-  -", "- .", ". .", ". . .", "----", "+", "+++",
+    "++++", "#", "`", "-.", ".....", ". . . . .", ",.", "#", "`", ".", ".", ".....", ",.", "?", ",", ":", "]", "{.}",
+]
+BARTS_PATH_2024_09_STEP3_NE = [
+    ">1/640", "28.8 28.8", "28.3 28.3", "1:8", "2+48", "2+0", "{4}", "1:32", "{88}", "3-", "{93}", "(66", "1:32",
+    "1:16", "106 - - - - - -",
+]
+BARTS_PATH_2024_09_STEP3_REGEX = [r"^\d+(\.\d+)? \d+(\.\d+)?$"]
+BARTS_PATH_2024_09_LATER_REGEX = [
+    [r"^\d{2}:\d{2}$"], [r"^\d*\s?-$"], [r"^\$|^\*|^\?"], [r"\*$"], [r"\d*\+$"], [r"\d+(\.\d+)?%$"],
+    [r"/.*/", r"\d{2}\.\d{2}\.\d{2}; \d{4}"], [r"/"], [r"\d+-\d+"],
+]
+BARTS_PATH_2024_09_DATE_KEEP = r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}"
+BARTS_PATH_2024_09_STRIPS = [("strip_prefix", ["<", ">", "+-", "+/-"]), ("strip_suffix", ["cm"]),
+                             ("strip_prefix", ["("]), ("strip_suffix", [")"]), ("strip_prefix", [" "])]
+
 BARTS_MEAS_COLUMNS_2024_09 = [
     "PseudoNHS_2024-07-10", "SystemLookup", "ClinicalSignificanceDate", "ResultNumeric", "EventResult",
     "UnitsCode", "UnitsDesc", "NormalCode", "NormalDesc", "LowValue", "HighValue", "EventText", "EventType",
@@ -207,3 +226,19 @@ def barts_meas_2024_09() -> Recipe:
                ("value_repair", "result", BARTS_MEAS_COMMA_TERM, ","),
                ("replace_first", "result", *BARTS_MEAS_TYPO)],
         clock12=True)
+
+
+def barts_path_2024_09() -> Recipe:
+    return Recipe(
+        key="2024_09_Barts_path", sep="\t", line_rules=[("strip_quotes",)],
+        rename={"PseudoNHS_2024-07-10": "pseudo_nhs_number", "ReportDate": "test_date", "TestDesc": "original_term",
+                "ResultTxt": "result", "ResultUnit": "result_value_units"},
+        steps=[("regex_block", "result", BARTS_PATH_2024_09_STEP1_REGEX),
+               ("ne", "result", BARTS_PATH_2024_09_STEP1_NE),
+               ("ne", "result", BARTS_PATH_2024_09_STEP2_NE),
+               ("ne", "result", BARTS_PATH_2024_09_STEP3_NE),
+               ("regex_block", "result", BARTS_PATH_2024_09_STEP3_REGEX),
+               *[("regex_block", "result", pats) for pats in BARTS_PATH_2024_09_LATER_REGEX],
+               ("regex_keep", "test_date", BARTS_PATH_2024_09_DATE_KEEP),
+               *[(kind, "result", vals) for kind, vals in BARTS_PATH_2024_09_STRIPS]],
+        date_format="yyyy-MM-dd HH:mm")
