@@ -68,21 +68,20 @@ def split_and_remerge_intervals(df: DataFrame, id_col: str = "pseudo_nhs_number"
               .filter(F.col("_x").isNotNull()))
     points = events.groupBy("_id", "_x").agg(*[F.sum(f).alias(f) for f in _FLAGS])
 
+    # All windows share (partition by _id, order by _x): one sort serves all of them.
     w = Window.partitionBy("_id").orderBy("_x")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     segs = points.select(
-        "_id", F.col("_x").alias("_s"), F.lead("_x").over(w).alias("_e"),
+        "_id", "_x", F.lead("_x").over(w).alias("_e"),
         *[(F.sum(f).over(run) > 0).alias(f) for f in _FLAGS])
     segs = segs.filter(F.col("_e").isNotNull() & (F.col("_a") | F.col("_bb") | F.col("_ba")))
 
-    prev_e = F.lag("_e").over(w.orderBy("_s"))
-    changed = prev_e.isNull() | (F.col("_s") > prev_e)
+    prev_e = F.lag("_e").over(w)
+    changed = prev_e.isNull() | (F.col("_x") > prev_e)
     for f in _FLAGS:
-        changed = changed | (F.lag(f).over(Window.partitionBy("_id").orderBy("_s")) != F.col(f))
-    islands = segs.withColumn("_new", changed.cast("int")).withColumn(
-        "_g", F.sum("_new").over(Window.partitionBy("_id").orderBy("_s")
-                                 .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    merged = islands.groupBy("_id", "_g", *_FLAGS).agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"))
+        changed = changed | (F.lag(f).over(w) != F.col(f))
+    islands = segs.withColumn("_new", changed.cast("int")).withColumn("_g", F.sum("_new").over(run))
+    merged = islands.groupBy("_id", "_g", *_FLAGS).agg(F.min("_x").alias("_s"), F.max("_e").alias("_e"))
     return merged.select(
         F.col("_id").alias(id_col), F.col("_s").alias(start_col), F.col("_e").alias(end_col),
         canonical_regions(F.col("_a"), F.col("_bb"), F.col("_ba")).alias(regions_col))
