@@ -975,6 +975,18 @@ def q_ingest_nda_bmi(spark, d):
     return IN.ingest(spark, RC.nda("BMI"), EX.nda_bmi(spark, d))
 
 
+@query("ingest_nda_chol", _combo_sql("l_linenumber <> 7", "'Serum total cholesterol level'", unit="'mmol/L'",
+                                     key=RC.NDA_KEY, source="primary_care"))
+def q_ingest_nda_chol(spark, d):
+    return IN.ingest(spark, RC.nda("CHOL"), EX.nda(spark, d, "CHOL"))
+
+
+@query("ingest_nda_hba1c", _combo_sql("l_linenumber <> 7", "'Haemoglobin A1c level'", unit="'mmol/mol'",
+                                      key=RC.NDA_KEY, source="primary_care"))
+def q_ingest_nda_hba1c(spark, d):
+    return IN.ingest(spark, RC.nda("HBA1C"), EX.nda(spark, d, "HBA1C"))
+
+
 @query("ingest_nda_bp", with_clause("readings") + f"""SELECT DISTINCT pseudo_nhs_number, test_date, original_term,
     result, 'mmHg' AS result_value_units, '{RC.NDA_KEY}' AS provenance, 'primary_care' AS source FROM (
       SELECT pseudo_nhs_number, test_date, 'Diastolic arterial pressure' AS original_term, result + 50 AS result
@@ -1034,6 +1046,27 @@ def q_ingest_barts_path_2024(spark, d):
     return IN.ingest(spark, RC.barts_path_2024_09(), EX.barts_path_2024(spark, d))
 
 
+@query("ingest_barts_path_2023_05", _combo_sql(
+    "l_orderkey % 13 <> 0 AND l_orderkey % 10 IN (0, 1, 2, 3, 8, 9)", result=Q_SQL, key="2023_05_Barts_path")
+    .replace("SELECT DISTINCT pseudo_nhs_number, test_date,", """SELECT DISTINCT pseudo_nhs_number,
+      CASE WHEN l_orderkey % 4 = 0 THEN CAST('4' || substr(strftime(test_date, '%Y-%m-%d'), 2) AS DATE)
+           ELSE test_date END AS test_date,"""))
+def q_ingest_barts_path_2023_05(spark, d):
+    return IN.ingest(spark, RC.barts_path_2023_05(), EX.barts_path_2023(spark, d))
+
+
+@query("ingest_barts_path_2023_12", _combo_sql("l_orderkey % 17 <> 0 AND l_orderkey % 9 NOT IN (4, 5, 6)",
+                                               result=Q_SQL, key="2023_12_Barts_path"))
+def q_ingest_barts_path_2023_12(spark, d):
+    return IN.ingest(spark, RC.barts_path_2023_12(), EX.barts_path_2023_12(spark, d))
+
+
+@query("ingest_barts_meas_2023_12", _combo_sql("l_orderkey % 19 <> 0 AND l_orderkey % 10 IN (0, 1, 2, 9)",
+                                               result=Q_SQL, key="2023_12_Barts_measurements"))
+def q_ingest_barts_meas_2023_12(spark, d):
+    return IN.ingest(spark, RC.barts_meas_2023_12(), EX.barts_meas_2023_12(spark, d))
+
+
 @query("ingest_hes_stays", with_clause("stays") + """SELECT pseudo_nhs_number, adm AS hospital_admission_datetime,
     dis AS hospital_discharge_datetime, 'APC' AS hospital_stay_type FROM stays""")
 def q_ingest_hes_stays(spark, d):

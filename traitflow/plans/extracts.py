@@ -23,6 +23,15 @@ def write_text_table(df: DataFrame, spark: SparkSession, name: str, sep: str, nu
     return path
 
 
+def write_lines(spark: SparkSession, lines: DataFrame, name: str, header: str) -> str:
+    """Raw text lines (header first in its own part) for layouts the CSV writer cannot
+    produce, such as unterminated quotes."""
+    path = staging_path(spark, name)
+    head = spark.createDataFrame([(header,)], "value string")
+    head.unionByName(lines.select("value")).write.mode("overwrite").text(path)
+    return path
+
+
 def _q():
     return F.concat(F.col("l_quantity").cast("bigint").cast("string"), F.lit("."),
                     F.col("l_linenumber").cast("string"))
@@ -48,14 +57,23 @@ def primary_care(spark, d) -> str:
     return write_text_table(out, spark, "extract-primary-care", ",", "NULL")
 
 
-def nda_bmi(spark, d) -> str:
+NDA_COLUMNS = {"BMI": ("BMI_DATE", "BMI_VALUE"), "CHOL": ("CHOLESTEROL_DATE", "CHOL_VALUE"),
+               "HBA1C": ("HBA1C_DATE", "HBA1C_MMOL_VALUE")}
+
+
+def nda(spark, d, measure: str = "BMI") -> str:
     x = _lines(spark, d)
+    date_col, value_col = NDA_COLUMNS[measure]
     out = x.select(F.col("person").alias("STUDY_ID"),
-                   F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss.SSS").alias("BMI_DATE"),
+                   F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss.SSS").alias(date_col),
                    F.year("l_shipdate").cast("string").alias("AUDIT_YEAR"),
                    F.when(F.col("l_linenumber") == 7, F.lit(None)).otherwise(F.col("l_quantity").cast("string"))
-                   .alias("BMI_VALUE"))
-    return write_text_table(out, spark, "extract-nda-bmi", "|")
+                   .alias(value_col))
+    return write_text_table(out, spark, f"extract-nda-{measure.lower()}", "|")
+
+
+def nda_bmi(spark, d) -> str:
+    return nda(spark, d, "BMI")
 
 
 def nda_bp(spark, d) -> str:
@@ -173,6 +191,61 @@ def barts_path_2024(spark, d) -> str:
     return write_text_table(out, spark, "extract-barts-path-2024", "\t")
 
 
+def barts_path_2023(spark, d) -> str:
+    x = _lines(spark, d)
+    k = F.col("l_orderkey") % 10
+    q = _q()
+    iso = F.date_format("l_shipdate", "yyyy-MM-dd")
+    res = (F.when(k == 0, F.concat(F.lit("<"), q)).when(k == 1, F.concat(F.lit("{"), q, F.lit("}")))
+           .when(k == 2, F.concat(q, F.lit("%"))).when(k == 3, F.concat(q, F.lit(" g/l")))
+           .when(k == 4, F.lit("NA")).when(k == 5, F.lit("Insufficient sample"))
+           .when(k == 6, F.concat(F.lit('"'), q)).when(k == 7, F.lit("abc"))
+           .when(k == 8, F.concat(F.lit(" "), q, F.lit(" -"))).otherwise(q))
+    desc = F.when(F.col("l_orderkey") % 13 == 0, F.concat(F.lit('"'), "term")).otherwise(F.col("term"))
+    report_date = F.when(F.col("l_orderkey") % 4 == 0, F.lit("garbage")).otherwise(F.concat(iso, F.lit(" 10:00")))
+    report = F.concat(F.lit("4"), F.substring(iso, 2, 100), F.lit(" 10:00"))
+    line = F.concat_ws("\t", "person", report_date, report, F.concat(iso, F.lit(" 08:00")), desc, res,
+                       F.coalesce("unit", F.lit("")))
+    header = "\t".join(["PseudoNHS_2023_04_24", "ReportDate", "Report", "RequestDate", "TestDesc", "ResultTxt",
+                        "ResultUnit"])
+    return write_lines(spark, x.select(line.alias("value")), "extract-barts-path-2023-05", header)
+
+
+def barts_path_2023_12(spark, d) -> str:
+    x = _lines(spark, d)
+    k = F.col("l_orderkey") % 9
+    q = _q()
+    res = (F.when(k == 0, F.concat(F.lit("<"), q)).when(k == 1, F.concat(F.lit("("), q, F.lit(")")))
+           .when(k == 2, F.concat(F.lit("*{"), q, F.lit("}"))).when(k == 3, F.concat(F.lit("+/-"), q))
+           .when(k == 4, F.lit("**")).when(k == 5, F.concat(F.lit("x"), q))
+           .when(k == 6, F.lit("14/07/2011, 16:51")).when(k == 7, F.concat(F.lit(" "), q)).otherwise(q))
+    filler = F.when(F.col("l_orderkey") % 17 == 0, F.lit("a\tb")).otherwise(F.lit("f"))
+    line = F.concat_ws("\t", "person", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm"), "term", res,
+                       F.coalesce("unit", F.lit("")), filler, *[F.lit("f")] * 11)
+    header = "\t".join(["PseudoNHS_2023_11_08", "ReportDate", "TestDesc", "ResultTxt", "ResultUnit"]
+                       + [f"C{i}" for i in range(1, 13)])
+    return write_lines(spark, x.select(line.alias("value")), "extract-barts-path-2023-12", header)
+
+
+def barts_meas_2023_12(spark, d) -> str:
+    x = _lines(spark, d)
+    k = F.col("l_orderkey") % 10
+    q = _q()
+    res = (F.when(k == 0, F.concat(F.lit(" "), q)).when(k == 1, F.concat(F.lit(">"), q))
+           .when(k == 2, F.concat(F.lit('"'), q, F.lit('"'))).when(k == 3, F.lit("10:00"))
+           .when(k == 4, F.concat(q, F.lit("&"))).when(k == 5, F.lit("1-2"))
+           .when(k == 6, F.concat(F.lit("a"), q)).when(k == 7, F.concat(q, F.lit("-")))
+           .when(k == 8, F.lit("1.2.3")).otherwise(q))
+    stamp = F.concat(F.date_format("l_shipdate", "MMM d yyyy"), F.lit("  "), F.date_format("l_shipdate", "h:mma"))
+    text = F.when(F.col("l_orderkey") % 19 == 0, F.lit('say "a\tb"')).otherwise(F.lit('say "x"'))
+    line = F.concat_ws("\t", "person", F.lit("sys"), stamp, res, F.lit("u"), F.coalesce("unit", F.lit("")),
+                       F.lit("n"), F.lit("n"), F.lit("0"), F.lit("9"), text, "term", F.lit("p"), F.lit("z"))
+    header = "\t".join(["PseudoNHS_2023_11_08", "SystemLookup", "ClinicalSignificanceDate", "EventResult",
+                        "UnitsCode", "UnitsDesc", "NormalCode", "NormalDesc", "LowValue", "HighValue", "EventText",
+                        "EventType", "EventParent", "Extra"])
+    return write_lines(spark, x.select(line.alias("value")), "extract-barts-meas-2023-12", header)
+
+
 def linkage(spark, d) -> str:
     lk = B.linkage(spark, d)
     out = lk.select("OrageneID", F.lit("1").alias("Number of OrageneIDs with this NHS number"),

@@ -104,7 +104,8 @@ def read_source(spark: SparkSession, recipe: Recipe, paths) -> DataFrame:
     if columns is None:
         if not recipe.header:
             raise ValueError("line rules on a headerless source need the column list")
-        columns = LN.header_columns(lines, recipe.sep)
+        known = list(recipe.rename) + list(recipe.date_candidates or [])
+        columns = LN.header_columns(lines, recipe.sep, known)
     return LN.parse_lines(lines, recipe.sep, columns, recipe.null_values, recipe.header)
 
 

@@ -58,11 +58,15 @@ def keep_expected_width_lines(lines: DataFrame, sep: str, n: int) -> tuple[DataF
     return nonblank.filter(ok), nonblank.filter(~ok)
 
 
-def header_columns(lines: DataFrame, sep: str) -> list[str]:
-    """Column names from the first line (one row read; the header is a single bounded line)."""
-    first = lines.select("value").first()
+def header_columns(lines: DataFrame, sep: str, must_contain: list[str] | None = None) -> list[str]:
+    """Column names from the header line: the first line holding every name in ``must_contain``
+    (one row is read; the header is a single bounded line)."""
+    cand = lines.select("value")
+    for name in must_contain or []:
+        cand = cand.filter(F.col("value").contains(name))
+    first = cand.first()
     if first is None:
-        raise ValueError("no lines to take a header from")
+        raise ValueError("no header line found")
     return first[0].split(sep)
 
 

@@ -92,6 +92,64 @@ BARTS_PATH_2024_09_DATE_KEEP = r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}"
 BARTS_PATH_2024_09_STRIPS = [("strip_prefix", ["<", ">", "+-", "+/-"]), ("strip_suffix", ["cm"]),
                              ("strip_prefix", ["("]), ("strip_suffix", [")"]), ("strip_prefix", [" "])]
 
+BARTS_PATH_2023_05_NE = [
+    '**', '***', '****', '*', '* -', '-', '--', '- -', '-  -', '+', '++', '+++', '++++', '*115', '#', '/',
+    '`', ',.', '.', '.....', 'n/r', 'na', 'n/a', 'NA', '?', ',', ':', ']', 'c', 'MK', 'B', 'P', 'ns', '1a',
+    '1b', '3a', '3b', '3-', '64-', 'B2A2', 'B3A2', 'FM', 'UNS', '@unb', '@und', 'None', '2-5', '1:8', '1:16',
+    '1:32', '4o', '*40', 'body', 'Body', '24hr', '24HR', 'KNIB', '64 -', '70)', '(70)', '(66', '*66', '*81',
+    '*92', '*{88}', '*{94}', '5ml', 'Serum', ' Serum"', 'clumps', '"Regret', 'random', 'Random', 'RANDOM',
+    'RAMDOM', 'Clumped', 'CLUMPED', 'deleted', 'DELETED', 'Pending', '24 hour',
+    'Not requested. PLEASE NOTE - THIS IS AN AMENDED REPORT', 'No result available - see comment',
+    'Not Calculated Units: mL/min/1.73sqm For Afro-Caribbean patients multiply eGFR by 1.21 Use with caution for adjusting drug dosage.',
+    'Intrinsic Factor antibodies not tested as Gastric Parietal Cell antibody was negative. http://jcp.bmj.com/content/62/5/439.abstract',
+    'Albumin Creatinine ratio within normal limits', 'Wrong patient bled. Suggest repeat.',
+]
+BARTS_PATH_2023_12_NE = [
+    '**', '***', '****', '*****', '*', '* -', '-', '--', '- -', '-  -', '++++', '#', '`', '.....', ',.',
+    'n/r', 'na', 'n/a', 'NA', '?', ',', ':', ']', 'c', 'MK', 'B', 'P', '1a', '1b', '3a', '3b', '3-', '64-',
+    'B2A2', 'B3A2', 'FM', 'UNS', '@unb', '@und', 'None', '2-5', '1:8', '1:16', '1:32', '4o', '*40', 'body',
+    'Body', '24hr', '24 hrs', '24HR', 'KNIB', '64 -', '70)', '(70)', '(66', 'other', 'Clear', 'rerun',
+    'Venous', '{REPEAT}', 'deleted', 'DELETED', '09:00', '10:17', '10:38', '11:30', '16:00', '18:00',
+    '21:00', '23:59', 'day 1', 'day 2', 'Day 2', 'DAY 2', 'day 3', 'Day 4', 'day 7', 'Day 8', 'Day 10',
+    'day 17', 'day 21', 'Day 21', 'DAY 21', '0 min', '30 min', '60 min', '4 hrs', '7.5 hrs', '44285*',
+    '20753*', '124 -', 'LCMSMS', '1.01 26', '1.20 15', '0.99 10', '0.99 11', '0.99 12', '1.00 10', '2.41 32',
+    '0.95 14', '0.95 17', '1.05 9', '0.94 26', 'Add on', 'clumps', 'Clumped', '*Clumped', 'clumped',
+    'Clumpled', 'no clot', 'No clot', 'NO CLOT', 'Pending', 'IgM only', '>1/640', '1/640', '1/160', 'Cloudy',
+    'Pleural', 'ramdom', 'random', 'Random', 'RANDOM', 'Reject', 'normal', 'Normal', 'NORMAL', 'invalid',
+    'Note Hb', 'reduced', 'Reduced', 'Unknown', 'DR req', '?on GCSF', 'MDS/MPN', 'Arterial', 'CAPASCIN',
+    'Detected', 'negative', 'Negative', 'NEGATIVE', 'Neagtive', 'positive', 'Positive', 'POSITIVE',
+    'No clot.', 'Obscured', 'See ADAL', 'Speckled', 'Stained', 'Pendings', 'Rejected', '33 hours',
+    '09S00088662 Read code 43X4 Read code 43BA',
+]
+BARTS_PATH_2023_05_REGEX = ['^"', "(?i)insufficient", "(?i)unsuitable", "(?i)inadequately", "(?i)received"]
+BARTS_PATH_2023_05_DATES = ["ReportDate", "Report", "RequestDate"]
+BARTS_PATH_2023_05_PREFIXES = ["<", ">", "+-", "+/-"]
+BARTS_PATH_2023_05_BRACES = (r"^\{(.*?)\}$", "$1")
+BARTS_PATH_2023_05_SUFFIXES = [" -", '"', "%", " g/l"]
+
+BARTS_PATH_2023_12_TABS = 16
+BARTS_PATH_2023_12_REGEX = [
+    "[a-zA-Z]",
+    "^100-149 mIU/ml Low Level Antibody detected Low level VZV IgG detected For immunocompromised patients "
+    "recently exposed to VZV",
+    "(?i)unsuitable", "(?i)not been accepted", r"^\d{2}[A-Z]\d{8}", r"^\d+.*?\*\s\*\s",
+    r"^\d{2}/\d{2}/\d{2,4}.? \d{2}:\d{2}$",
+]
+BARTS_PATH_2023_12_PREFIXES = ["<", ">", "+-", "+/-"]
+
+BARTS_MEAS_2023_12_FIRST_REGEX = [r"\d:\d{16}:\d\.000000:\d{1,3}:0"]
+BARTS_MEAS_2023_12_NE = ["06.01.2010", "10:00", "10%", "."]
+BARTS_MEAS_2023_12_REGEX = [
+    r"[\+\)a-zA-Z/\s]", r"\d{1,2}\.\d{1,2}\.\d{2,4}", r"\d{1,2}:\d{2}", r"^\d+(\.\d+)?%$", r"^\d+(\.\d+)?`$", r"`",
+    r"=", r"^\d+:\d+$", r"^\.+$", r"\.:", r":!", r":", r";", r"_", r"#",
+]
+BARTS_MEAS_2023_12_NE_2 = ["?"]
+BARTS_MEAS_2023_12_REGEX_2 = [r"\*", r"\..*\.", "'"]
+BARTS_MEAS_2023_12_ENDS = ["&"]
+BARTS_MEAS_2023_12_REGEX_3 = [r"^-+$", r"\d-+\d"]
+BARTS_MEAS_2023_12_ENDS_2 = ["-"]
+BARTS_MEAS_2023_12_REGEX_4 = [r"\\"]
+
 BARTS_MEAS_COLUMNS_2024_09 = [
     "PseudoNHS_2024-07-10", "SystemLookup", "ClinicalSignificanceDate", "ResultNumeric", "EventResult",
     "UnitsCode", "UnitsDesc", "NormalCode", "NormalDesc", "LowValue", "HighValue", "EventText", "EventType",
@@ -242,3 +300,49 @@ def barts_path_2024_09() -> Recipe:
                ("regex_keep", "test_date", BARTS_PATH_2024_09_DATE_KEEP),
                *[(kind, "result", vals) for kind, vals in BARTS_PATH_2024_09_STRIPS]],
         date_format="yyyy-MM-dd HH:mm")
+
+
+def barts_path_2023_05() -> Recipe:
+    return Recipe(
+        key="2023_05_Barts_path", sep="\t", line_rules=[("drop_quoted", "\t")],
+        rename={"PseudoNHS_2023_04_24": "pseudo_nhs_number", "TestDesc": "original_term", "ResultTxt": "result",
+                "ResultUnit": "result_value_units"},
+        steps=[("ne", "result", BARTS_PATH_2023_05_NE),
+               ("regex_block", "result", BARTS_PATH_2023_05_REGEX),
+               ("strip_prefix", "result", BARTS_PATH_2023_05_PREFIXES),
+               ("replace_first", "result", *BARTS_PATH_2023_05_BRACES),
+               ("strip_prefix", "result", [" "]),
+               ("strip_suffix", "result", BARTS_PATH_2023_05_SUFFIXES)],
+        date_candidates=BARTS_PATH_2023_05_DATES, date_format="yyyy-MM-dd HH:mm", result_strict=False)
+
+
+def barts_path_2023_12() -> Recipe:
+    return Recipe(
+        key="2023_12_Barts_path", sep="\t", line_rules=[("width", BARTS_PATH_2023_12_TABS)],
+        rename={"PseudoNHS_2023_11_08": "pseudo_nhs_number", "ReportDate": "test_date", "TestDesc": "original_term",
+                "ResultTxt": "result", "ResultUnit": "result_value_units"},
+        steps=[("regex_block", "result", BARTS_PATH_2023_12_REGEX),
+               ("ne", "result", BARTS_PATH_2023_12_NE),
+               ("strip_prefix", "result", BARTS_PATH_2023_12_PREFIXES),
+               ("unwrap", "result"),
+               ("strip_prefix", "result", [" "])],
+        date_format="yyyy-MM-dd HH:mm")
+
+
+def barts_meas_2023_12() -> Recipe:
+    return Recipe(
+        key="2023_12_Barts_measurements", sep="\t", line_rules=[("strip_quotes",), ("width", BARTS_MEAS_TABS)],
+        rename={"PseudoNHS_2023_11_08": "pseudo_nhs_number", "ClinicalSignificanceDate": "test_date",
+                "EventType": "original_term", "EventResult": "result", "UnitsDesc": "result_value_units"},
+        steps=[("strip_prefix", "result", [" "]),
+               ("regex_block", "result", BARTS_MEAS_2023_12_FIRST_REGEX),
+               ("ne", "result", BARTS_MEAS_2023_12_NE),
+               ("regex_block", "result", BARTS_MEAS_2023_12_REGEX),
+               ("ne", "result", BARTS_MEAS_2023_12_NE_2),
+               ("regex_block", "result", BARTS_MEAS_2023_12_REGEX_2),
+               ("ends_block", "result", BARTS_MEAS_2023_12_ENDS),
+               ("regex_block", "result", BARTS_MEAS_2023_12_REGEX_3),
+               ("ends_block", "result", BARTS_MEAS_2023_12_ENDS_2),
+               ("regex_block", "result", BARTS_MEAS_2023_12_REGEX_4),
+               ("strip_prefix", "result", [">"])],
+        clock12=True)
