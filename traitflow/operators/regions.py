@@ -14,8 +14,13 @@ from pyspark.sql import functions as F
 
 from traitflow.functions import regions as R
 from traitflow.functions import scalars as X
+from traitflow.operators.joins import sized_broadcast
 
 DEFAULT_BUCKET_DAYS = 32
+# Bucketed segments are bounded by hospital stays, not by readings. Up to this many rows
+# they are broadcast (the readings are then not shuffled for the join); above it the join
+# shuffles both sides on (person, bucket).
+SEGMENTS_BROADCAST_MAX_ROWS = 1_000_000
 
 
 def _bucket(c, days: int):
@@ -24,7 +29,7 @@ def _bucket(c, days: int):
 
 def range_join_regions(points: DataFrame, segments: DataFrame, id_col: str = "pseudo_nhs_number",
                        date_col: str = "test_date", bucket_days: int = DEFAULT_BUCKET_DAYS,
-                       how: str = "inner") -> DataFrame:
+                       how: str = "inner", broadcast_max_rows: int | None = SEGMENTS_BROADCAST_MAX_ROWS) -> DataFrame:
     """Points ``(id, date, ...)`` joined to the segment whose ``[start_date, end_date)`` holds
     the date. Adds ``start_date``, ``end_date`` and ``region_types``."""
     segs = (segments
@@ -32,6 +37,8 @@ def range_join_regions(points: DataFrame, segments: DataFrame, id_col: str = "ps
             .select(F.col(id_col).alias("_sid"), "start_date", "end_date", "region_types",
                     F.explode(F.sequence(_bucket(F.col("start_date"), bucket_days),
                                          _bucket(F.date_sub(F.col("end_date"), 1), bucket_days))).alias("_b")))
+    if broadcast_max_rows:
+        segs = sized_broadcast(segs, broadcast_max_rows)
     pts = points.withColumn("_b", _bucket(F.col(date_col), bucket_days))
     cond = ((pts[id_col] == segs["_sid"]) & (pts["_b"] == segs["_b"])
             & (pts[date_col] >= segs["start_date"]) & (pts[date_col] < segs["end_date"]))

@@ -41,6 +41,9 @@ def target_units(units: DataFrame) -> list[str]:
 
 def load_traits(spark: SparkSession, path: str, allowed_units: list[str] | None = None) -> DataFrame:
     traits = _read(spark, path, TRAITS_SCHEMA)
+    # one row per trait: the target unit and bounds are a function of the trait (the tile step
+    # and the range check rely on it)
+    check_dictionary_unique(traits, ["trait"])
     if allowed_units is not None:
         active = traits.filter(~F.col("trait").startswith("#"))
         S.check_closed_set(active, "target_units", allowed_units)
