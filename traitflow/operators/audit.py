@@ -48,6 +48,12 @@ def audit_unique(df: DataFrame, keys: list[str], label: str = "unique") -> DataF
     return c.select(F.lit(label).alias("label"), "before", "after", pct.alias("pct_change"))
 
 
+def _round1(v: float) -> float:
+    """One decimal, half away from zero (same rule as the column helpers)."""
+    import math
+    return math.copysign(math.floor(abs(v) * 10 + 0.5) / 10, v)
+
+
 class AuditLog:
     """Collects before/after counts through ``observe`` (no extra jobs)."""
 
@@ -65,7 +71,7 @@ class AuditLog:
         rows = []
         for label, b, a in self._steps:
             nb, na = b.get["n"], a.get["n"]
-            rows.append((label, nb, na, None if nb == 0 else round((na - nb) * 100.0 / nb, 1)))
+            rows.append((label, nb, na, None if nb == 0 else _round1((na - nb) * 100.0 / nb)))
         return spark.createDataFrame(rows, "label string, before long, after long, pct_change double")
 
 

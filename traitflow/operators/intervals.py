@@ -30,6 +30,14 @@ from traitflow.functions.regions import canonical_regions
 _FLAGS = ["_a", "_bb", "_ba"]
 
 
+def _w():
+    return Window.partitionBy("_id").orderBy("_x")
+
+
+def _run():
+    return _w().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def add_buffers(df: DataFrame, before: int = S.BUFFER_BEFORE_DAYS, after: int = S.BUFFER_AFTER_DAYS,
                 pad_before: int = 0, pad_after: int = 0, id_col: str = "pseudo_nhs_number",
                 start_col: str = "start_date", end_col: str = "end_date") -> DataFrame:
@@ -48,10 +56,10 @@ def add_buffers(df: DataFrame, before: int = S.BUFFER_BEFORE_DAYS, after: int =
                     F.array(F.col("_p.r")).alias("region_types")))
 
 
-def split_and_remerge_intervals(df: DataFrame, id_col: str = "pseudo_nhs_number",
-                                start_col: str = "start_date", end_col: str = "end_date",
-                                regions_col: str = "region_types") -> DataFrame:
-    """Disjoint, maximal segments ``(id, start, end, region_types)`` (see module doc)."""
+def covered_segments(df: DataFrame, id_col: str = "pseudo_nhs_number", start_col: str = "start_date",
+                     end_col: str = "end_date", regions_col: str = "region_types") -> DataFrame:
+    """Elementary segments between consecutive boundaries that some interval covers, with one
+    boolean per label: ``(_id, _x, _e, _a, _bb, _ba)`` (the region set of each segment)."""
     s, e, r = F.col(start_col), F.col(end_col), F.col(regions_col)
     valid = e.isNotNull() & (e > s)
 
@@ -67,26 +75,46 @@ def split_and_remerge_intervals(df: DataFrame, id_col: str = "pseudo_nhs_number"
               .select("_id", "_ev.*")
               .filter(F.col("_x").isNotNull()))
     points = events.groupBy("_id", "_x").agg(*[F.sum(f).alias(f) for f in _FLAGS])
-
-    # All windows share (partition by _id, order by _x): one sort serves all of them.
-    w = Window.partitionBy("_id").orderBy("_x")
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     segs = points.select(
-        "_id", "_x", F.lead("_x").over(w).alias("_e"),
-        *[(F.sum(f).over(run) > 0).alias(f) for f in _FLAGS])
-    segs = segs.filter(F.col("_e").isNotNull() & (F.col("_a") | F.col("_bb") | F.col("_ba")))
+        "_id", "_x", F.lead("_x").over(_w()).alias("_e"),
+        *[(F.sum(f).over(_run()) > 0).alias(f) for f in _FLAGS])
+    return segs.filter(F.col("_e").isNotNull() & (F.col("_a") | F.col("_bb") | F.col("_ba")))
 
-    prev_e = F.lag("_e").over(w)
+
+def island_breaks(segs: DataFrame) -> DataFrame:
+    """``_new`` = 1 where a segment starts a new island: first of its id, a gap before it, or a
+    different region set than the previous segment."""
+    prev_e = F.lag("_e").over(_w())
     changed = prev_e.isNull() | (F.col("_x") > prev_e)
     for f in _FLAGS:
-        changed = changed | (F.lag(f).over(w) != F.col(f))
-    islands = segs.withColumn("_new", changed.cast("int")).withColumn("_g", F.sum("_new").over(run))
+        changed = changed | (F.lag(f).over(_w()) != F.col(f))
+    return segs.withColumn("_new", changed.cast("int"))
+
+
+def island_ids(breaks: DataFrame) -> DataFrame:
+    """``_g`` = running count of island starts per id."""
+    return breaks.withColumn("_g", F.sum("_new").over(_run()))
+
+
+def islands_min_max(islands: DataFrame, id_col: str = "pseudo_nhs_number", start_col: str = "start_date",
+                    end_col: str = "end_date", regions_col: str = "region_types") -> DataFrame:
+    """One row per island: min start, max end and its region list in canonical order."""
     merged = islands.groupBy("_id", "_g", *_FLAGS).agg(F.min("_x").alias("_s"), F.max("_e").alias("_e"))
     return merged.select(
         F.col("_id").alias(id_col), F.col("_s").alias(start_col), F.col("_e").alias(end_col),
         canonical_regions(F.col("_a"), F.col("_bb"), F.col("_ba")).alias(regions_col))
 
 
+def split_and_remerge_intervals(df: DataFrame, id_col: str = "pseudo_nhs_number",
+                                start_col: str = "start_date", end_col: str = "end_date",
+                                regions_col: str = "region_types") -> DataFrame:
+    """Disjoint, maximal segments ``(id, start, end, region_types)`` (see module doc).
+
+    All windows share (partition by id, order by boundary), so one sort serves them all."""
+    segs = covered_segments(df, id_col, start_col, end_col, regions_col)
+    return islands_min_max(island_ids(island_breaks(segs)), id_col, start_col, end_col, regions_col)
+
+
 def boundaries(df: DataFrame, id_col: str = "pseudo_nhs_number", start_col: str = "start_date",
                end_col: str = "end_date") -> DataFrame:
     """Distinct non-null (id, boundary) from the start and end columns (unpivot + distinct)."""

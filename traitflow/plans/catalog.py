@@ -104,6 +104,52 @@ def q_split_and_remerge(spark, d):
                     F.col("hospital_discharge_datetime").alias("e"))
 
 
+def _stay_intervals(spark, d):
+    return B.stays(spark, d).withColumn("region_types", F.array(F.lit("APC")))
+
+
+_STAY_COLS = ("pseudo_nhs_number", "hospital_admission_datetime", "hospital_discharge_datetime")
+
+
+def _seg_out(df, extra=()):
+    return df.select(F.col("_id").alias("id"), F.col("_x").alias("s"), F.col("_e").alias("e"),
+                     RF.canonical_regions(F.col("_a"), F.col("_bb"), F.col("_ba")).alias("_r"), *extra) \
+        .withColumn("region_types", F.array_join("_r", ",")).drop("_r")
+
+
+@query("region_set_agg", with_clause("segs_cov") + "SELECT id, s, e, " + REGION_TEXT.format(t="")
+       + " AS region_types FROM segs_cov")
+def q_region_set_agg(spark, d):
+    return _seg_out(IV.covered_segments(_buffers(spark, d)))
+
+
+@query("island_breaks", with_clause("segs_brk") + "SELECT id, s, e, " + REGION_TEXT.format(t="")
+       + " AS region_types, n AS is_new FROM segs_brk")
+def q_island_breaks(spark, d):
+    return _seg_out(IV.island_breaks(IV.covered_segments(_buffers(spark, d))), [F.col("_new").alias("is_new")])
+
+
+@query("island_ids", with_clause("segs_isl") + "SELECT id, s, e, " + REGION_TEXT.format(t="")
+       + " AS region_types, g AS island FROM segs_isl")
+def q_island_ids(spark, d):
+    segs = IV.island_ids(IV.island_breaks(IV.covered_segments(_buffers(spark, d))))
+    return _seg_out(segs, [F.col("_g").alias("island")])
+
+
+@query("islands_min_max", with_clause("segs") + SEG_SQL)
+def q_islands_min_max(spark, d):
+    segs = IV.island_ids(IV.island_breaks(IV.covered_segments(_buffers(spark, d))))
+    return seg_cols(IV.islands_min_max(segs))
+
+
+def _buffers(spark, d):
+    m = IV.split_and_remerge_intervals(_stay_intervals(spark, d), *_STAY_COLS)
+    days = (m.select("pseudo_nhs_number", X.round_to_day("hospital_admission_datetime").alias("start_date"),
+                     X.round_to_day("hospital_discharge_datetime").alias("end_date"))
+            .filter(F.datediff("end_date", "start_date") > S.MIN_ADMISSION_DAYS))
+    return IV.add_buffers(days)
+
+
 @query("add_buffers", with_clause("buf") + """SELECT id, s, e,
     CASE WHEN a = 1 THEN 'APC' WHEN bb = 1 THEN 'buffer_before' ELSE 'buffer_after' END AS region_types FROM buf""")
 def q_add_buffers(spark, d):
@@ -1223,3 +1269,18 @@ def q_sink_counts(spark, d):
     path = staging_path(spark, "units-counts")
     SK.write_counts(TR.units_counts(B.readings(spark, d)), path)
     return spark.read.parquet(f"{path}/parquet")
+
+
+@query("audit_filter", "SELECT label, before, after, pct_change FROM (" + ORACLE["audit_row_counts"] + ") a")
+def q_audit_filter(spark, d):
+    """Labelled filters measured with ``observe`` during the one job that runs them."""
+    demo = PE.valid_demographics(B.linkage(spark, d), PE.questionnaire_demographics(B.questionnaire(spark, d)))
+    wd = PE.join_demographics(PE.join_valid_people_semi(ranged(spark, d),
+                                                        PE.valid_pseudo_nhs_numbers(B.linkage(spark, d))), demo)
+    log = AU.AuditLog()
+    x = log.filter(wd, F.coalesce(F.col("range_position") == "ok", F.lit(False)), "range_ok")
+    x = log.filter(x, F.coalesce((F.col("age_at_test") >= 0) & (F.col("test_date") <= F.lit(B.AS_OF).cast("date")),
+                                 F.lit(False)), "plausible_dates")
+    x = log.filter(x, F.coalesce(F.col("age_at_test") >= 16, F.lit(False)), "min_age")
+    x.write.format("noop").mode("overwrite").save()
+    return log.report(spark)
