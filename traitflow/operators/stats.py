@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from traitflow.functions import scalars as X
+from traitflow.operators.joins import sized_broadcast
 
 
 def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out_col: str = "median") -> DataFrame:
@@ -80,7 +81,7 @@ def trait_log10_histogram(df: DataFrame, bins: int = 48, keys=("setting", "trait
     idx = F.when(width > 0, F.least(F.floor((F.col("log_x") - F.col("lo")) / width), F.lit(bins - 1))) \
         .otherwise(F.lit(0)).cast("int")
     # ``bounds`` has one row per trait and setting (bounded by the trait dictionary).
-    binned = logs.join(F.broadcast(bounds), keys).select(
+    binned = logs.join(sized_broadcast(bounds, 100_000), keys).select(
         *keys, "gender", idx.alias("bin"), (F.col("lo") + idx * width).alias("bin_start"),
         (F.col("lo") + (idx + 1) * width).alias("bin_end"))
     return binned.groupBy(*keys, "gender", "bin", "bin_start", "bin_end").agg(F.count("*").alias("n"))

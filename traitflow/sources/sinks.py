@@ -1,6 +1,7 @@
 """Writers. Every output is written by the executors in one distributed pass: no driver
 collects, no per-trait loops. Per-trait files come from ``partitionBy``; rows are first
-clustered by (setting, trait, salt) so a large trait is split over several files/tasks.
+rebalanced on (setting, trait): hashed so each trait lands in few files, with AQE splitting
+the partition of a dominant trait into several tasks and merging small ones.
 """
 
 from __future__ import annotations
@@ -8,20 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FILES_PER_TRAIT = 4
-
-
-def _clustered(df: DataFrame, keys: list[str], salt_col: str | None, files_per_key: int) -> DataFrame:
-    if salt_col is None or files_per_key <= 1:
-        return df.repartition(*keys)
-    salt = F.pmod(F.xxhash64(salt_col), F.lit(files_per_key))
-    return df.repartition(*keys, salt)
-
-
-def write_by_trait(df: DataFrame, path: str, keys=("setting", "trait"), salt_col: str | None = "pseudo_nhs_number",
-                   files_per_key: int = FILES_PER_TRAIT, fmt: str = "csv") -> None:
+def write_by_trait(df: DataFrame, path: str, keys=("setting", "trait"), fmt: str = "csv") -> None:
     """One folder per (setting, trait), CSV with header (or parquet)."""
-    w = _clustered(df, list(keys), salt_col, files_per_key).write.mode("overwrite").partitionBy(*keys)
+    w = df.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys)
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:
