@@ -11,7 +11,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from traitflow.plans import catalog  # noqa: E402
-from traitflow.session import get_spark  # noqa: E402
+from traitflow.session import get_spark, sizing_conf  # noqa: E402
 
 HEADLINE = [
     "quant_pipeline", "admission_windows", "join_regions_m1", "harmonise_units", "dedup_readings",
@@ -24,13 +24,10 @@ HEADLINE = [
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    # Split size from the input volume: about two splits per core for splittable inputs,
-    # between 4 MB and the 128 MB default (the default is what a large cluster run uses).
+    # Split size and shuffle partitions from the input volume (same rule as a cluster run).
     total = sum(os.path.getsize(os.path.join(sf_dir, f)) for f in os.listdir(sf_dir))
-    split = min(max(total // (2 * cpus), 4 << 20), 128 << 20)
-    spark = get_spark(f"local[{cpus}]", shuffle_partitions=2 * cpus,
-                      extra_conf={"spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false",
-                                  "spark.sql.files.maxPartitionBytes": str(split)})
+    conf = {"spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false", **sizing_conf(total, cpus)}
+    spark = get_spark(f"local[{cpus}]", extra_conf=conf)
     only = sys.argv[1:] or HEADLINE
     # JIT / codegen warm-up on the smallest tables (stages are keyed by folder, so nothing
     # computed here is reused by the measured runs)

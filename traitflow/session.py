@@ -18,6 +18,17 @@ DEFAULT_CONF = {
 }
 
 
+def sizing_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Shuffle partitions and file split size from the input volume and the cores available.
+
+    About two scan splits per core for small inputs, capped at 128 MB per split for large
+    ones; shuffle partitions so that each holds about ``target_partition_bytes`` of input
+    (never fewer than two per core). AQE coalesces what turns out smaller."""
+    split = min(max(input_bytes // (2 * cores), 4 << 20), 128 << 20)
+    shuffle = max(2 * cores, input_bytes // target_partition_bytes)
+    return {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.shuffle.partitions": str(shuffle)}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "traitflow", extra_conf: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the defaults above."""
