@@ -74,14 +74,19 @@ def test_per_individual_stats_earliest_latest_ties(spark):
 
 def test_dedup_readings_survivor_and_idempotence(spark):
     base = ("p", D(2020, 1, 1), "T", 1.0, "g/L")
-    rows = [base + ("b", "primary_care"), base + ("a", "secondary_care"), ("q", D(2020, 1, 1), "T", 1.0, None, "b", "x"),
-            ("q", D(2020, 1, 1), "T", 1.0, None, "a", "y")]
+    rows = [base + ("b", "primary_care"), base + ("a", "secondary_care"),
+            ("q", D(2020, 1, 1), "T", 1.0, None, "b", "primary_care"),
+            ("q", D(2020, 1, 1), "T", 1.0, None, "a", "secondary_care"),
+            ("q", D(2020, 1, 1), "T", 1.0, None, "a", "primary_care")]
     df = spark.createDataFrame(rows, "pseudo_nhs_number string, test_date date, original_term string, result double, "
                                      "result_value_units string, provenance string, source string")
     out = DD.dedup_readings(df, ["a", "b"])
-    got = sorted((r[0], r[5]) for r in out.collect())
-    assert got == [("p", "a"), ("q", "a")]      # null units group together
+    got = sorted((r[0], r[5], r[6]) for r in out.collect())
+    assert got == [("p", "a", "secondary_care"), ("q", "a", "primary_care")]   # null units group together
     assert DD.dedup_readings(out, ["a", "b"]).count() == 2
+    import pytest
+    with pytest.raises(Exception):   # provenance outside the closed set fails the job
+        DD.dedup_readings(df, ["b"]).collect()
 
 
 def test_people_age_filters(spark):

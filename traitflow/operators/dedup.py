@@ -34,9 +34,39 @@ def dedup_subset(df: DataFrame, keys: list[str], order: list[Column | str] | Non
     return picked.select(*keys, *[F.col("_w")[c].alias(c) for c in rest]).select(*df.columns)
 
 
+def survivor_code(order: list[str], sources: list[str] = S.SOURCE_OPTIONS):
+    """Integer code ``rank * n_sources + source index``; values outside the closed sets fail
+    the job (as the modelled closed enums do)."""
+    pos = F.array_position(F.array(*[F.lit(p) for p in order]), F.col("provenance"))
+    src = F.array_position(F.array(*[F.lit(x) for x in sources]), F.col("source"))
+    bad = F.raise_error(F.concat(F.lit("provenance/source outside the closed set: "),
+                                 F.coalesce(F.col("provenance"), F.lit("null")), F.lit("/"),
+                                 F.coalesce(F.col("source"), F.lit("null")))).cast("int")
+    return F.when((pos > 0) & (src > 0), (pos - 1) * len(sources) + (src - 1)).otherwise(bad)
+
+
 def dedup_readings(df: DataFrame, provenance_order: list[str] | None = None) -> DataFrame:
-    """Unique on the five content columns; the survivor is the earliest provenance in order."""
-    return dedup_subset(df, S.READING_KEY, [provenance_rank(provenance_order)])
+    """Unique on the five content columns; the survivor is the earliest provenance in order.
+
+    With a provenance order the survivor is one integer code, so the step is a fixed-width
+    ``min`` hash aggregation with map-side combine; without one, the smallest
+    (provenance, source) wins."""
+    if not provenance_order:
+        return dedup_subset(df, S.READING_KEY, ["provenance", "source"])
+    n = len(S.SOURCE_OPTIONS)
+    best = df.groupBy(*S.READING_KEY).agg(F.min(survivor_code(provenance_order)).alias("_code"))
+    order = F.array(*[F.lit(p) for p in provenance_order])
+    sources = F.array(*[F.lit(x) for x in S.SOURCE_OPTIONS])
+    return best.select(*S.READING_KEY,
+                       F.element_at(order, (F.floor(F.col("_code") / n) + 1).cast("int")).alias("provenance"),
+                       F.element_at(sources, (F.col("_code") % n + 1).cast("int")).alias("source"))
+
+
+def dedup_constant_source(df: DataFrame, provenance: str, source: str) -> DataFrame:
+    """Dedup of the rows of one source (provenance and source are constants there): a distinct
+    on the key columns (hash aggregation), then the constants."""
+    return (df.select(*S.READING_KEY).distinct()
+            .select(*S.READING_KEY, F.lit(provenance).alias("provenance"), F.lit(source).alias("source")))
 
 
 def dedup_full_row(df: DataFrame) -> DataFrame:

@@ -128,7 +128,7 @@ def ingest(spark: SparkSession, recipe: Recipe, paths, dedup: bool = True) -> Da
         (id_col, date_col) = [k for k, v in recipe.rename.items() if v in ("pseudo_nhs_number", "test_date")]
         long = unpivot_bp(df, id_col, date_col, recipe.date_format)
         out = FL.canonical_select(FL.tag_provenance(long, recipe.key, recipe.source))
-        return DD.dedup_readings(out) if dedup else out
+        return DD.dedup_constant_source(out, recipe.key, recipe.source) if dedup else out
     for raw, canon in recipe.rename.items():
         df = df.withColumnRenamed(raw, canon)
     for canon, value in recipe.constants.items():
@@ -152,7 +152,7 @@ def ingest(spark: SparkSession, recipe: Recipe, paths, dedup: bool = True) -> Da
     if "result_value_units" not in df.columns:
         df = df.withColumn("result_value_units", F.lit(None).cast("string"))
     out = FL.canonical_select(FL.tag_provenance(df, recipe.key, recipe.source))
-    return DD.dedup_readings(out) if dedup else out
+    return DD.dedup_constant_source(out, recipe.key, recipe.source) if dedup else out
 
 
 def ingest_stays(spark: SparkSession, paths, sep: str = "|", id_col: str = "STUDY_ID",
