@@ -17,25 +17,33 @@ from traitflow.functions import scalars as X
 from traitflow.operators.joins import sized_broadcast
 
 
-def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out_col: str = "median") -> DataFrame:
-    """``group_cols + [out_col]``: the interpolated median of non-null ``value_col``."""
+def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out_col: str = "median",
+                 extremes: dict[str, str] | None = None) -> DataFrame:
+    """``group_cols + [out_col]``: the interpolated median of non-null ``value_col``.
+
+    ``extremes`` (e.g. ``{"min": "age_min", "max": "age_max", "n": "age_n"}``) also returns
+    those statistics, read from the same window pass (no extra shuffle or join)."""
     counts = (df.filter(F.col(value_col).isNotNull())
               .groupBy(*group_cols, value_col).agg(F.count("*").alias("_c")))
     w = Window.partitionBy(*group_cols).orderBy(value_col)
+    whole = Window.partitionBy(*group_cols)
     ranked = counts.select(
         *group_cols, value_col,
         (F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_c")).alias("_lo"),
         F.col("_c"),
-        F.sum("_c").over(Window.partitionBy(*group_cols)).alias("_n"))
+        F.sum("_c").over(whole).alias("_n"),
+        F.min(value_col).over(whole).alias("_min"), F.max(value_col).over(whole).alias("_max"))
     # 0-based ranks of the two middle values; a distinct value covers ranks [_lo, _lo + _c).
     r1 = F.floor((F.col("_n") - 1) / 2)
     r2 = F.ceil((F.col("_n") - 1) / 2)
     covers = lambda r: (F.col("_lo") <= r) & (r < F.col("_lo") + F.col("_c"))
     mids = ranked.filter(covers(r1) | covers(r2)).select(
-        *group_cols,
+        *group_cols, "_n", "_min", "_max",
         F.when(covers(r1), F.col(value_col)).alias("_v1"),
         F.when(covers(r2), F.col(value_col)).alias("_v2"))
-    return mids.groupBy(*group_cols).agg(((F.max("_v1") + F.max("_v2")) / 2).alias(out_col))
+    extra = {"min": F.max("_min"), "max": F.max("_max"), "n": F.max("_n")}
+    return mids.groupBy(*group_cols).agg(((F.max("_v1") + F.max("_v2")) / 2).alias(out_col),
+                                         *[extra[k].alias(v) for k, v in (extremes or {}).items()])
 
 
 def _with_medians(aggs: DataFrame, df: DataFrame, group_cols: list[str], medians: dict[str, str]) -> DataFrame:
@@ -62,13 +70,12 @@ def per_individual_stats(df: DataFrame, group_cols=("pseudo_nhs_number", "trait"
 
 def trait_study_summary(df: DataFrame, keys=("setting", "trait")) -> DataFrame:
     """Per trait (and setting): median, mean, min, max, distinct people, observations, unit."""
-    keys = list(keys)
+    keys = list(keys) + ["unit"]   # the unit is fixed by the trait: grouping on it keeps a hash aggregate
     aggs = df.groupBy(*keys).agg(
         F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"),
-        F.countDistinct("pseudo_nhs_number").alias("n_people"), F.count("*").alias("n_obs"),
-        F.min("unit").alias("unit"))
+        F.countDistinct("pseudo_nhs_number").alias("n_people"), F.count("*").alias("n_obs"))
     return _with_medians(aggs, df, keys, {"median": "value"}).select(
-        *keys, "median", "mean", "min", "max", "n_people", "n_obs", "unit")
+        *keys[:-1], "median", "mean", "min", "max", "n_people", "n_obs", "unit")
 
 
 def trait_log10_histogram(df: DataFrame, bins: int = 48, keys=("setting", "trait")) -> DataFrame:
@@ -106,10 +113,9 @@ def covariate_long(df: DataFrame, ids: DataFrame, keys=("setting",)) -> DataFram
         *keys, "IID", "trait", X.round_half_away("age_at_test", 1).alias("AgeAtTest"),
         X.power_round("age_at_test", 2, 1).alias("AgeAtTest_Squared"))
     g = keys + ["IID", "trait"]
-    aggs = data.groupBy(*g).agg(
-        F.min("AgeAtTest").alias("age_min"), F.min("AgeAtTest_Squared").alias("age2_min"),
-        F.max("AgeAtTest").alias("age_max"), F.max("AgeAtTest_Squared").alias("age2_max"))
-    out = _with_medians(aggs, data, g, {"age_median": "AgeAtTest", "age2_median": "AgeAtTest_Squared"})
+    age = exact_median(data, g, "AgeAtTest", "age_median", {"min": "age_min", "max": "age_max"})
+    age2 = exact_median(data, g, "AgeAtTest_Squared", "age2_median", {"min": "age2_min", "max": "age2_max"})
+    out = age.join(age2, g, "full")
     return out.select(*g, *[X.round_half_away(c, 1).alias(c) for c in
                             ["age_min", "age2_min", "age_median", "age2_median", "age_max", "age2_max"]])
 

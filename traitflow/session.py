@@ -26,7 +26,11 @@ def sizing_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256
     (never fewer than two per core). AQE coalesces what turns out smaller."""
     split = min(max(input_bytes // (2 * cores), 4 << 20), 128 << 20)
     shuffle = max(2 * cores, input_bytes // target_partition_bytes)
-    return {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.shuffle.partitions": str(shuffle)}
+    # Smallest partition AQE may coalesce to: small enough that CPU-heavy stages (windows,
+    # regex filters) on small inputs still use every core; 1 MB (Spark's default) at scale.
+    min_part = min(max(input_bytes // (64 * cores), 64 << 10), 1 << 20)
+    return {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.shuffle.partitions": str(shuffle),
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(min_part)}
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
