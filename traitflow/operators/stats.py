@@ -141,3 +141,17 @@ def covariate_megawide(df: DataFrame, ids: DataFrame, traits: list[str], keys=("
         for c, base, stat in COVARIATE_STATS:
             cols.append(F.col(f"`{t}_{c}`").alias(f"{base}.{t}.{stat}"))
     return wide.select(*keys, F.lit("1").alias("FID"), "IID", *cols)
+
+
+def phenotype_wide(pheno: DataFrame, traits: list[str], stats=("median", "min", "max"),
+                   keys=("setting",)) -> DataFrame:
+    """Long phenotype rows -> one row per IID with ``<trait>.<stat>`` columns (traits sorted,
+    spaces in names as ``_``). One pivot aggregation aligns all traits on (FID, IID) - the
+    full outer alignment of per-trait tables without a chain of joins."""
+    keys = list(keys)
+    traits = sorted(traits)
+    wide = pheno.groupBy(*keys, "FID", "IID").pivot("trait", traits).agg(*[F.first(s).alias(s) for s in stats])
+    # Spark names pivot columns "<value>_<alias>", or just "<value>" for a single aggregate
+    name = (lambda t, s: f"`{t}_{s}`") if len(stats) > 1 else (lambda t, s: f"`{t}`")
+    cols = [F.col(name(t, s)).alias(f"{t.replace(' ', '_')}.{s}") for t in traits for s in stats]
+    return wide.select(*keys, "FID", "IID", *cols)

@@ -1284,3 +1284,28 @@ def q_audit_filter(spark, d):
     x = log.filter(x, F.coalesce(F.col("age_at_test") >= 16, F.lit(False)), "min_age")
     x.write.format("noop").mode("overwrite").save()
     return log.report(spark)
+
+
+@query("join_trait_aliases", with_clause("dict_d") + """SELECT trait, count(alias) AS n_aliases
+    FROM dict_d GROUP BY trait""")
+def q_join_trait_aliases(spark, d):
+    return TR.trait_dictionary(B.traits(spark), B.aliases(spark)).groupBy("trait").agg(
+        F.count("alias").alias("n_aliases"))
+
+
+def _pheno_wide_sql(stats=("median", "min", "max")):
+    traits = sorted(t for t, *_ in B.TRAITS)
+    cols = ", ".join(f"max(CASE WHEN trait = '{t}' THEN {s} END) AS \"{t}.{s}\"" for t in traits for s in stats)
+    return f"SELECT setting, FID, IID, {cols} FROM (" + ORACLE["phenotype_table"] + ") p GROUP BY setting, FID, IID"
+
+
+@query("pivot_traits", _pheno_wide_sql())
+def q_pivot_traits(spark, d):
+    pheno = ST.phenotype_table(tiled_settings(spark, d), PE.genotype_ids(B.linkage(spark, d), "gsa"))
+    return ST.phenotype_wide(pheno, [t for t, *_ in B.TRAITS])
+
+
+@query("align_traits_full_outer", _pheno_wide_sql(("median",)))
+def q_align_traits_full_outer(spark, d):
+    pheno = ST.phenotype_table(tiled_settings(spark, d), PE.genotype_ids(B.linkage(spark, d), "gsa"))
+    return ST.phenotype_wide(pheno, [t for t, *_ in B.TRAITS], stats=("median",))
