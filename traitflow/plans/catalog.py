@@ -1113,6 +1113,21 @@ def q_ingest_barts_meas_2023_12(spark, d):
     return IN.ingest(spark, RC.barts_meas_2023_12(), EX.barts_meas_2023_12(spark, d))
 
 
+@query("ingest_barts_path_2021_04", _combo_sql(
+    "l_orderkey % 3 <> 2 AND l_orderkey % 5 IN (0, 1, 2)", result=Q_SQL, key="2021_04_Barts_path"))
+def q_ingest_barts_2021_04(spark, d):
+    return IN.ingest(spark, RC.barts_path_2021_04(), EX.barts_2021_04(spark, d))
+
+
+@query("source_file_exclusion", with_clause("readings") + """SELECT pseudo_nhs_number AS c1, original_term AS c3,
+    count(*) AS n FROM readings WHERE l_orderkey % 3 <> 2 GROUP BY ALL""")
+def q_source_file_exclusion(spark, d):
+    df = RD.read_raw(spark, EX.barts_2021_04(spark, d), ",", ("NULL", ""), True,
+                     columns=["c1", "c2", "c3", "c4", "c5", "c6"], file_col="file",
+                     exclude_files=RC.BARTS_2021_04_PROBLEM_FILES)
+    return df.groupBy("c1", "c3").agg(F.count("*").alias("n"))
+
+
 @query("ingest_hes_stays", with_clause("stays") + """SELECT pseudo_nhs_number, adm AS hospital_admission_datetime,
     dis AS hospital_discharge_datetime, 'APC' AS hospital_stay_type FROM stays""")
 def q_ingest_hes_stays(spark, d):

@@ -246,6 +246,27 @@ def barts_meas_2023_12(spark, d) -> str:
     return write_lines(spark, x.select(line.alias("value")), "extract-barts-meas-2023-12", header)
 
 
+BARTS_2021_04_FILES = [("Good_April2021.csv", 0), ("Other_April2021.csv", 1), ("MCH_April2021.csv", 2)]
+
+
+def barts_2021_04(spark, d) -> str:
+    """Several extract files in one folder (one per test, the last on the problem list),
+    headerless in meaning: the first line is skipped and columns are positional."""
+    x = _lines(spark, d)
+    k = F.col("l_orderkey") % 5
+    q = _q()
+    res = (F.when(k == 0, F.concat(F.lit("<"), q)).when(k == 1, F.concat(F.lit(">"), q))
+           .when(k == 2, F.concat(F.lit(" "), q)).when(k == 3, F.lit("NULL")).otherwise(F.lit("08/01/2014")))
+    out = x.select((F.col("l_orderkey") % 3).alias("_g"), F.col("person").alias("a"), F.lit("x").alias("b"),
+                   F.col("term").alias("c"), F.date_format("l_shipdate", "dd/MM/yyyy").alias("d"), res.alias("e"),
+                   F.coalesce("unit", F.lit("NULL")).alias("f"))
+    root = staging_path(spark, "extract-barts-2021-04")
+    for name, g in BARTS_2021_04_FILES:   # a fixed list of three extract files
+        (out.filter(F.col("_g") == g).drop("_g").write.mode("overwrite").option("header", True)
+         .option("quote", '"').option("escape", '"').csv(f"{root}/{name}"))
+    return f"{root}/*.csv"
+
+
 def linkage(spark, d) -> str:
     lk = B.linkage(spark, d)
     out = lk.select("OrageneID", F.lit("1").alias("Number of OrageneIDs with this NHS number"),

@@ -38,7 +38,8 @@ def read_raw(spark: SparkSession, paths: str | list[str], sep: str = ",", null_v
       that has none (header=False);
     * ``rename_all``: read the header, then rename every column by position;
     * ``file_col``: keep the source file path in this column;
-    * ``exclude_files``: file names to leave out (pruned on the file listing).
+    * ``exclude_files``: file names to leave out. A dataset written by Spark is a folder of part
+      files; its name is the folder's, so a name matches the file or its parent folder.
     """
     reader = _reader(spark, sep, header)
     if columns is not None:
@@ -48,7 +49,9 @@ def read_raw(spark: SparkSession, paths: str | list[str], sep: str = ",", null_v
         df = df.withColumn("_file_path", F.col("_metadata.file_path")) \
                .withColumn("_file_name", F.col("_metadata.file_name"))
         if exclude_files:
-            df = df.filter(~F.col("_file_name").isin(list(exclude_files)))
+            parent = F.element_at(F.split(F.col("_file_path"), "/"), -2)
+            names = list(exclude_files)
+            df = df.filter(~F.col("_file_name").isin(names) & ~F.coalesce(parent.isin(names), F.lit(False)))
         df = df.drop("_file_name")
         df = df.withColumnRenamed("_file_path", file_col) if file_col else df.drop("_file_path")
     if rename_all is not None:
