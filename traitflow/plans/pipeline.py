@@ -21,6 +21,7 @@ from traitflow.operators import people as PE
 from traitflow.operators import regions as RG
 from traitflow.operators import tiles as TI
 from traitflow.operators import traits as TR
+from traitflow.session import checkpoint_root
 
 
 def ranged_readings(readings: DataFrame, traits: DataFrame, aliases: DataFrame, units: DataFrame) -> DataFrame:
@@ -44,8 +45,13 @@ def quant_pipeline(readings: DataFrame, stays: DataFrame, traits: DataFrame, ali
                    segments: DataFrame | None = None) -> DataFrame:
     """Tiled readings with ``region_types`` (columns ``schema.TILED_COLUMNS``).
 
-    ``segments`` may be passed in when the admission windows are already staged."""
-    segments = IV.admission_windows(stays) if segments is None else segments
+    ``segments`` may be passed in when the admission windows are already staged; otherwise
+    they are computed and checkpointed (reliable checkpoint in the shared checkpoint folder), so
+    the broadcast size check and the join read one materialised result instead of running the
+    interval algebra twice."""
+    if segments is None:
+        checkpoint_root(stays.sparkSession)
+        segments = IV.admission_windows(stays).checkpoint(eager=True)
     pre = people_restricted(ranged_readings(readings, traits, aliases, units), linkage, questionnaire, as_of)
     tiled = TI.tile_dedup_11d(pre)
     with_regions = RG.add_region_types(tiled.withColumnRenamed("date", "test_date"), segments)
