@@ -4,11 +4,11 @@
 carrying the set of labels that cover them, then merges touching segments with equal label
 sets. It is computed as a sweep line, not a self join:
 
-  1. each interval emits +1 at its start and -1 at its end for each of its labels
-     (intervals without a positive length only add their boundaries);
+  1. each interval emits +1 at its start and -1 at its end for each of its labels, packed
+     into one long (intervals without a positive length only add their boundaries);
   2. events are summed per (id, boundary) - a partial aggregation, so repeated stays collapse
      before the shuffle;
-  3. a running sum per id ordered by boundary gives, for the elementary segment starting at
+  3. one running sum per id ordered by boundary gives, for the elementary segment starting at
      each boundary, how many intervals of each label cover it;
   4. covered segments are chained into islands (gap or label change starts a new island) with
      a second running sum, and each island is reduced to min(start), max(end).
@@ -56,38 +56,49 @@ def add_buffers(df: DataFrame, before: int = S.BUFFER_BEFORE_DAYS, after: int =
                     F.array(F.col("_p.r")).alias("region_types")))
 
 
+# Per-label coverage counts are packed into one long (21 bits per label): sums of packed
+# deltas are packed sums (the packing is linear), and running counts are never negative, so
+# one running sum replaces three. Counts must stay below 2**21 per person and label; a larger
+# count fails the job instead of giving wrong segments.
+_BITS = 21
+_MASK = (1 << _BITS) - 1
+
+
 def covered_segments(df: DataFrame, id_col: str = "pseudo_nhs_number", start_col: str = "start_date",
                      end_col: str = "end_date", regions_col: str = "region_types") -> DataFrame:
     """Elementary segments between consecutive boundaries that some interval covers, with one
-    boolean per label: ``(_id, _x, _e, _a, _bb, _ba)`` (the region set of each segment)."""
+    boolean per label and their 3-bit code: ``(_id, _x, _e, _code, _a, _bb, _ba)``."""
     s, e, r = F.col(start_col), F.col(end_col), F.col(regions_col)
     valid = e.isNotNull() & (e > s)
-
-    def delta(label: str, sign: int):
-        return F.when(valid & F.array_contains(r, label), F.lit(sign)).otherwise(F.lit(0))
+    packed = sum((F.when(F.array_contains(r, lbl), F.lit(1 << (_BITS * i))).otherwise(F.lit(0)))
+                 for i, lbl in enumerate(S.REGION_ORDER)).cast("long")
+    delta = F.when(valid, packed).otherwise(F.lit(0).cast("long"))
 
     # Both events of an interval come from one pass over the input (no union of two scans).
-    def event(x, sign):
-        return F.struct(x.alias("_x"), *[delta(lbl, sign).alias(f) for lbl, f in zip(S.REGION_ORDER, _FLAGS)])
-
     events = (df.filter(s.isNotNull())
-              .select(F.col(id_col).alias("_id"), F.explode(F.array(event(s, 1), event(e, -1))).alias("_ev"))
+              .select(F.col(id_col).alias("_id"),
+                      F.explode(F.array(F.struct(s.alias("_x"), delta.alias("_d")),
+                                        F.struct(e.alias("_x"), (-delta).alias("_d")))).alias("_ev"))
               .select("_id", "_ev.*")
               .filter(F.col("_x").isNotNull()))
-    points = events.groupBy("_id", "_x").agg(*[F.sum(f).alias(f) for f in _FLAGS])
-    segs = points.select(
-        "_id", "_x", F.lead("_x").over(_w()).alias("_e"),
-        *[(F.sum(f).over(_run()) > 0).alias(f) for f in _FLAGS])
-    return segs.filter(F.col("_e").isNotNull() & (F.col("_a") | F.col("_bb") | F.col("_ba")))
+    points = events.groupBy("_id", "_x").agg(F.sum("_d").alias("_d"))
+    run = F.sum("_d").over(_run())
+    counts = [F.shiftright(F.col("_cov"), _BITS * i).bitwiseAND(F.lit(_MASK)) for i in range(3)]
+    segs = (points.select("_id", "_x", F.lead("_x").over(_w()).alias("_e"), run.alias("_cov"))
+            .filter(F.col("_e").isNotNull() & (F.col("_cov") != 0)))
+    guard = F.when(F.shiftright(F.col("_cov"), 3 * _BITS) != 0,
+                   F.raise_error(F.lit("more than 2**21 overlapping intervals for one id and label")))
+    code = sum((F.when(c > 0, F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(counts)))
+    return segs.select("_id", "_x", "_e", F.coalesce(guard.cast("int"), code).alias("_code")).select(
+        "_id", "_x", "_e", "_code", *[((F.col("_code").bitwiseAND(F.lit(1 << i))) != 0).alias(f)
+                                      for i, f in enumerate(_FLAGS)])
 
 
 def island_breaks(segs: DataFrame) -> DataFrame:
     """``_new`` = 1 where a segment starts a new island: first of its id, a gap before it, or a
     different region set than the previous segment."""
     prev_e = F.lag("_e").over(_w())
-    changed = prev_e.isNull() | (F.col("_x") > prev_e)
-    for f in _FLAGS:
-        changed = changed | (F.lag(f).over(_w()) != F.col(f))
+    changed = prev_e.isNull() | (F.col("_x") > prev_e) | (F.lag("_code").over(_w()) != F.col("_code"))
     return segs.withColumn("_new", changed.cast("int"))
 
 
@@ -99,10 +110,11 @@ def island_ids(breaks: DataFrame) -> DataFrame:
 def islands_min_max(islands: DataFrame, id_col: str = "pseudo_nhs_number", start_col: str = "start_date",
                     end_col: str = "end_date", regions_col: str = "region_types") -> DataFrame:
     """One row per island: min start, max end and its region list in canonical order."""
-    merged = islands.groupBy("_id", "_g", *_FLAGS).agg(F.min("_x").alias("_s"), F.max("_e").alias("_e"))
+    merged = islands.groupBy("_id", "_g", "_code").agg(F.min("_x").alias("_s"), F.max("_e").alias("_e"))
+    flags = [(F.col("_code").bitwiseAND(F.lit(1 << i))) != 0 for i in range(3)]
     return merged.select(
         F.col("_id").alias(id_col), F.col("_s").alias(start_col), F.col("_e").alias(end_col),
-        canonical_regions(F.col("_a"), F.col("_bb"), F.col("_ba")).alias(regions_col))
+        canonical_regions(*flags).alias(regions_col))
 
 
 def split_and_remerge_intervals(df: DataFrame, id_col: str = "pseudo_nhs_number",
