@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The modelled pipeline is batch only: every release re-reads all extracts, concatenates and then
+deduplicates (no watermarks, windows over event time, or state). Its 11-day grouping is a batch
+tile (``operators.tiles``), not a streaming window, so nothing here is needed to reproduce it.
+"""
