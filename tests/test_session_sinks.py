@@ -29,11 +29,11 @@ def test_checkpoint_root_and_staging(spark):
 
 
 def test_write_by_trait_and_tsv(spark):
-    df = spark.createDataFrame([("all", "A", 1.0), ("all", "B", None), ("in_hospital", "A", 3.0)],
-                               "setting string, trait string, value double")
+    df = spark.createDataFrame([("all", "A", "p1", 1.0), ("all", "B", "p2", None), ("in_hospital", "A", "p3", 3.0)],
+                               "setting string, trait string, person string, value double")
     p = staging_path(spark, "sink-test")
     SK.write_by_trait(df, p)
-    back = spark.read.option("header", True).schema("value double, setting string, trait string").csv(p)
+    back = spark.read.option("header", True).schema("person string, value double, setting string, trait string").csv(p)
     got = sorted((r["setting"], r["trait"], r["value"] if r["value"] is not None else -1.0) for r in back.collect())
     assert got == [("all", "A", 1.0), ("all", "B", -1.0), ("in_hospital", "A", 3.0)]
     assert os.path.isdir(p.replace("file:", "") + "/setting=all/trait=A")
