@@ -24,7 +24,7 @@ TRAITS = [("Alpha", "g/L", 15.0, 400.0), ("HbA1c", "mmol/mol", 20.0, 195.0),
 ALIASES = [("Alpha", "AF"), ("Alpha", "AO"), ("HbA1c", "NF"), ("HbA1c", "NO"),
            ("Rho", "RF"), ("Rho", "RO")]
 UNITS = [("g/dL", "g/L", 10.0), ("g/L", "g/L", 1.0), ("g/L", "g/dL", 0.1),
-         ("g/dL", "g/dL", 1.0), ("#g/L", "g/L", 1.0)]
+         ("g/dL", "g/dL", 1.0), ("mmol/mol", "mmol/mol", 1.0), ("#g/L", "g/L", 1.0)]
 PROVENANCE_ORDER = ["pull_a", "pull_b", "pull_c", "pull_d"]
 
 

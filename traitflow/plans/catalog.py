@@ -1179,7 +1179,7 @@ def q_scan_typed(spark, d):
 def q_scan_dictionary(spark, d):
     paths = EX.dictionaries(spark)
     units = DI.load_units(spark, paths["units"])
-    traits = DI.load_traits(spark, paths["traits"], DI.target_units(units) + ["mmol/mol"])
+    traits = DI.load_traits(spark, paths["traits"], DI.target_units(units))
     return TR.trait_dictionary(traits, DI.load_aliases(spark, paths["aliases"]))
 
 

@@ -27,6 +27,8 @@ BRADFORD_KEYS = [
 ]
 # Dedup survivor order when the same reading comes from several extracts.
 PROVENANCE_ORDER = PRIMARY_CARE_KEYS + [NDA_KEY] + BARTS_KEYS + BRADFORD_KEYS
+# Units filled in on the merged readings when missing: (exact term, unit).
+COMBO_UNIT_FILLS = [("POCT Blood Ketones", "millimol/L")]
 
 NDA_DATE_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS]"
 
