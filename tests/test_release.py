@@ -38,3 +38,5 @@ def test_release_end_to_end(spark):
     assert "AgeAtTest.Alpha.min" in cov.columns and cov.filter(F.col("setting") == "all").count() > 0
     pheno = spark.read.option("sep", "\t").option("header", True).csv(paths["phenotype_exome"])
     assert set(pheno.columns) >= {"FID", "IID", "median", "min", "max", "setting", "trait"}
+    wide = spark.read.option("sep", "\t").option("header", True).csv(paths["phenotype_wide_gsa"])
+    assert {"FID", "IID", "Alpha.median", "HbA1c.max", "Rho.min"} <= set(wide.columns)

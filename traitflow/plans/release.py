@@ -89,6 +89,9 @@ def run_release(spark: SparkSession, cfg: ReleaseConfig) -> dict[str, str]:
         paths[f"phenotype_{cohort}"] = f"{out}/phenotypes/{cohort}"
         SK.write_tsv(pheno.hint("rebalance", "setting", "trait"), paths[f"phenotype_{cohort}"], "NA",
                      partition_by=["setting", "trait"])
+        paths[f"phenotype_wide_{cohort}"] = f"{out}/phenotypes_wide/{cohort}"
+        SK.write_tsv(ST.phenotype_wide(pheno, trait_names), paths[f"phenotype_wide_{cohort}"], "NA",
+                     partition_by=["setting"])
         paths[f"covariates_{cohort}"] = f"{out}/covariates/{cohort}"
         SK.write_tsv(ST.covariate_megawide(by_setting, ids, trait_names), paths[f"covariates_{cohort}"], "NA",
                      partition_by=["setting"])
