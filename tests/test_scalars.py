@@ -105,3 +105,16 @@ def test_range_position_inclusive_nan_above(spark):
     df = spark.createDataFrame([(1.0,), (5.0,), (0.99,), (5.01,), (float("nan"),), (None,)], "v double")
     got = [r[0] for r in df.select(X.range_position("v", F.lit(1.0), F.lit(5.0))).collect()]
     assert got == ["ok", "ok", "below_min", "above_max", "above_max", None]
+
+
+def test_day_bounds_ignore_session_time_zone(spark):
+    """A midnight skipped by a DST change in the session zone stays midnight."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        df = spark.createDataFrame([("1995-10-15",)], "d string")
+        r = df.select(X.day_bounds("d"), X.day_bounds("d", end=True), X.round_to_day(X.day_bounds("d", end=True))).first()
+        assert r[0] == dt.datetime(1995, 10, 15) and r[1] == dt.datetime(1995, 10, 15, 23, 59, 59)
+        assert r[2] == dt.date(1995, 10, 16)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -178,8 +178,10 @@ def parse_date_strict(c: ColumnOrName, fmt: str, what: str = "date") -> Column:
 
 
 def parse_datetime_strict(c: ColumnOrName, fmt: str, what: str = "datetime") -> Column:
+    """Text -> TIMESTAMP_NTZ (wall-clock, no time zone: a midnight that does not exist in the
+    session zone because of a DST change stays midnight). Bad input fails the job."""
     c = _c(c)
-    parsed = F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
+    parsed = F.to_timestamp_ntz(c, F.lit(fmt))
     return F.coalesce(parsed, F.when(c.isNotNull(), F.raise_error(
         F.concat(F.lit(f"strict parse of {what} ({fmt}) failed: "), c)).cast("timestamp_ntz")))
 
