@@ -7,7 +7,6 @@ the partition of a dominant trait into several tasks and merging small ones.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 def write_by_trait(df: DataFrame, path: str, keys=("setting", "trait"), fmt: str = "csv") -> None:
     """One folder per (setting, trait), CSV with header (or parquet)."""
