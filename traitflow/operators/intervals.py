@@ -10,8 +10,9 @@ sets. It is computed as a sweep line, not a self join:
      before the shuffle;
   3. one running sum per id ordered by boundary gives, for the elementary segment starting at
      each boundary, how many intervals of each label cover it;
-  4. covered segments are chained into islands (gap or label change starts a new island) with
-     a second running sum, and each island is reduced to min(start), max(end).
+  4. covered segments are chained into islands (a label-set change, including to or from an
+     uncovered gap, starts a new island) with a second running sum, and each island is reduced
+     to min(start), max(end).
 
 Both windows and the final aggregation are partitioned by id only, so there is one shuffle
 (on id) for the whole operator; per-id rows are bounded by distinct boundaries (at most two
@@ -64,10 +65,16 @@ _BITS = 21
 _MASK = (1 << _BITS) - 1
 
 
-def covered_segments(df: DataFrame, id_col: str = "pseudo_nhs_number", start_col: str = "start_date",
-                     end_col: str = "end_date", regions_col: str = "region_types") -> DataFrame:
-    """Elementary segments between consecutive boundaries that some interval covers, with one
-    boolean per label and their 3-bit code: ``(_id, _x, _e, _code, _a, _bb, _ba)``."""
+def sweep_segments(df: DataFrame, id_col: str = "pseudo_nhs_number", start_col: str = "start_date",
+                   end_col: str = "end_date", regions_col: str = "region_types") -> DataFrame:
+    """Every elementary segment between consecutive boundaries, covered or not:
+    ``(_id, _x, _e, _code, _new, _g)`` where ``_code`` is the 3-bit label set (0 = uncovered),
+    ``_new`` marks a covered segment that starts an island and ``_g`` numbers the islands.
+
+    Two window passes: (1) next boundary, and the packed counts up to this row and up to the
+    previous row (the previous row's label set, no separate ``lag`` pass); (2) a running count
+    of island starts. Uncovered segments stay until the end, so a gap is just a change of
+    label set and needs no extra comparison."""
     s, e, r = F.col(start_col), F.col(end_col), F.col(regions_col)
     valid = e.isNotNull() & (e > s)
     packed = sum((F.when(F.array_contains(r, lbl), F.lit(1 << (_BITS * i))).otherwise(F.lit(0)))
@@ -82,29 +89,29 @@ def covered_segments(df: DataFrame, id_col: str = "pseudo_nhs_number", start_col
               .select("_id", "_ev.*")
               .filter(F.col("_x").isNotNull()))
     points = events.groupBy("_id", "_x").agg(F.sum("_d").alias("_d"))
-    run = F.sum("_d").over(_run())
-    counts = [F.shiftright(F.col("_cov"), _BITS * i).bitwiseAND(F.lit(_MASK)) for i in range(3)]
-    segs = (points.select("_id", "_x", F.lead("_x").over(_w()).alias("_e"), run.alias("_cov"))
-            .filter(F.col("_e").isNotNull() & (F.col("_cov") != 0)))
+    before = _w().rowsBetween(Window.unboundedPreceding, -1)
+    swept = points.select("_id", "_x", F.lead("_x").over(_w()).alias("_e"),
+                          F.sum("_d").over(_run()).alias("_cov"), F.sum("_d").over(before).alias("_prev"))
     guard = F.when(F.shiftright(F.col("_cov"), 3 * _BITS) != 0,
                    F.raise_error(F.lit("more than 2**21 overlapping intervals for one id and label")))
-    code = sum((F.when(c > 0, F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(counts)))
-    return segs.select("_id", "_x", "_e", F.coalesce(guard.cast("int"), code).alias("_code")).select(
-        "_id", "_x", "_e", "_code", *[((F.col("_code").bitwiseAND(F.lit(1 << i))) != 0).alias(f)
-                                      for i, f in enumerate(_FLAGS)])
 
+    def code(c):
+        return sum((F.when(F.shiftright(c, _BITS * i).bitwiseAND(F.lit(_MASK)) > 0, F.lit(1 << i))
+                    .otherwise(F.lit(0)) for i in range(3)))
+    coded = swept.select("_id", "_x", "_e", F.coalesce(guard.cast("int"), code(F.col("_cov"))).alias("_code"),
+                         F.when(F.col("_prev").isNotNull(), code(F.col("_prev"))).alias("_pcode"))
+    starts = ((F.col("_code") != 0) & (F.col("_pcode").isNull() | (F.col("_pcode") != F.col("_code")))).cast("int")
+    return coded.withColumn("_new", starts).withColumn("_g", F.sum("_new").over(_run())).drop("_pcode")
 
-def island_breaks(segs: DataFrame) -> DataFrame:
-    """``_new`` = 1 where a segment starts a new island: first of its id, a gap before it, or a
-    different region set than the previous segment."""
-    prev_e = F.lag("_e").over(_w())
-    changed = prev_e.isNull() | (F.col("_x") > prev_e) | (F.lag("_code").over(_w()) != F.col("_code"))
-    return segs.withColumn("_new", changed.cast("int"))
 
-
-def island_ids(breaks: DataFrame) -> DataFrame:
-    """``_g`` = running count of island starts per id."""
-    return breaks.withColumn("_g", F.sum("_new").over(_run()))
+def covered_segments(df: DataFrame, id_col: str = "pseudo_nhs_number", start_col: str = "start_date",
+                     end_col: str = "end_date", regions_col: str = "region_types") -> DataFrame:
+    """Covered elementary segments with their label set, island starts and island numbers:
+    ``(_id, _x, _e, _code, _new, _g, _a, _bb, _ba)``."""
+    segs = sweep_segments(df, id_col, start_col, end_col, regions_col)
+    segs = segs.filter(F.col("_e").isNotNull() & (F.col("_code") != 0))
+    return segs.select("*", *[((F.col("_code").bitwiseAND(F.lit(1 << i))) != 0).alias(f)
+                              for i, f in enumerate(_FLAGS)])
 
 
 def islands_min_max(islands: DataFrame, id_col: str = "pseudo_nhs_number", start_col: str = "start_date",
@@ -124,7 +131,7 @@ def split_and_remerge_intervals(df: DataFrame, id_col: str = "pseudo_nhs_number"
 
     All windows share (partition by id, order by boundary), so one sort serves them all."""
     segs = covered_segments(df, id_col, start_col, end_col, regions_col)
-    return islands_min_max(island_ids(island_breaks(segs)), id_col, start_col, end_col, regions_col)
+    return islands_min_max(segs, id_col, start_col, end_col, regions_col)
 
 
 def boundaries(df: DataFrame, id_col: str = "pseudo_nhs_number", start_col: str = "start_date",

@@ -126,20 +126,18 @@ def q_region_set_agg(spark, d):
 @query("island_breaks", with_clause("segs_brk") + "SELECT id, s, e, " + REGION_TEXT.format(t="")
        + " AS region_types, n AS is_new FROM segs_brk")
 def q_island_breaks(spark, d):
-    return _seg_out(IV.island_breaks(IV.covered_segments(_buffers(spark, d))), [F.col("_new").alias("is_new")])
+    return _seg_out(IV.covered_segments(_buffers(spark, d)), [F.col("_new").alias("is_new")])
 
 
 @query("island_ids", with_clause("segs_isl") + "SELECT id, s, e, " + REGION_TEXT.format(t="")
        + " AS region_types, g AS island FROM segs_isl")
 def q_island_ids(spark, d):
-    segs = IV.island_ids(IV.island_breaks(IV.covered_segments(_buffers(spark, d))))
-    return _seg_out(segs, [F.col("_g").alias("island")])
+    return _seg_out(IV.covered_segments(_buffers(spark, d)), [F.col("_g").alias("island")])
 
 
 @query("islands_min_max", with_clause("segs") + SEG_SQL)
 def q_islands_min_max(spark, d):
-    segs = IV.island_ids(IV.island_breaks(IV.covered_segments(_buffers(spark, d))))
-    return seg_cols(IV.islands_min_max(segs))
+    return seg_cols(IV.islands_min_max(IV.covered_segments(_buffers(spark, d))))
 
 
 def _buffers(spark, d):
