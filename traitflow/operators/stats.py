@@ -125,15 +125,21 @@ COVARIATE_STATS = [("age_min", "AgeAtTest", "min"), ("age2_min", "AgeAtTest_Squa
                    ("age_max", "AgeAtTest", "max"), ("age2_max", "AgeAtTest_Squared", "max")]
 
 
-def covariate_megawide(df: DataFrame, ids: DataFrame, traits: list[str], keys=("setting",)) -> DataFrame:
+def traits_present(df: DataFrame) -> list[str]:
+    """Sorted traits that occur in ``df`` (a distinct over a column bounded by the dictionary)."""
+    return sorted(r[0] for r in df.select("trait").distinct().collect() if r[0] is not None)
+
+
+def covariate_megawide(df: DataFrame, ids: DataFrame, traits: list[str] | None = None,
+                       keys=("setting",)) -> DataFrame:
     """One row per IID (per setting): ``FID, IID`` then for each trait in sorted order
     ``AgeAtTest.<t>.min, AgeAtTest_Squared.<t>.min, ...median, ...max``; absent -> null.
 
-    ``traits`` is the (bounded) trait list from the dictionary, so the pivot needs no extra
-    pass to discover its values."""
+    ``traits`` defaults to the traits that occur in the data (as in the modelled output, which
+    aligns the per-trait tables it finds); pass the dictionary list to fix the columns."""
     keys = list(keys)
     long = covariate_long(df, ids, keys)
-    traits = sorted(traits)
+    traits = sorted(traits) if traits is not None else traits_present(long)
     wide = long.groupBy(*keys, "IID").pivot("trait", traits).agg(
         *[F.first(c).alias(c) for c, _, _ in COVARIATE_STATS])
     cols = []
@@ -143,13 +149,13 @@ def covariate_megawide(df: DataFrame, ids: DataFrame, traits: list[str], keys=("
     return wide.select(*keys, F.lit("1").alias("FID"), "IID", *cols)
 
 
-def phenotype_wide(pheno: DataFrame, traits: list[str], stats=("median", "min", "max"),
+def phenotype_wide(pheno: DataFrame, traits: list[str] | None = None, stats=("median", "min", "max"),
                    keys=("setting",)) -> DataFrame:
     """Long phenotype rows -> one row per IID with ``<trait>.<stat>`` columns (traits sorted,
     spaces in names as ``_``). One pivot aggregation aligns all traits on (FID, IID) - the
     full outer alignment of per-trait tables without a chain of joins."""
     keys = list(keys)
-    traits = sorted(traits)
+    traits = sorted(traits) if traits is not None else traits_present(pheno)
     wide = pheno.groupBy(*keys, "FID", "IID").pivot("trait", traits).agg(*[F.first(s).alias(s) for s in stats])
     # Spark names pivot columns "<value>_<alias>", or just "<value>" for a single aggregate
     name = (lambda t, s: f"`{t}_{s}`") if len(stats) > 1 else (lambda t, s: f"`{t}`")

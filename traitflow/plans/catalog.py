@@ -520,8 +520,13 @@ def q_phenotype_table_exome(spark, d):
     return ST.phenotype_table(tiled_settings(spark, d), PE.genotype_ids(B.linkage(spark, d), "exome"))
 
 
+def _traits_in_data() -> list[str]:
+    """Traits of the fixed dictionary that have aliases (so occur in the bound readings)."""
+    return sorted({t for t, _ in B.ALIASES})
+
+
 def _megawide_sql(ids: str) -> str:
-    traits = sorted(t for t, *_ in B.TRAITS)
+    traits = _traits_in_data()
     stat_sql = {"min": "min({c})", "median": "median({c})", "max": "max({c})"}
     cols = []
     for t in traits:
@@ -540,14 +545,12 @@ def _megawide_sql(ids: str) -> str:
 
 @query("covariate_megawide", _megawide_sql("gsa_ids"))
 def q_covariate_megawide(spark, d):
-    traits = [t for t, *_ in B.TRAITS]
-    return ST.covariate_megawide(tiled_settings(spark, d), PE.genotype_ids(B.linkage(spark, d), "gsa"), traits)
+    return ST.covariate_megawide(tiled_settings(spark, d), PE.genotype_ids(B.linkage(spark, d), "gsa"))
 
 
 @query("covariate_megawide_exome", _megawide_sql("exome_ids"))
 def q_covariate_megawide_exome(spark, d):
-    traits = [t for t, *_ in B.TRAITS]
-    return ST.covariate_megawide(tiled_settings(spark, d), PE.genotype_ids(B.linkage(spark, d), "exome"), traits)
+    return ST.covariate_megawide(tiled_settings(spark, d), PE.genotype_ids(B.linkage(spark, d), "exome"))
 
 
 @query("power_round", with_clause("pre") + """SELECT pseudo_nhs_number, test_date, trait,
@@ -1307,7 +1310,7 @@ def q_join_trait_aliases(spark, d):
 
 
 def _pheno_wide_sql(stats=("median", "min", "max")):
-    traits = sorted(t for t, *_ in B.TRAITS)
+    traits = _traits_in_data()
     cols = ", ".join(f"max(CASE WHEN trait = '{t}' THEN {s} END) AS \"{t}.{s}\"" for t in traits for s in stats)
     return f"SELECT setting, FID, IID, {cols} FROM (" + ORACLE["phenotype_table"] + ") p GROUP BY setting, FID, IID"
 
@@ -1315,10 +1318,10 @@ def _pheno_wide_sql(stats=("median", "min", "max")):
 @query("pivot_traits", _pheno_wide_sql())
 def q_pivot_traits(spark, d):
     pheno = ST.phenotype_table(tiled_settings(spark, d), PE.genotype_ids(B.linkage(spark, d), "gsa"))
-    return ST.phenotype_wide(pheno, [t for t, *_ in B.TRAITS])
+    return ST.phenotype_wide(pheno)
 
 
 @query("align_traits_full_outer", _pheno_wide_sql(("median",)))
 def q_align_traits_full_outer(spark, d):
     pheno = ST.phenotype_table(tiled_settings(spark, d), PE.genotype_ids(B.linkage(spark, d), "gsa"))
-    return ST.phenotype_wide(pheno, [t for t, *_ in B.TRAITS], stats=("median",))
+    return ST.phenotype_wide(pheno, stats=("median",))

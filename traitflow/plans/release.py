@@ -15,7 +15,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from traitflow.operators import dedup as DD
 from traitflow.operators import filters as FL
@@ -72,7 +71,6 @@ def run_release(spark: SparkSession, cfg: ReleaseConfig) -> dict[str, str]:
     tiled = SK.stage(spark, P.quant_pipeline(combo, stays, traits, aliases, units, linkage, questionnaire,
                                              cfg.as_of, segments=segments), f"{out}/stages/tiled")
     by_setting = RG.setting_split(tiled)
-    trait_names = sorted(r[0] for r in traits.filter(~F.col("trait").startswith("#")).select("trait").collect())
 
     paths = {"combo": f"{out}/stages/combo", "segments": f"{out}/stages/segments", "tiled": f"{out}/stages/tiled"}
     paths["readings"] = f"{out}/individual_trait_files/readings"
@@ -90,10 +88,10 @@ def run_release(spark: SparkSession, cfg: ReleaseConfig) -> dict[str, str]:
         SK.write_tsv(pheno.hint("rebalance", "setting", "trait"), paths[f"phenotype_{cohort}"], "NA",
                      partition_by=["setting", "trait"])
         paths[f"phenotype_wide_{cohort}"] = f"{out}/phenotypes_wide/{cohort}"
-        SK.write_tsv(ST.phenotype_wide(pheno, trait_names), paths[f"phenotype_wide_{cohort}"], "NA",
+        SK.write_tsv(ST.phenotype_wide(pheno), paths[f"phenotype_wide_{cohort}"], "NA",
                      partition_by=["setting"])
         paths[f"covariates_{cohort}"] = f"{out}/covariates/{cohort}"
-        SK.write_tsv(ST.covariate_megawide(by_setting, ids, trait_names), paths[f"covariates_{cohort}"], "NA",
+        SK.write_tsv(ST.covariate_megawide(by_setting, ids), paths[f"covariates_{cohort}"], "NA",
                      partition_by=["setting"])
     paths["units_counts"] = f"{out}/logs/units_counts"
     SK.write_counts(TR.units_counts(combo), paths["units_counts"])
