@@ -64,6 +64,24 @@ def test_exact_median_matches_statistics(spark):
     assert got2 == got
 
 
+def test_banded_median_is_exact(spark):
+    rnd = random.Random(9)
+    rows = []
+    for g in range(12):
+        size = rnd.choice([1, 2, 3, 10, 400, 3000])
+        spread = rnd.choice([3, 50, 10_000])
+        rows += [(g, float(rnd.randint(0, spread)) / 4) for _ in range(size)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    want = {g: statistics.median([v for gg, v in rows if gg == g]) for g in range(12)}
+    for acc in (10_000, 20, 4):     # 4: brackets too tight for some groups -> exact fallback path
+        got = {r[0]: r[1] for r in ST.exact_median(df, ["g"], "v", band_accuracy=acc).collect()}
+        assert got == want, acc
+    ext = ST.exact_median(df, ["g"], "v", extremes={"min": "lo", "max": "hi", "n": "n"}, band_accuracy=50)
+    for r in ext.collect():
+        vals = [v for gg, v in rows if gg == r["g"]]
+        assert (r["lo"], r["hi"], r["n"]) == (min(vals), max(vals), len(vals))
+
+
 def test_per_individual_stats_earliest_latest_ties(spark):
     rows = [("p", "T", "ok", 3.0, D(2020, 1, 1)), ("p", "T", "ok", 1.0, D(2020, 1, 1)),
             ("p", "T", "ok", 7.0, D(2020, 2, 1)), ("p", "T", "ok", 9.0, D(2020, 2, 1))]

@@ -17,37 +17,76 @@ from traitflow.functions import scalars as X
 from traitflow.operators.joins import sized_broadcast
 
 
+# Sketch accuracy for medians of coarse groups: the bracket holds about 4 / accuracy of a group.
+MEDIAN_BAND_ACCURACY = 10_000
+
+
 def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out_col: str = "median",
-                 extremes: dict[str, str] | None = None) -> DataFrame:
+                 extremes: dict[str, str] | None = None, band_accuracy: int | None = None) -> DataFrame:
     """``group_cols + [out_col]``: the interpolated median of non-null ``value_col``.
 
     ``extremes`` (e.g. ``{"min": "age_min", "max": "age_max", "n": "age_n"}``) also returns
-    those statistics, read from the same window pass (no extra shuffle or join)."""
-    counts = (df.filter(F.col(value_col).isNotNull())
-              .groupBy(*group_cols, value_col).agg(F.count("*").alias("_c")))
-    w = Window.partitionBy(*group_cols).orderBy(value_col)
+    those statistics, read from the same window pass (no extra shuffle or join).
+
+    ``band_accuracy`` is for coarse groups (a whole trait across everyone): a mergeable
+    ``percentile_approx`` sketch per group brackets the median's rank (rank error at most
+    n / accuracy), values outside the bracket collapse into one row below and one above, and
+    only the bracket's distinct values reach the window. A group whose median rank falls
+    outside its bracket (not expected) is recomputed without banding, so the result is exact."""
+    vals = df.filter(F.col(value_col).isNotNull()).select(*group_cols, F.col(value_col).alias("_v"))
+    if not band_accuracy:
+        return _median_from_counts(vals.groupBy(*group_cols, "_v").agg(F.count("*").alias("_c")),
+                                   group_cols, out_col, extremes)
+    eps = 2.0 / band_accuracy
+    bounds = vals.groupBy(*group_cols).agg(
+        F.percentile_approx("_v", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], band_accuracy).alias("_q"),
+        F.min("_v").alias("_gmin"), F.max("_v").alias("_gmax"))
+    bounds = sized_broadcast(bounds, 1_000_000)   # one row per coarse group
+    v, lo, hi = F.col("_v"), F.col("_q")[0], F.col("_q")[1]
+    clipped = (vals.join(bounds, group_cols)
+               .select(*group_cols, F.when(v < lo, F.lit(float("-inf"))).when(v > hi, F.lit(float("inf")))
+                       .otherwise(v).alias("_v"), "_gmin", "_gmax"))
+    counts = clipped.groupBy(*group_cols, "_v", "_gmin", "_gmax").agg(F.count("*").alias("_c"))
+    banded = _median_from_counts(counts, group_cols, out_col, extremes, exact_extremes=("_gmin", "_gmax"))
+    ok = F.col(out_col).between(float("-1.7e308"), float("1.7e308"))   # false for +-inf and NaN
+    bad_groups = banded.filter(~ok).select(*group_cols)
+    if bad_groups.limit(1).count() == 0:
+        return banded
+    redo = vals.join(bad_groups, group_cols, "left_semi")
+    full = _median_from_counts(redo.groupBy(*group_cols, "_v").agg(F.count("*").alias("_c")),
+                               group_cols, out_col, extremes)
+    return banded.filter(ok).unionByName(full)
+
+
+def _median_from_counts(counts: DataFrame, group_cols: list[str], out_col: str,
+                        extremes: dict[str, str] | None, exact_extremes: tuple[str, str] | None = None) -> DataFrame:
+    """Median (and extremes) from ``(group, _v, _c)`` rows of distinct values and counts."""
+    w = Window.partitionBy(*group_cols).orderBy("_v")
     whole = Window.partitionBy(*group_cols)
+    lo_min = F.min("_v").over(whole) if exact_extremes is None else F.col(exact_extremes[0])
+    hi_max = F.max("_v").over(whole) if exact_extremes is None else F.col(exact_extremes[1])
     ranked = counts.select(
-        *group_cols, value_col,
+        *group_cols, "_v",
         (F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_c")).alias("_lo"),
         F.col("_c"),
         F.sum("_c").over(whole).alias("_n"),
-        F.min(value_col).over(whole).alias("_min"), F.max(value_col).over(whole).alias("_max"))
+        lo_min.alias("_min"), hi_max.alias("_max"))
     # 0-based ranks of the two middle values; a distinct value covers ranks [_lo, _lo + _c).
     r1 = F.floor((F.col("_n") - 1) / 2)
     r2 = F.ceil((F.col("_n") - 1) / 2)
     covers = lambda r: (F.col("_lo") <= r) & (r < F.col("_lo") + F.col("_c"))
     mids = ranked.filter(covers(r1) | covers(r2)).select(
         *group_cols, "_n", "_min", "_max",
-        F.when(covers(r1), F.col(value_col)).alias("_v1"),
-        F.when(covers(r2), F.col(value_col)).alias("_v2"))
+        F.when(covers(r1), F.col("_v")).alias("_v1"),
+        F.when(covers(r2), F.col("_v")).alias("_v2"))
     extra = {"min": F.max("_min"), "max": F.max("_max"), "n": F.max("_n")}
     return mids.groupBy(*group_cols).agg(((F.max("_v1") + F.max("_v2")) / 2).alias(out_col),
                                          *[extra[k].alias(v) for k, v in (extremes or {}).items()])
 
 
-def _with_medians(aggs: DataFrame, df: DataFrame, group_cols: list[str], medians: dict[str, str]) -> DataFrame:
-    parts = [exact_median(df, group_cols, v, name) for name, v in medians.items()]
+def _with_medians(aggs: DataFrame, df: DataFrame, group_cols: list[str], medians: dict[str, str],
+                  band_accuracy: int | None = None) -> DataFrame:
+    parts = [exact_median(df, group_cols, v, name, band_accuracy=band_accuracy) for name, v in medians.items()]
     return reduce(lambda a, b: a.join(b, group_cols, "left"), parts, aggs)
 
 
@@ -74,7 +113,8 @@ def trait_study_summary(df: DataFrame, keys=("setting", "trait")) -> DataFrame:
     aggs = df.groupBy(*keys).agg(
         F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"),
         F.countDistinct("pseudo_nhs_number").alias("n_people"), F.count("*").alias("n_obs"))
-    return _with_medians(aggs, df, keys, {"median": "value"}).select(
+    # groups are whole traits: banded exact median (see exact_median)
+    return _with_medians(aggs, df, keys, {"median": "value"}, band_accuracy=MEDIAN_BAND_ACCURACY).select(
         *keys[:-1], "median", "mean", "min", "max", "n_people", "n_obs", "unit")
 
 
