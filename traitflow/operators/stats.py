@@ -41,7 +41,9 @@ def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out_col:
     bounds = vals.groupBy(*group_cols).agg(
         F.percentile_approx("_v", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], band_accuracy).alias("_q"),
         F.min("_v").alias("_gmin"), F.max("_v").alias("_gmax"))
-    bounds = sized_broadcast(bounds, 1_000_000)   # one row per coarse group
+    # one row per coarse group: materialise once (checkpoint), then the size check and the
+    # broadcast read that result instead of re-running the sketch pass
+    bounds = sized_broadcast(_materialise(bounds), 1_000_000)
     v, lo, hi = F.col("_v"), F.col("_q")[0], F.col("_q")[1]
     clipped = (vals.join(bounds, group_cols)
                .select(*group_cols, F.when(v < lo, F.lit(float("-inf"))).when(v > hi, F.lit(float("inf")))
@@ -49,15 +51,22 @@ def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out_col:
     counts = clipped.groupBy(*group_cols, "_v", "_gmin", "_gmax").agg(F.count("*").alias("_c"))
     banded = _median_from_counts(counts, group_cols, out_col, extremes, exact_extremes=("_gmin", "_gmax"))
     ok = F.col(out_col).between(float("-1.7e308"), float("1.7e308"))   # false for +-inf and NaN
+    # Groups whose median rank fell outside the bracket are recomputed without banding. The
+    # branch is lazy: when no group needs it, AQE sees an empty side at run time and prunes it.
     bad_groups = banded.filter(~ok).select(*group_cols)
-    if bad_groups.limit(1).count() == 0:
-        return banded
     redo = vals.join(bad_groups, group_cols, "left_semi")
     full = _median_from_counts(redo.groupBy(*group_cols, "_v").agg(F.count("*").alias("_c")),
                                group_cols, out_col, extremes)
     return banded.filter(ok).unionByName(full)
 
 
+def _materialise(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of a small intermediate (shared checkpoint folder, lineage cut)."""
+    from traitflow.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _median_from_counts(counts: DataFrame, group_cols: list[str], out_col: str,
                         extremes: dict[str, str] | None, exact_extremes: tuple[str, str] | None = None) -> DataFrame:
     """Median (and extremes) from ``(group, _v, _c)`` rows of distinct values and counts."""
@@ -128,7 +137,7 @@ def trait_log10_histogram(df: DataFrame, bins: int = 48, keys=("setting", "trait
     idx = F.when(width > 0, F.least(F.floor((F.col("log_x") - F.col("lo")) / width), F.lit(bins - 1))) \
         .otherwise(F.lit(0)).cast("int")
     # ``bounds`` has one row per trait and setting (bounded by the trait dictionary).
-    binned = logs.join(sized_broadcast(bounds, 100_000), keys).select(
+    binned = logs.join(sized_broadcast(_materialise(bounds), 100_000), keys).select(
         *keys, "gender", idx.alias("bin"), (F.col("lo") + idx * width).alias("bin_start"),
         (F.col("lo") + (idx + 1) * width).alias("bin_end"))
     return binned.groupBy(*keys, "gender", "bin", "bin_start", "bin_end").agg(F.count("*").alias("n"))
