@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -54,15 +55,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged tables.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or a checkpoint folder already set on the
-    context); only when neither exists (local runs, tests) a local folder is chosen and set on
-    the context.
+    context). Only a single-JVM ``local[...]`` session without either gets a local folder of its
+    own; on any other master a machine-local folder would be invisible to other executors, so a
+    missing setting is an error there.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = sc.getCheckpointDir()
     if not root:
-        root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "traitflow-checkpoints")
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="traitflow-checkpoints-")
         sc.setCheckpointDir(root)
     elif sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
