@@ -1,8 +1,9 @@
 """Registered queries and DuckDB SQL of the training-data operators."""
 
-from traitflow.llm import op7_mixing
+from traitflow.llm import op6_rules, op7_mixing
 
 QUERIES = {
+    "op6_rules": op6_rules.query,
     "op7_mixing": op7_mixing.query,
 }
 
