@@ -1,12 +1,14 @@
 """Registered queries and DuckDB SQL of the training-data operators."""
 
-from traitflow.llm import op6_rules, op7_mixing
+from traitflow.llm import op2_decontamination, op6_rules, op7_mixing
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination.query,
     "op6_rules": op6_rules.query,
     "op7_mixing": op7_mixing.query,
 }
 
 ORACLE = {
+    "op2_decontamination": op2_decontamination.ORACLE,
     "op7_mixing": op7_mixing.ORACLE,
 }
