@@ -1,14 +1,16 @@
 """Registered queries and DuckDB SQL of the training-data operators."""
 
-from traitflow.llm import op2_decontamination, op6_rules, op7_mixing
+from traitflow.llm import op2_decontamination, op4_jaccard, op6_rules, op7_mixing
 
 QUERIES = {
     "op2_decontamination": op2_decontamination.query,
+    "op4_jaccard": op4_jaccard.query,
     "op6_rules": op6_rules.query,
     "op7_mixing": op7_mixing.query,
 }
 
 ORACLE = {
     "op2_decontamination": op2_decontamination.ORACLE,
+    "op4_jaccard": op4_jaccard.ORACLE,
     "op7_mixing": op7_mixing.ORACLE,
 }
