@@ -1,8 +1,9 @@
 """Registered queries and DuckDB SQL of the training-data operators."""
 
-from traitflow.llm import op2_decontamination, op4_jaccard, op6_rules, op7_mixing
+from traitflow.llm import op1_substrings, op2_decontamination, op4_jaccard, op6_rules, op7_mixing
 
 QUERIES = {
+    "op1_substrings": op1_substrings.query,
     "op2_decontamination": op2_decontamination.query,
     "op4_jaccard": op4_jaccard.query,
     "op6_rules": op6_rules.query,
@@ -10,6 +11,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_substrings": op1_substrings.ORACLE,
     "op2_decontamination": op2_decontamination.ORACLE,
     "op4_jaccard": op4_jaccard.ORACLE,
     "op7_mixing": op7_mixing.ORACLE,
