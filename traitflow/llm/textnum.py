@@ -66,12 +66,10 @@ def blocks(texts: pa.Array, limit: int):
 PIECE = 4 << 20      # bytes hashed at once
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words [^\\x20\\x09-\\x0D]+ (A-Z as a-z) of all rows in order, and the number of words
-    of each row. A word never spans two rows. Long inputs go piece by piece, cut at white space."""
-    n = len(raw)
-    if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
+def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length (bytes) of the words of all rows. A word never spans two rows."""
+    if not len(raw):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     space = _SPACE[raw]
     begin = ~space
     begin[1:] &= space[:-1]
@@ -81,8 +79,16 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     end[:-1] &= space[1:]
     last = offsets[1:][offsets[:-1] < offsets[1:]] - 1
     end[last] = ~space[last]
-    s, e = np.flatnonzero(begin), np.flatnonzero(end) + 1
+    s = np.flatnonzero(begin)
+    return s, np.flatnonzero(end) + 1 - s
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words [^\\x20\\x09-\\x0D]+ (A-Z as a-z) of all rows in order, and the number of words
+    of each row. Long inputs go piece by piece, cut at white space."""
+    s, length = word_spans(raw, offsets)
     counts = np.searchsorted(s, offsets[1:]) - np.searchsorted(s, offsets[:-1])
+    e = s + length
     out = np.zeros(len(s), dtype=np.uint64)
     i = 0
     while i < len(s):
@@ -94,7 +100,7 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
         b, f = s[i:j] - at, e[i:j] - at
         out[i:j] = (total[f] - total[b]) * inv[b]
         i = j
-    return mix(out ^ ((e - s).astype(np.uint64) << np.uint64(48))), counts
+    return mix(out ^ (length.astype(np.uint64) << np.uint64(48))), counts
 
 
 def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
