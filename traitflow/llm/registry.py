@@ -1,11 +1,12 @@
 """Registered queries and DuckDB SQL of the training-data operators."""
 
-from traitflow.llm import op1_substrings, op2_decontamination, op4_jaccard, op6_rules, op7_mixing, op9_quality, op10_lm
+from traitflow.llm import op1_substrings, op2_decontamination, op4_jaccard, op5_html, op6_rules, op7_mixing, op9_quality, op10_lm
 
 QUERIES = {
     "op1_substrings": op1_substrings.query,
     "op2_decontamination": op2_decontamination.query,
     "op4_jaccard": op4_jaccard.query,
+    "op5_html": op5_html.query,
     "op6_rules": op6_rules.query,
     "op7_mixing": op7_mixing.query,
     "op9_quality": op9_quality.query,
