@@ -45,3 +45,9 @@ def lower_ascii(text: Column) -> Column:
 
 def n_words(text: Column) -> Column:
     return F.size(words(text)).cast("long")
+
+
+def row_key() -> Column:
+    """Key of a document row by its contents: equal rows (same id and text) share results, rows with the
+    same id and other text do not."""
+    return F.struct(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("h"))

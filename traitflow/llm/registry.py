@@ -1,6 +1,6 @@
 """Registered queries and DuckDB SQL of the training-data operators."""
 
-from traitflow.llm import op1_substrings, op2_decontamination, op4_jaccard, op5_html, op6_rules, op7_mixing, op9_quality, op10_lm
+from traitflow.llm import op1_substrings, op2_decontamination, op4_jaccard, op5_html, op6_rules, op7_mixing, op8_secrets, op9_quality, op10_lm
 
 QUERIES = {
     "op1_substrings": op1_substrings.query,
@@ -9,6 +9,7 @@ QUERIES = {
     "op5_html": op5_html.query,
     "op6_rules": op6_rules.query,
     "op7_mixing": op7_mixing.query,
+    "op8_secrets": op8_secrets.query,
     "op9_quality": op9_quality.query,
     "op10_lm": op10_lm.query,
 }
