@@ -1,10 +1,11 @@
 """Registered queries and DuckDB SQL of the training-data operators."""
 
-from traitflow.llm import op1_substrings, op2_decontamination, op4_jaccard, op5_html, op6_rules, op7_mixing, op8_secrets, op9_quality, op10_lm
+from traitflow.llm import op1_substrings, op2_decontamination, op3_licenses, op4_jaccard, op5_html, op6_rules, op7_mixing, op8_secrets, op9_quality, op10_lm
 
 QUERIES = {
     "op1_substrings": op1_substrings.query,
     "op2_decontamination": op2_decontamination.query,
+    "op3_licenses": op3_licenses.query,
     "op4_jaccard": op4_jaccard.query,
     "op5_html": op5_html.query,
     "op6_rules": op6_rules.query,
