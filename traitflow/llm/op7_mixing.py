@@ -10,9 +10,11 @@ Steps above 1 are cut to 1, which keeps Newton's method convergent from ``l = 0`
 
 Rounding. Rates become whole copies by systematic rounding in the order (size, md5 of the id) in
 each source: document number k takes ``floor(r k + u) - floor(r (k - 1) + u)`` copies. In size
-order the error of a source's tokens telescopes to at most its largest document. The rank k comes
-from a range partitioning over (source, size, md5), so a source with a third of all rows spreads
-over many tasks; only one row per (partition, source) is needed for the offsets.
+order the error of a source's tokens telescopes to at most its largest document. What is left is made up
+with the smallest documents, in the same order: one copy more (or less) each, as long as that brings the
+source nearer to its target. Ranks and running sums come from a range partitioning over (source, size,
+md5), so a source with a third of all rows spreads over many tasks; only one row per (partition,
+source) is needed for the offsets.
 
 Edge cases: null text has size 0; a null source is a source of its own, last in the order; a null
 id sorts first among equals; repeated rows are separate documents; an empty table gives no rows;
@@ -75,7 +77,8 @@ def tilted_rates(goals: DataFrame, tolerance: float = TOLERANCE, max_steps: int
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, keep: tuple = ()) -> DataFrame:
     """doc_id, size, source_size, target, rate, copies, taken, and the columns of ``keep``."""
-    sizes = docs.select("doc_id", "source", C.n_words(F.col("text")).alias("size"), *keep)
+    more = [F.struct(*keep).alias("_more")] if keep else []     # apart from this function's own names
+    sizes = docs.select("doc_id", "source", C.n_words(F.col("text")).alias("size"), *more)
     place = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     # Range partitioning keeps a large source spread; written, so partition ids stay what they are.
     ordered = (sizes.withColumn("_place", place)
@@ -84,18 +87,35 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
                .withColumn("_row", F.monotonically_increasing_id()).drop("_place"))
     ordered = C.written(ordered, "mix-order").withColumn("_part", F.shiftright("_row", 33))
     rates = C.written(tilted_rates(targets(ordered, weights, share, cap)), "mix-rates")
-    parts = ordered.groupBy("_part", "source").agg(F.count(F.lit(1)).alias("n"), F.min("_row").alias("first"))
-    parts = parts.withColumn("before", F.coalesce(F.sum("n").over(
-        W.partitionBy("source").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    offsets = parts.select(F.col("_part").alias("p"), F.col("source").alias("ps"), "first", "before")
+    parts = before(ordered.groupBy("_part", "source").agg(F.count(F.lit(1)).alias("n"), F.min("_row").alias("first")), "n")
     goals = rates.select(F.col("source").alias("gs"), "source_size", "target", "rate")
-    ranked = (ordered.join(offsets, (F.col("_part") == F.col("p")) & F.col("source").eqNullSafe(F.col("ps")))
+    ranked = (at_part(ordered, parts, "first", "before")
               .join(goals, F.col("source").eqNullSafe(F.col("gs")))
               .withColumn("_k", F.col("_row") - F.col("first") + F.col("before") + 1))
     steps = F.floor(F.col("rate") * F.col("_k") + PHASE) - F.floor(F.col("rate") * (F.col("_k") - 1) + PHASE)
-    copies = F.least(steps, F.lit(int(cap)))
-    return ranked.select("doc_id", "size", "source_size", "target", "rate", copies.alias("copies"),
-                         (copies * F.col("size")).alias("taken"), *keep)
+    rounded = C.written(ranked.withColumn("copies", F.least(steps, F.lit(int(cap)))).drop("gs", "_k", "first", "before"), "mix-rounded")
+
+    taken = rounded.groupBy(F.col("source").alias("es")).agg((F.max("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap"))
+    able = F.when(F.col("gap") > 0, F.col("copies") < int(cap)).otherwise(F.col("copies") > 0)
+    open_ = rounded.join(C.written(taken, "mix-gap"), F.col("source").eqNullSafe(F.col("es"))).withColumn("w", F.when(able, F.col("size")).otherwise(F.lit(0)))
+    parts = before(open_.groupBy("_part", "source").agg(F.sum("w").alias("n")), "n")
+    inside = F.sum("w").over(W.partitionBy("source", "_part").orderBy("_row").rowsBetween(W.unboundedPreceding, 0))
+    reach = at_part(open_.withColumn("inside", inside), parts, "before").withColumn("reach", F.col("inside") + F.col("before"))
+    turn = (F.col("w") > 0) & (F.col("reach") - F.col("w") / 2 < F.abs("gap"))
+    copies = F.col("copies") + F.when(turn, F.signum("gap").cast("long")).otherwise(F.lit(0))
+    return (reach.withColumn("copies", copies)
+            .select("doc_id", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"), *[F.col("_more")[k].alias(k) for k in keep]))
+
+
+def before(parts: DataFrame, what: str) -> DataFrame:
+    """``parts`` (_part, source, ``what``) with ``before``, the sum over the source's earlier partitions."""
+    return parts.withColumn("before", F.coalesce(F.sum(what).over(
+        W.partitionBy("source").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+
+
+def at_part(rows: DataFrame, parts: DataFrame, *columns: str) -> DataFrame:
+    small = parts.select(F.col("_part").alias("_p"), F.col("source").alias("_s"), *columns)
+    return rows.join(small, (F.col("_part") == F.col("_p")) & F.col("source").eqNullSafe(F.col("_s"))).drop("_p", "_s")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,10 +144,15 @@ goal AS (
               / sum(CASE WHEN NOT is_full THEN w END) OVER () END AS target
   FROM fill WHERE step = 40),
 ranked AS (
-  SELECT d.doc_id, d.size, g.source_size, g.target, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS r,
+  SELECT d.doc_id, d.source, d.size, g.source_size, g.target, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS r,
          row_number() OVER (PARTITION BY d.source ORDER BY d.size, md5(d.doc_id::VARCHAR), d.doc_id) AS k
-  FROM docs d JOIN goal g ON d.source IS NOT DISTINCT FROM g.source)
+  FROM docs d JOIN goal g ON d.source IS NOT DISTINCT FROM g.source),
+rounded AS (
+  SELECT *, floor(r * k + 0.3819660112501051) - floor(r * (k - 1) + 0.3819660112501051) AS copies FROM ranked),
+gaps AS (SELECT *, target - sum(copies * size) OVER (PARTITION BY source) AS gap FROM rounded),
+able AS (SELECT *, CASE WHEN CASE WHEN gap > 0 THEN copies < 2 ELSE copies > 0 END THEN size ELSE 0 END AS w FROM gaps),
+reach AS (SELECT *, sum(w) OVER (PARTITION BY source ORDER BY k) AS reach FROM able)
 SELECT doc_id, size, source_size, target::DOUBLE AS target,
-       (size * (floor(r * k + 0.3819660112501051) - floor(r * (k - 1) + 0.3819660112501051)))::BIGINT AS taken
-FROM ranked
+       (size * (copies + CASE WHEN w > 0 AND reach - w / 2 < abs(gap) THEN sign(gap) ELSE 0 END))::BIGINT AS taken
+FROM reach
 """
