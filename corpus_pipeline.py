@@ -1,4 +1,65 @@
+"""From raw documents to a training mix: five stages, each an operator of ``traitflow.llm``.
+
+``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns what the next one
+reads as ``docs``. The first four return the columns of ``documents``; the last returns one row per
+remaining document with its place in the mix:
+
+1. quality_rules: documents that the base rules or the certified cutoffs reject go.
+2. near_duplicates: of each group linked by n-gram Jaccard similarity the smallest id stays.
+3. decontamination: documents that hold a benchmark window go.
+4. secrets: secrets in the texts are masked; no document goes.
+5. mixing: copies and words taken of every document, sources at their target weights.
+
+``run`` writes each stage to the shared checkpoint folder and reads it back, so a lost executor costs
+at most the stage at hand. Labels and the benchmark are read from ``sf_dir``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from traitflow.llm import common as C
+from traitflow.llm import op2_decontamination, op4_jaccard, op6_rules, op7_mixing, op8_secrets
+
+# Cutoffs certified by binomial bounds and a random forest have no SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
-STAGES = []
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return op6_rules.kept_documents(docs, C.table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return op4_jaccard.one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return op2_decontamination.clean_documents(docs, C.table(spark, sf_dir, "benchmark"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return op8_secrets.redacted(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    keep = tuple(c for c in ("lang", "n_chars") if c in docs.columns)
+    return op7_mixing.mix(docs, keep=("source", *keep))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secrets", secrets),
+    ("mixing", mixing),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of ``documents`` in ``sf_dir``."""
+    docs = C.table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = C.written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -174,7 +174,7 @@ def kept_documents(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     few rows, and a second pass over the documents applies them."""
     cutoffs = learned_thresholds(measures(docs), labels, **how)
     row = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
-    passed = verdicts(measures(docs.withColumn("_row", row), keep=("_row",)), cutoffs).filter("kept")
+    passed = verdicts(measures(docs.select("doc_id", "text", "lang", row), keep=("_row",)), cutoffs).filter("kept")
     return passed.select("_row.*")
 
 
