@@ -119,7 +119,7 @@ class Model:
         self.main, self.pairs, self.cuts, self.coarse = [], [], [], []
         share = float(np.mean(y)) if len(y) else 0.5
         self.intercept = float(np.log(share / (1 - share))) if 0 < share < 1 else (0.0 if not len(y) else 8.0 * (1 if share else -1))
-        if not 0 < share < 1:
+        if not len(y) or not 0 < share < 1:
             return
         for f in range(x.shape[1]):
             self.cuts.append(np.unique(np.quantile(x[:, f], np.arange(1, BINS) / BINS)))
