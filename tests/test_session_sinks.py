@@ -41,24 +41,3 @@ def test_write_by_trait_and_tsv(spark):
     SK.write_tsv(df, t, "NA")
     text = "".join(open(os.path.join(t, f)).read() for f in os.listdir(t) if f.startswith("part-"))
     assert "NA" in text and "\t" in text
-
-
-def test_sized_broadcast_falls_back_above_the_bound(spark):
-    import contextlib
-    import io
-
-    from traitflow.operators.joins import sized_broadcast
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only explicit hints broadcast
-    try:
-        big = spark.range(0, 5000).withColumnRenamed("id", "k")
-        small = spark.range(0, 10).withColumnRenamed("id", "k")
-
-        def plan(df):
-            buf = io.StringIO()
-            with contextlib.redirect_stdout(buf):
-                df.explain()
-            return buf.getvalue()
-        assert "BroadcastHashJoin" in plan(big.join(sized_broadcast(small, 100), "k"))
-        assert "BroadcastHashJoin" not in plan(big.join(sized_broadcast(big.select("k"), 100), "k"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -6,7 +6,7 @@ Layout:
               people, tiles, stats, audit)
   sources/    readers, raw-line hygiene, per-source ingest recipes, sinks
   plans/      the end-to-end pipeline, driver-table bindings and the query catalog
-  streaming/  intentionally empty (the modelled pipeline is batch only)
+  llm/        operators for preparing language-model training data (optional subpackage)
 """
 
 __version__ = "0.1.0"

@@ -61,7 +61,7 @@ def strip_suffix_chain(c: ColumnOrName, suffixes: list[str]) -> Column:
 def replace_first(c: ColumnOrName, pattern: str, replacement: str) -> Column:
     """Replace only the first regex match. ``$n`` group references keep their meaning."""
     shifted = re.sub(r"\$(\d+)", lambda m: "$" + str(int(m.group(1)) + 1), replacement)
-    return F.regexp_replace(_c(c), "(?s)^(.*?)" + pattern, "$1" + shifted)
+    return F.regexp_replace(_c(c), "^((?s:.*?))(?:" + pattern + ")", "$1" + shifted)
 
 
 def replace_all(c: ColumnOrName, pattern: str, replacement: str) -> Column:
@@ -114,13 +114,6 @@ def parse_number_strict(c: ColumnOrName, what: str = "result") -> Column:
             .otherwise(F.raise_error(F.concat(F.lit(f"strict cast of {what} failed: "), c)).cast("double")))
 
 
-def parse_long_strict(c: ColumnOrName, what: str = "code") -> Column:
-    c = _c(c)
-    return (F.when(c.isNull(), F.lit(None).cast("long"))
-            .when(c.rlike(r"^[+-]?\d+$"), c.cast("long"))
-            .otherwise(F.raise_error(F.concat(F.lit(f"strict cast of {what} failed: "), c)).cast("long")))
-
-
 def not_nan(c: ColumnOrName) -> Column:
     """True only for non-null, non-NaN values (null counts as NaN, as in the modelled filter)."""
     c = _c(c)

@@ -4,8 +4,8 @@
 carrying the set of labels that cover them, then merges touching segments with equal label
 sets. It is computed as a sweep line, not a self join:
 
-  1. each interval emits +1 at its start and -1 at its end for each of its labels, packed
-     into one long (intervals without a positive length only add their boundaries);
+  1. each interval emits +1 at its start and -1 at its end for each of its labels (intervals
+     without a positive length only add their boundaries);
   2. events are summed per (id, boundary) - a partial aggregation, so repeated stays collapse
      before the shuffle;
   3. one running sum per id ordered by boundary gives, for the elementary segment starting at
@@ -57,49 +57,38 @@ def add_buffers(df: DataFrame, before: int = S.BUFFER_BEFORE_DAYS, after: int =
                     F.array(F.col("_p.r")).alias("region_types")))
 
 
-# Per-label coverage counts are packed into one long (21 bits per label): sums of packed
-# deltas are packed sums (the packing is linear), and running counts are never negative, so
-# one running sum replaces three. Counts must stay below 2**21 per person and label; a larger
-# count fails the job instead of giving wrong segments.
-_BITS = 21
-_MASK = (1 << _BITS) - 1
-
-
 def sweep_segments(df: DataFrame, id_col: str = "pseudo_nhs_number", start_col: str = "start_date",
                    end_col: str = "end_date", regions_col: str = "region_types") -> DataFrame:
     """Every elementary segment between consecutive boundaries, covered or not:
     ``(_id, _x, _e, _code, _new, _g)`` where ``_code`` is the 3-bit label set (0 = uncovered),
     ``_new`` marks a covered segment that starts an island and ``_g`` numbers the islands.
 
-    Two window passes: (1) next boundary, and the packed counts up to this row and up to the
-    previous row (the previous row's label set, no separate ``lag`` pass); (2) a running count
-    of island starts. Uncovered segments stay until the end, so a gap is just a change of
-    label set and needs no extra comparison."""
+    Two window passes: (1) next boundary, and each label's running count up to this row and up
+    to the previous row (the previous row's label set, no separate ``lag`` pass); (2) a running
+    count of island starts. Uncovered segments stay until the end, so a gap is just a change of
+    label set and needs no extra comparison. Rows without an id belong to nobody and are left out
+    (they would be one group of any size)."""
     s, e, r = F.col(start_col), F.col(end_col), F.col(regions_col)
     valid = e.isNotNull() & (e > s)
-    packed = sum((F.when(F.array_contains(r, lbl), F.lit(1 << (_BITS * i))).otherwise(F.lit(0)))
-                 for i, lbl in enumerate(S.REGION_ORDER)).cast("long")
-    delta = F.when(valid, packed).otherwise(F.lit(0).cast("long"))
+    labels = range(len(S.REGION_ORDER))
+    deltas = [F.when(valid & F.array_contains(r, lbl), 1).otherwise(0) for lbl in S.REGION_ORDER]
 
     # Both events of an interval come from one pass over the input (no union of two scans).
-    events = (df.filter(s.isNotNull())
+    events = (df.filter(F.col(id_col).isNotNull() & s.isNotNull())
               .select(F.col(id_col).alias("_id"),
-                      F.explode(F.array(F.struct(s.alias("_x"), delta.alias("_d")),
-                                        F.struct(e.alias("_x"), (-delta).alias("_d")))).alias("_ev"))
+                      F.explode(F.array(F.struct(s.alias("_x"), *[d.alias(f"_d{i}") for i, d in enumerate(deltas)]),
+                                        F.struct(e.alias("_x"), *[(-d).alias(f"_d{i}") for i, d in enumerate(deltas)])))
+                      .alias("_ev"))
               .select("_id", "_ev.*")
               .filter(F.col("_x").isNotNull()))
-    points = events.groupBy("_id", "_x").agg(F.sum("_d").alias("_d"))
+    points = events.groupBy("_id", "_x").agg(*[F.sum(f"_d{i}").alias(f"_d{i}") for i in labels])
     before = _w().rowsBetween(Window.unboundedPreceding, -1)
-    swept = points.select("_id", "_x", F.lead("_x").over(_w()).alias("_e"),
-                          F.sum("_d").over(_run()).alias("_cov"), F.sum("_d").over(before).alias("_prev"))
-    guard = F.when(F.shiftright(F.col("_cov"), 3 * _BITS) != 0,
-                   F.raise_error(F.lit("more than 2**21 overlapping intervals for one id and label")))
-
-    def code(c):
-        return sum((F.when(F.shiftright(c, _BITS * i).bitwiseAND(F.lit(_MASK)) > 0, F.lit(1 << i))
-                    .otherwise(F.lit(0)) for i in range(3)))
-    coded = swept.select("_id", "_x", "_e", F.coalesce(guard.cast("int"), code(F.col("_cov"))).alias("_code"),
-                         F.when(F.col("_prev").isNotNull(), code(F.col("_prev"))).alias("_pcode"))
+
+    def code(frame):
+        return sum((F.when(F.sum(f"_d{i}").over(frame) > 0, F.lit(1 << i)).otherwise(F.lit(0)) for i in labels), F.lit(0))
+    first = F.count(F.lit(1)).over(before) == 0
+    coded = points.select("_id", "_x", F.lead("_x").over(_w()).alias("_e"), code(_run()).alias("_code"),
+                          F.when(~first, code(before)).alias("_pcode"))
     starts = ((F.col("_code") != 0) & (F.col("_pcode").isNull() | (F.col("_pcode") != F.col("_code")))).cast("int")
     return coded.withColumn("_new", starts).withColumn("_g", F.sum("_new").over(_run())).drop("_pcode")
 

@@ -1,8 +1,8 @@
 """People: valid ids, demographics, ages and genotype-id cohorts.
 
 People tables are bounded by the cohort (tens of thousands to millions of rows), not by the
-readings: they are broadcast only after a row-count check, otherwise joined by shuffle (AQE
-splits a hot person on the readings side).
+readings. No join carries a hint: Spark broadcasts them below its size threshold and otherwise
+shuffles (AQE splits a hot person on the readings side).
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from traitflow import schema as S
 from traitflow.functions import scalars as X
 from traitflow.operators.dedup import dedup_subset
-from traitflow.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, sized_broadcast
 
 GENOTYPE_COLUMNS = {"gsa": "gsa_id", "exome": "exome_id"}
 
@@ -38,8 +37,7 @@ def valid_demographics(linkage: DataFrame, demographics: DataFrame) -> DataFrame
     people = dedup_subset(linkage.select("pseudo_nhs_number", "OrageneID")
                           .filter(F.col("pseudo_nhs_number").isNotNull()),
                           ["pseudo_nhs_number"], ["OrageneID"])
-    d = sized_broadcast(demographics)
-    return people.join(d, "OrageneID", "left").select("pseudo_nhs_number", "OrageneID", "dob", "gender")
+    return people.join(demographics, "OrageneID", "left").select("pseudo_nhs_number", "OrageneID", "dob", "gender")
 
 
 def genotype_ids(linkage: DataFrame, kind: str = "gsa") -> DataFrame:
@@ -54,16 +52,16 @@ def genotype_ids(linkage: DataFrame, kind: str = "gsa") -> DataFrame:
     return ids.select("pseudo_nhs_number", "IID")
 
 
-def join_valid_people_semi(df: DataFrame, valid: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    return df.join(sized_broadcast(valid.select("pseudo_nhs_number"), max_rows), "pseudo_nhs_number", "left_semi")
+def join_valid_people_semi(df: DataFrame, valid: DataFrame) -> DataFrame:
+    return df.join(valid.select("pseudo_nhs_number"), "pseudo_nhs_number", "left_semi")
 
 
-def join_demographics(df: DataFrame, demographics: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def join_demographics(df: DataFrame, demographics: DataFrame) -> DataFrame:
     """Left join dob/gender/OrageneID and derive ``age_at_test`` (null dob -> null age)."""
-    d = sized_broadcast(demographics.select("pseudo_nhs_number", "OrageneID", "dob", "gender"), max_rows)
+    d = demographics.select("pseudo_nhs_number", "OrageneID", "dob", "gender")
     out = df.join(d, "pseudo_nhs_number", "left")
     return out.withColumn("age_at_test", X.age_at_test("test_date", "dob"))
 
 
-def join_genotype_ids(df: DataFrame, ids: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    return df.join(sized_broadcast(ids, max_rows), "pseudo_nhs_number", "inner")
+def join_genotype_ids(df: DataFrame, ids: DataFrame) -> DataFrame:
+    return df.join(ids, "pseudo_nhs_number", "inner")

@@ -1,20 +1,19 @@
 """Per-person, per-trait and cohort outputs.
 
-Medians are exact (interpolated) and computed without handing a whole group to one task:
-values are first counted per (group, value) - a partial aggregation whose shuffle key
-includes the value, so a heavy group is spread out - and the median is then read off the
-running count of the distinct values of each group (a window that streams and can spill).
+Medians are exact (interpolated). Per-person statistics are one aggregation: a group is one
+person's readings of a trait, and ``percentile`` keeps counts per distinct value, combined
+map-side. For groups that hold a whole trait the median does not go through one task: values are
+first counted per (group, value) - a partial aggregation whose shuffle key includes the value -
+and the median is read off the running count of the distinct values near the middle (a window
+that streams and can spill).
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from traitflow.functions import scalars as X
-from traitflow.operators.joins import sized_broadcast
 
 
 # Sketch accuracy for medians of coarse groups: the bracket holds about 4 / accuracy of a group.
@@ -41,9 +40,6 @@ def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out_col:
     bounds = vals.groupBy(*group_cols).agg(
         F.percentile_approx("_v", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], band_accuracy).alias("_q"),
         F.min("_v").alias("_gmin"), F.max("_v").alias("_gmax"))
-    # one row per coarse group: materialise once (checkpoint), then the size check and the
-    # broadcast read that result instead of re-running the sketch pass
-    bounds = sized_broadcast(_materialise(bounds), 1_000_000)
     v, lo, hi = F.col("_v"), F.col("_q")[0], F.col("_q")[1]
     clipped = (vals.join(bounds, group_cols)
                .select(*group_cols, F.when(v < lo, F.lit(float("-inf"))).when(v > hi, F.lit(float("inf")))
@@ -60,13 +56,6 @@ def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out_col:
     return banded.filter(ok).unionByName(full)
 
 
-def _materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a small intermediate (shared checkpoint folder, lineage cut)."""
-    from traitflow.session import checkpoint_root
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _median_from_counts(counts: DataFrame, group_cols: list[str], out_col: str,
                         extremes: dict[str, str] | None, exact_extremes: tuple[str, str] | None = None) -> DataFrame:
     """Median (and extremes) from ``(group, _v, _c)`` rows of distinct values and counts."""
@@ -93,10 +82,9 @@ def _median_from_counts(counts: DataFrame, group_cols: list[str], out_col: str,
                                          *[extra[k].alias(v) for k, v in (extremes or {}).items()])
 
 
-def _with_medians(aggs: DataFrame, df: DataFrame, group_cols: list[str], medians: dict[str, str],
-                  band_accuracy: int | None = None) -> DataFrame:
-    parts = [exact_median(df, group_cols, v, name, band_accuracy=band_accuracy) for name, v in medians.items()]
-    return reduce(lambda a, b: a.join(b, group_cols, "left"), parts, aggs)
+def _median(col: str):
+    """Exact interpolated median; for groups of bounded size."""
+    return F.percentile(col, F.lit(0.5))
 
 
 def per_individual_stats(df: DataFrame, group_cols=("pseudo_nhs_number", "trait", "minmax_outlier"),
@@ -106,12 +94,12 @@ def per_individual_stats(df: DataFrame, group_cols=("pseudo_nhs_number", "trait"
     ``earliest``/``latest`` are the value at the first/last date (ties: smallest/largest value).
     """
     keys = list(extra_keys) + list(group_cols)
-    aggs = df.groupBy(*keys).agg(
+    out = df.groupBy(*keys).agg(
+        _median("value").alias("median"),
         F.avg("value").alias("mean"), F.max("value").alias("max"), F.min("value").alias("min"),
         F.min(F.struct("date", "value"))["value"].alias("earliest"),
         F.max(F.struct("date", "value"))["value"].alias("latest"),
         F.count("value").alias("n"))
-    out = _with_medians(aggs, df, keys, {"median": "value"})
     return out.select(*list(extra_keys), "pseudo_nhs_number", "trait", "median", "mean", "max", "min",
                       "earliest", "latest", "n")
 
@@ -123,7 +111,8 @@ def trait_study_summary(df: DataFrame, keys=("setting", "trait")) -> DataFrame:
         F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"),
         F.countDistinct("pseudo_nhs_number").alias("n_people"), F.count("*").alias("n_obs"))
     # groups are whole traits: banded exact median (see exact_median)
-    return _with_medians(aggs, df, keys, {"median": "value"}, band_accuracy=MEDIAN_BAND_ACCURACY).select(
+    medians = exact_median(df, keys, "value", "median", band_accuracy=MEDIAN_BAND_ACCURACY)
+    return aggs.join(medians, keys, "left").select(
         *keys[:-1], "median", "mean", "min", "max", "n_people", "n_obs", "unit")
 
 
@@ -137,7 +126,7 @@ def trait_log10_histogram(df: DataFrame, bins: int = 48, keys=("setting", "trait
     idx = F.when(width > 0, F.least(F.floor((F.col("log_x") - F.col("lo")) / width), F.lit(bins - 1))) \
         .otherwise(F.lit(0)).cast("int")
     # ``bounds`` has one row per trait and setting (bounded by the trait dictionary).
-    binned = logs.join(sized_broadcast(_materialise(bounds), 100_000), keys).select(
+    binned = logs.join(bounds, keys).select(
         *keys, "gender", idx.alias("bin"), (F.col("lo") + idx * width).alias("bin_start"),
         (F.col("lo") + (idx + 1) * width).alias("bin_end"))
     return binned.groupBy(*keys, "gender", "bin", "bin_start", "bin_end").agg(F.count("*").alias("n"))
@@ -148,8 +137,7 @@ def phenotype_table(df: DataFrame, ids: DataFrame, keys=("setting", "trait")) ->
     from traitflow.operators.people import join_genotype_ids
     keys = list(keys)
     data = join_genotype_ids(df, ids)
-    aggs = data.groupBy(*keys, "IID").agg(F.min("value").alias("min"), F.max("value").alias("max"))
-    out = _with_medians(aggs, data, keys + ["IID"], {"median": "value"})
+    out = data.groupBy(*keys, "IID").agg(_median("value").alias("median"), F.min("value").alias("min"), F.max("value").alias("max"))
     return out.select(*keys, F.lit("1").alias("FID"), "IID", "median", "min", "max")
 
 
@@ -162,9 +150,9 @@ def covariate_long(df: DataFrame, ids: DataFrame, keys=("setting",)) -> DataFram
         *keys, "IID", "trait", X.round_half_away("age_at_test", 1).alias("AgeAtTest"),
         X.power_round("age_at_test", 2, 1).alias("AgeAtTest_Squared"))
     g = keys + ["IID", "trait"]
-    age = exact_median(data, g, "AgeAtTest", "age_median", {"min": "age_min", "max": "age_max"})
-    age2 = exact_median(data, g, "AgeAtTest_Squared", "age2_median", {"min": "age2_min", "max": "age2_max"})
-    out = age.join(age2, g, "full")
+    out = data.filter(F.col("AgeAtTest").isNotNull() | F.col("AgeAtTest_Squared").isNotNull()).groupBy(*g).agg(*[
+        f(c).alias(f"{name}_{stat}") for name, c in (("age", "AgeAtTest"), ("age2", "AgeAtTest_Squared"))
+        for stat, f in (("min", F.min), ("median", _median), ("max", F.max))])
     return out.select(*g, *[X.round_half_away(c, 1).alias(c) for c in
                             ["age_min", "age2_min", "age_median", "age2_median", "age_max", "age2_max"]])
 
@@ -186,9 +174,12 @@ def covariate_megawide(df: DataFrame, ids: DataFrame, traits: list[str] | None =
 
     ``traits`` defaults to the traits that occur in the data (as in the modelled output, which
     aligns the per-trait tables it finds); pass the dictionary list to fix the columns."""
+    from traitflow.operators.people import join_genotype_ids
     keys = list(keys)
     long = covariate_long(df, ids, keys)
-    traits = sorted(traits) if traits is not None else traits_present(long)
+    if traits is None:   # the long table has no row without an age
+        traits = traits_present(join_genotype_ids(df.filter(F.col("age_at_test").isNotNull()), ids))
+    traits = sorted(traits)
     wide = long.groupBy(*keys, "IID").pivot("trait", traits).agg(
         *[F.first(c).alias(c) for c, _, _ in COVARIATE_STATS])
     cols = []

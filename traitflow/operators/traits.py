@@ -1,7 +1,7 @@
 """Terms -> traits, unit harmonisation and range checks.
 
-Dictionaries are tiny and curated (hundreds of rows): they are broadcast after a row-count
-check; readings are never shuffled for these joins.
+Dictionaries are small and curated (hundreds of rows). No join carries a hint: Spark broadcasts
+the dictionary from its measured size, and shuffles (with skew handling) beyond its threshold.
 """
 
 from __future__ import annotations
@@ -11,29 +11,24 @@ from pyspark.sql import functions as F
 
 from traitflow import schema as S
 from traitflow.functions import scalars as X
-from traitflow.operators.joins import sized_broadcast
-
-DICTIONARY_MAX_ROWS = 1_000_000
 
 
 def trait_dictionary(traits: DataFrame, aliases: DataFrame) -> DataFrame:
     """Denormalised trait x alias x bounds (left join: a trait without aliases keeps a row)."""
-    return traits.join(sized_broadcast(aliases, DICTIONARY_MAX_ROWS), "trait", "left").select(
+    return traits.join(aliases, "trait", "left").select(
         "trait", "target_units", "min", "max", "alias")
 
 
 def join_terms_to_traits(df: DataFrame, dictionary: DataFrame, term_col: str = "original_term") -> DataFrame:
     """Left join on the exact, case-sensitive term. Unmatched readings keep null trait columns."""
-    d = sized_broadcast(dictionary, DICTIONARY_MAX_ROWS)
-    return df.join(d, df[term_col] == d["alias"], "left").drop("alias")
+    return df.join(dictionary, df[term_col] == dictionary["alias"], "left").drop("alias")
 
 
 def join_unit_converter(df: DataFrame, units: DataFrame, unit_col: str = "result_value_units",
                         target_col: str = "target_units") -> DataFrame:
     """Left join on (unit, target unit); adds ``target``, ``multiplication_factor`` and
     ``unit_matched``. The converter's (unit, target) key is unique, so rows never fan out."""
-    u = sized_broadcast(units.select(F.col("result_value_units").alias("_u"), "target",
-                                     "multiplication_factor"), DICTIONARY_MAX_ROWS)
+    u = units.select(F.col("result_value_units").alias("_u"), "target", "multiplication_factor")
     joined = df.join(u, (df[unit_col] == u["_u"]) & (df[target_col] == u["target"]), "left")
     return joined.withColumn("unit_matched", F.col("_u").isNotNull()).drop("_u")
 
@@ -58,7 +53,7 @@ def harmonise_units(df: DataFrame, units: DataFrame) -> DataFrame:
 
 def unrecovered_terms(df: DataFrame, aliases: DataFrame, term_col: str = "original_term") -> DataFrame:
     """Terms (trimmed) that match no alias, with their reading counts, most frequent first."""
-    a = sized_broadcast(aliases.select("alias").distinct(), DICTIONARY_MAX_ROWS)
+    a = aliases.select("alias").distinct()
     terms = df.select(term_col)
     missing = terms.join(a, X.strip_chars(terms[term_col]) == a["alias"], "left_anti")
     return missing.groupBy(term_col).agg(F.count("*").alias("n")).orderBy(F.desc("n"), term_col)

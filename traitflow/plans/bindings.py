@@ -120,3 +120,27 @@ def questionnaire(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("O"), k.cast("string")).alias("S1QST_Oragene_ID"),
         F.when(k % 2 == 0, "2").otherwise("1").alias("S1QST_Gender"),
         F.when(k % 13 == 0, "NA").otherwise(F.date_format(_dob(), "MM-yyyy")).alias("S1QST_MM-YYYY_ofBirth"))
+
+
+# Dictionaries at a release's shape (150 traits, two targets per unit, disabled ``#`` rows), from ``part``.
+
+def part_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").select("p_brand", "p_type", "p_size", "p_retailprice")
+    name = F.concat_ws(" ", "p_brand", "p_type")
+    out = p.groupBy("p_brand", "p_type").agg(F.min("p_size").alias("s"), F.min("p_retailprice").alias("min"), F.max("p_retailprice").alias("max"))
+    return out.select(F.when(F.col("p_brand") == "Brand#7", F.concat(F.lit("#"), name)).otherwise(name).alias("trait"),
+                      F.concat(F.lit("u"), (F.col("s") % 13).cast("string")).alias("target_units"), "min", "max")
+
+
+def part_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").select("p_brand", "p_type", "p_name", "p_size").filter(F.col("p_type") != "SMALL")
+    return p.select(F.concat_ws(" ", "p_brand", "p_type").alias("trait"),
+                    F.concat_ws(" ", "p_name", F.col("p_size").cast("string")).alias("alias")).distinct()
+
+
+def part_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").select("p_size").distinct()
+    unit, n = F.concat(F.lit("v"), F.col("p_size").cast("string")), F.col("p_size")
+    target = F.explode(F.array(n % 13, (n + 1) % 13))
+    return p.select(unit.alias("result_value_units"), target.alias("t"), n).select(
+        "result_value_units", F.concat(F.lit("u"), F.col("t").cast("string")).alias("target"), (F.col("p_size") / 8.0).alias("multiplication_factor"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from traitflow import schema as S
@@ -27,7 +27,7 @@ from traitflow.operators import traits as TR
 from traitflow.plans import bindings as B
 from traitflow.plans import pipeline as P
 from traitflow.plans.sql_bindings import REGION_TEXT, with_clause
-from traitflow.plans.staging import staged
+from traitflow.plans.staging import fingerprint, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -49,7 +49,7 @@ def region_text(c="region_types"):
 # --- shared Spark building blocks ---------------------------------------------------------
 
 def segments(spark, d):
-    return staged(spark, f"segments:{d}", lambda: IV.admission_windows(B.stays(spark, d)))
+    return staged(spark, f"segments:{d}:{fingerprint(spark, d)}", lambda: IV.admission_windows(B.stays(spark, d)))
 
 
 def ranged(spark, d):
@@ -62,7 +62,7 @@ def pre_tiling(spark, d):
 
 def tiled(spark, d):
     """The tiled, region-classified readings, written once and shared by every output query."""
-    return staged(spark, f"tiled:{d}", lambda: P.quant_pipeline(
+    return staged(spark, f"tiled:{d}:{fingerprint(spark, d)}", lambda: P.quant_pipeline(
         B.readings(spark, d), B.stays(spark, d), B.traits(spark), B.aliases(spark), B.units(spark),
         B.linkage(spark, d), B.questionnaire(spark, d), B.AS_OF, segments=segments(spark, d)))
 
@@ -240,7 +240,7 @@ def q_range_join_regions(spark, d):
     FROM readings r LEFT JOIN segs s ON r.pseudo_nhs_number = s.id AND r.test_date >= s.s AND r.test_date < s.e""")
 def q_join_regions_m1(spark, d):
     r = B.readings(spark, d)
-    out = RG.add_region_types(r, segments(spark, d), via_lookup=True)
+    out = RG.add_region_types(r, segments(spark, d))
     return out.select("pseudo_nhs_number", "test_date", "original_term", "result", "result_value_units",
                       "provenance", region_text())
 
@@ -290,9 +290,17 @@ def q_setting_split(spark, d):
 
 # --- traits, units, ranges ------------------------------------------------------------------
 
-@query("trait_dictionary", with_clause("dict_d") + "SELECT trait, target_units, \"min\", \"max\", alias FROM dict_d")
+PART_DICT = """WITH pt AS (SELECT CASE WHEN p_brand = 'Brand#7' THEN '#' ELSE '' END || p_brand || ' ' || p_type AS trait,
+      'u' || CAST(min(p_size) % 13 AS VARCHAR) AS target_units, min(p_retailprice) AS "min", max(p_retailprice) AS "max"
+    FROM part GROUP BY p_brand, p_type),
+  pa AS (SELECT DISTINCT p_brand || ' ' || p_type AS trait, p_name || ' ' || CAST(p_size AS VARCHAR) AS alias FROM part WHERE p_type <> 'SMALL'),
+  pd AS (SELECT pt.trait, target_units, "min", "max", alias FROM pt LEFT JOIN pa ON pt.trait = pa.trait)
+"""
+
+
+@query("trait_dictionary", PART_DICT + 'SELECT trait, target_units, "min", "max", alias FROM pd')
 def q_trait_dictionary(spark, d):
-    return TR.trait_dictionary(B.traits(spark), B.aliases(spark))
+    return TR.trait_dictionary(B.part_traits(spark, d), B.part_aliases(spark, d))
 
 
 @query("join_terms_to_traits", with_clause("readings", "dict_d") + """SELECT r.original_term, d.trait,
@@ -807,9 +815,16 @@ def pulls(spark, d):
             for p, ks in PULLS]
 
 
+def pulled(spark, d):
+    """All four pulls in one pass over the readings: a reading is in each pull that asks for it."""
+    at = F.array_position(F.array(*[F.lit(f"pull_{c}") for c in "abcd"]), F.col("provenance")) - 1
+    named = F.array(*[F.when(at.isin(*ks), F.lit(p)) for p, ks in PULLS])
+    return B.readings(spark, d).withColumn("provenance", F.explode(F.filter(named, lambda p: p.isNotNull())))
+
+
 @query("union_sources", PULL_SQL + "SELECT provenance, count(*) AS n FROM PULLS GROUP BY provenance")
 def q_union_sources(spark, d):
-    return DD.union_sources(pulls(spark, d)).groupBy("provenance").agg(F.count("*").alias("n"))
+    return pulled(spark, d).groupBy("provenance").agg(F.count("*").alias("n"))
 
 
 DEDUP_SQL = """SELECT pseudo_nhs_number, test_date, original_term, result, result_value_units,
@@ -819,7 +834,7 @@ DEDUP_SQL = """SELECT pseudo_nhs_number, test_date, original_term, result, resul
 
 @query("dedup_readings", PULL_SQL + DEDUP_SQL.replace("{where}", ""))
 def q_dedup_readings(spark, d):
-    return DD.dedup_readings(DD.union_sources(pulls(spark, d)), B.PROVENANCE_ORDER)
+    return DD.dedup_readings(pulled(spark, d), B.PROVENANCE_ORDER)
 
 
 @query("merge_primary", PULL_SQL + DEDUP_SQL.replace("{where}", "WHERE provenance IN ('pull_a', 'pull_b')"))
@@ -836,9 +851,7 @@ def q_merge_secondary(spark, d):
 
 @query("merge_all_sources", PULL_SQL + DEDUP_SQL.replace("{where}", ""))
 def q_merge_all_sources(spark, d):
-    p = pulls(spark, d)
-    primary, secondary = DD.merge(p[:2], B.PROVENANCE_ORDER), DD.merge(p[2:], B.PROVENANCE_ORDER)
-    return DD.merge([primary, secondary], B.PROVENANCE_ORDER)
+    return DD.merge([pulled(spark, d)], B.PROVENANCE_ORDER)
 
 
 @query("tag_provenance", with_clause("readings") + """SELECT pseudo_nhs_number, test_date, original_term, result,
@@ -864,18 +877,25 @@ def q_canonical_select(spark, d):
                                      "l_linestatus": "result_value_units"})
 
 
-@query("sort_stays", with_clause("stays") + "SELECT pseudo_nhs_number, adm, dis FROM stays ORDER BY 1, 2, 3 DESC")
+@query("sort_stays", with_clause("stays") + """SELECT pseudo_nhs_number, adm, dis,
+    row_number() OVER (PARTITION BY pseudo_nhs_number ORDER BY adm, dis DESC NULLS LAST) AS place FROM stays""")
 def q_sort_stays(spark, d):
+    """Stays in order, with their place in the person's order."""
     st = B.stays(spark, d).select("pseudo_nhs_number", F.col("hospital_admission_datetime").alias("adm"),
                                   F.col("hospital_discharge_datetime").alias("dis"))
-    return st.orderBy("pseudo_nhs_number", "adm", F.desc("dis"))
+    order = [F.col("adm").asc(), F.col("dis").desc_nulls_last()]
+    return (st.withColumn("place", F.row_number().over(Window.partitionBy("pseudo_nhs_number").orderBy(*order)).cast("long"))
+            .orderBy("pseudo_nhs_number", "place"))
 
 
-@query("sort_desc_counts", with_clause("readings") + """SELECT original_term, result_value_units, count(*) AS n
-    FROM (SELECT DISTINCT pseudo_nhs_number, original_term, result_value_units FROM readings) x
-    GROUP BY ALL ORDER BY n DESC""")
+@query("sort_desc_counts", with_clause("readings") + """SELECT original_term, result_value_units, n,
+    row_number() OVER (ORDER BY n DESC, original_term, result_value_units NULLS FIRST) AS place FROM (
+      SELECT original_term, result_value_units, count(*) AS n
+      FROM (SELECT DISTINCT pseudo_nhs_number, original_term, result_value_units FROM readings) x GROUP BY ALL) y""")
 def q_sort_desc_counts(spark, d):
-    return TR.units_counts(B.readings(spark, d))
+    """The count table (one row per term and unit) in descending order, with the place in it."""
+    order = [F.desc("n"), F.asc_nulls_first("original_term"), F.asc_nulls_first("result_value_units")]
+    return TR.units_counts(B.readings(spark, d)).withColumn("place", F.row_number().over(Window.orderBy(*order)).cast("long"))
 
 
 # --- reshaping ------------------------------------------------------------------------------
@@ -956,21 +976,26 @@ def q_audit_join(spark, d):
     return counts
 
 
-@query("check_dictionary_unique", with_clause("units_d") + """SELECT result_value_units, target, count(*) AS n
-    FROM units_d GROUP BY ALL HAVING count(*) > 1""")
+@query("check_dictionary_unique", PART_DICT + "SELECT alias, count(*) AS n FROM pa GROUP BY alias HAVING count(*) > 1")
 def q_check_dictionary_unique(spark, d):
-    u = B.units(spark)
-    AU.check_dictionary_unique(u, ["result_value_units", "target"])
-    return AU.duplicates(u, ["result_value_units", "target"])
+    """The unit key passes; aliases that name several traits break uniqueness and are reported."""
+    AU.check_dictionary_unique(B.part_units(spark, d), ["result_value_units", "target"])
+    return AU.duplicates(B.part_aliases(spark, d), ["alias"])
 
 
-@query("check_m1", with_clause("readings", "segs") + """SELECT pseudo_nhs_number, test_date, count(*) AS n FROM (
-    SELECT DISTINCT p.pseudo_nhs_number, p.test_date, s.s FROM readings p JOIN segs s
+@query("check_m1", with_clause("readings", "stays") + """SELECT pseudo_nhs_number, test_date, count(*) AS n FROM (
+    SELECT p.pseudo_nhs_number, p.test_date, s.s FROM (SELECT DISTINCT pseudo_nhs_number, test_date FROM readings) p JOIN (
+      SELECT pseudo_nhs_number AS id, CAST(adm AS DATE) AS s, CAST(dis AS DATE) + 30 AS e FROM stays WHERE dis IS NOT NULL) s
       ON p.pseudo_nhs_number = s.id AND p.test_date >= s.s AND p.test_date < s.e) x
     GROUP BY ALL HAVING count(*) > 1""")
 def q_check_m1(spark, d):
-    lookup = RG.region_lookup(B.readings(spark, d), segments(spark, d))
-    return AU.duplicates(lookup, ["pseudo_nhs_number", "test_date"])
+    """Segments pass the check; the stays with 30 days after them, not merged, overlap and break it:
+    the dates that meet several are reported."""
+    AU.check_m1(RG.region_lookup(B.readings(spark, d), segments(spark, d)), ["pseudo_nhs_number", "test_date"])
+    st = B.stays(spark, d).filter(F.col("hospital_discharge_datetime").isNotNull()).select(
+        "pseudo_nhs_number", F.col("hospital_admission_datetime").cast("date").alias("start_date"),
+        F.date_add(F.col("hospital_discharge_datetime").cast("date"), 30).alias("end_date"), F.array(F.lit("APC")).alias("region_types"))
+    return AU.duplicates(RG.region_lookup(B.readings(spark, d), st), ["pseudo_nhs_number", "test_date"])
 
 
 @query("check_unique_ids", with_clause("linkage") + """SELECT count(OrageneID) AS n,
@@ -982,11 +1007,12 @@ def q_check_unique_ids(spark, d):
 
 
 @query("check_closed_set", with_clause("readings") + """SELECT provenance, count(*) AS n FROM readings
-    WHERE provenance NOT IN ('pull_a', 'pull_b', 'pull_c', 'pull_d') GROUP BY provenance""")
+    WHERE provenance NOT IN ('pull_a', 'pull_b', 'pull_c') GROUP BY provenance""")
 def q_check_closed_set(spark, d):
     r = B.readings(spark, d)
     S.check_closed_set(r, "provenance", B.PROVENANCE_ORDER)
-    return r.filter(~F.col("provenance").isin(B.PROVENANCE_ORDER)).groupBy("provenance").agg(F.count("*").alias("n"))
+    # the readings that break the smaller set
+    return r.filter(~F.col("provenance").isin(B.PROVENANCE_ORDER[:3])).groupBy("provenance").agg(F.count("*").alias("n"))
 
 
 # --- sources: readers, recipes, stays, linkage ---------------------------------------------
@@ -1065,6 +1091,38 @@ def q_ingest_bradford_meas(spark, d):
     return IN.ingest(spark, RC.bradford_meas_2022_06(), EX.bradford_meas(spark, d))
 
 
+@query("ingest_bradford_meas_2024_12", _combo_sql(
+    "l_orderkey % 7 NOT IN (1, 2, 3)", term="""CASE l_linenumber % 6 WHEN 0 THEN 'weight' WHEN 1 THEN 'standing height'
+      WHEN 2 THEN 'body mass index' WHEN 3 THEN 'blood pressure' WHEN 4 THEN 'glucose (fasting)' ELSE 'Pulse rate' END""", result=Q_SQL,
+    unit="""CASE l_linenumber % 6 WHEN 0 THEN 'kg' WHEN 1 THEN 'cm' WHEN 2 THEN 'kg/m^2' WHEN 3 THEN 'mmHg'
+      WHEN 4 THEN 'mmol/L' END""", key="2024_12_Bradford_measurements"))
+def q_ingest_bradford_meas_2024(spark, d):
+    return IN.ingest(spark, RC.bradford_meas_2024_12(), EX.bradford_meas_2024(spark, d))
+
+
+@query("ingest_audit", with_clause("readings") + """, c AS (SELECT count(*) AS n0,
+      sum(CASE WHEN l_orderkey % 7 <> 1 THEN 1 ELSE 0 END) AS n1 FROM readings),
+    k AS (SELECT count(*) AS n1 FROM readings WHERE l_orderkey % 7 NOT IN (1, 2, 3))
+    SELECT '2024_12_Bradford_measurements' AS provenance, 1 AS step, 'regex_block result' AS label, n0 AS before, k.n1 AS after,
+      round((k.n1 - n0) * 100.0 / n0, 1) AS pct_change FROM c, k""")
+def q_ingest_audit(spark, d):
+    """Rows before and after each filtering step of a source, counted by the one job that writes its result."""
+    recipe, log = RC.bradford_meas_2024_12(), IN.StepCounts()
+    out = IN.ingest(spark, recipe, EX.bradford_meas_2024(spark, d), dedup=False, counts=log)
+    out.write.mode("overwrite").parquet(staging_path(spark, "ingest-audit"))
+    return spark.createDataFrame(log.rows(recipe.key), IN.AUDIT_SCHEMA)
+
+
+@query("quarantine_lines", with_clause("readings") + """SELECT '2022_03_Barts_path' AS provenance, 'drop_quoted' AS rule,
+    pseudo_nhs_number || ',' || strftime(test_date, '%Y-%m-%d %H:%M') || ',"' || original_term || ', repeat",' ||
+    CASE l_orderkey % 6 WHEN 0 THEN '< ' || {q} WHEN 1 THEN '<' || {q} WHEN 2 THEN '>' || {q} WHEN 3 THEN 'NA'
+      WHEN 4 THEN {q} || ' -' ELSE {q} END || ',' || coalesce(result_value_units, '') AS value
+    FROM readings WHERE l_orderkey % 17 = 0""".replace("{q}", Q_SQL))
+def q_quarantine_lines(spark, d):
+    out = IN.quarantine_lines(spark, RC.barts_path_2022_03(), EX.barts_2022_03(spark, d))
+    return out.select("provenance", "rule", "value")
+
+
 @query("ingest_barts_meas_2023_05", _combo_sql(
     "l_orderkey % 5 <> 1", result=f"CASE WHEN l_orderkey % 5 = 2 THEN '36.1' ELSE {Q_SQL} END",
     key="2023_05_Barts_measurements"))
@@ -1176,9 +1234,9 @@ def q_scan_typed(spark, d):
     return RD.read_typed(spark, EX.nda_bmi(spark, d), schema, "|").select("STUDY_ID", "AUDIT_YEAR", "BMI_VALUE")
 
 
-@query("scan_dictionary", with_clause("dict_d") + "SELECT trait, target_units, \"min\", \"max\", alias FROM dict_d")
+@query("scan_dictionary", PART_DICT + 'SELECT trait, target_units, "min", "max", alias FROM pd')
 def q_scan_dictionary(spark, d):
-    paths = EX.dictionaries(spark)
+    paths = EX.written_dictionaries(spark, B.part_traits(spark, d), B.part_aliases(spark, d), B.part_units(spark, d))
     units = DI.load_units(spark, paths["units"])
     traits = DI.load_traits(spark, paths["traits"], DI.target_units(units))
     return TR.trait_dictionary(traits, DI.load_aliases(spark, paths["aliases"]))
@@ -1302,10 +1360,9 @@ def q_audit_filter(spark, d):
     return log.report(spark)
 
 
-@query("join_trait_aliases", with_clause("dict_d") + """SELECT trait, count(alias) AS n_aliases
-    FROM dict_d GROUP BY trait""")
+@query("join_trait_aliases", PART_DICT + "SELECT trait, count(alias) AS n_aliases FROM pd GROUP BY trait")
 def q_join_trait_aliases(spark, d):
-    return TR.trait_dictionary(B.traits(spark), B.aliases(spark)).groupBy("trait").agg(
+    return TR.trait_dictionary(B.part_traits(spark, d), B.part_aliases(spark, d)).groupBy("trait").agg(
         F.count("alias").alias("n_aliases"))
 
 

@@ -131,6 +131,17 @@ def bradford_meas(spark, d) -> str:
     return write_text_table(out, spark, "extract-bradford-meas", "\t")
 
 
+def bradford_meas_2024(spark, d) -> str:
+    x = _lines(spark, d)
+    n, k, q = F.col("l_linenumber") % 6, F.col("l_orderkey") % 7, _q()
+    title = (F.when(n == 0, "weight").when(n == 1, "standing height").when(n == 2, "body mass index").when(n == 3, "blood pressure")
+             .when(n == 4, "glucose (fasting)").otherwise("Pulse rate"))
+    answer = F.when(k == 1, F.concat(q, F.lit(" - "), q)).when(k == 2, F.concat(q, F.lit("kg"))).when(k == 3, F.concat(q, F.lit("/"), q)).otherwise(q)
+    out = x.select(F.col("person").alias("PseudoNHS_2024-07-10"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("date_of_measurement"),
+                   F.col("l_partkey").cast("string").alias("EVENT_CD"), title.alias("EVENT_TITLE"), answer.alias("EVENT_ANSWER"))
+    return write_text_table(out, spark, "extract-bradford-meas-2024", "\t")
+
+
 def barts_meas(spark, d) -> str:
     x = _lines(spark, d)
     k = F.col("l_orderkey") % 5
@@ -279,6 +290,10 @@ def linkage(spark, d) -> str:
 
 
 def dictionaries(spark) -> dict[str, str]:
-    return {"traits": write_text_table(B.traits(spark), spark, "dict-traits", ","),
-            "aliases": write_text_table(B.aliases(spark), spark, "dict-aliases", ","),
-            "units": write_text_table(B.units(spark), spark, "dict-units", ",")}
+    return written_dictionaries(spark, B.traits(spark), B.aliases(spark), B.units(spark))
+
+
+def written_dictionaries(spark, traits: DataFrame, aliases: DataFrame, units: DataFrame) -> dict[str, str]:
+    return {"traits": write_text_table(traits, spark, "dict-traits", ","),
+            "aliases": write_text_table(aliases, spark, "dict-aliases", ","),
+            "units": write_text_table(units, spark, "dict-units", ",")}

@@ -1,7 +1,8 @@
 """The end-to-end plan: readings + stays + dictionaries + people -> tiled, classified readings.
 
 Shuffle plan at scale (readings are the only large input):
-  * dictionary, unit and people joins are broadcast behind row-count checks (no shuffle);
+  * dictionary, unit and people joins carry no hint: Spark broadcasts what is below its size
+    threshold and shuffles the rest;
   * the tile dedup is one partial aggregation on (person, trait, value, tile);
   * hospital regions are looked up for the tiled survivors only (regions depend on
     (person, date), and the survivor's date decides them), so the range join and its
@@ -21,7 +22,6 @@ from traitflow.operators import people as PE
 from traitflow.operators import regions as RG
 from traitflow.operators import tiles as TI
 from traitflow.operators import traits as TR
-from traitflow.session import checkpoint_root
 
 
 def ranged_readings(readings: DataFrame, traits: DataFrame, aliases: DataFrame, units: DataFrame) -> DataFrame:
@@ -46,12 +46,9 @@ def quant_pipeline(readings: DataFrame, stays: DataFrame, traits: DataFrame, ali
     """Tiled readings with ``region_types`` (columns ``schema.TILED_COLUMNS``).
 
     ``segments`` may be passed in when the admission windows are already staged; otherwise
-    they are computed and checkpointed (reliable checkpoint in the shared checkpoint folder), so
-    the broadcast size check and the join read one materialised result instead of running the
-    interval algebra twice."""
+    they are part of this plan (read once, by the region join)."""
     if segments is None:
-        checkpoint_root(stays.sparkSession)
-        segments = IV.admission_windows(stays).checkpoint(eager=True)
+        segments = IV.admission_windows(stays)
     pre = people_restricted(ranged_readings(readings, traits, aliases, units), linkage, questionnaire, as_of)
     tiled = TI.tile_dedup_11d(pre)
     with_regions = RG.add_region_types(tiled.withColumnRenamed("date", "test_date"), segments)

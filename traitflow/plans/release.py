@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from traitflow.operators import audit as AU
 from traitflow.operators import dedup as DD
 from traitflow.operators import filters as FL
 from traitflow.operators import intervals as IV
@@ -47,9 +48,15 @@ class ReleaseConfig:
     unit_fills: list[tuple[str, str]] = field(default_factory=lambda: list(RC.COMBO_UNIT_FILLS))
 
 
-def build_combo(spark: SparkSession, cfg: ReleaseConfig) -> DataFrame:
-    """Every source through its recipe, merged with one dedup, missing units filled."""
-    parts = [IN.ingest(spark, recipe, paths) for recipe, paths in cfg.sources]
+def build_combo(spark: SparkSession, cfg: ReleaseConfig, counts: list | None = None) -> DataFrame:
+    """Every source through its recipe, merged with one dedup, missing units filled. ``counts`` gets a
+    ``StepCounts`` per provenance."""
+    parts = []
+    for recipe, paths in cfg.sources:
+        log = IN.StepCounts() if counts is not None else None
+        if counts is not None:
+            counts.append((recipe.key, log))
+        parts.append(IN.ingest(spark, recipe, paths, dedup=False, counts=log))
     combo = DD.merge(parts, cfg.provenance_order)
     for term, unit in cfg.unit_fills:
         combo = FL.impute_unit_for_term(combo, term, unit)
@@ -58,7 +65,14 @@ def build_combo(spark: SparkSession, cfg: ReleaseConfig) -> DataFrame:
 
 def run_release(spark: SparkSession, cfg: ReleaseConfig) -> dict[str, str]:
     out = cfg.output.rstrip("/")
-    combo = SK.stage(spark, build_combo(spark, cfg), f"{out}/stages/combo")
+    logs: list = []
+    combo = SK.stage(spark, build_combo(spark, cfg, logs), f"{out}/stages/combo")
+    steps = [row for key, log in logs for row in log.rows(key)]
+    SK.write_counts(spark.createDataFrame(steps, IN.AUDIT_SCHEMA), f"{out}/logs/ingest_audit")
+    for i, (recipe, source) in enumerate(cfg.sources):
+        rejected = IN.quarantine_lines(spark, recipe, source)
+        if rejected is not None:
+            rejected.write.mode("overwrite").parquet(f"{out}/quarantine/source={i}")
     stays = IN.combine_stays([IN.ingest_stays(spark, p, sep) for p, sep in cfg.stays])
     segments = SK.stage(spark, IV.admission_windows(stays), f"{out}/stages/segments")
 
@@ -66,13 +80,16 @@ def run_release(spark: SparkSession, cfg: ReleaseConfig) -> dict[str, str]:
     traits = DI.load_traits(spark, cfg.traits, DI.target_units(units))
     aliases = DI.load_aliases(spark, cfg.aliases)
     linkage = IN.load_linkage(spark, cfg.linkage)
+    AU.check_unique_ids(linkage, "OrageneID")
+    AU.check_m1(segments, ["pseudo_nhs_number", "start_date"])   # segments of a person are disjoint: a date meets one
     questionnaire = IN.load_questionnaire(spark, cfg.questionnaire)
 
     tiled = SK.stage(spark, P.quant_pipeline(combo, stays, traits, aliases, units, linkage, questionnaire,
                                              cfg.as_of, segments=segments), f"{out}/stages/tiled")
     by_setting = RG.setting_split(tiled)
 
-    paths = {"combo": f"{out}/stages/combo", "segments": f"{out}/stages/segments", "tiled": f"{out}/stages/tiled"}
+    paths = {"combo": f"{out}/stages/combo", "segments": f"{out}/stages/segments", "tiled": f"{out}/stages/tiled",
+             "ingest_audit": f"{out}/logs/ingest_audit", "quarantine": f"{out}/quarantine"}
     paths["readings"] = f"{out}/individual_trait_files/readings"
     SK.write_by_trait(by_setting.select(*S.READINGS_FILE_COLUMNS, "setting"), paths["readings"])
     paths["per_individual_stats"] = f"{out}/individual_trait_files/per_individual_stats"
@@ -83,7 +100,8 @@ def run_release(spark: SparkSession, cfg: ReleaseConfig) -> dict[str, str]:
     SK.write_counts(ST.trait_log10_histogram(by_setting), paths["trait_histograms"])
     for cohort in ("gsa", "exome"):
         ids = PE.genotype_ids(linkage, cohort)
-        pheno = ST.phenotype_table(by_setting, ids)
+        # read three times below: written once
+        pheno = SK.stage(spark, ST.phenotype_table(by_setting, ids), f"{out}/stages/phenotype_{cohort}")
         paths[f"phenotype_{cohort}"] = f"{out}/phenotypes/{cohort}"
         SK.write_tsv(pheno.hint("rebalance", "setting", "trait"), paths[f"phenotype_{cohort}"], "NA",
                      partition_by=["setting", "trait"])

@@ -8,6 +8,7 @@ it instead of recomputing it.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable
 
@@ -18,6 +19,17 @@ from traitflow.session import staging_path
 _STAGED: dict[tuple[str, str], str] = {}
 
 
+def fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Digest of the names, sizes and modification times of the input files, from Spark's file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()[:16]
+
+
 def staged(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> DataFrame:
     app = spark.sparkContext.applicationId
     k = (app, key)

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from traitflow import schema as S
 from traitflow.functions import scalars as X
+from traitflow.operators import audit as AU
 from traitflow.operators import dedup as DD
 from traitflow.operators import filters as FL
 from traitflow.sources import lines as LN
@@ -85,27 +85,45 @@ def apply_step(df: DataFrame, step: tuple) -> DataFrame:
     raise ValueError(f"unknown step {kind}")
 
 
-def read_source(spark: SparkSession, recipe: Recipe, paths) -> DataFrame:
-    """Raw all-string rows of a source, after its line rules."""
-    if not recipe.line_rules:
-        return read_raw(spark, paths, recipe.sep, recipe.null_values, recipe.header, recipe.columns,
-                        file_col=recipe.file_col, exclude_files=recipe.exclude_files)
-    lines = LN.read_lines(spark, paths)
-    width = None
+def source_lines(spark: SparkSession, recipe: Recipe, paths) -> tuple[DataFrame, DataFrame | None]:
+    """(kept, rejected): the lines of a source after its line rules, and the lines they set aside
+    (value, file_path, rule)."""
+    lines, rejected = LN.read_lines(spark, paths), None
     for rule in recipe.line_rules:
+        bad = None
         if rule[0] == "drop_quoted":
-            lines, _ = LN.drop_quoted_delimiter_lines(lines, rule[1])
+            lines, bad = LN.drop_quoted_delimiter_lines(lines, rule[1])
         elif rule[0] == "strip_quotes":
             lines = LN.strip_double_quotes(lines)
         elif rule[0] == "width":
-            width = rule[1]
-            lines, _ = LN.keep_expected_width_lines(lines, recipe.sep, width)
+            lines, bad = LN.keep_expected_width_lines(lines, recipe.sep, rule[1])
+        if bad is not None:
+            bad = bad.select("value", "file_path", F.lit(rule[0]).alias("rule"))
+            rejected = bad if rejected is None else rejected.unionByName(bad)
+    return lines, rejected
+
+
+def quarantine_lines(spark: SparkSession, recipe: Recipe, paths) -> DataFrame | None:
+    """The lines of a source that its rules reject: provenance, rule, file, value. None for a recipe without line rules."""
+    _, rejected = source_lines(spark, recipe, paths)
+    if rejected is None:
+        return None
+    return rejected.select(F.lit(recipe.key).alias("provenance"), "rule", X.file_stem("file_path").alias("file"), "value")
+
+
+def read_source(spark: SparkSession, recipe: Recipe, paths) -> DataFrame:
+    """Raw all-string rows of a source, after its line rules."""
+    if not recipe.line_rules:
+        return read_raw(spark, paths, recipe.sep, recipe.null_values, recipe.header, recipe.columns,
+                        file_col=recipe.file_col, exclude_files=recipe.exclude_files)
+    lines, _ = source_lines(spark, recipe, paths)
     columns = recipe.columns
     if columns is None:
         if not recipe.header:
             raise ValueError("line rules on a headerless source need the column list")
         known = list(recipe.rename) + list(recipe.date_candidates or [])
         columns = LN.header_columns(lines, recipe.sep, known)
+        lines = LN.check_headers(lines, recipe.sep, columns, known)
     return LN.parse_lines(lines, recipe.sep, columns, recipe.null_values, recipe.header)
 
 
@@ -121,13 +139,44 @@ def unpivot_bp(df: DataFrame, id_col: str, date_col: str, fmt: str | None = None
                        F.lit("mmHg").alias("result_value_units"))
 
 
-def ingest(spark: SparkSession, recipe: Recipe, paths, dedup: bool = True) -> DataFrame:
-    """Source files -> deduplicated combo rows tagged with the recipe's provenance."""
-    df = read_source(spark, recipe, paths)
+class StepCounts:
+    """Rows after each labelled step of an ingest, counted by ``observe`` in the job that writes the result."""
+
+    def __init__(self):
+        self.steps: list[tuple[str, Observation]] = []
+
+    def see(self, df: DataFrame, label: str) -> DataFrame:
+        seen = Observation(f"{len(self.steps)}:{label}")
+        self.steps.append((label, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("n"))
+
+    def rows(self, provenance: str) -> list[tuple]:
+        """(provenance, step, label, before, after, pct_change) of each step, after the job has run."""
+        counts = [seen.get["n"] for _, seen in self.steps]
+        return [(provenance, i, self.steps[i][0], b, a, None if b == 0 else AU._round1((a - b) * 100.0 / b))
+                for i, (b, a) in enumerate(zip(counts, counts[1:]), start=1)]
+
+
+AUDIT_SCHEMA = "provenance string, step int, label string, before long, after long, pct_change double"
+FILTER_STEPS = {"not_null", "ne", "regex_block", "starts_block", "ends_block", "regex_keep", "nonempty"}
+
+
+def step_label(step: tuple) -> str:
+    kind, *args = step
+    where = ",".join(args[0]) if isinstance(args[0], list) else str(args[0])
+    return f"{kind} {where}"
+
+
+def ingest(spark: SparkSession, recipe: Recipe, paths, dedup: bool = True, counts: StepCounts | None = None) -> DataFrame:
+    """Source files -> combo rows tagged with the recipe's provenance, deduplicated unless a later merge does it.
+
+    ``counts`` collects the rows before and after each filtering step while the result is written."""
+    see = counts.see if counts is not None else (lambda df, label: df)
+    df = see(read_source(spark, recipe, paths), "read")
     if recipe.unpivot:
         (id_col, date_col) = [k for k, v in recipe.rename.items() if v in ("pseudo_nhs_number", "test_date")]
         long = unpivot_bp(df, id_col, date_col, recipe.date_format)
-        out = FL.canonical_select(FL.tag_provenance(long, recipe.key, recipe.source))
+        out = see(FL.canonical_select(FL.tag_provenance(long, recipe.key, recipe.source)), "unpivot")
         return DD.dedup_constant_source(out, recipe.key, recipe.source) if dedup else out
     for raw, canon in recipe.rename.items():
         df = df.withColumnRenamed(raw, canon)
@@ -135,6 +184,8 @@ def ingest(spark: SparkSession, recipe: Recipe, paths, dedup: bool = True) -> Da
         df = df.withColumn(canon, F.lit(value))
     for step in recipe.steps:
         df = apply_step(df, step)
+        if step[0] in FILTER_STEPS:
+            df = see(df, step_label(step))
     if recipe.date_candidates:
         date = X.first_valid_date(recipe.date_candidates, recipe.date_format)
     elif recipe.clock12:
@@ -146,9 +197,9 @@ def ingest(spark: SparkSession, recipe: Recipe, paths, dedup: bool = True) -> Da
     result = (X.parse_number_strict("result") if recipe.result_strict else X.parse_number_lenient("result"))
     df = df.withColumn("test_date", date).withColumn("result", result)
     if not recipe.result_strict:
-        df = FL.filter_not_nan(df, "result")
+        df = see(FL.filter_not_nan(df, "result"), "result is a number")
     if not recipe.date_strict or recipe.date_candidates or recipe.clock12:
-        df = df.filter(F.col("test_date").isNotNull())
+        df = see(df.filter(F.col("test_date").isNotNull()), "date is valid")
     if "result_value_units" not in df.columns:
         df = df.withColumn("result_value_units", F.lit(None).cast("string"))
     out = FL.canonical_select(FL.tag_provenance(df, recipe.key, recipe.source))
@@ -182,7 +233,3 @@ def load_questionnaire(spark: SparkSession, paths) -> DataFrame:
     return read_raw(spark, paths, ",", ("",), True).select(
         "S1QST_Oragene_ID", "S1QST_Gender", "S1QST_MM-YYYY_ofBirth")
 
-
-def check_combo(df: DataFrame) -> DataFrame:
-    S.ensure_columns(df, S.COMBO_COLUMNS)
-    return df

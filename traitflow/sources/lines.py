@@ -70,6 +70,17 @@ def header_columns(lines: DataFrame, sep: str, must_contain: list[str] | None =
     return first[0].split(sep)
 
 
+def check_headers(lines: DataFrame, sep: str, columns: list[str], must_contain: list[str]) -> DataFrame:
+    """``lines``, failing on a header line (one that holds every name) with other columns or another
+    order than ``columns``: files of one source must agree."""
+    header = F.lit(True)
+    for name in must_contain:
+        header = header & F.col("value").contains(name)
+    other = header & (F.col("value") != F.lit(sep.join(columns)))
+    return lines.withColumn("value", F.when(other, F.raise_error(F.concat(F.lit("files with different headers: "), F.col("value"))).cast("string"))
+                            .otherwise(F.col("value")))
+
+
 def parse_lines(lines: DataFrame, sep: str, columns: list[str], null_values=("",),
                 header: bool = True, keep_file: bool = False) -> DataFrame:
     """Parse text lines into all-string columns; header lines (equal to the column names) drop."""

@@ -44,6 +44,10 @@ def read_raw(spark: SparkSession, paths: str | list[str], sep: str = ",", null_v
     reader = _reader(spark, sep, header)
     if columns is not None:
         reader = reader.schema(string_schema(columns))
+    else:
+        # the names come from one file: a file whose header differs fails the job instead of
+        # having its columns taken in another file's order
+        reader = reader.option("enforceSchema", False)
     df = reader.csv(paths)
     if file_col or exclude_files:
         df = df.withColumn("_file_path", F.col("_metadata.file_path")) \
