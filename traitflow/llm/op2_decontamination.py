@@ -40,38 +40,50 @@ def item_words(text: Column) -> Column:
     return F.filter(F.split(C.lower_ascii(F.coalesce(text, F.lit(""))), NOT_WORD), lambda w: w != F.lit(""))
 
 
-def grams(w: Column, n: int) -> Column:
-    """Hashes of the n-grams of the array ``w`` (empty if it is shorter)."""
-    return F.when(F.size(w) >= n, F.transform(F.slice(w, 1, F.size(w) - (n - 1)), lambda x, i: F.xxhash64(
-        *([x] + [w[i + j] for j in range(1, n)])))).otherwise(F.array().cast("array<bigint>"))
+def shifted(a: Column, b: Column, by: int, f) -> Column:
+    """f(a[i], b[i + by]) for every i that both have."""
+    n = F.size(b) - by
+    return F.zip_with(F.slice(a, 1, n), F.slice(b, by + 1, n), f)
 
 
-def winnowed(h: Column) -> Column:
-    """Places in ``h`` (hashes of K-grams) that are the smallest of some T - K + 1 consecutive ones;
-    all of equal ones. ``h`` is one hash longer than the number of places that begin a window."""
-    span = T - K + 1
+def grams(w: Column) -> Column:
+    """Hashes of the K-grams of the array ``w`` (empty if it is shorter), from halves: 1 + 1, 2 + 2, 4 + 1."""
+    of = lambda x, y: F.xxhash64(x, y)
+    built = C.let(F.transform(w, lambda x: F.xxhash64(x)), lambda h: C.let(shifted(h, h, 1, of), lambda two: C.let(
+        shifted(two, two, 2, of), lambda four: shifted(four, h, 4, of))))
+    return F.when(F.size(w) >= K, built).otherwise(F.array().cast("array<bigint>"))
+
 
-    def lows(a):  # the minimum of each window of span hashes
-        return F.transform(F.slice(a, 1, F.size(a) - (span - 1)), lambda x, i: F.least(*([x] + [a[i + j] for j in range(1, span)])))
+def window_hashes(h: Column) -> Column:
+    """Hashes of the T-word windows from the K-gram hashes ``h``: two halves each."""
+    return F.when(F.size(h) > K, shifted(h, h, K, lambda x, y: F.xxhash64(x, y))).otherwise(F.array().cast("array<bigint>"))
 
-    def chosen(m):
-        last = F.size(m) - 1
-        return F.filter(F.transform(h, lambda x, i: F.when(
-            F.exists(F.slice(m, F.greatest(i - (span - 2), F.lit(1)), F.least(i + 1, F.lit(span)) - F.greatest(i - last, F.lit(0))), lambda y: y == x), i)
-            .otherwise(F.lit(-1))), lambda i: i >= 0)
 
-    return F.when(F.size(h) >= span, C.let(lows(h), chosen)).otherwise(F.array().cast("array<int>"))
+def sliding(a: Column, f) -> Column:
+    """f over every T - K + 1 (6) consecutive entries, by doubling (f is idempotent)."""
+    return C.let(shifted(a, a, 1, f), lambda two: C.let(shifted(two, two, 2, f), lambda four: shifted(four, four, 2, f)))
+
+
+def winnowed(h: Column) -> Column:
+    """Places in ``h`` (hashes of K-grams) that are the smallest of some T - K + 1 consecutive ones; all of
+    equal ones. A place is chosen if the largest of the minima of the spans around it is its own hash."""
+    span = T - K + 1
+    pad = F.array_repeat(F.lit(-(1 << 63)).cast("long"), span - 1)
+    tops = C.let(F.concat(pad, sliding(h, lambda x, y: F.least(x, y)), pad), lambda m: sliding(m, lambda x, y: F.greatest(x, y)))
+    chosen = C.let(tops, lambda t: F.filter(F.transform(h, lambda x, i: F.when(x == t[i], i).otherwise(F.lit(-1))), lambda i: i >= 0))
+    return F.when(F.size(h) >= span, chosen).otherwise(F.array().cast("array<int>"))
 
 
 def fingerprints(words: Column) -> Column:
-    """array<struct<fp, wins: array<struct<at, win>>>> of an array of words: each kept K-gram hash with
-    the places and hashes of the T-word windows that contain it."""
-    def of(w):
-        return C.let(F.struct(grams(w, K).alias("h"), grams(w, T).alias("g")), lambda s: F.transform(
-            winnowed(s["h"]), lambda p: C.let(F.greatest(p - (T - K), F.lit(0)), lambda a: F.struct(
-                s["h"][p].alias("fp"), a.cast("long").alias("at"),
-                F.slice(s["g"], a + 1, F.least(p, F.size(s["g"]) - 1) - a + 1).alias("wins")))))
-    return C.let(words, of)
+    """array<struct<fp, at, near>> of an array of words: each kept K-gram hash, the first of the (at most
+    six) windows that contain it, and the K-gram hashes that make up those windows."""
+    def around(h):
+        def one(p):
+            low = F.greatest(p - (T - K), F.lit(0))
+            high = F.least(p, F.size(h) - 1 - K) + K
+            return F.struct(h[p].alias("fp"), low.cast("long").alias("at"), F.slice(h, low + 1, high - low + 1).alias("near"))
+        return F.transform(winnowed(h), one)
+    return C.let(grams(words), around)
 
 
 def blocks(docs: DataFrame, key: str) -> DataFrame:
@@ -88,13 +100,13 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     (hash of the window), distinct."""
     source = items.select("item_id", item_words(F.col("text")).alias("w")).filter(F.size("w") > 0)
     long = source.filter(F.size("w") >= T)
-    test = long.select(F.explode(fingerprints(F.col("w"))).alias("f")).select(F.col("f.fp").alias("tfp"), F.explode("f.wins").alias("twin"))
+    test = long.select(F.explode(fingerprints(F.col("w"))).alias("f")).select(F.col("f.fp").alias("tfp"), F.explode(window_hashes(F.col("f.near"))).alias("twin"))
     # one row per fingerprint: the windows around it in any item
     test = C.written(test.groupBy("tfp").agg(F.collect_set("twin").alias("twins")), "decon-test")
     doc = (blocks(docs, "row").select("row", "base", F.explode(fingerprints(F.col("words"))).alias("f"))
-           .select("row", "base", "f.fp", "f.at", "f.wins"))
+           .select("row", "base", "f.fp", "f.at", "f.near"))
     met = doc.join(test, F.col("fp") == F.col("tfp"))
-    found = met.select("row", F.explode(F.filter(F.transform("wins", lambda g, i: F.struct(
+    found = met.select("row", F.explode(F.filter(F.transform(window_hashes(F.col("near")), lambda g, i: F.struct(
         (F.col("base") + F.col("at") + i).alias("at"), g.alias("win"))), lambda s: F.array_contains(F.col("twins"), s["win"]))).alias("s"))
     out = found.select("row", "s.at", F.lit(T).alias("n"), "s.win")
     short = C.written(source.filter(F.size("w") < T).select(F.size("w").alias("n"), F.xxhash64(F.col("w")).alias("win")).distinct(), "decon-short")
@@ -112,7 +124,7 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
 def item_windows(items: DataFrame) -> DataFrame:
     """item (number of the item row), item_id, n, win: the distinct windows of each item."""
     w = items.withColumn("item", F.monotonically_increasing_id()).select("item", "item_id", item_words(F.col("text")).alias("w"))
-    wins = F.when(F.size("w") >= T, C.let(F.col("w"), lambda a: F.transform(grams(a, T), lambda g: F.struct(F.lit(T).alias("n"), g.alias("win")))))
+    wins = F.when(F.size("w") >= T, C.let(grams(F.col("w")), lambda h: F.transform(window_hashes(h), lambda g: F.struct(F.lit(T).alias("n"), g.alias("win")))))
     whole = F.array(F.struct(F.size("w").alias("n"), F.xxhash64(F.col("w")).alias("win")))
     return w.filter(F.size("w") > 0).select("item", "item_id", F.explode(F.array_distinct(F.coalesce(wins, whole))).alias("s")).select("item", "item_id", "s.n", "s.win")
 
@@ -130,7 +142,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and spans (array<struct<at, n>>, the
     hit windows) for every document row."""
     docs = docs.select(F.col("doc_id"), F.col("text"))
-    keyed = docs.withColumn("row", row_key())
+    keyed = docs.withColumn("row", C.row_key())
     found = C.written(hits(keyed, items), "decon-hits")
     spans = found.groupBy("row").agg(F.collect_set(F.struct(F.col("at"), F.col("n").cast("long").alias("n"))).alias("spans"))
     # items by window class: windows of a document, then the items that hold them
@@ -143,7 +155,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     hit = (spans.join(pairs, "row").select(
         F.col("row").alias("hrow"), covered_words(F.col("spans")).alias("n_hit"), F.size("own").cast("long").alias("n_items"), listed.alias("items"),
         F.transform("spans", lambda s: s).alias("spans")))
-    counted = docs.select("doc_id", F.size(item_words(F.col("text"))).cast("long").alias("n_words"), row_key().alias("row"))
+    counted = docs.select("doc_id", F.size(item_words(F.col("text"))).cast("long").alias("n_words"), C.row_key().alias("row"))
     out = counted.join(hit, F.col("row") == F.col("hrow"), "left")
     return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
                       F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
@@ -151,17 +163,12 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
                       (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"), F.coalesce("spans", F.array().cast("array<struct<at:bigint,n:bigint>>")).alias("spans"))
 
 
-def row_key() -> Column:
-    """Key of a document row by its contents: equal rows (same id and text) share hits, rows with the
-    same id and other text do not."""
-    return F.struct(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("h"))
-
-
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any benchmark window, with their columns."""
-    keyed = docs.withColumn("_row", row_key())
-    hit = hits(docs.select("doc_id", "text").withColumn("row", row_key()), items).select(F.col("row").alias("_hit")).distinct()
-    return keyed.join(C.written(hit, "decon-hit"), F.col("_row").eqNullSafe(F.col("_hit")), "left_anti").select(*docs.columns)
+    row = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
+    keyed = docs.select(row, C.row_key().alias("_key"))
+    hit = hits(docs.select(C.row_key().alias("row"), "text"), items).select(F.col("row").alias("_hit")).distinct()
+    return keyed.join(C.written(hit, "decon-hit"), F.col("_key").eqNullSafe(F.col("_hit")), "left_anti").select("_row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
