@@ -38,10 +38,10 @@ def con():
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.catalog.QUERIES) == set(E.catalog.ORACLE) and set(E.catalog.QUERIES) <= set(E.queries())
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(E.catalog.QUERIES))
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF)
     rows = [tuple(r) for r in df.collect()]
