@@ -40,3 +40,6 @@ def test_release_end_to_end(spark):
     assert set(pheno.columns) >= {"FID", "IID", "median", "min", "max", "setting", "trait"}
     wide = spark.read.option("sep", "\t").option("header", True).csv(paths["phenotype_wide_gsa"])
     assert {"FID", "IID", "Alpha.median", "HbA1c.max", "Rho.min"} <= set(wide.columns)
+    audit = spark.read.parquet(f"{paths['ingest_audit']}/parquet")
+    assert audit.filter("provenance = '2023_05_Bradford_path' and after < before").count() > 0
+    assert audit.select("provenance").distinct().count() == 3

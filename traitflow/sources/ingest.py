@@ -146,7 +146,7 @@ class StepCounts:
         self.steps: list[tuple[str, Observation]] = []
 
     def see(self, df: DataFrame, label: str) -> DataFrame:
-        seen = Observation(f"{len(self.steps)}:{label}")
+        seen = Observation()     # named by a UUID: several sources meet in one plan
         self.steps.append((label, seen))
         return df.observe(seen, F.count(F.lit(1)).alias("n"))
 
