@@ -35,14 +35,24 @@ def main():
     if os.path.isdir(warm) and os.path.abspath(warm) != os.path.abspath(sf_dir):
         catalog.QUERIES["quant_pipeline"](spark, warm).write.format("noop").mode("overwrite").save()
     catalog.QUERIES["units_counts"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # quant_pipeline runs cold and writes the shared stages (segments, tiled readings); the output
+    # queries after it read them, so their times are those of the staged plan.
     times = {}
     for key in only:
         t0 = time.time()
         catalog.QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[key] = round(time.time() - t0, 3)
+    cold = {}
+    if os.environ.get("BENCH_COLD"):   # each output query again with its own stages
+        from traitflow.plans import staging
+        for key in only:
+            staging.forget()
+            t0 = time.time()
+            catalog.QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            cold[key] = round(time.time() - t0, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_seconds_headline_queries", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus}))
+                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, **({"cold": cold} if cold else {})}))
 
 
 if __name__ == "__main__":

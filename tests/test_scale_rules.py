@@ -97,3 +97,14 @@ def test_line_halves(spark):
     df = spark.createDataFrame([('a,"b,c",d',), ("a,b,c",)], "value string")
     kept, bad = LN.drop_quoted_delimiter_lines(df, ",")
     assert kept.count() == bad.count() == 1
+
+
+def test_staging_is_cleared(spark):
+    import os
+
+    from traitflow.session import clear_staging, staging_path
+    before = staging_path(spark, "kept")
+    spark.range(2).write.parquet(before)
+    clear_staging(spark)
+    assert not os.path.exists(before.removeprefix("file://"))
+    staging._STAGED.clear()

@@ -38,3 +38,8 @@ def staged(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> Dat
         build().write.mode("overwrite").parquet(path)
         _STAGED[k] = path
     return spark.read.parquet(_STAGED[k])
+
+
+def forget() -> None:
+    """Stages written so far are not read again by this application."""
+    _STAGED.clear()

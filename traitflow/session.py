@@ -73,7 +73,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/traitflow/{spark.sparkContext.applicationId}"
+
+
 def staging_path(spark: SparkSession, name: str, unique: bool = True) -> str:
-    """A path under the shared checkpoint root for a written stage."""
+    """A path for a written stage, in this application's folder under the shared checkpoint root."""
     suffix = f"-{uuid.uuid4().hex[:12]}" if unique else ""
-    return f"{checkpoint_root(spark)}/traitflow/{name}{suffix}"
+    return f"{_application_folder(spark)}/{name}{suffix}"
+
+
+def clear_staging(spark: SparkSession) -> None:
+    """Delete what this application has staged. For the end of a job: results that are still lazy
+    and read a stage cannot be computed afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
