@@ -75,9 +75,7 @@ def replace_all_literal(c: ColumnOrName, text: str, replacement: str = "") -> Co
 
 def unwrap_brackets(c: ColumnOrName) -> Column:
     """``{x}`` -> x, then ``(x)`` -> x, then ``*{x}`` -> x (whole-value wrappers only)."""
-    out = F.regexp_replace(_c(c), r"^\{(.*?)\}$", "$1")
-    out = F.regexp_replace(out, r"^\((.*?)\)$", "$1")
-    return F.regexp_replace(out, r"^\*\{(.*?)\}$", "$1")
+    return reduce(lambda out, wrapper: F.regexp_replace(out, wrapper, "$1"), S.RESULT_WRAPPERS, _c(c))
 
 
 def strip_chars(c: ColumnOrName) -> Column:
@@ -196,7 +194,7 @@ def first_valid_date(cols: list[ColumnOrName], fmt: str = "yyyy-MM-dd HH:mm") ->
     picks = []
     for c in cols:
         c = _c(c)
-        repaired = F.regexp_replace(c, r"^4(\d{3})(.*?)$", "2$1$2")
+        repaired = F.regexp_replace(c, S.YEAR_4XXX, "2$1$2")
         ok = F.try_to_timestamp(repaired, F.lit(fmt)).isNotNull()
         picks.append(F.when(ok, F.try_to_timestamp(c, F.lit(fmt)).cast("date")))
     return F.coalesce(*picks)

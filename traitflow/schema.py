@@ -36,8 +36,10 @@ MIN_AGE_YEARS = 16
 TILE_EVERY_DAYS = 11
 # Questionnaire gender codes.
 GENDER_CODES = {"1": "M", "2": "F"}
-# ---------------------------------------------------------------------------------------
-
+# Result wrappers that are taken off, in this order, and the year repair of the date check.
+RESULT_WRAPPERS = [r"^\{(.*?)\}$", r"^\((.*?)\)$", r"^\*\{(.*?)\}$"]
+YEAR_4XXX = r"^4(\d{3})(.*?)$"
+# Columns of the tables and output files.
 COMBO_SCHEMA = T.StructType([
     T.StructField("pseudo_nhs_number", T.StringType()),
     T.StructField("test_date", T.DateType()),
@@ -56,6 +58,7 @@ TILED_COLUMNS = ["pseudo_nhs_number", "trait", "unit", "value", "date", "gender"
 READINGS_FILE_COLUMNS = TILED_COLUMNS[:-1]
 PER_PERSON_STATS_COLUMNS = ["pseudo_nhs_number", "trait", "median", "mean", "max", "min",
                             "earliest", "latest", "n"]
+# ---------------------------------------------------------------------------------------
 
 
 class ClosedSetError(ValueError):
