@@ -32,16 +32,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _literal_table(spark: SparkSession, rows: list[tuple], columns: list[str]) -> DataFrame:
+    """Fixed rows as a plan of known size (a table made from Python rows has none, so Spark would
+    shuffle the readings for it)."""
+    structs = [F.struct(*[F.lit(v).alias(c) for v, c in zip(row, columns)]) for row in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 def traits(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TRAITS, "trait string, target_units string, min double, max double")
+    return _literal_table(spark, TRAITS, ["trait", "target_units", "min", "max"])
 
 
 def aliases(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ALIASES, "trait string, alias string")
+    return _literal_table(spark, ALIASES, ["trait", "alias"])
 
 
 def units(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(UNITS, "result_value_units string, target string, multiplication_factor double")
+    return _literal_table(spark, UNITS, ["result_value_units", "target", "multiplication_factor"])
 
 
 def unit_expr() -> F.Column:
