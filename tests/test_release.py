@@ -36,8 +36,8 @@ def test_release_end_to_end(spark):
     assert counts["all"] == tiled.count() == counts["in_hospital"] + counts.get("out_hospital", 0)
     cov = spark.read.option("sep", "\t").option("header", True).csv(paths["covariates_gsa"])
     assert "AgeAtTest.Alpha.min" in cov.columns and cov.filter(F.col("setting") == "all").count() > 0
-    pheno = spark.read.option("sep", "\t").option("header", True).csv(paths["phenotype_exome"])
-    assert set(pheno.columns) >= {"FID", "IID", "median", "min", "max", "setting", "trait"}
+    pheno = spark.read.option("sep", "\t").option("header", True).csv(paths["phenotype_exome"] + "/trait=HbA1c")
+    assert set(pheno.columns) == {"FID", "IID", "HbA1c.median", "HbA1c.min", "HbA1c.max", "setting"} and pheno.count() > 0
     wide = spark.read.option("sep", "\t").option("header", True).csv(paths["phenotype_wide_gsa"])
     assert {"FID", "IID", "Alpha.median", "HbA1c.max", "Rho.min"} <= set(wide.columns)
     audit = spark.read.parquet(f"{paths['ingest_audit']}/parquet")

@@ -100,11 +100,10 @@ def run_release(spark: SparkSession, cfg: ReleaseConfig) -> dict[str, str]:
     SK.write_counts(ST.trait_log10_histogram(by_setting), paths["trait_histograms"])
     for cohort in ("gsa", "exome"):
         ids = PE.genotype_ids(linkage, cohort)
-        # read three times below: written once
-        pheno = SK.stage(spark, ST.phenotype_table(by_setting, ids), f"{out}/stages/phenotype_{cohort}")
+        # read by the per-trait files and the wide table: written once
+        pheno = SK.stage(spark, ST.phenotype_table(by_setting, ids), f"{out}/stages/phenotype_{cohort}", partition_by=["trait"])
         paths[f"phenotype_{cohort}"] = f"{out}/phenotypes/{cohort}"
-        SK.write_tsv(pheno.hint("rebalance", "setting", "trait"), paths[f"phenotype_{cohort}"], "NA",
-                     partition_by=["setting", "trait"])
+        SK.write_named_by_trait(pheno, paths[f"phenotype_{cohort}"], ST.traits_present(pheno), ["median", "min", "max"])
         paths[f"phenotype_wide_{cohort}"] = f"{out}/phenotypes_wide/{cohort}"
         SK.write_tsv(ST.phenotype_wide(pheno), paths[f"phenotype_wide_{cohort}"], "NA",
                      partition_by=["setting"])
