@@ -41,19 +41,20 @@ PERCENT = 90
 SKETCH_BITS = 20        # counters of the document-frequency sketch: 2 ** 20, whatever the input
 CHUNK = 4096
 PARTS = 64              # hash ranges of the suffix filter
-BLOCK = 4 << 20         # bytes of text hashed together
+FILTER_BITS = 26        # bits of the id filter: 2 ** 26 (8 MB), whatever the input
+BLOCK = 1 << 20         # bytes of text hashed together
 
 
-def shingle_sets(texts: pa.Array):
+def shingle_sets(texts: pa.Array, words: int):
     """Yields the sorted distinct shingle hashes of each row."""
     for i, j in N.blocks(texts, BLOCK):
         raw, offsets = N.concatenated(texts.slice(i, j - i))
         h, counts = N.word_hashes(raw, offsets)
-        grams = N.gram_hashes(h, WORDS)
+        grams = N.gram_hashes(h, words)
         start = 0
         for c in counts:
-            if c >= WORDS:
-                yield np.unique(grams[start:start + c - WORDS + 1])
+            if c >= words:
+                yield np.unique(grams[start:start + c - words + 1])
             elif c:
                 yield N.gram_hashes(h[start:start + c], int(c))
             else:
@@ -61,13 +62,13 @@ def shingle_sets(texts: pa.Array):
             start += c
 
 
-def frequency_ranks(docs: DataFrame) -> np.ndarray:
+def frequency_ranks(docs: DataFrame, words: int) -> np.ndarray:
     """Document frequencies on a log scale (one byte per counter), from a sketch over all documents.
     Only the fixed-size sketch reaches the driver."""
     def count(batches):
         total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for batch in batches:
-            sets = [s for s in shingle_sets(batch.column(0))]
+            sets = list(shingle_sets(batch.column(0), words))
             if sets:
                 total += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(total))
         yield from chunks(dict(enumerate(total.reshape(-1, CHUNK))))
@@ -91,12 +92,12 @@ def frequency_ranks(docs: DataFrame) -> np.ndarray:
     return np.minimum(255, 4 * np.log2(1 + total)).astype(np.uint8)
 
 
-def profiles(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
-    """doc_id, n, sig (identity of the set), prefix (its first shingles in rare-first order), parts."""
+def profiles(docs: DataFrame, ranks: np.ndarray, words: int, percent: int) -> DataFrame:
+    """doc_id, h (hash of the text), n, sig (identity of the set), prefix (its first shingles in rare-first order), parts."""
     def profile(batches):
         for batch in batches:
             ns, sigs, prefix, parts = [], [], [], []
-            for s in shingle_sets(batch.column(1)):
+            for s in shingle_sets(batch.column(1), words):
                 n = len(s)
                 ns.append(n)
                 if not n:
@@ -105,38 +106,38 @@ def profiles(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
                     parts.append(np.zeros(0, np.int32))
                     continue
                 sigs.append(signature(s))
-                keep = n - (PERCENT * n + 99) // 100 + 1
+                keep = n - (percent * n + 99) // 100 + 1
                 rank = ranks[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 prefix.append(s[np.argsort(rank, kind="stable")[:keep]].view(np.int64))   # s is sorted: ties by hash
                 parts.append(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=PARTS).astype(np.int32))
             if ns:
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int32()), pa.array(sigs, pa.binary()), lists(prefix, pa.int64()), lists(parts, pa.int32())],
-                                                 names=["doc_id", "n", "sig", "prefix", "parts"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(ns, pa.int32()), pa.array(sigs, pa.binary()), lists(prefix, pa.int64()), lists(parts, pa.int32())],
+                                                 names=["doc_id", "h", "n", "sig", "prefix", "parts"])
 
     def lists(arrays, kind):
         return pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(a) for a in arrays]), pa.int32()), pa.array(np.concatenate(arrays), kind))
 
-    return docs.select("doc_id", "text").mapInArrow(profile, "doc_id long, n int, sig binary, prefix array<bigint>, parts array<int>")
+    return docs.select("doc_id", "text", C.row_key()["h"].alias("h")).mapInArrow(profile, "doc_id long, h long, n int, sig binary, prefix array<bigint>, parts array<int>")
 
 
-def shared_pairs_bound(a: str, b: str) -> Column:
+def shared_pairs_bound(a: str, b: str, percent: int) -> Column:
     """Length filter and suffix filter as a join condition over the columns n and parts of two sides."""
     na, nb = F.col(f"{a}n"), F.col(f"{b}n")
     least, most = F.least(na, nb), F.greatest(na, nb)
     apart = F.aggregate(F.zip_with(f"{a}parts", f"{b}parts", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    # similar means 100 inter >= 90 (na + nb - inter); the symmetric difference is na + nb - 2 inter
-    return (100 * least >= PERCENT * most) & ((100 + PERCENT) * apart <= (100 - PERCENT) * (na + nb))
+    # similar means 100 inter >= percent (na + nb - inter); the symmetric difference is na + nb - 2 inter
+    return (100 * least >= percent * most) & ((100 + percent) * apart <= (100 - percent) * (na + nb))
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough. ``texts``: cid, text."""
     def check(batches):
         for batch in batches:
-            left, right = shingle_sets(batch.column(2)), shingle_sets(batch.column(3))
+            left, right = shingle_sets(batch.column(2), words), shingle_sets(batch.column(3), words)
             keep = []
             for x, y in zip(left, right):
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+                keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     one = texts.select(F.col("cid").alias("a"), F.col("text").alias("ta"))
@@ -144,13 +145,14 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
-def similar(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, class_id (number of the class of equal sets, null without shingles),
-    component_id for every row of ``docs``."""
+def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, h (hash of the text), n_shingles, class_id (number of the class of equal sets), group_id (number of the
+    component), component_id (its smallest doc_id) for every row of ``docs``; without shingles class and
+    group are null and the component is the document."""
     docs = docs.select("doc_id", "text")
-    one = C.written(profiles(docs, frequency_ranks(docs)), "jac-profiles")
+    one = C.written(profiles(docs, frequency_ranks(docs, words), words, percent), "jac-profiles")
     classes = C.written(one.filter("n > 0").groupBy("sig").agg(
-        F.min("doc_id").alias("doc"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("parts").alias("parts"))
+        F.min("doc_id").alias("doc"), F.min(F.struct("doc_id", "h")).alias("row"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("parts").alias("parts"))
         .withColumn("cid", F.monotonically_increasing_id()), "jac-classes")
     rows = classes.select("cid", "copies", "n", F.posexplode("prefix").alias("pos", "gram"))
     hubs = (rows.groupBy("gram").agg(F.max(F.struct("copies", F.negative("cid").alias("hub"))).alias("top"), F.count(F.lit(1)).alias("many"))
@@ -160,14 +162,9 @@ def similar(docs: DataFrame) -> DataFrame:
     bare = classes.select("cid", "n", "parts")
     side = lambda name: bare.select(F.col("cid").alias(name), F.col("n").alias(f"{name}n"), F.col("parts").alias(f"{name}parts"))
     stars = shared.filter("cid <> hub").select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
-    stars = C.written(stars.join(side("a"), "a").join(side("b"), "b").filter(shared_pairs_bound("a", "b")).select("a", "b"), "jac-stars")
-
-    # texts of the classes that share a prefix shingle with another: one row of documents each
-    wanted = shared.select("cid").distinct().join(classes.select("cid", "doc", F.col("sig").alias("csig")), "cid")
-    found = (docs.withColumnRenamed("doc_id", "id").join(wanted, F.col("id").eqNullSafe(F.col("doc")))
-             .select("cid", "csig", "text").distinct())
-    texts = C.written(matching(found), "jac-texts")
-    links = C.written(verified(stars, texts), "jac-links")
+    stars = C.written(stars.join(side("a"), "a").join(side("b"), "b").filter(shared_pairs_bound("a", "b", percent)).select("a", "b"), "jac-stars")
+
+    links = C.written(verified(stars, class_texts(docs, classes, stars), words, percent), "jac-links")
     labels = C.written(graph.components(links), "jac-labels")
 
     member = shared.join(labels, F.col("cid") == F.col("node"), "left").select("gram", "cid", "pos", F.coalesce("comp", "cid").alias("comp"))
@@ -176,29 +173,44 @@ def similar(docs: DataFrame) -> DataFrame:
     x = open_rows.select([F.col(c).alias("a" if c == "cid" else "a" + c) for c in open_rows.columns])
     y = open_rows.select([F.col(c).alias("b" if c == "cid" else "b" + c) for c in open_rows.columns])
     most = F.least("apos", "bpos") + 1 + F.least(F.col("an") - F.col("apos") - 1, F.col("bn") - F.col("bpos") - 1)
-    positional = (100 + PERCENT) * most >= PERCENT * (F.col("an") + F.col("bn"))
+    positional = (100 + percent) * most >= percent * (F.col("an") + F.col("bn"))
     rest = (x.join(y, (F.col("agram") == F.col("bgram")) & (F.col("a") < F.col("b")) & (F.col("acomp") != F.col("bcomp"))
-                   & positional & shared_pairs_bound("a", "b")).select("a", "b").distinct())
-    more = C.written(verified(rest.join(stars, ["a", "b"], "left_anti"), texts), "jac-links")
+                   & positional & shared_pairs_bound("a", "b", percent)).select("a", "b").distinct())
+    rest = C.written(rest.join(stars, ["a", "b"], "left_anti"), "jac-rest")
+    more = C.written(verified(rest, class_texts(docs, classes, rest), words, percent), "jac-links")
     labels = C.written(graph.components(links.unionByName(more)), "jac-labels")
 
     named = classes.select("cid", "doc", "sig").join(labels, F.col("cid") == F.col("node"), "left").select("cid", "doc", "sig", F.coalesce("comp", "cid").alias("comp"))
     least = named.groupBy(F.col("comp").alias("c")).agg(F.min("doc").alias("component_id"))
-    named = named.join(least, F.col("comp") == F.col("c")).select(F.col("sig").alias("s"), F.col("cid").alias("class_id"), "component_id")
-    return (one.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "sig").join(named, F.col("sig") == F.col("s"), "left")
-            .select("doc_id", "n_shingles", "class_id", F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+    named = named.join(least, F.col("comp") == F.col("c")).select(F.col("sig").alias("s"), F.col("cid").alias("class_id"), F.col("comp").alias("group_id"), "component_id")
+    return (one.select("doc_id", "h", F.col("n").cast("long").alias("n_shingles"), "sig").join(named, F.col("sig") == F.col("s"), "left")
+            .select("doc_id", "h", "n_shingles", "class_id", "group_id", F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
-def matching(found: DataFrame) -> DataFrame:
-    """cid, text of the rows whose text has the set ``csig`` (an id may repeat with other texts), one a class."""
-    def check(batches):
+def id_hash(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(1 << FILTER_BITS)) + 1
+
+
+def class_texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """cid, text: one text of each class of ``pairs``. A bit filter of fixed size over the ids of the classes' documents drops most
+    other documents where they are read; the join by id and hash of the text then decides."""
+    members = pairs.select(F.col("a").alias("m")).union(pairs.select("b")).distinct()
+    wanted = C.written(classes.join(members, F.col("cid") == F.col("m"), "left_semi").select("cid", "row.doc_id", "row.h"), "jac-wanted")
+    place = id_hash(F.col("doc_id"))
+    maps = wanted.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    bits = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    for row in maps.toLocalIterator():      # 2 ** FILTER_BITS bits in all, whatever the input
+        part = np.frombuffer(bytes(row["bits"]), np.uint8)
+        bits[(row["k"] - 1) * len(part):row["k"] * len(part)] = part
+
+    def near(batches):
         for batch in batches:
-            keep = []
-            for s, sig in zip(shingle_sets(batch.column(2)), batch.column(1).to_pylist()):
-                keep.append(len(s) > 0 and signature(s) == sig)
-            yield batch.select([0, 2]).filter(pa.array(keep, pa.bool_()))
+            at = batch.column(3).to_numpy() - 1
+            yield batch.select([0, 1, 2]).filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
 
-    return found.mapInArrow(check, "cid long, text string")
+    some = docs.select("doc_id", C.row_key()["h"].alias("h"), "text", id_hash(F.col("doc_id")).alias("at")).mapInArrow(near, "id long, th long, text string")
+    found = some.join(wanted, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("th") == F.col("h"))).select("cid", "text")
+    return C.written(found.dropDuplicates(["cid"]), "jac-texts")
 
 
 def signature(s: np.ndarray) -> bytes:
@@ -206,13 +218,17 @@ def signature(s: np.ndarray) -> bytes:
     return np.array([np.sum(N.mix(s + np.uint64(n))), np.bitwise_xor.reduce(N.mix(s * np.uint64(N.STEPS[9])))], dtype=np.uint64).tobytes()
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component (null ids stay; of repeated rows
-    with the smallest id, one), with their columns."""
-    keep = similar(docs).filter(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
-    ids = C.written(keep.filter("doc_id is not null").select(F.col("doc_id").alias("_id")).distinct(), "jac-keep")
-    first = docs.filter("doc_id is not null").join(ids, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(docs.filter("doc_id is null"))
+def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row of each group of linked documents, with its columns: the one with the smallest id (null ids
+    last, then the smaller hash of the text; of rows equal in both, one). Documents without shingles stay."""
+    rows = similar(docs, words, percent)
+    first = rows.filter("group_id is not null").groupBy("group_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "h")).alias("m"))
+    keep = first.select(F.struct("m.id", "m.h").alias("_keep")).unionByName(
+        rows.filter("group_id is null").select(F.struct(F.col("doc_id").alias("id"), "h").alias("_keep")).distinct())
+    keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), C.row_key().alias("_key"))
+    left = keyed.join(C.written(keep, "jac-keep"), F.col("_key").eqNullSafe(F.col("_keep")), "left_semi")
+    empty = F.length(F.translate(F.coalesce("_row.text", F.lit("")), C.WORD_SPACE, "")) == 0
+    return left.filter(~empty).dropDuplicates(["_key"]).unionByName(left.filter(empty)).select("_row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,7 +63,7 @@ def blocks(texts: pa.Array, limit: int):
         i = j
 
 
-PIECE = 4 << 20      # bytes hashed at once
+PIECE = 1 << 20      # bytes hashed at once
 
 
 def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
