@@ -39,6 +39,9 @@ PAGE = """<!DOCTYPE html><html><head><title>x</title><style>p{}</style></head><b
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("plain &lt; text", "plain < text"), ("<p>a<p>b", "a\n\nb"), ("<article><p>a</p></article><p>out</p>", "a"), ("<p>x</b></i></div>y", "x y".replace(" ", "")),
     ("<main><header><h1>H</h1></header><article><p>a</p><table><tr><td>1<td>2<tr><td>3</table><div>x<p>y</div>z</article><aside>s</aside></main>", "a\n\n1\n\n2\n\n3\n\nx\n\ny\n\nz"),
+    ('<div class="layout-sidebar"><article class="comments-open"><h2 class="section-header">H</h2><p>a</p><p class="ad">x</p></article></div>', "H\n\na"),
+    ('<article><p>a</p><section class="comments"><article class="comment">hi</article></section></article>', "a"),
+    ('<div class="content has-sidebar"><p>a</p><div class="sidebar">s</div></div><div class="site-footer">f</div>', "a"),
     ("<p>cut <b>off</p><p>end<a href=\"x", "cut off\n\nend"), ("<p>&amp;amp; &nosuch; &#x41;</p>", "&amp; &nosuch; A"), ("<p>" + "w " * 50000 + "</p>", ("w " * 50000).strip())])
 def test_main_text(page, text):
     assert op5_html.main_text(page, set()) == text

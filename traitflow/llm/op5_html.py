@@ -6,7 +6,7 @@ hash stands; subtrees that recur on many pages of their host (``MIN_PAGES`` page
 ``MIN_SHARE`` of the host's pages) are its template and are deleted. What also goes, wherever it
 stands, is what HTML itself names as not running text (scripts, styles, navigation, headers, footers,
 asides, forms, ...) and elements whose class, id or role says the same (adverts, notices,
-comments, ...). If the page has an ``article`` or ``main`` element the rest of the page goes too, and inside it paragraphs,
+comments, ...; an article inside an element named like a layout part stays). If the page has an ``article`` or ``main`` element the rest of the page goes too, and inside it paragraphs,
 headings, lists' items and cells are never counted as template, so that passages and
 articles that a site publishes twice stay.
 
@@ -56,19 +56,37 @@ CHROME = frozenset("ad ads advert adverts advertisement advertising adsense spon
                    "comment comments commentlist disqus reply replies respond share sharing social related recommended recommendations newsletter subscribe subscription signup login "
                    "search searchbox form widget widgets skip complementary contentinfo".split())
 
+# names that hold for paragraphs and headings too, and that an article inside does not undo
+OTHERS_TEXT = frozenset("ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsored sponsors promo promos promotion cookie cookies consent gdpr "
+                        "comment comments commentlist disqus reply replies respond newsletter share sharing".split())
+# parts of a name that turn its meaning ("has-sidebar", "comments-open")
+TURNED = frozenset("has have with no not without is".split()), frozenset("open closed enabled disabled free off none".split())
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</([a-zA-Z][^\s/>]*)[^>]*>|<[!?][^>]*>", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 
 
-def named_chrome(attrs: str) -> bool:
-    if not attrs:
-        return False
-    for m in _NAMES.finditer(attrs):
-        if any(w.lower() in CHROME for w in _PART.findall(m[1] or m[2] or m[3] or "")):
-            return True
-    return bool(_HIDDEN.search(attrs))
+KEPT, LAYOUT, REMOVED = 0, 1, 2     # LAYOUT: not text, unless an article or main element stands inside
+
+
+def named_chrome(tag: str, attrs: str) -> int:
+    """What the class, id or role of an element says about it."""
+    found = KEPT
+    if attrs:
+        if _HIDDEN.search(attrs):
+            return REMOVED
+        for m in _NAMES.finditer(attrs):
+            for name in (m[1] or m[2] or m[3] or "").split():
+                parts = [w.lower() for w in _PART.findall(name)]
+                if not parts or parts[0] in TURNED[0] or parts[-1] in TURNED[1]:
+                    continue
+                if not OTHERS_TEXT.isdisjoint(parts):
+                    return REMOVED
+                if tag not in FLOW and not CHROME.isdisjoint(parts):
+                    found = LAYOUT
+    return found
 
 
 class Element:
@@ -85,7 +103,7 @@ def parse(page: str):
     eligible as template)], whether the page has a main part)."""
     blocks: list[tuple[str, bool, bool]] = []
     elements: list[tuple[str, int, int, int, bool]] = []
-    stack = [Element("", False, False, 0)]
+    stack = [Element("", KEPT, False, 0)]
     run: list[str] = []
     any_main = False
 
@@ -95,7 +113,7 @@ def parse(page: str):
             run.clear()
             if text:
                 top = stack[-1]
-                blocks.append((text, top.gone, top.inside))
+                blocks.append((text, top.gone != KEPT, top.inside))
                 top.digest.update("\0" + text)
 
     def close():
@@ -153,8 +171,10 @@ def parse(page: str):
                     if stack[depth].tag in BLOCKS:
                         break
             top = stack[-1]
-            main = tag in ("article", "main") and not top.gone
-            gone = top.gone or tag in NOT_TEXT or (not main and tag not in ("body", "html") and named_chrome(attrs))
+            named = named_chrome(tag, attrs) if tag not in ("body", "html") else KEPT
+            main = tag in ("article", "main") and top.gone != REMOVED and named != REMOVED
+            own = LAYOUT if tag == "form" else REMOVED if tag in NOT_TEXT else named     # a form may wrap the whole page
+            gone = KEPT if main else max(top.gone, own)
             if attrs.endswith("/") and tag in ("svg", "path"):
                 continue
             if main:
@@ -203,7 +223,7 @@ def extracted(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     """page_id, url, text, n_chars for every row of ``pages`` (page_id, url, html)."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     key = F.xxhash64("page_id", "url", "html")
-    rows = pages.select("page_id", "url", "html", key.alias("key"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", key.alias("key"))
 
     def hashes(batches):
         for batch in batches:
