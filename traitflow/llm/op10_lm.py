@@ -36,12 +36,12 @@ from pyspark.sql import functions as F
 from traitflow.llm import common as C
 from traitflow.llm import textnum as N
 
-BLOCK = 16 << 20                 # bytes of text of a block
+BLOCK = 8 << 20                  # bytes of text of a block
 RANGE = 2_000_000                # n-gram entries that one step of the summing task holds
 END = np.uint64(0x452821E638D01377)   # hash of the end token
 PAIR_SHIFT = np.uint64(12)       # pairs keep 52 bits
 BUCKETS = 40
-GRID = 4                         # histogram steps per power of two of a probability
+GRID = 2                         # histogram steps per power of two of a probability
 CELLS = 60 * GRID
 ROUNDS = 200
 HELD = 10                        # scored only: crc32 of the id modulo HELD is 0; weights: 1
