@@ -83,16 +83,17 @@ def measures(docs: DataFrame, keep: tuple = ()) -> DataFrame:
     def word_counts(w):
         return F.struct(F.size(w).cast("long").alias("n_words"), repeat_words(w).alias("n_repeat_words"))
 
-    out = docs.select("doc_id", F.col("lang").alias("stratum"), *keep,
-                      F.length(letters).cast("long").alias("word_chars"),
+    counts = F.struct(F.length(letters).cast("long").alias("word_chars"),
                       (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
                       (F.length(text) - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))).cast("long").alias("n_capitals"),
                       (F.length(text) - F.length(F.translate(text, "0123456789", ""))).cast("long").alias("n_digits"),
                       lines(text).cast("long").alias("n_dup_lines"),
                       (F.length(text) - F.length(F.translate(text, "\n", "")) + 1).cast("long").alias("n_lines"),
                       C.let(C.words(text), word_counts).alias("w"))
-    return out.select(*[c for c in out.columns if c != "w"], "w.n_words", "w.n_repeat_words").withColumn(
-        "base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
+    # a generator of one row: filters on the counts stay above it, so a text is measured once
+    out = docs.select("doc_id", F.col("lang").alias("stratum"), *keep, F.explode(F.array(counts)).alias("m"))
+    return (out.select("doc_id", "stratum", *keep, "m.*").select("*", "w.n_words", "w.n_repeat_words").drop("w").withColumn(
+        "base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))))
 
 
 def rule_bins() -> Column:
