@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from traitflow.llm import common as C
 from traitflow.llm import textnum as N
 
-BLOCK = 8 << 20                  # bytes of text of a block
+BLOCK = 3 << 20                  # bytes of text of a block
 RANGE = 2_000_000                # n-gram entries that one step of the summing task holds
 END = np.uint64(0x452821E638D01377)   # hash of the end token
 PAIR_SHIFT = np.uint64(12)       # pairs keep 52 bits
@@ -119,12 +119,17 @@ class Block:
         raw = np.frombuffer(unzip_bytes(text), np.uint8)
         h, counts = N.word_hashes(raw, np.r_[0, np.asarray(ends, np.int64)])
         self.lengths = counts + 1
-        self.doc = np.repeat(np.arange(len(counts)), self.lengths)
+        self.doc = np.repeat(np.arange(len(counts), dtype=np.int32), self.lengths)
         tokens = np.full(int(self.lengths.sum()), END, np.uint64)
         tokens[np.arange(len(h)) + np.repeat(np.arange(len(counts)), counts)] = h
-        before = np.r_[END, tokens[:-1]]      # the end before it stands for the beginning of a document
-        self.words, self.tok = np.unique(tokens, return_inverse=True)
-        self.pairs, self.pair = np.unique(N.mix(before * np.uint64(N.STEPS[3]) + tokens) >> PAIR_SHIFT, return_inverse=True)
+        del raw, h
+        # the end before it stands for the beginning of a document
+        pairs = N.mix(np.r_[END, tokens[:-1]] * np.uint64(N.STEPS[3]) + tokens) >> PAIR_SHIFT
+        self.words, tok = np.unique(tokens, return_inverse=True)
+        self.tok = tok.astype(np.int32)
+        del tokens, tok
+        self.pairs, pair = np.unique(pairs, return_inverse=True)
+        self.pair = pair.astype(np.int32)
         self.prev = np.r_[self.tok[-1], self.tok[:-1]]    # the last token is an end
         self.parts = np.asarray(parts, np.int32)
 
@@ -217,7 +222,7 @@ def weights(blocks: DataFrame, sums: DataFrame, n: int, v: int) -> np.ndarray:
                 return np.where(p > 0, np.minimum(CELLS - 2, np.round(-GRID * np.log2(np.maximum(p, 1e-300)))) + 1, 0).astype(np.int64)
 
         def own(doc, at, size):
-            _, back, times = np.unique(doc * np.int64(size) + at, return_inverse=True, return_counts=True)
+            _, back, times = np.unique(doc.astype(np.int64) * size + at, return_inverse=True, return_counts=True)
             return times[back]
 
         for batch in batches:
