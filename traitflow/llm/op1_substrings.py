@@ -41,7 +41,7 @@ from traitflow.llm import textnum as N
 T = 100
 K = 32
 BLOCK = 1 << 20
-HOT = 50_000
+HOT = 4_000
 _LOW = np.uint64((1 << 21) - 1)      # places inside a block, which has under 2 ** 21 bytes
 
 
