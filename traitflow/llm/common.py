@@ -51,3 +51,10 @@ def row_key() -> Column:
     """Key of a document row by its contents: equal rows (same id and text) share results, rows with the
     same id and other text do not."""
     return F.struct(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("h"))
+
+
+def smallest_hashes(h: Column, total: int, want: int) -> Column:
+    """True for the rows whose 64-bit hash ``h`` lies in the lowest part of its range that holds about twice
+    ``want`` of ``total`` rows. Before an ordered limit it bounds what all partitions send to it together."""
+    share = min(1.0, 2 * want / max(total, 1))
+    return h <= F.lit(min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))).cast("long")

@@ -9,8 +9,8 @@ the paragraphs that are not of the predicted family pass. The template compariso
 ``SHARED`` of the paragraph's word pairs, or of a template's, stand in a template of that family.
 
 Training paragraphs: the templates below, whole, cut, with other names, years and surroundings, made by
-rule from row numbers; and as ``unknown`` paragraphs of the corpus without licence words (a bounded
-sample, ``MAX_UNKNOWN``, by smallest hash) and sentences that use licence words otherwise.
+rule from row numbers; and as ``unknown`` paragraphs without licence words from documents with the smallest hashes (a bounded
+sample, ``MAX_UNKNOWN``) and sentences that use licence words otherwise.
 
 Only paragraphs with a word from the templates' own vocabulary (``CUES``) can differ from ``unknown``; all
 paragraphs are searched for those in one scan, and only they are classified. Nothing is shuffled but the
@@ -110,7 +110,8 @@ def training(docs: DataFrame, max_unknown: int = MAX_UNKNOWN) -> DataFrame:
     text = F.concat(pick("before", "", "", "", "// ", "# ", "* ", "Copyright (c) 2021 The Authors. ", "Note: "), F.col("body"),
                     pick("after", "", "", "", " See the LICENSE file for details.", " Visit the web site.", " -->"))
     text = F.when(pick("upper", 0, 0, 0, 1) == 1, F.upper(text)).otherwise(text)
-    prose = (docs.select(F.explode(F.split("text", "\n")).alias("paragraph")).filter(~F.col("paragraph").rlike(CUES) & (F.length("paragraph") > 0))
+    some = docs.filter(C.smallest_hashes(F.xxhash64("text"), docs.count(), max_unknown))
+    prose = (some.select(F.explode(F.split("text", "\n")).alias("paragraph")).filter(~F.col("paragraph").rlike(CUES) & (F.length("paragraph") > 0)).distinct()
              .select("paragraph", F.xxhash64("paragraph").alias("h")).orderBy("h", "paragraph").limit(max_unknown))
     prose = prose.select(F.lit(UNKNOWN).alias("family"), F.col("paragraph").alias("text"))
     mixed = made.select("family", text.alias("text")).unionByName(prose)
