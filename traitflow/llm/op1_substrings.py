@@ -242,15 +242,21 @@ def resolve(batches):
         yield settle(pa.concat_tables(held))
 
 
-def resolve_hot(contexts: DataFrame) -> DataFrame:
-    """As ``resolve``, by a shuffle of windows."""
-    def explode(batches):
-        for batch in batches:
+def with_runs(docs: DataFrame, open_runs: DataFrame) -> DataFrame:
+    """doc, text, runs of the documents that have rows in ``open_runs``."""
+    wanted = open_runs.groupBy(F.col("doc").alias("d")).agg(F.collect_list(F.struct("gram", "place")).alias("runs"))
+    return docs.join(wanted, F.col("doc") == F.col("d")).select("doc", "text", "runs")
+
+
+def resolve_hot(rows: DataFrame) -> DataFrame:
+    """As ``resolve``, by a shuffle of windows. ``rows``: as ``with_runs`` returns."""
+    def windows_of(batches):
+        for batch in map_contexts(batches):
             row, inside, h = window_hashes(batch.column(3))
             doc, start = batch.column(1).to_numpy()[row], batch.column(2).to_numpy()[row] + inside
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(doc), pa.array(start)], names=["h", "doc", "a"])
 
-    windows = contexts.mapInArrow(explode, "h long, doc long, a long")
+    windows = rows.mapInArrow(windows_of, "h long, doc long, a long")
     first = windows.groupBy(F.col("h").alias("fh")).agg(F.min(F.struct("doc", "a")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     return windows.join(first, (F.col("h") == F.col("fh")) & (F.struct("doc", "a") != F.col("first"))).select("doc", "a", (F.col("a") + T).alias("b"))
 
@@ -261,16 +267,14 @@ def repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     sorted_runs = mapped.repartition("gram").sortWithinPartitions("gram", "digest", "doc", "place")
     first = C.written(sorted_runs.mapInArrow(reduce_runs, "gram long, doc long, place long, state int"), "sub-runs")
     open_runs = first.filter("state = 1")
-    wanted = open_runs.groupBy(F.col("doc").alias("d")).agg(F.collect_list(F.struct("gram", "place")).alias("runs"))
-    contexts = docs.join(wanted, F.col("doc") == F.col("d")).select("doc", "text", "runs").mapInArrow(map_contexts, "gram long, doc long, start long, bytes binary")
     large = C.written(open_runs.groupBy("gram").count().filter(F.col("count") > hot).select(F.col("gram").alias("g")), "sub-hot")
     known = first.filter("state = 0").select("doc", F.shiftright("place", 32).alias("a"), (F.shiftright("place", 32) + F.col("place").bitwiseAND(0xFFFFFFFF)).alias("b"))
-    if large.isEmpty():
-        found = contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(resolve, "doc long, a long, b long")
-    else:
-        usual = contexts.join(large, F.col("gram") == F.col("g"), "left_anti")
-        found = (usual.repartition("gram").sortWithinPartitions("gram").mapInArrow(resolve, "doc long, a long, b long")
-                 .unionByName(resolve_hot(contexts.join(large, F.col("gram") == F.col("g"), "left_semi"))))
+    any_hot = not large.isEmpty()
+    usual = open_runs.join(large, F.col("gram") == F.col("g"), "left_anti") if any_hot else open_runs
+    contexts = with_runs(docs, usual).mapInArrow(map_contexts, "gram long, doc long, start long, bytes binary")
+    found = contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(resolve, "doc long, a long, b long")
+    if any_hot:
+        found = found.unionByName(resolve_hot(with_runs(docs, open_runs.join(large, F.col("gram") == F.col("g"), "left_semi"))))
     return known.unionByName(found).groupBy(F.col("doc").alias("d")).agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
 
