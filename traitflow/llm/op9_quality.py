@@ -109,7 +109,7 @@ def measured(docs: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["doc_id", "rest", "x"])
 
-    return docs.select("doc_id", rest.alias("rest"), "text").mapInArrow(run, "doc_id long, rest int, x array<float>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), rest.alias("rest"), "text").mapInArrow(run, "doc_id long, rest int, x array<float>")
 
 
 class Model:
@@ -241,7 +241,8 @@ def quadrants(g, h):
 def fitted(rows: DataFrame, labels: DataFrame, learn: Column, max_labels: int = MAX_LABELS) -> Model:
     """A model from the rows (``measured``) that ``labels`` (doc_id, quality) marks and ``learn`` admits."""
     marks = labels.filter(F.col("quality").isin(0, 1)).select(F.col("doc_id").alias("id"), "quality")
-    sample = (rows.filter(learn).join(marks, F.col("doc_id") == F.col("id"))
+    near = C.smallest_hashes(F.xxhash64("doc_id"), marks.count(), max_labels)
+    sample = (rows.filter(learn & near).join(marks, F.col("doc_id") == F.col("id"))
               .select(F.xxhash64("doc_id").alias("h"), "x", "quality").orderBy("h", "quality", "x").limit(max_labels).collect())
     x = np.array([r["x"] for r in sample], np.float32).reshape(len(sample), len(FEATURES))
     return Model(x, np.array([r["quality"] for r in sample]))
