@@ -178,7 +178,8 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
                    & positional & shared_pairs_bound("a", "b", percent)).select("a", "b").distinct())
     rest = C.written(rest.join(stars, ["a", "b"], "left_anti"), "jac-rest")
     more = C.written(verified(rest, class_texts(docs, classes, rest), words, percent), "jac-links")
-    labels = C.written(graph.components(links.unionByName(more)), "jac-labels")
+    if not more.isEmpty():      # else the labels stand
+        labels = C.written(graph.components(links.unionByName(more)), "jac-labels")
 
     named = classes.select("cid", "doc", "sig").join(labels, F.col("cid") == F.col("node"), "left").select("cid", "doc", "sig", F.coalesce("comp", "cid").alias("comp"))
     least = named.groupBy(F.col("comp").alias("c")).agg(F.min("doc").alias("component_id"))
