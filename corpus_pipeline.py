@@ -5,7 +5,7 @@ reads as ``docs``. The first four return the columns of ``documents``; the last
 remaining document with its place in the mix:
 
 1. quality_rules: documents that the base rules or the certified cutoffs reject go.
-2. near_duplicates: of each group linked by n-gram Jaccard similarity the smallest id stays.
+2. near_duplicates: of each group linked by Jaccard similarity of five words (0.8 or more) the smallest id stays.
 3. decontamination: documents that hold a benchmark window go.
 4. secrets: secrets in the texts are masked; no document goes.
 5. mixing: copies and words taken of every document, sources at their target weights.
@@ -26,13 +26,16 @@ from traitflow.llm import op2_decontamination, op4_jaccard, op6_rules, op7_mixin
 # Cutoffs certified by binomial bounds and a random forest have no SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
+# Near copies of the stage; the op4 query has its own contract (three words, 0.9).
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op6_rules.kept_documents(docs, C.table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return op4_jaccard.one_of_each(docs)
+    return op4_jaccard.one_of_each(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
