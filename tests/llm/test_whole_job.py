@@ -1,8 +1,10 @@
 """Cases in which an operator or a stage once did less than the whole job."""
 
+import re
+
 import corpus_pipeline
 from tests.llm.conftest import DOCUMENTS
-from traitflow.llm import op4_jaccard
+from traitflow.llm import op4_jaccard, op5_html
 
 
 # -- pipeline
@@ -18,3 +20,22 @@ def test_pipeline_near_copies(spark):
     rows = spark.createDataFrame([(i, " ".join(t), *([None] * 10)) for i, t in enumerate(texts)], DOCUMENTS)
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, rows, "").collect()) == [0, 3, 5, 6]
     assert {4, 1} <= {r.doc_id for r in op4_jaccard.one_of_each(rows).collect()}
+
+
+# -- op5
+
+def test_reprinted_article_stays(spark):
+    """12 pages of one host print the same article; others of the host have their own. The notice in all of them goes by the host's counts alone."""
+    notice = "<div class=box><p>This long line stands in each article of the site, longer than any paragraph of it.</p><p>Second line.</p></div>"
+    forms = {"bare": "<h1>Title of it</h1><p>First of %s.</p><p>Second one, and this is its own sentence of %s.</p>" + notice,
+             "parts": "<section><p>First of %s.</p><p>a</p></section><section><p>Third of a text.</p><p>The sentence is %s.</p></section><section><p>e</p><p>f</p></section>" + notice,
+             "wrapped": "<div><div><h1>Title</h1><p>First of %s.</p><p>Second of %s.</p><p>Third</p></div></div>" + notice}
+    rows, want = [], {}
+    for k, form in enumerate(forms.values()):
+        for i in range(30):
+            own = "the reprint" if i < 12 else f"page {i}"
+            rows.append((100 * k + i, f"http://h{k}.example/{i}", f"<div>nav</div><{'main' if k else 'article'}>{form.replace('%s', own)}</{'main' if k else 'article'}>"))
+            want[100 * k + i] = form.replace("%s", own).replace(notice, "")
+    got = {r.page_id: r.text for r in op5_html.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, html in want.items():
+        assert got[i].split("\n\n") == re.findall(r"<(?:p|h1)>(.*?)</", html), i

@@ -6,14 +6,15 @@ hash stands; subtrees that recur on many pages of their host (``MIN_PAGES`` page
 ``MIN_SHARE`` of the host's pages) are its template and are deleted. What also goes, wherever it
 stands, is what HTML itself names as not running text (scripts, styles, navigation, headers, footers,
 asides, forms, ...) and elements whose class, id or role says the same (adverts, notices,
-comments, ...; an article inside an element named like a layout part stays). If the page has an ``article`` or ``main`` element the rest of the page goes too, and inside it paragraphs,
-headings, lists' items and cells are never counted as template, so that passages and
-articles that a site publishes twice stay.
+comments, ...; an article inside an element named like a layout part stays). If the page has an ``article`` or ``main`` element the rest of the page goes too. Inside it neither
+the element itself nor a box around most of its blocks, nor paragraphs, headings, lists' items and cells are ever counted as template; other boxes are
+template only if they stand in ``MIN_PAGES`` articles that differ (in the longest block outside the box). So passages and
+articles that a site publishes twice or a thousand times stay.
 
 Blocks are split at block elements; white space inside a block becomes one space; character references are
 decoded; blocks are joined in page order by an empty line.
 
-Plan: one parse sends (host, hash, page) rows, the count is a combined aggregation per (host, hash), the hashes
+Plan: one parse sends (host, hash, article, page) rows, the counts are combined aggregations per (host, hash, article) and then (host, hash), the hashes
 to delete come back to their page by a join on the page, and a second parse writes the text. A host with a
 third of all pages is spread by hash and page.
 
@@ -36,6 +37,7 @@ from traitflow.llm import common as C
 
 MIN_PAGES = 10
 MIN_SHARE = 0.02
+SENTENCE = 40            # characters
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -68,6 +70,7 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 
 
+HASHES = pa.list_(pa.struct([("hash", pa.int64()), ("article", pa.int64())]))
 KEPT, LAYOUT, REMOVED = 0, 1, 2     # LAYOUT: not text, unless an article or main element stands inside
 
 
@@ -90,22 +93,22 @@ def named_chrome(tag: str, attrs: str) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "start", "digest", "gone", "inside", "has_main", "first")
+    __slots__ = ("tag", "start", "digest", "gone", "home", "has_main", "first")
 
-    def __init__(self, tag, gone, inside, first):
-        self.tag, self.gone, self.inside, self.first = tag, gone, inside, first
+    def __init__(self, tag, gone, home, first):
+        self.tag, self.gone, self.home, self.first = tag, gone, home, first
         self.digest = xxhash.xxh64(tag)
         self.has_main = False
 
 
 def parse(page: str):
     """Blocks and elements of a page: ([(text, gone, in main part)], [(tag, hash, first block, end block,
-    eligible as template)], whether the page has a main part)."""
+    eligible as template, main part or -1)], the main parts' (first block, end block))."""
     blocks: list[tuple[str, bool, bool]] = []
-    elements: list[tuple[str, int, int, int, bool]] = []
-    stack = [Element("", KEPT, False, 0)]
+    elements: list[tuple[str, int, int, int, bool, int]] = []
+    stack = [Element("", KEPT, -1, 0)]
     run: list[str] = []
-    any_main = False
+    mains: list[tuple[int, int]] = []
 
     def flush():
         if run:
@@ -113,7 +116,7 @@ def parse(page: str):
             run.clear()
             if text:
                 top = stack[-1]
-                blocks.append((text, top.gone != KEPT, top.inside))
+                blocks.append((text, top.gone != KEPT, top.home >= 0))
                 top.digest.update("\0" + text)
 
     def close():
@@ -124,8 +127,12 @@ def parse(page: str):
         stack[-1].digest.update(value.to_bytes(8, "little"))
         if e.has_main:
             stack[-1].has_main = True
+        own = e.home != stack[-1].home      # e is a main part itself
+        if own:
+            mains[e.home] = (e.first, len(blocks))
         if e.tag in BLOCKS and not e.gone and len(blocks) > e.first:
-            elements.append((e.tag, value - (1 << 64) if value >> 63 else value, e.first, len(blocks), not e.has_main and not (e.inside and e.tag in FLOW)))
+            eligible = not e.has_main and not own and not (e.home >= 0 and e.tag in FLOW)
+            elements.append((e.tag, value - (1 << 64) if value >> 63 else value, e.first, len(blocks), eligible, e.home))
 
     at, size = 0, len(page)
     while at < size:
@@ -178,8 +185,9 @@ def parse(page: str):
             if attrs.endswith("/") and tag in ("svg", "path"):
                 continue
             if main:
-                any_main = top.has_main = True
-            stack.append(Element(tag, gone, top.inside or main, len(blocks)))
+                top.has_main = True
+                mains.append((len(blocks), len(blocks)))
+            stack.append(Element(tag, gone, len(mains) - 1 if main else top.home, len(blocks)))
         elif m[3]:
             tag = m[3].lower()
             if tag == "br":
@@ -197,24 +205,49 @@ def parse(page: str):
     while len(stack) > 1:
         close()
     flush()
-    return blocks, elements, any_main
-
-
-def candidates(page: str | None) -> list[int]:
-    """Hashes of the page's subtrees that may be template."""
+    return blocks, elements, mains
+
+
+def templates(blocks, elements, mains) -> list[tuple[int, int | None, int, int]]:
+    """(hash, article, first block, end block) of the subtrees that may be template; article is None outside main parts,
+    inside it tells the articles apart in which a box stands: the hash of the longest kept block outside all such boxes, or
+    if that is no sentence, outside this box."""
+    kept = [0]                # kept blocks before each block
+    for _, gone, _ in blocks:
+        kept.append(kept[-1] + (not gone))
+    out, boxes = [], []
+    boxed: set[int] = set()
+    for _, h, i, j, eligible, home in elements:
+        if eligible and home < 0:
+            out.append((h, None, i, j))
+        elif eligible and 2 * (kept[j] - kept[i]) <= kept[mains[home][1]] - kept[mains[home][0]]:
+            boxes.append((h, i, j, home))
+            boxed.update(range(i, j))
+    longest: dict[int, list[int]] = {}
+    for h, i, j, home in boxes:
+        if home not in longest:
+            by_size = sorted((k for k in range(*mains[home]) if not blocks[k][1]), key=lambda k: -len(blocks[k][0]))
+            free = [k for k in by_size if k not in boxed][:1]
+            longest[home] = free if free and len(blocks[free[0]][0]) >= SENTENCE else by_size
+        value = xxhash.xxh64_intdigest(next((blocks[k][0] for k in longest[home] if not i <= k < j), ""))
+        out.append((h, value - (1 << 64) if value >> 63 else value, i, j))
+    return out
+
+
+def candidates(page: str | None) -> list[dict[str, int | None]]:
+    """Hashes of the page's subtrees that may be template, each once, with the article it stands in."""
     if not page:
         return []
-    _, elements, _ = parse(page)
-    return list({h for _, h, _, _, eligible in elements if eligible})
+    return [{"hash": h, "article": a} for h, a in {h: a for h, a, _, _ in templates(*parse(page))}.items()]
 
 
 def main_text(page: str | None, template: set[int]) -> str:
     if not page:
         return ""
-    blocks, elements, any_main = parse(page)
-    drop = [gone or (any_main and not inside) for _, gone, inside in blocks]
-    for _, h, i, j, eligible in elements:
-        if eligible and h in template:
+    blocks, elements, mains = parse(page)
+    drop = [gone or (bool(mains) and not inside) for _, gone, inside in blocks]
+    for h, _, i, j in templates(blocks, elements, mains):
+        if h in template:
             drop[i:j] = [True] * (j - i)
     return "\n\n".join(b[0] for b, d in zip(blocks, drop) if not d)
 
@@ -228,7 +261,7 @@ def extracted(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     def hashes(batches):
         for batch in batches:
             found = [candidates(x.as_py()) for x in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["host", "key", "hashes"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, HASHES)], names=["host", "key", "hashes"])
 
     def texts(batches):
         for batch in batches:
@@ -236,11 +269,14 @@ def extracted(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
                                              names=["page_id", "url", "text", "n_chars"])
 
-    parsed = C.written(rows.select(host.alias("host"), "key", "html").mapInArrow(hashes, "host string, key long, hashes array<bigint>"), "html-hashes")
+    parsed = C.written(rows.select(host.alias("host"), "key", "html").mapInArrow(hashes, "host string, key long, hashes array<struct<hash: bigint, article: bigint>>"), "html-hashes")
     seen = parsed.distinct()
     sizes = seen.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("pages"))
-    each = seen.select("host", "key", F.explode("hashes").alias("hash"))
-    often = each.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
+    each = seen.select("host", "key", F.inline("hashes"))
+    # one article counts once however many pages print it
+    counted = each.groupBy("host", "hash", "article").agg(F.count(F.lit(1)).alias("n"))
+    often = (counted.groupBy("host", "hash").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("article").isNull(), F.col("n")).otherwise(1)).alias("articles"))
+             .filter(F.col("articles") >= min_pages))
     template = (often.join(sizes, F.col("host") == F.col("of")).filter(F.col("n") >= min_share * F.col("pages"))
                 .select(F.col("host").alias("th"), F.col("hash").alias("tt")))
     dropped = (each.join(template, (F.col("host") == F.col("th")) & (F.col("hash") == F.col("tt")))
