@@ -1,10 +1,15 @@
 """Cases in which an operator or a stage once did less than the whole job."""
 
+import base64
+import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm.conftest import DOCUMENTS
-from traitflow.llm import op4_jaccard, op5_html
+from traitflow.llm import common as C
+from traitflow.llm import op4_jaccard, op5_html, op8_secrets
 
 
 # -- pipeline
@@ -39,3 +44,25 @@ def test_reprinted_article_stays(spark):
     got = {r.page_id: r.text for r in op5_html.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     for i, html in want.items():
         assert got[i].split("\n\n") == re.findall(r"<(?:p|h1)>(.*?)</", html), i
+
+
+# -- op8
+
+def test_values_of_padded_keys(spark):
+    one, two = "dGhpcyBpcyBhIGtleSBvZiAxMjM0Mw==", "dGhpcyBpcyBhIGtleSBvZiAxMjM0NTY3ODkwMTz="
+    words = {w: k for k in (one, two) for w in (k, f'"{k}"', f"'{k}',", f"{k}.", f"password={k}", f'"api_key":"{k}"', f"token='{k}';", f"key:={k}")}
+    words |= {"password=hunter22": "hunter22", "https://host.example/a1": "https://host.example/a1", 'secret="ab=cdefg"': "ab=cdefg", "AUTH==abcdef1": "abcdef1"}
+    got = spark.createDataFrame([(w,) for w in words], "word string").select("word", op8_secrets.value_of(F.col("word")).alias("v")).collect()
+    assert {r.word: r.v for r in got} == words
+
+
+def test_padded_keys_are_masked(spark):
+    keys = [base64.b64encode(hashlib.sha256(str(i).encode()).digest()[:n]).decode() for i in range(40) for n in (16, 20, 32)]
+    assert all(k.endswith("=") for k in keys)
+    forms = ['words here password = %s more', 'words here api_key = "%s" more', "words here token=%s more", "words here secret: '%s' more"]
+    rows = [(i, forms[i % 4] % k, *([None] * 10)) for i, k in enumerate(keys)] + [(500 + i, f"see {k} here", *([None] * 10)) for i, k in enumerate(keys)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    found = {(r.key.id, r.value) for r in op8_secrets.judged(docs.select("doc_id", "text"), C.row_key()).collect()}
+    assert {(i, k) for i, k in enumerate(keys)} <= found and {(500 + i, k) for i, k in enumerate(keys) if re.search("[0-9]", k)} <= found
+    texts = {r.doc_id: r.text for r in op8_secrets.redacted(docs).collect()}
+    assert sum(texts[i] == forms[i % 4] % "[SECRET]" for i in range(len(keys))) >= 0.97 * len(keys)

@@ -8,8 +8,8 @@ frequent words of the corpus, counted over all documents), path shape, and the n
 (telling name, assignment, words that announce a digest or an example). A forest trained on labelled findings
 gives the probability that the candidate is a secret; a finding is one at ``THRESHOLD`` or more.
 
-Labelled findings are made by rule (``labelled_findings``): keys, tokens and passwords of common formats in
-telling contexts, and digests, identifiers, paths, numbers, dates, placeholders and mail addresses in theirs.
+Labelled findings are made by rule (``labelled_findings``): keys (Base64 with and without padding), tokens and passwords of
+common formats in telling contexts, and digests, identifiers, paths, numbers, dates, placeholders and mail addresses in theirs.
 
 Only candidates leave the scan. Letter runs of candidates meet the words of the corpus in a join that
 keeps just those runs, so the word counts that are shuffled are few. ``redacted`` replaces the
@@ -39,11 +39,13 @@ MASK = "[SECRET]"
 NAMES = r"(?i)(?:token|secret|passw|passphrase|pwd|api[_-]?key|apikey|access[_-]?key|auth|bearer|credential|private[_-]?key|client[_-]?key)"
 OTHERS = r"(?i)(?:commit|sha\d*|md5|checksum|digest|hash|etag|uuid|guid|revision|build|version|example|sample|dummy|isbn|order|invoice|ticket|card|phone)"
 LONG = r"[A-Za-z0-9+/_=-]{16}"
+# a name and its sign before a value of six characters or more; the = at the end of a Base64 key is no sign
+ASSIGNED = r"""^["']?[A-Za-z_][A-Za-z0-9_.-]*["']?(?:=|:(?!//))+(?!=)(?!["'][,;)}\]])(?=(?:["'=]*[^"'=]){6})"""
 
 
 def value_of(word: Column) -> Column:
     """The word without an assigned name before it and quotes or punctuation around it."""
-    bare = F.regexp_replace(word, r"""^["']?[A-Za-z_][A-Za-z0-9_.-]*["']?(?:=|:(?!//))+(?=.)""", "")
+    bare = F.regexp_replace(word, ASSIGNED, "")
     return F.regexp_replace(F.regexp_replace(bare, r"""^["'`(\[{<]+""", ""), r"""["'`)\]}>,;.:!?#%&*$|]+$""", "")
 
 
@@ -101,7 +103,7 @@ def features(rows: DataFrame) -> tuple[DataFrame, list[str]]:
         "f_changes": changes / n, "f_entropy": entropy, "f_hex": flag(v.rlike("^[0-9a-fA-F]+$")), "f_vowels": share("aeiouAEIOU"), "f_covered": F.col("covered") / n,
         "f_slashes": (n - F.length(F.translate(v, "/\\", ""))).cast("double"), "f_dots": (n - F.length(F.translate(v, ".", ""))).cast("double"),
         "f_dashes": (n - F.length(F.translate(v, "-", ""))).cast("double"), "f_mail": flag(v.rlike("@|://")), "f_uuid": flag(v.rlike("(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}")),
-        "f_name": flag(before.rlike(NAMES) | F.col("word").rlike(NAMES)), "f_assign": flag(F.col("one").rlike("[=:]$") | F.col("word").rlike("^[\"']?[A-Za-z_][A-Za-z0-9_.-]*[\"']?[=:]")),
+        "f_name": flag(before.rlike(NAMES) | F.col("word").rlike(NAMES)), "f_assign": flag(F.col("one").rlike("[=:]$") | F.col("word").rlike(ASSIGNED)),
         "f_quoted": flag(F.col("word").rlike("[\"']")), "f_announced": flag(before.rlike(OTHERS) | F.col("next").rlike(OTHERS) | v.rlike("(?i)example|sample|dummy|your|xxxx|placeholder|changeme")),
         "f_known": flag(v.rlike("^(?:AKIA|ASIA|AIza|gh[pousr]_|github_pat_|sk[-_]|rk_|pk_live|xox[abpors]-|eyJ|glpat-|npm_|hf_|SG\\.)")),
     }
@@ -112,7 +114,8 @@ def labelled_findings(spark: SparkSession, examples: int = EXAMPLES) -> DataFram
     """label, text: short texts with one finding each, made by rule from hashes of row numbers."""
     i = F.col("id")
     h = lambda salt: F.sha2(F.concat(i.cast("string"), F.lit(salt)).cast("binary"), 256)
-    b64 = lambda salt: F.translate(F.base64(F.unhex(h(salt))), "=", "")
+    padded = lambda salt, k: F.base64(F.unhex(F.substring(h(salt), 1, k)))
+    b64 = lambda salt: F.translate(padded(salt, 64), "=", "")
     alnum = lambda salt: F.translate(b64(salt), "+/", "xQ")
     pick = lambda salt, *of: F.element_at(F.array(*[F.lit(x) if isinstance(x, str) else x for x in of]), (F.pmod(F.xxhash64(i, F.lit(salt)), F.lit(len(of))) + 1).cast("int"))
     digits = lambda salt, k: F.substring(F.translate(h(salt), "abcdef", "123456"), 1, k)
@@ -121,11 +124,11 @@ def labelled_findings(spark: SparkSession, examples: int = EXAMPLES) -> DataFram
     key = pick("k", pick("s1", F.substring(h("a"), 1, 40), F.substring(h("a"), 1, 32), h("a")), F.concat(F.lit("AKIA"), F.upper(F.substring(F.translate(h("b"), "0189", "GHJK"), 1, 16))),
                F.concat(F.lit("ghp_"), F.substring(alnum("c"), 1, 36)), F.concat(pick("s2", "sk_live_", "sk-", "rk_", "hf_", "glpat-"), F.substring(alnum("d"), 1, 24)),
                F.concat(F.lit("xoxb-"), digits("e", 12), F.lit("-"), F.substring(alnum("f"), 1, 24)), F.concat(F.lit("eyJ"), F.substring(alnum("g"), 1, 33), F.lit("."), alnum("h")),
-               b64("i"), F.concat(pick("s3", "Sommer", "hunter", "Blue!", "qwe", "Pa55"), digits("j", 4), pick("s4", "!", "$x", "#A", "zz", "Kp")), F.concat(F.lit("AIza"), F.substring(alnum("l"), 1, 35)))
+               b64("i"), pick("s5", padded("P", 32), padded("P", 40), padded("P", 64)), F.concat(pick("s3", "Sommer", "hunter", "Blue!", "qwe", "Pa55"), digits("j", 4), pick("s4", "!", "$x", "#A", "zz", "Kp")), F.concat(F.lit("AIza"), F.substring(alnum("l"), 1, 35)))
     name = pick("n", "token", "secret", "password", "api_key", "API_KEY", "access_key", "auth_token", "passwd", "client_secret", "apikey")
     q = pick("q", "\"", "'", "\"", "")
     secret = pick("w", F.concat(name, F.lit(" = "), q, key, q), F.concat(name, F.lit(" = "), q, key, q), F.concat(name, F.lit(": "), q, key, q), F.concat(name, F.lit("="), q, key, q), F.concat(F.lit("Bearer "), key))
-    harmless = pick("x", F.concat(F.lit("commit "), F.substring(h("m"), 1, 40)), F.concat(pick("y", "md5 ", "sha256 ", "checksum: ", "digest = "), pick("y2", F.substring(h("m"), 1, 32), h("m"))),
+    harmless = pick("x", F.concat(F.lit("commit "), F.substring(h("m"), 1, 40)), F.concat(pick("y", "md5 ", "sha256 ", "checksum: ", "digest = "), pick("y2", F.substring(h("m"), 1, 32), h("m"), padded("m", 64))),
                     F.concat(F.lit("/files/"), uuid, pick("y3", ".html", ".png", "/index")), F.concat(F.lit("uuid: "), uuid), digits("o", 16), F.concat(F.lit("https://example.com/"), word("p"), F.lit("/"), digits("p", 8), F.lit("?page=2&ref=x")),
                     F.concat(word("r"), F.lit("."), digits("r", 2), F.lit("@mail"), digits("s", 1), F.lit(".example.com")), F.concat(F.lit("2024-05-"), digits("t", 2), F.lit("T10:"), digits("v", 2), F.lit(":00.000Z")),
                     F.concat(F.lit("IMG_"), digits("z", 8), F.lit("_123456.jpg")), F.concat(name, F.lit(" = \""), pick("y4", "your_api_key_here_1", "xxxxxxxxxxxxxxxx1", "EXAMPLE_KEY_12345678", "changeme1", "0000000000000000", "placeholder_123456"), F.lit("\"")),
