@@ -4,6 +4,7 @@ import base64
 import hashlib
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -66,3 +67,19 @@ def test_padded_keys_are_masked(spark):
     assert {(i, k) for i, k in enumerate(keys)} <= found and {(500 + i, k) for i, k in enumerate(keys) if re.search("[0-9]", k)} <= found
     texts = {r.doc_id: r.text for r in op8_secrets.redacted(docs).collect()}
     assert sum(texts[i] == forms[i % 4] % "[SECRET]" for i in range(len(keys))) >= 0.97 * len(keys)
+
+
+@pytest.mark.parametrize("attrs, kept", [
+    ('class="overflow-hidden"', True), ('style="overflow:hidden"', True), ("class='hidden-print'", True), ('aria-hidden="false"', True), ("data-hidden=1", True), ('title="a hidden place"', True),
+    ('data-class="ad"', True), ("hidden", False), ('id=x hidden=""', False), ('HIDDEN="hidden"', False), ('hidden="until-found"', True), ('aria-hidden="true"', False), ("aria-hidden=true", False),
+    ('style="display: none"', False), ('style="visibility:hidden"', False), ("", True)])
+def test_hidden_elements(attrs, kept):
+    want = "a\n\nb" if kept else ""
+    for page in ("<article %s><p>a</p><p>b</p></article>", "<div %s><article><p>a</p><p>b</p></article></div>", "<div %s><p>a</p><p>b</p></div>"):
+        assert op5_html.main_text(page % attrs, set()) == want
+
+
+@pytest.mark.parametrize("name", ["promo", "post sponsored", "tag-sharing", "category-comments", "notice"])
+def test_names_do_not_remove_the_article(name):
+    for tag in ("article", "main"):
+        assert op5_html.main_text(f'<div>x</div><{tag} class="{name}"><p>a</p><div class="{name}"><p>b</p></div></{tag}>', set()) == "a"

@@ -65,30 +65,33 @@ OTHERS_TEXT = frozenset("ad ads advert adverts advertisement advertisements adve
 TURNED = frozenset("has have with no not without is".split()), frozenset("open closed enabled disabled free off none".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</([a-zA-Z][^\s/>]*)[^>]*>|<[!?][^>]*>", re.S)
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTR = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?|"[^"]*"|'[^']*'""")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 HASHES = pa.list_(pa.struct([("hash", pa.int64()), ("article", pa.int64())]))
 KEPT, LAYOUT, REMOVED = 0, 1, 2     # LAYOUT: not text, unless an article or main element stands inside
 
 
-def named_chrome(tag: str, attrs: str) -> int:
-    """What the class, id or role of an element says about it."""
+def named_chrome(tag: str, attrs: str, nested: bool = False) -> int:
+    """What the attributes of an element say about it. Names do not remove an article or main element, unless it is ``nested`` in
+    an article (a comment)."""
     found = KEPT
-    if attrs:
-        if _HIDDEN.search(attrs):
+    for m in _ATTR.finditer(attrs or ""):
+        name, value = (m[1] or "").lower(), m[2] or m[3] or m[4] or ""
+        if name == "hidden" and value.strip().lower() != "until-found" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _UNSEEN.search(value):
             return REMOVED
-        for m in _NAMES.finditer(attrs):
-            for name in (m[1] or m[2] or m[3] or "").split():
-                parts = [w.lower() for w in _PART.findall(name)]
-                if not parts or parts[0] in TURNED[0] or parts[-1] in TURNED[1]:
-                    continue
-                if not OTHERS_TEXT.isdisjoint(parts):
-                    return REMOVED
-                if tag not in FLOW and not CHROME.isdisjoint(parts):
-                    found = LAYOUT
+        if name not in ("class", "id", "role") or tag in ("article", "main") and not nested:
+            continue
+        for word in value.split():
+            parts = [w.lower() for w in _PART.findall(word)]
+            if not parts or parts[0] in TURNED[0] or parts[-1] in TURNED[1]:
+                continue
+            if not OTHERS_TEXT.isdisjoint(parts):
+                found = REMOVED
+            elif tag not in FLOW and not CHROME.isdisjoint(parts):
+                found = max(found, LAYOUT)
     return found
 
 
@@ -178,7 +181,7 @@ def parse(page: str):
                     if stack[depth].tag in BLOCKS:
                         break
             top = stack[-1]
-            named = named_chrome(tag, attrs) if tag not in ("body", "html") else KEPT
+            named = named_chrome(tag, attrs, any(e.tag == "article" for e in stack) if tag == "article" else False) if tag not in ("body", "html") else KEPT
             main = tag in ("article", "main") and top.gone != REMOVED and named != REMOVED
             own = LAYOUT if tag == "form" else REMOVED if tag in NOT_TEXT else named     # a form may wrap the whole page
             gone = KEPT if main else max(top.gone, own)
