@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm.conftest import DOCUMENTS
 from traitflow.llm import common as C
-from traitflow.llm import op4_jaccard, op5_html, op8_secrets
+from traitflow.llm import op3_licenses, op4_jaccard, op5_html, op8_secrets
 
 
 # -- pipeline
@@ -83,3 +83,22 @@ def test_hidden_elements(attrs, kept):
 def test_names_do_not_remove_the_article(name):
     for tag in ("article", "main"):
         assert op5_html.main_text(f'<div>x</div><{tag} class="{name}"><p>a</p><div class="{name}"><p>b</p></div></{tag}>', set()) == "a"
+
+
+# -- op3
+
+def test_licences_without_cue_words(spark, docs):
+    lines = {"Distributed under LGPL-2.1-or-later": "LGPL", "Released under AGPL-3.0-only.": "AGPL-3.0", "Released under Apache-2.0.": "Apache-2.0", "Code under MIT": "MIT", "Released under MPLv2": "MPL-2.0"}
+    wrapped = ["This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by", "the Free Software Foundation, either", "version 3 of the License, or",
+               "(at your option) any later version."]
+    rows = [(i, "some words\n\n" + t + "\nmore words", *([None] * 10)) for i, t in enumerate(lines)] + [(50, "a b c\n \n\nsome words\n \n" + "\n".join(wrapped) + "\n\nmore words", *([None] * 10))]
+    got = op3_licenses.scanned(docs.unionByName(spark.createDataFrame(rows, DOCUMENTS).repartition(2))).collect()
+    found = {(r.doc_id, r.line, r.family) for r in got if r.confirmed}
+    assert {(i, 2, f) for i, f in enumerate(lines.values())} <= found
+    assert any(r.doc_id == 50 and r.family == "GPL-3.0" and r.confirmed and 5 <= r.line <= 9 for r in got)
+
+
+def test_licence_blocks(spark):
+    rows = [(1, "a\nb\n \n\nc\n\nd\r\ne 1\x01\n", *([None] * 10)), (2, "\n\n", *([None] * 10)), (3, None, *([None] * 10)), (4, "x", *([None] * 10))]
+    got = {(r.doc_id, r.line, r.last, r.paragraph) for r in op3_licenses.paragraphs(spark.createDataFrame(rows, DOCUMENTS)).collect()}
+    assert got == {(1, 0, 0, "a"), (1, 1, 1, "b"), (1, 4, 4, "c"), (1, 6, 6, "d\r"), (1, 7, 7, "e 1\x01"), (1, 0, 1, "a\nb"), (1, 6, 7, "d\r\ne 1\x01"), (4, 0, 0, "x")}

@@ -1,7 +1,7 @@
 """Licence scans: a trained paragraph classifier confirmed by templates (DataFrame and MLlib code on the
 JVM only).
 
-Each line of a text is a paragraph. Its 1- and 2-grams of words (sparse binary counts over the vocabulary of
+Paragraphs are the blocks of a text between blank lines, and each line by itself. Their 1- and 2-grams of words (sparse binary counts over the vocabulary of
 the training paragraphs) go into a multinomial logistic regression over licence families and the class
 ``unknown``. A paragraph belongs to the family with the largest probability if that is at least the calibrated
 threshold: on held-out training paragraphs, the smallest threshold at which at most ``FALSE`` of
@@ -12,9 +12,9 @@ Training paragraphs: the templates below, whole, cut, with other names, years an
 rule from row numbers; and as ``unknown`` paragraphs without licence words from documents with the smallest hashes (a bounded
 sample, ``MAX_UNKNOWN``) and sentences that use licence words otherwise.
 
-Only paragraphs with a word from the templates' own vocabulary (``CUES``) can differ from ``unknown``; all
-paragraphs are searched for those in one scan, and only they are classified. Nothing is shuffled but the
-corpus sample's candidates. Edge cases: null and empty texts have no paragraphs; a null id is reported as null; repeated rows
+All lines and blocks are classified in one scan, and only findings leave it: lines that belong to a family, ``unknown`` lines with a
+licence word (``CUES``), and blocks of several lines that are confirmed for a family for which none of their lines is. Nothing is shuffled but the
+corpus sample's candidates and the findings. Edge cases: null and empty texts have no paragraphs; a null id is reported as null; repeated rows
 report the same findings each; very long paragraphs are classified whole; an empty table gives no findings; other
 columns are ignored.
 """
@@ -67,7 +67,10 @@ TEMPLATES = (
 ) + tuple((family, f"SPDX-License-Identifier: {name}") for family, name in (
     ("Apache-2.0", "Apache-2.0"), ("MIT", "MIT"), ("GPL-3.0", "GPL-3.0-only"), ("GPL-3.0", "GPL-3.0-or-later"), ("GPL-2.0", "GPL-2.0-only"), ("LGPL", "LGPL-2.1-or-later"),
     ("AGPL-3.0", "AGPL-3.0-only"), ("BSD", "BSD-3-Clause"), ("BSD", "BSD-2-Clause"), ("MPL-2.0", "MPL-2.0"), ("CC-BY", "CC-BY-4.0"), ("CC-BY-SA", "CC-BY-SA-4.0"),
-    ("CC-BY-NC", "CC-BY-NC-4.0"), ("CC0", "CC0-1.0"), ("Unlicense", "Unlicense"), ("ISC", "ISC")))
+    ("CC-BY-NC", "CC-BY-NC-4.0"), ("CC0", "CC0-1.0"), ("Unlicense", "Unlicense"), ("ISC", "ISC"))) + tuple((family, f"Released under {name}.") for family, name in (
+    ("Apache-2.0", "Apache-2.0"), ("MIT", "MIT"), ("GPL-3.0", "GPL-3.0-only"), ("GPL-3.0", "GPL-3.0-or-later"), ("GPL-3.0", "GPLv3"), ("GPL-2.0", "GPL-2.0-only"), ("GPL-2.0", "GPLv2"),
+    ("LGPL", "LGPL-2.1-or-later"), ("LGPL", "LGPLv3"), ("AGPL-3.0", "AGPL-3.0-only"), ("AGPL-3.0", "AGPLv3"), ("BSD", "BSD-3-Clause"), ("MPL-2.0", "MPL-2.0"), ("MPL-2.0", "MPLv2"),
+    ("CC0", "CC0-1.0")))
 OTHER = (
     "She renewed her driving license at the public office last week.", "The court may grant permission to appeal the decision.",
     "The general manager of the public library opened the new source of funding.", "The software version was released in spring and sold under another name.",
@@ -75,7 +78,7 @@ OTHER = (
     "Copyright law protects authors and their heirs.", "The commons was open to the public for grazing.", "The fishing licence is issued under the act of 1923.",
     "The Apache nation lived in the southwest.", "Students at MIT published the work.", "Distribution of the harvest follows without restriction.",
 )
-# words without which a paragraph has nothing of a licence
+# words with which a line is reported even if it belongs to no family, and without which prose is taken for training
 CUES = r"(?i)licen[cs]e|copyright|permission|warrant|redistribut|creative commons|public domain|free software|all rights reserved|proprietary|\bCC[ -](?:BY|0)|\bCC0|\bSPDX|\bGPL|\bBSD|\bMPL\b"
 
 
@@ -89,9 +92,24 @@ def grams(paragraph: Column) -> Column:
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, line (number), paragraph: lines with a licence word."""
-    cued = C.let(F.split("text", "\n", -1), lambda a: F.filter(F.transform(a, lambda x, i: F.struct(i.cast("long").alias("line"), x.alias("paragraph"))), lambda s: s["paragraph"].rlike(CUES)))
-    return docs.filter(F.col("text").rlike(CUES)).select("doc_id", F.explode(cued).alias("p")).select("doc_id", "p.line", "p.paragraph")
+    """doc_id, h (of the text), line and last (numbers of the first and last line), paragraph: every line that is not blank, and every block
+    of several lines between blank lines."""
+    def struct(line, last, paragraph):
+        return F.struct(line.cast("long").alias("line"), last.cast("long").alias("last"), paragraph.alias("paragraph"))
+
+    def block(b):
+        # every line of the numbered text starts with its number and \x01
+        own = F.filter(F.split(b, "\n", -1), lambda x: ~x.rlike("^[0-9]+\x01\\s*$"))
+        number = lambda x: F.substring_index(x, "\x01", 1)
+        return C.let(own, lambda o: F.when(F.size(o) > 1, struct(number(F.element_at(o, 1)), number(F.element_at(o, -1)), F.array_join(F.transform(o, lambda x: F.regexp_replace(x, "^[0-9]+\x01", "")), "\n"))))
+
+    def units(a):
+        lines = F.filter(F.transform(a, lambda x, i: struct(i, i, x)), lambda u: u["paragraph"].rlike(r"\S"))
+        numbered = F.array_join(F.transform(a, lambda x, i: F.concat(i.cast("string"), F.lit("\x01"), x)), "\n")
+        blocks = F.transform(F.split(numbered, "\n(?=[0-9]+\x01\\s*(?:\n|$))", -1), block)
+        return F.concat(lines, F.filter(blocks, lambda u: u.isNotNull()))
+
+    return docs.select("doc_id", F.xxhash64("text").alias("h"), F.explode(C.let(F.split("text", "\n", -1), units)).alias("p")).select("doc_id", "h", "p.*")
 
 
 def training(docs: DataFrame, max_unknown: int = MAX_UNKNOWN) -> DataFrame:
@@ -102,11 +120,12 @@ def training(docs: DataFrame, max_unknown: int = MAX_UNKNOWN) -> DataFrame:
     rows = [(f, t) for f, t in TEMPLATES] + [(UNKNOWN, t) for t in OTHER]
     known = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(f).alias("family"), F.lit(t).alias("paragraph")) for f, t in rows])))
     known = known.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(F.col("family") == UNKNOWN, 3 * COPIES).otherwise(COPIES))))
-    words = F.split("paragraph", " ")
+    verb = pick("verb", "Released", "Distributed", "Licensed", "Published", "Available", "Code", "This software is", "Use")
+    words = F.split(F.when(F.col("paragraph").rlike("^Released under (?!the)"), F.concat(verb, F.substring(F.col("paragraph"), 9, 1000))).otherwise(F.col("paragraph")), " ")
     size = F.size(words)
     cut = pick("cut", 1.0, 1.0, 0.9, 0.8)
     made = known.select(
-        "family", "copy", "paragraph", F.array_join(F.slice(words, 1, F.greatest(F.lit(3), F.ceil(size * cut).cast("int"))), " ").alias("body"))
+        "family", "copy", "paragraph", F.array_join(F.slice(words, 1, F.greatest(F.when(F.col("paragraph").rlike("^Released under (?!the)"), size).otherwise(3), F.ceil(size * cut).cast("int"))), " ").alias("body"))
     text = F.concat(pick("before", "", "", "", "// ", "# ", "* ", "Copyright (c) 2021 The Authors. ", "Note: "), F.col("body"),
                     pick("after", "", "", "", " See the LICENSE file for details.", " Visit the web site.", " -->"))
     text = F.when(pick("upper", 0, 0, 0, 1) == 1, F.upper(text)).otherwise(text)
@@ -154,17 +173,21 @@ def similarity(grams_: Column, family: Column) -> Column:
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """doc_id, line, family, probability, similarity, confirmed, paragraph for each paragraph with a licence word; family ``unknown`` where
-    no family reaches the threshold."""
+    """doc_id, line (the first), family, probability, similarity, confirmed, paragraph for each line of a family or with a licence word, and for each
+    block whose family none of its lines shows; family ``unknown`` where no family reaches the threshold."""
     docs = docs.select("doc_id", "text")
     classifier = Classifier(training(docs))
-    rows = C.written(paragraphs(docs).withColumn("grams", grams(F.col("paragraph"))), "licence-paragraphs")
-    out = classifier.guessed(rows)
-    family = F.when(F.col("chance") >= classifier.threshold, F.col("guess")).otherwise(F.lit(UNKNOWN))
-    out = out.withColumn("family", family)
+    out = classifier.guessed(paragraphs(docs).withColumn("grams", grams(F.col("paragraph"))))
+    out = out.withColumn("family", F.when(F.col("chance") >= classifier.threshold, F.col("guess")).otherwise(F.lit(UNKNOWN)))
+    single = F.col("line") == F.col("last")
+    out = C.written(out.filter((F.col("family") != UNKNOWN) | (single & F.col("paragraph").rlike(CUES))), "licence-paragraphs")
     out = out.withColumn("similarity", F.when(F.col("family") == UNKNOWN, F.lit(0.0)).otherwise(similarity(F.col("grams"), F.col("family"))))
-    return out.select("doc_id", "line", "family", F.col("chance").alias("probability"), "similarity",
-                      ((F.col("family") != UNKNOWN) & (F.col("similarity") >= SHARED)).alias("confirmed"), "paragraph")
+    out = out.withColumn("confirmed", (F.col("family") != UNKNOWN) & (F.col("similarity") >= SHARED))
+    out = C.written(out.drop("grams", "guess"), "licence-findings")
+    shown = out.filter(single & F.col("confirmed")).select(F.col("doc_id").alias("d"), F.col("h").alias("t"), F.col("line").alias("at"), F.col("family").alias("f"))
+    blocks = out.filter(~single & F.col("confirmed")).join(
+        shown, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("t")) & (F.col("family") == F.col("f")) & F.col("at").between(F.col("line"), F.col("last")), "left_anti")
+    return out.filter(single).unionByName(blocks).select("doc_id", "line", "family", F.col("chance").alias("probability"), "similarity", "confirmed", "paragraph")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
