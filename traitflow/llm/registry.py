@@ -1,6 +1,6 @@
 """Registered queries and DuckDB SQL of the training-data operators."""
 
-from traitflow.llm import op1_substrings, op2_decontamination, op3_licenses, op4_jaccard, op5_html, op6_rules, op7_mixing, op8_secrets, op9_quality, op10_lm
+from traitflow.llm import op1_substrings, op2_decontamination, op3_licenses, op4_jaccard, op5_html, op6_rules, op7_mixing, op8_secrets, op9_quality, op10_lm, op12_bpe
 
 QUERIES = {
     "op1_substrings": op1_substrings.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_secrets": op8_secrets.query,
     "op9_quality": op9_quality.query,
     "op10_lm": op10_lm.query,
+    "op12_bpe": op12_bpe.query,
 }
 
 ORACLE = {
