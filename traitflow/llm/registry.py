@@ -1,6 +1,6 @@
 """Registered queries and DuckDB SQL of the training-data operators."""
 
-from traitflow.llm import op1_substrings, op2_decontamination, op3_licenses, op4_jaccard, op5_html, op6_rules, op7_mixing, op8_secrets, op9_quality, op10_lm, op12_bpe
+from traitflow.llm import op1_substrings, op2_decontamination, op3_licenses, op4_jaccard, op5_html, op6_rules, op7_mixing, op8_secrets, op9_quality, op10_lm, op11_alignment, op12_bpe, op13_phrases
 
 QUERIES = {
     "op1_substrings": op1_substrings.query,
@@ -13,7 +13,9 @@ QUERIES = {
     "op8_secrets": op8_secrets.query,
     "op9_quality": op9_quality.query,
     "op10_lm": op10_lm.query,
+    "op11_alignment": op11_alignment.query,
     "op12_bpe": op12_bpe.query,
+    "op13_phrases": op13_phrases.query,
 }
 
 ORACLE = {
@@ -21,4 +23,5 @@ ORACLE = {
     "op2_decontamination": op2_decontamination.ORACLE,
     "op4_jaccard": op4_jaccard.ORACLE,
     "op7_mixing": op7_mixing.ORACLE,
+    "op13_phrases": op13_phrases.ORACLE,
 }
