@@ -53,8 +53,12 @@ def dedup_readings(df: DataFrame, provenance_order: list[str] | None = None) ->
     (provenance, source) wins."""
     if not provenance_order:
         return dedup_subset(df, S.READING_KEY, ["provenance", "source"])
+    return named(df.groupBy(*S.READING_KEY).agg(F.min(survivor_code(provenance_order)).alias("_code")), provenance_order)
+
+
+def named(best: DataFrame, provenance_order: list[str]) -> DataFrame:
+    """Readings with the provenance and source that their ``_code`` stands for."""
     n = len(S.SOURCE_OPTIONS)
-    best = df.groupBy(*S.READING_KEY).agg(F.min(survivor_code(provenance_order)).alias("_code"))
     order = F.array(*[F.lit(p) for p in provenance_order])
     sources = F.array(*[F.lit(x) for x in S.SOURCE_OPTIONS])
     return best.select(*S.READING_KEY,
