@@ -1,4 +1,5 @@
 import os
+import uuid
 
 from traitflow.plans.staging import staged
 from traitflow.session import checkpoint_root, sizing_conf, staging_path
@@ -23,9 +24,10 @@ def test_checkpoint_root_and_staging(spark):
     def build():
         calls.append(1)
         return spark.range(5)
-    a = staged(spark, "test-stage", build)
-    b = staged(spark, "test-stage", build)
-    assert a.count() == b.count() == 5 and len(calls) == 1      # written once per application
+    key = f"test-stage-{uuid.uuid4()}"
+    a = staged(spark, key, build)
+    b = staged(spark, key, build)
+    assert a.count() == b.count() == 5 and len(calls) == 1      # written once
 
 
 def test_write_by_trait_and_tsv(spark):

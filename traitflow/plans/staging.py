@@ -1,45 +1,42 @@
-"""Stages written once per Spark application and read back by every later step.
+"""Stages written once and read back by every later step, also by later applications.
 
 Mirrors the file barriers of the modelled pipeline (combo, segments, tiled readings): the
 expensive prefix runs once, its Parquet output lives in the shared checkpoint folder (so it
 survives executor loss and cuts lineage), and the many per-setting / per-trait outputs read
-it instead of recomputing it.
+it instead of recomputing it. A restarted driver finds complete stages in the registry
+(``plans/registry.py``) under the checkpoint folder.
 """
 
 from __future__ import annotations
 
-import hashlib
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from traitflow.session import staging_path
+from traitflow.plans.registry import StageRegistry, fingerprint
+from traitflow.session import checkpoint_root
 
-_STAGED: dict[tuple[str, str], str] = {}
+__all__ = ["fingerprint", "forget", "registry", "staged"]
 
+# What this process has seen, so that a stage is looked up once: (application, key, inputs) -> manifest.
+_STAGED: dict[tuple[str, str, str], dict] = {}
+_fresh_only = False
 
-def fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Digest of the names, sizes and modification times of the input files, from Spark's file system."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
-    found = []
-    while files.hasNext():
-        f = files.next()
-        found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
-    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()[:16]
 
+def registry(spark: SparkSession) -> StageRegistry:
+    return StageRegistry(spark, f"{checkpoint_root(spark)}/traitflow/stages")
 
-def staged(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> DataFrame:
-    app = spark.sparkContext.applicationId
-    k = (app, key)
+
+def staged(spark: SparkSession, key: str, build: Callable[[], DataFrame], inputs: str = "") -> DataFrame:
+    stages, k = registry(spark), (spark.sparkContext.applicationId, key, inputs)
     if k not in _STAGED:
-        path = staging_path(spark, "stage-" + re.sub(r"[^A-Za-z0-9_.-]+", "_", key))
-        build().write.mode("overwrite").parquet(path)
-        _STAGED[k] = path
-    return spark.read.parquet(_STAGED[k])
+        known = None if _fresh_only else stages.find(key, inputs)
+        _STAGED[k] = known or stages.write(key, inputs, build())
+    return stages.open(_STAGED[k])
 
 
 def forget() -> None:
-    """Stages written so far are not read again by this application."""
+    """Stages written so far, by this application or another one, are not read again by this process."""
+    global _fresh_only
+    _fresh_only = True
     _STAGED.clear()
