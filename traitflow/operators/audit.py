@@ -33,6 +33,44 @@ def audit_steps(df: DataFrame, steps: list[tuple[str, Column]]) -> DataFrame:
     return out.withColumn("pct_change", pct)
 
 
+Rules = list[tuple[str, Column]]
+
+
+def first_failed(rules: Rules) -> Column:
+    """Number (from 1) of the first rule that is not true for a row, in their order; 0 if all are. A rule that is null is
+    not true."""
+    out = F.lit(0)
+    for i, (_, rule) in reversed(list(enumerate(rules, start=1))):
+        out = F.when(~F.coalesce(rule, F.lit(False)), i).otherwise(out)
+    return out
+
+
+def traced(df: DataFrame, rules: Rules, col: str = "rule") -> DataFrame:
+    """Every row with the number of the rule that drops it (0: kept); one pass, nothing is shuffled."""
+    return df.withColumn(col, first_failed(rules))
+
+
+def rule_counts(trace: DataFrame, rules: Rules, col: str = "rule") -> DataFrame:
+    """``(step, label, before, after, pct_change)`` of the rules as successive filters, from one aggregation of the trace:
+    a row that rule k drops has passed all before it."""
+    dropped = trace.agg(*[F.count(F.when(F.col(col) == i, 1)).alias(f"d{i}") for i in range(len(rules) + 1)])
+    left = F.lit(0)
+    for i in range(len(rules) + 1):
+        left = left + F.col(f"d{i}")
+    steps = []
+    for i, (label, _) in enumerate(rules, start=1):
+        steps.append(F.struct(F.lit(i).alias("step"), F.lit(label).alias("label"), left.alias("before"), (left - F.col(f"d{i}")).alias("after")))
+        left = left - F.col(f"d{i}")
+    out = dropped.select(F.explode(F.array(*steps)).alias("r")).select("r.*")
+    return out.withColumn("pct_change", F.when(F.col("before") > 0, round_half_away((F.col("after") - F.col("before")) * 100.0 / F.col("before"), 1)))
+
+
+def quarantine(trace: DataFrame, rules: Rules, col: str = "rule") -> DataFrame:
+    """The dropped rows with the number and label of the rule that dropped them."""
+    labels = F.array(*[F.lit(label) for label, _ in rules])
+    return trace.filter(F.col(col) > 0).withColumn("reason", F.element_at(labels, F.col(col)))
+
+
 def audit_join(left: DataFrame, right: DataFrame, on, how: str, label: str = "join") -> tuple[DataFrame, DataFrame]:
     """The joined frame plus a long count table ``(label, side, rows)`` for left, right, result."""
     joined = left.join(right, on, how)

@@ -45,8 +45,12 @@ def converted_value(trait="trait", unit="result_value_units", result="result",
 
 def harmonise_units(df: DataFrame, units: DataFrame) -> DataFrame:
     """Drop null units, convert to the trait's target unit, flag the range, add log10."""
-    out = join_unit_converter(df.filter(F.col("result_value_units").isNotNull()), units)
-    out = out.withColumn("final", converted_value())
+    return converted_and_ranged(join_unit_converter(df.filter(F.col("result_value_units").isNotNull()), units))
+
+
+def converted_and_ranged(joined: DataFrame) -> DataFrame:
+    """``final`` in the trait's target unit, its range flag and log10, from a frame that has the converter's columns."""
+    out = joined.withColumn("final", converted_value())
     out = out.withColumn("range_position", X.range_position("final", "min", "max"))
     return out.withColumn("final_log10", X.log10_floor("final"))
 

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from traitflow import schema as S
+from traitflow.functions import scalars as X
+from traitflow.operators import audit as AU
 from traitflow.operators import filters as FL
 from traitflow.operators import intervals as IV
 from traitflow.operators import people as PE
@@ -40,6 +42,32 @@ def people_restricted(ranged: DataFrame, linkage: DataFrame, questionnaire: Data
     return FL.filter_min_age(x)
 
 
+def reading_rules(as_of: str) -> AU.Rules:
+    """What a reading has to satisfy, in the order in which the steps of the pipeline ask for it."""
+    age = F.col("age_at_test")
+    return [("known_term", F.col("trait").isNotNull()), ("has_unit", F.col("result_value_units").isNotNull()),
+            ("known_person", F.col("known_person")), ("range_ok", F.col("range_position") == "ok"),
+            ("plausible_dates", (age >= 0) & (F.col("test_date") <= F.lit(as_of).cast("date"))),
+            ("min_age", age >= S.MIN_AGE_YEARS)]
+
+
+def traced_readings(readings: DataFrame, traits: DataFrame, aliases: DataFrame, units: DataFrame, linkage: DataFrame,
+                    questionnaire: DataFrame, as_of: str) -> DataFrame:
+    """Every reading of the combo (once per trait that its term names) with all derived columns and ``rule``: the number of
+    the first of ``reading_rules`` that drops it, 0 for the readings that the pipeline keeps. One pass."""
+    x = TR.join_terms_to_traits(readings, TR.trait_dictionary(traits, aliases))
+    x = TR.converted_and_ranged(TR.join_unit_converter(x, units))
+    demo = PE.valid_demographics(linkage, PE.questionnaire_demographics(questionnaire)).withColumn("known_person", F.lit(True))
+    x = x.join(demo, "pseudo_nhs_number", "left").withColumn("age_at_test", X.age_at_test("test_date", "dob"))
+    return AU.traced(x.withColumn("known_person", F.coalesce("known_person", F.lit(False))), reading_rules(as_of))
+
+
+def tiled_regions(checked: DataFrame, segments: DataFrame) -> DataFrame:
+    """Readings that passed every rule -> tiled readings with ``region_types``."""
+    with_regions = RG.add_region_types(TI.tile_dedup_11d(checked).withColumnRenamed("date", "test_date"), segments)
+    return with_regions.withColumnRenamed("test_date", "date").select(*S.TILED_COLUMNS)
+
+
 def quant_pipeline(readings: DataFrame, stays: DataFrame, traits: DataFrame, aliases: DataFrame,
                    units: DataFrame, linkage: DataFrame, questionnaire: DataFrame, as_of: str,
                    segments: DataFrame | None = None) -> DataFrame:
@@ -50,6 +78,4 @@ def quant_pipeline(readings: DataFrame, stays: DataFrame, traits: DataFrame, ali
     if segments is None:
         segments = IV.admission_windows(stays)
     pre = people_restricted(ranged_readings(readings, traits, aliases, units), linkage, questionnaire, as_of)
-    tiled = TI.tile_dedup_11d(pre)
-    with_regions = RG.add_region_types(tiled.withColumnRenamed("date", "test_date"), segments)
-    return with_regions.withColumnRenamed("test_date", "date").select(*S.TILED_COLUMNS)
+    return tiled_regions(pre, segments)
