@@ -31,15 +31,15 @@ def test_release_end_to_end(spark):
     assert combo.select("provenance").distinct().count() == 3
     tiled = spark.read.parquet(paths["tiled"])
     assert tiled.count() > 0
-    readings = spark.read.option("header", True).csv(paths["readings"])
+    readings = spark.read.option("header", True).csv(paths["individual_trait_files/readings"])
     counts = {r[0]: r[1] for r in readings.groupBy("setting").count().collect()}
     assert counts["all"] == tiled.count() == counts["in_hospital"] + counts.get("out_hospital", 0)
-    cov = spark.read.option("sep", "\t").option("header", True).csv(paths["covariates_gsa"])
+    cov = spark.read.option("sep", "\t").option("header", True).csv(paths["covariates/gsa"])
     assert "AgeAtTest.Alpha.min" in cov.columns and cov.filter(F.col("setting") == "all").count() > 0
-    pheno = spark.read.option("sep", "\t").option("header", True).csv(paths["phenotype_exome"] + "/trait=HbA1c")
+    pheno = spark.read.option("sep", "\t").option("header", True).csv(paths["phenotypes/exome"] + "/trait=HbA1c")
     assert set(pheno.columns) == {"FID", "IID", "HbA1c.median", "HbA1c.min", "HbA1c.max", "setting"} and pheno.count() > 0
-    wide = spark.read.option("sep", "\t").option("header", True).csv(paths["phenotype_wide_gsa"])
+    wide = spark.read.option("sep", "\t").option("header", True).csv(paths["phenotypes_wide/gsa"])
     assert {"FID", "IID", "Alpha.median", "HbA1c.max", "Rho.min"} <= set(wide.columns)
-    audit = spark.read.parquet(f"{paths['ingest_audit']}/parquet")
+    audit = spark.read.parquet(f"{paths['logs/ingest_audit']}/parquet")
     assert audit.filter("provenance = '2023_05_Bradford_path' and after < before").count() > 0
     assert audit.select("provenance").distinct().count() == 3

@@ -16,6 +16,7 @@ from traitflow import schema as S
 from traitflow.functions import regions as RF
 from traitflow.functions import scalars as X
 from traitflow.operators import audit as AU
+from traitflow.operators import combo as CO
 from traitflow.operators import dedup as DD
 from traitflow.operators import filters as FL
 from traitflow.operators import intervals as IV
@@ -49,7 +50,7 @@ def region_text(c="region_types"):
 # --- shared Spark building blocks ---------------------------------------------------------
 
 def segments(spark, d):
-    return staged(spark, f"segments:{d}:{fingerprint(spark, d)}", lambda: IV.admission_windows(B.stays(spark, d)))
+    return staged(spark, f"segments:{d}", lambda: IV.admission_windows(B.stays(spark, d)), fingerprint(spark, d))
 
 
 def ranged(spark, d):
@@ -62,9 +63,9 @@ def pre_tiling(spark, d):
 
 def tiled(spark, d):
     """The tiled, region-classified readings, written once and shared by every output query."""
-    return staged(spark, f"tiled:{d}:{fingerprint(spark, d)}", lambda: P.quant_pipeline(
+    return staged(spark, f"tiled:{d}", lambda: P.quant_pipeline(
         B.readings(spark, d), B.stays(spark, d), B.traits(spark), B.aliases(spark), B.units(spark),
-        B.linkage(spark, d), B.questionnaire(spark, d), B.AS_OF, segments=segments(spark, d)))
+        B.linkage(spark, d), B.questionnaire(spark, d), B.AS_OF, segments=segments(spark, d)), fingerprint(spark, d))
 
 
 def tiled_settings(spark, d):
@@ -235,6 +236,18 @@ def q_range_join_regions(spark, d):
     return j.select("pseudo_nhs_number", "test_date", "start_date", "end_date", region_text())
 
 
+@query("interval_containment_join", with_clause("segs_seg", "buf") + """SELECT g.id, g.s, g.e, v.s AS interval_start, v.e AS interval_end,
+    """ + REGION_TEXT.format(t="v.") + """ AS region_types FROM segs_seg g JOIN buf v ON g.id = v.id AND g.s >= v.s AND g.e <= v.e
+    WHERE g.e IS NOT NULL""")
+def q_interval_containment_join(spark, d):
+    """Every elementary segment with each buffered interval that contains it, through the dyadic index."""
+    buf = _buffers(spark, d)
+    seg = IV.elementary_segments(buf).select("pseudo_nhs_number", F.col("start_date").alias("s"), F.col("end_date").alias("e"))
+    j = RG.range_join_regions(seg, buf, date_col="s")
+    return j.select(F.col("pseudo_nhs_number").alias("id"), "s", "e", F.col("start_date").alias("interval_start"),
+                    F.col("end_date").alias("interval_end"), region_text())
+
+
 @query("join_regions_m1", with_clause("readings", "segs") + """SELECT r.pseudo_nhs_number, r.test_date,
     r.original_term, r.result, r.result_value_units, r.provenance, """ + REGION_TEXT.format(t="s.") + """ AS region_types
     FROM readings r LEFT JOIN segs s ON r.pseudo_nhs_number = s.id AND r.test_date >= s.s AND r.test_date < s.e""")
@@ -815,16 +828,9 @@ def pulls(spark, d):
             for p, ks in PULLS]
 
 
-def pulled(spark, d):
-    """All four pulls in one pass over the readings: a reading is in each pull that asks for it."""
-    at = F.array_position(F.array(*[F.lit(f"pull_{c}") for c in "abcd"]), F.col("provenance")) - 1
-    named = F.array(*[F.when(at.isin(*ks), F.lit(p)) for p, ks in PULLS])
-    return B.readings(spark, d).withColumn("provenance", F.explode(F.filter(named, lambda p: p.isNotNull())))
-
-
 @query("union_sources", PULL_SQL + "SELECT provenance, count(*) AS n FROM PULLS GROUP BY provenance")
 def q_union_sources(spark, d):
-    return pulled(spark, d).groupBy("provenance").agg(F.count("*").alias("n"))
+    return DD.union_sources(pulls(spark, d)).groupBy("provenance").agg(F.count("*").alias("n"))
 
 
 DEDUP_SQL = """SELECT pseudo_nhs_number, test_date, original_term, result, result_value_units,
@@ -834,7 +840,7 @@ DEDUP_SQL = """SELECT pseudo_nhs_number, test_date, original_term, result, resul
 
 @query("dedup_readings", PULL_SQL + DEDUP_SQL.replace("{where}", ""))
 def q_dedup_readings(spark, d):
-    return DD.dedup_readings(pulled(spark, d), B.PROVENANCE_ORDER)
+    return DD.dedup_readings(DD.union_sources(pulls(spark, d)), B.PROVENANCE_ORDER)
 
 
 @query("merge_primary", PULL_SQL + DEDUP_SQL.replace("{where}", "WHERE provenance IN ('pull_a', 'pull_b')"))
@@ -851,7 +857,32 @@ def q_merge_secondary(spark, d):
 
 @query("merge_all_sources", PULL_SQL + DEDUP_SQL.replace("{where}", ""))
 def q_merge_all_sources(spark, d):
-    return DD.merge([pulled(spark, d)], B.PROVENANCE_ORDER)
+    p = pulls(spark, d)
+    primary, secondary = DD.merge(p[:2], B.PROVENANCE_ORDER), DD.merge(p[2:], B.PROVENANCE_ORDER)
+    return DD.merge([primary, secondary], B.PROVENANCE_ORDER)
+
+
+@query("merge_incremental", PULL_SQL + DEDUP_SQL.replace("{where}", ""))
+def q_merge_incremental(spark, d):
+    """The pulls added one after another, the last one first, to a stored combo; only the pull at hand is shuffled."""
+    store = CO.ComboStore(spark, staging_path(spark, "combo-store"), B.PROVENANCE_ORDER, buckets=16)
+    for pull in reversed(pulls(spark, d)):
+        store.add(pull)
+    return store.read()
+
+
+@query("merge_incremental_missing", PULL_SQL + """SELECT pseudo_nhs_number, test_date, original_term, result, result_value_units, min(rk) AS rk
+    FROM PULLS WHERE rk = 3 AND (pseudo_nhs_number, test_date, original_term, result, coalesce(result_value_units, '-')) NOT IN (
+      SELECT (pseudo_nhs_number, test_date, original_term, result, coalesce(result_value_units, '-')) FROM PULLS WHERE rk < 3)
+    GROUP BY ALL""")
+def q_merge_incremental_missing(spark, d):
+    """What the third pull brings to a store of the first two."""
+    store = CO.ComboStore(spark, staging_path(spark, "combo-store"), B.PROVENANCE_ORDER, buckets=16)
+    first, second, third, _ = pulls(spark, d)
+    for pull in (first, second):
+        store.add(pull)
+    new = DD.named(store.missing(third), B.PROVENANCE_ORDER)
+    return new.select(*S.READING_KEY, F.array_position(F.array(*[F.lit(p) for p in B.PROVENANCE_ORDER]), F.col("provenance")).alias("rk"))
 
 
 @query("tag_provenance", with_clause("readings") + """SELECT pseudo_nhs_number, test_date, original_term, result,
@@ -958,6 +989,43 @@ def q_audit_row_counts(spark, d):
         ("min_age", F.col("age_at_test") >= 16)])
 
 
+TRACE_SQL = with_clause("readings", "dict_d", "units_d", "valid_demo") + f""", X AS (
+    SELECT r.*, d.trait, d."min" AS lo, d."max" AS hi, v.pseudo_nhs_number IS NOT NULL AS known_person, CASE
+      WHEN d.trait = 'HbA1c' AND r.result_value_units IN ('%', '% total Hb', '%Hb', 'per cent') THEN 10.93::DOUBLE * r.result + (-23.5)::DOUBLE
+      WHEN u.multiplication_factor <> 1 THEN r.result * u.multiplication_factor ELSE r.result END AS final,
+      date_diff('day', v.dob, r.test_date)::DOUBLE / 365.25::DOUBLE AS age
+    FROM readings r LEFT JOIN dict_d d ON r.original_term = d.alias
+    LEFT JOIN units_d u ON r.result_value_units = u.result_value_units AND d.target_units = u.target
+    LEFT JOIN valid_demo v ON r.pseudo_nhs_number = v.pseudo_nhs_number),
+  T AS (SELECT *, CASE WHEN trait IS NULL THEN 1 WHEN result_value_units IS NULL THEN 2 WHEN NOT known_person THEN 3
+      WHEN (final >= lo AND final <= hi) IS NOT TRUE THEN 4
+      WHEN (age >= 0 AND test_date <= DATE '{B.AS_OF}') IS NOT TRUE THEN 5 WHEN (age >= 16) IS NOT TRUE THEN 6 ELSE 0 END AS rule FROM X),
+  L AS (SELECT * FROM (VALUES (1, 'known_term'), (2, 'has_unit'), (3, 'known_person'), (4, 'range_ok'), (5, 'plausible_dates'), (6, 'min_age')) l(step, label))
+"""
+
+
+def _trace(spark, d):
+    return P.traced_readings(B.readings(spark, d), B.traits(spark), B.aliases(spark), B.units(spark), B.linkage(spark, d),
+                             B.questionnaire(spark, d), B.AS_OF)
+
+
+@query("audit_rule_trace", TRACE_SQL + """SELECT pseudo_nhs_number, test_date, original_term, result, result_value_units, provenance,
+    trait, rule, label AS reason FROM T JOIN L ON rule = step""")
+def q_audit_rule_trace(spark, d):
+    """The quarantined readings: each with the first rule that drops it."""
+    return AU.quarantine(_trace(spark, d), P.reading_rules(B.AS_OF)).select(
+        "pseudo_nhs_number", "test_date", "original_term", "result", "result_value_units", "provenance", "trait", "rule", "reason")
+
+
+@query("audit_rule_counts", TRACE_SQL + """SELECT step, label, before, after, CASE WHEN before > 0 THEN round((after - before) * 100.0 / before, 1) END AS pct_change
+    FROM (SELECT step, label, (SELECT count(*) FROM T WHERE rule = 0 OR rule >= step) AS before,
+                 (SELECT count(*) FROM T WHERE rule = 0 OR rule > step) AS after FROM L) x""")
+def q_audit_rule_counts(spark, d):
+    """Rows before and after each rule, from one aggregation of the trace."""
+    rules = P.reading_rules(B.AS_OF)
+    return AU.rule_counts(_trace(spark, d), rules)
+
+
 @query("audit_unique", with_clause("readings") + """SELECT 'readings' AS label, count(*) AS before,
     count(DISTINCT {'p': pseudo_nhs_number, 'd': test_date, 't': original_term, 'r': result, 'u': result_value_units})
     AS after, round((count(DISTINCT {'p': pseudo_nhs_number, 'd': test_date, 't': original_term, 'r': result,
@@ -1290,8 +1358,9 @@ def q_keep_expected_width_lines(spark, d):
 @query("checkpoint_columnar", with_clause("ranged") + """SELECT pseudo_nhs_number, test_date, trait, final,
     range_position FROM ranged""")
 def q_checkpoint_columnar(spark, d):
-    r = ranged(spark, d).select("pseudo_nhs_number", "test_date", "trait", "final", "range_position")
-    return SK.stage(spark, r, staging_path(spark, "stage-ranged"))
+    """Written once, with a manifest; a later application with the same tables and code reads it back."""
+    return staged(spark, f"ranged:{d}", lambda: ranged(spark, d).select(
+        "pseudo_nhs_number", "test_date", "trait", "final", "range_position"), fingerprint(spark, d))
 
 
 READINGS_FILE_SCHEMA = ("pseudo_nhs_number string, unit string, value double, date date, gender string, "
