@@ -7,16 +7,18 @@ the same links; the sketch only decides how selective the prefixes are.
 Prefix filter. Documents with equal sets form a class, and only one member goes on. A class of n
 shingles is joined on its first ``n - ceil(0.9 n) + 1`` shingles: linked classes share one of them.
 
-Candidates, each pair verified at most once, on whole sets of 64-bit shingle hashes:
+Candidates, each pair verified at most once a round, on whole sets:
 
 * Hubs: in each prefix shingle's group every class is paired with one hub, the class with most
-  copies, so a group of m near copies makes m pairs, not m^2 / 2. Links found here are contracted
-  into components.
+  copies, so a group of m near copies makes m pairs, not m^2 / 2. Where many classes of a group stay without a link, one of
+  these is the next hub, which meets the whole group, for two more rounds. Links contract classes into components.
 * Rest: groups that still hold two components or more are joined with themselves for pairs between
   different components only, under the length filter, the positional filter (what can still follow
-  the common shingle) and the suffix filter (64 hash ranges of the set: the differences of their counts
-  bound the symmetric difference from below). Pairs inside a component cannot change it.
+  the common shingle) and the suffix filter: the parities of a set's hashes in 2,048 cells; two sets differ in at
+  least as many shingles as cells, so near copies that fall short of the limit are mostly rejected in the join and never
+  written. Pairs inside a component cannot change it.
 
+A pair whose hashed sets are similar enough is compared once more on the words themselves.
 So components are exact. Results are one row per document (class, number of shingles, component);
 links inside a component are not all listed.
 
@@ -40,7 +42,9 @@ WORDS = 3
 PERCENT = 90
 SKETCH_BITS = 20        # counters of the document-frequency sketch: 2 ** 20, whatever the input
 CHUNK = 4096
-PARTS = 64              # hash ranges of the suffix filter
+CELLS = 2048            # parities of the suffix filter
+ROUNDS = 3              # of hubs, before the rest is joined
+MANY = 16               # classes of a group without a link that make another round worth while; fewer go to the rest
 FILTER_BITS = 26        # bits of the id filter: 2 ** 26 (8 MB), whatever the input
 BLOCK = 1 << 20         # bytes of text hashed together
 
@@ -92,52 +96,70 @@ def frequency_ranks(docs: DataFrame, words: int) -> np.ndarray:
     return np.minimum(255, 4 * np.log2(1 + total)).astype(np.uint8)
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """Parity of the number of hashes in each cell, as 64-bit words."""
+    odd = np.bincount((s >> np.uint64(53)).astype(np.int64), minlength=CELLS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def profiles(docs: DataFrame, ranks: np.ndarray, words: int, percent: int) -> DataFrame:
-    """doc_id, h (hash of the text), n, sig (identity of the set), prefix (its first shingles in rare-first order), parts."""
+    """doc_id, h (hash of the text), n, sig (identity of the set), prefix (its first shingles in rare-first order), cells."""
     def profile(batches):
         for batch in batches:
-            ns, sigs, prefix, parts = [], [], [], []
+            ns, sigs, prefix, cells = [], [], [], []
             for s in shingle_sets(batch.column(1), words):
                 n = len(s)
                 ns.append(n)
                 if not n:
                     sigs.append(None)
                     prefix.append(np.zeros(0, np.int64))
-                    parts.append(np.zeros(0, np.int32))
+                    cells.append(np.zeros(0, np.int64))
                     continue
                 sigs.append(signature(s))
                 keep = n - (percent * n + 99) // 100 + 1
                 rank = ranks[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 prefix.append(s[np.argsort(rank, kind="stable")[:keep]].view(np.int64))   # s is sorted: ties by hash
-                parts.append(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=PARTS).astype(np.int32))
+                cells.append(parities(s))
             if ns:
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(ns, pa.int32()), pa.array(sigs, pa.binary()), lists(prefix, pa.int64()), lists(parts, pa.int32())],
-                                                 names=["doc_id", "h", "n", "sig", "prefix", "parts"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(ns, pa.int32()), pa.array(sigs, pa.binary()), lists(prefix, pa.int64()), lists(cells, pa.int64())],
+                                                 names=["doc_id", "h", "n", "sig", "prefix", "cells"])
 
     def lists(arrays, kind):
         return pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(a) for a in arrays]), pa.int32()), pa.array(np.concatenate(arrays), kind))
 
-    return docs.select("doc_id", "text", C.row_key()["h"].alias("h")).mapInArrow(profile, "doc_id long, h long, n int, sig binary, prefix array<bigint>, parts array<int>")
+    return docs.select("doc_id", "text", C.row_key()["h"].alias("h")).mapInArrow(profile, "doc_id long, h long, n int, sig binary, prefix array<bigint>, cells array<bigint>")
 
 
 def shared_pairs_bound(a: str, b: str, percent: int) -> Column:
-    """Length filter and suffix filter as a join condition over the columns n and parts of two sides."""
+    """Length filter and suffix filter as a join condition over the columns n and cells of two sides."""
     na, nb = F.col(f"{a}n"), F.col(f"{b}n")
     least, most = F.least(na, nb), F.greatest(na, nb)
-    apart = F.aggregate(F.zip_with(f"{a}parts", f"{b}parts", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
+    apart = F.aggregate(F.zip_with(f"{a}cells", f"{b}cells", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     # similar means 100 inter >= percent (na + nb - inter); the symmetric difference is na + nb - 2 inter
     return (100 * least >= percent * most) & ((100 + percent) * apart <= (100 - percent) * (na + nb))
 
 
+def plain_set(text: str, words: int) -> set[bytes]:
+    """The shingles of a text as bytes; a text of fewer words is one."""
+    w = (text or "").encode().translate(N.LOWER_TABLE).split()      # at [\x20\x09-\x0D]+
+    return {b" ".join(w[i:i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
+
+
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough. ``texts``: cid, text."""
+    def enough(both, nx, ny):
+        return 100 * both >= percent * (nx + ny - both)
+
     def check(batches):
         for batch in batches:
             left, right = shingle_sets(batch.column(2), words), shingle_sets(batch.column(3), words)
             keep = []
-            for x, y in zip(left, right):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            for i, (x, y) in enumerate(zip(left, right)):
+                near = enough(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y))
+                if near:
+                    x, y = plain_set(batch.column(2)[i].as_py(), words), plain_set(batch.column(3)[i].as_py(), words)
+                    near = enough(len(x & y), len(x), len(y))
+                keep.append(near)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     one = texts.select(F.col("cid").alias("a"), F.col("text").alias("ta"))
@@ -152,19 +174,32 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     one = C.written(profiles(docs, frequency_ranks(docs, words), words, percent), "jac-profiles")
     classes = C.written(one.filter("n > 0").groupBy("sig").agg(
-        F.min("doc_id").alias("doc"), F.min(F.struct("doc_id", "h")).alias("row"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("parts").alias("parts"))
+        F.min("doc_id").alias("doc"), F.min(F.struct("doc_id", "h")).alias("row"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("cells").alias("cells"))
         .withColumn("cid", F.monotonically_increasing_id()), "jac-classes")
     rows = classes.select("cid", "copies", "n", F.posexplode("prefix").alias("pos", "gram"))
-    hubs = (rows.groupBy("gram").agg(F.max(F.struct("copies", F.negative("cid").alias("hub"))).alias("top"), F.count(F.lit(1)).alias("many"))
-            .filter("many > 1").select(F.col("gram").alias("g"), F.negative("top.hub").alias("hub")))
-    shared = C.written(rows.join(hubs, F.col("gram") == F.col("g")).select("gram", "cid", "n", "pos", "hub"), "jac-shared")
-
-    bare = classes.select("cid", "n", "parts")
-    side = lambda name: bare.select(F.col("cid").alias(name), F.col("n").alias(f"{name}n"), F.col("parts").alias(f"{name}parts"))
-    stars = shared.filter("cid <> hub").select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
-    stars = C.written(stars.join(side("a"), "a").join(side("b"), "b").filter(shared_pairs_bound("a", "b", percent)).select("a", "b"), "jac-stars")
-
-    links = C.written(verified(stars, class_texts(docs, classes, stars), words, percent), "jac-links")
+    several = rows.groupBy(F.col("gram").alias("g")).agg(F.count(F.lit(1)).alias("many")).filter("many > 1").select("g")
+    shared = C.written(rows.join(several, F.col("gram") == F.col("g"), "left_semi").select("gram", "cid", "copies", "n", "pos"), "jac-shared")
+
+    bare = classes.select("cid", "n", "cells")
+    side = lambda name: bare.select(F.col("cid").alias(name), F.col("n").alias(f"{name}n"), F.col("cells").alias(f"{name}cells"))
+    tried, links, past, lone = None, None, None, shared
+    for k in range(ROUNDS):
+        hubs = lone.groupBy(F.col("gram").alias("g")).agg(F.max(F.struct("copies", F.negative("cid").alias("hub"))).alias("top"), F.count(F.lit(1)).alias("many"))
+        hubs = hubs.filter(F.col("many") >= (MANY if k else 1)).select("g", F.negative("top.hub").alias("hub"))
+        if k:
+            hubs = C.written(hubs, "jac-hubs")
+            if hubs.isEmpty():
+                break
+        stars = (shared.join(hubs, F.col("gram") == F.col("g")).filter("cid <> hub")
+                 .select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct())
+        stars = stars.join(side("a"), "a").join(side("b"), "b").filter(shared_pairs_bound("a", "b", percent)).select("a", "b")
+        stars = C.written(stars if tried is None else stars.join(tried, ["a", "b"], "left_anti"), "jac-stars")
+        found = C.written(verified(stars, class_texts(docs, classes, stars), words, percent), "jac-links")
+        tried, links = (stars, found) if tried is None else (tried.unionByName(stars), links.unionByName(found))
+        if k + 1 < ROUNDS:      # hubs of the next round: classes without a link that were none
+            past = hubs.select(F.col("hub").alias("u")) if past is None else past.union(hubs.select("hub"))
+            used = past.union(links.select("a")).union(links.select("b")).distinct()
+            lone = shared.join(used, F.col("cid") == F.col("u"), "left_anti")
     labels = C.written(graph.components(links), "jac-labels")
 
     member = shared.join(labels, F.col("cid") == F.col("node"), "left").select("gram", "cid", "pos", F.coalesce("comp", "cid").alias("comp"))
@@ -176,7 +211,7 @@ def similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     positional = (100 + percent) * most >= percent * (F.col("an") + F.col("bn"))
     rest = (x.join(y, (F.col("agram") == F.col("bgram")) & (F.col("a") < F.col("b")) & (F.col("acomp") != F.col("bcomp"))
                    & positional & shared_pairs_bound("a", "b", percent)).select("a", "b").distinct())
-    rest = C.written(rest.join(stars, ["a", "b"], "left_anti"), "jac-rest")
+    rest = C.written(rest.join(tried, ["a", "b"], "left_anti"), "jac-rest")
     more = C.written(verified(rest, class_texts(docs, classes, rest), words, percent), "jac-links")
     if not more.isEmpty():      # else the labels stand
         labels = C.written(graph.components(links.unionByName(more)), "jac-labels")

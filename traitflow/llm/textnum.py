@@ -13,6 +13,7 @@ STEPS = [int(x) | 1 for x in _RNG.integers(1, 1 << 62, 16)]
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+LOWER_TABLE = _LOWER.tobytes()
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True     # white space of the word rule
 
@@ -63,9 +64,6 @@ def blocks(texts: pa.Array, limit: int):
         i = j
 
 
-PIECE = 1 << 20      # bytes hashed at once
-
-
 def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and length (bytes) of the words of all rows. A word never spans two rows."""
     if not len(raw):
@@ -83,24 +81,25 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return s, np.flatnonzero(end) + 1 - s
 
 
+_TAIL = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
+
+
 def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words [^\\x20\\x09-\\x0D]+ (A-Z as a-z) of all rows in order, and the number of words
-    of each row. Long inputs go piece by piece, cut at white space."""
+    of each row. Eight bytes of every word are mixed into its hash at a time, so no sum of byte values (of which
+    long words can be made equal on purpose) decides."""
     s, length = word_spans(raw, offsets)
     counts = np.searchsorted(s, offsets[1:]) - np.searchsorted(s, offsets[:-1])
-    e = s + length
-    out = np.zeros(len(s), dtype=np.uint64)
-    i = 0
-    while i < len(s):
-        j = max(i + 1, int(np.searchsorted(e, s[i] + PIECE, side="right")))   # whole words
-        at, to = int(s[i]), int(e[j - 1])
-        fwd, inv = powers(to - at)
-        total = np.zeros(to - at + 1, dtype=np.uint64)
-        np.cumsum(BYTE[_LOWER[raw[at:to]]] * fwd[:to - at], out=total[1:])
-        b, f = s[i:j] - at, e[i:j] - at
-        out[i:j] = (total[f] - total[b]) * inv[b]
-        i = j
-    return mix(out ^ (length.astype(np.uint64) << np.uint64(48))), counts
+    h = mix(length.astype(np.uint64) * BASE)
+    if len(s):
+        eights = np.lib.stride_tricks.sliding_window_view(np.concatenate([_LOWER[raw], np.zeros(8, np.uint8)]), 8)
+        live, at, left = np.arange(len(s)), s, length
+        while len(live):
+            lane = eights[at].view("<u8").ravel() & _TAIL[np.minimum(left, 8)]
+            h[live] = mix(h[live] ^ lane)
+            more = np.flatnonzero(left > 8)
+            live, at, left = live[more], at[more] + 8, left[more] - 8
+    return h, counts
 
 
 def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
