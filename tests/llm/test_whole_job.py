@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import os
 import re
 
 import pytest
@@ -98,6 +99,37 @@ def test_licences_without_cue_words(spark, docs):
     assert any(r.doc_id == 50 and r.family == "GPL-3.0" and r.confirmed and 5 <= r.line <= 9 for r in got)
 
 
+def test_licence_headings_and_hard_negatives(spark, docs):
+    found = {"MIT License": "MIT", "License: MIT": "MIT", "Apache-2.0": "Apache-2.0", "GPLv3": "GPL-3.0", "# GNU GPL v2 License": "GPL-2.0", "SPDX-License-Identifier: BSD-2-Clause": "BSD"}
+    other = ["All rights reserved to the king under the treaty.", "He lost the license to drive the general's car.", "Permission to land was granted without delay."]
+    rows = [(i, "some words\n\n" + t + "\nmore words", *([None] * 10)) for i, t in enumerate([*found, *other])]
+    got = {(r.doc_id, r.family) for r in op3_licenses.scanned(docs.unionByName(spark.createDataFrame(rows, DOCUMENTS).repartition(2))).collect() if r.confirmed and r.doc_id is not None and r.doc_id < len(rows) and r.line == 2}
+    assert got >= set(enumerate(found.values())) and not {d for d, _ in got} & set(range(len(found), len(rows)))
+
+
+def test_licence_bound_is_exact(spark, docs):
+    """On whole tables the scan that rules paragraphs out by arithmetic finds what the full scan finds."""
+    real = spark.read.parquet("/root/testdata/sf0.001/documents.parquet") if os.path.isdir("/root/testdata/sf0.001") else docs
+    classifiers = []
+
+    class Kept(op3_licenses.Classifier):
+        def __init__(self, rows):
+            super().__init__(rows)
+            classifiers.append(self)
+
+    for table in (real, docs):
+        both = []
+        for exact in (True, False):
+            rows = op3_licenses.scanned(table, exact).select("doc_id", "line", "family", F.round("probability", 9), F.round("similarity", 9), "confirmed", "paragraph").collect()
+            both.append(sorted(map(str, rows)))
+        assert both[0] == both[1] and (both[0] or table is docs)
+    classifier = Kept(op3_licenses.training(docs))
+    marked, voc = classifier.marking(), classifier.counts.vocabulary
+    assert marked and len(marked) < 400 and all({op3_licenses.part(w) for w in g.split(" ")} & set(marked) for g in voc)
+    bare = classifier.guessed(spark.createDataFrame([([],), (["the", "of the", "nothing"],)], "grams array<string>")).collect()
+    assert all(r.guess == "unknown" for r in bare)
+
+
 def test_licence_blocks(spark):
     rows = [(1, "a\nb\n \n\nc\n\nd\r\ne 1\x01\n", *([None] * 10)), (2, "\n\n", *([None] * 10)), (3, None, *([None] * 10)), (4, "x", *([None] * 10))]
     got = {(r.doc_id, r.line, r.last, r.paragraph) for r in op3_licenses.paragraphs(spark.createDataFrame(rows, DOCUMENTS)).collect()}
