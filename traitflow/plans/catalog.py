@@ -22,6 +22,7 @@ from traitflow.operators import filters as FL
 from traitflow.operators import intervals as IV
 from traitflow.operators import people as PE
 from traitflow.operators import regions as RG
+from traitflow.operators import sketches as SE
 from traitflow.operators import stats as ST
 from traitflow.operators import tiles as TI
 from traitflow.operators import traits as TR
@@ -513,6 +514,18 @@ def q_trait_study_summary(spark, d):
     return ST.trait_study_summary(tiled_settings(spark, d)).withColumn("mean", X.round_half_away("mean", 9))
 
 
+@query("trait_summary_from_sketches", with_clause("tiled_set") + """SELECT setting, trait, median(value) AS median,
+    round(avg(value), 9) AS mean, min(value) AS min, max(value) AS max,
+    count(DISTINCT pseudo_nhs_number) AS n_people, count(*) AS n FROM tiled_set GROUP BY setting, trait""")
+def q_trait_summary_from_sketches(spark, d):
+    """Four releases sketched one by one; the summary comes from the merged sketches and one pass inside the medians' brackets."""
+    readings = tiled_settings(spark, d)
+    part = F.pmod(F.xxhash64("pseudo_nhs_number"), F.lit(4))
+    merged = staged(spark, f"value-sketches:{d}", lambda: SE.merged_values(DD.union_sources(
+        [SE.value_sketches(readings.filter(part == k)) for k in range(4)])), fingerprint(spark, d))
+    return SE.summary(merged, SE.exact_medians(readings, merged)).withColumn("mean", X.round_half_away("mean", 9))
+
+
 @query("trait_log10_histogram", with_clause("tiled_set") + """, L AS (SELECT setting, trait, gender,
       CASE WHEN value = 0 THEN log10(1e-10) WHEN value > 0 THEN log10(value) ELSE 'NaN'::DOUBLE END AS log_x
       FROM tiled_set WHERE trait IS NOT NULL),
@@ -1026,6 +1039,23 @@ def q_audit_rule_counts(spark, d):
     return AU.rule_counts(_trace(spark, d), rules)
 
 
+@query("audit_people_sketches", TRACE_SQL + """SELECT step, label, (SELECT count(DISTINCT pseudo_nhs_number) FROM T WHERE rule = 0 OR rule > step) AS n_people
+    FROM (SELECT 0 AS step, 'all' AS label UNION ALL SELECT step, label FROM L) s""")
+def q_audit_people_sketches(spark, d):
+    """Distinct people after each rule, from theta sketches kept per source and merged (exact up to 65,536 people)."""
+    stored = staged(spark, f"people-sketches:{d}", lambda: SE.people_sketches(_trace(spark, d), P.reading_rules(B.AS_OF)), fingerprint(spark, d))
+    return SE.people_counts(stored)
+
+
+@query("audit_source_overlaps", TRACE_SQL + """, S AS (SELECT DISTINCT provenance, pseudo_nhs_number FROM T)
+    SELECT a.provenance AS first, b.provenance AS second, count(*) AS n_people FROM S a JOIN S b
+    ON a.pseudo_nhs_number = b.pseudo_nhs_number AND a.provenance < b.provenance GROUP BY ALL""")
+def q_audit_source_overlaps(spark, d):
+    """People that two pulls share, from the stored sketches alone."""
+    stored = staged(spark, f"people-sketches:{d}", lambda: SE.people_sketches(_trace(spark, d), P.reading_rules(B.AS_OF)), fingerprint(spark, d))
+    return SE.people_overlaps(stored)
+
+
 @query("audit_unique", with_clause("readings") + """SELECT 'readings' AS label, count(*) AS before,
     count(DISTINCT {'p': pseudo_nhs_number, 'd': test_date, 't': original_term, 'r': result, 'u': result_value_units})
     AS after, round((count(DISTINCT {'p': pseudo_nhs_number, 'd': test_date, 't': original_term, 'r': result,
