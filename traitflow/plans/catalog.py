@@ -1364,6 +1364,20 @@ def q_drop_unterminated_quote_lines(spark, d):
     return kept
 
 
+@query("quarantine_halves", """SELECT first || chr(10) || last AS text, 2 AS n_lines, first, last FROM (
+    SELECT CAST(o_orderkey AS VARCHAR) || chr(9) || '"seen by' AS first, o_orderpriority || '"' || chr(9) || '5' AS last
+    FROM orders WHERE o_orderkey % 7 = 0) x""")
+def q_quarantine_halves(spark, d):
+    """Records that a line break inside quotes cuts in two: the line rules drop both halves, the prefix scan over the files puts them together."""
+    od = B.table(spark, d, "orders")
+    key = F.col("o_orderkey").cast("string")
+    broken = F.concat(key, F.lit('\t"seen by\n'), F.col("o_orderpriority"), F.lit('"\t5'))
+    path = staging_path(spark, "extract-broken-lines")
+    od.select(F.when(F.col("o_orderkey") % 7 == 0, broken).otherwise(F.concat(key, F.lit("\t"), F.col("o_orderpriority"), F.lit("\t5")))).write.text(path)
+    whole = LN.broken_records(LN.placed_records(LN.read_placed_lines(spark, path)))
+    return whole.select("text", F.col("n_lines").cast("int").alias("n_lines"), F.substring_index("text", "\n", 1).alias("first"), F.substring_index("text", "\n", -1).alias("last"))
+
+
 @query("strip_double_quotes", LINES_SQL + "SELECT doc_id, replace(value, '\"', '') AS value FROM L")
 def q_strip_double_quotes(spark, d):
     return LN.strip_double_quotes(doc_lines(spark, d))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from traitflow.sources.readers import apply_null_tokens
@@ -36,6 +36,55 @@ def drop_unterminated_quote_lines(lines: DataFrame, sep: str = "\t") -> tuple[Da
     return drop_quoted_delimiter_lines(lines, sep)
 
 
+def read_placed_lines(spark: SparkSession, paths) -> DataFrame:
+    """value, file_path, block (where its split starts in the file) and place (grows with the lines of a block)."""
+    return spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"),
+                                         F.monotonically_increasing_id().alias("place"))
+
+
+def placed_records(lines: DataFrame) -> DataFrame:
+    """Lines of ``read_placed_lines`` with ``record`` (its number in the file, from 0) and ``part`` of it: whole, first, inside or last.
+
+    A record goes on to the next line while a quote is open. A line's number of quotes says whether it turns that over, and
+    whether a quote is open where a block starts depends on all blocks before it. So blocks are summed up first: does the
+    block turn it over, and how many records start in it if none is open at its start, and if one is. Two prefix
+    sums over a file's blocks (a row each) give every block its start; the lines of a block are then scanned on their own."""
+    per_block = Window.partitionBy("file_path", "block").orderBy("place")
+    odd = F.pmod(F.length("value") - F.length(F.translate("value", '"', "")), F.lit(2))
+    turned = F.coalesce(F.sum("odd").over(per_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = lines.withColumn("odd", odd).withColumn("turned", F.pmod(turned, F.lit(2)))        # by the lines before it in the block
+
+    order = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = inside.groupBy("file_path", "block").agg(F.sum("odd").alias("odds"), F.sum(1 - F.col("turned")).alias("starts0"), F.sum("turned").alias("starts1"))
+    blocks = blocks.withColumn("open", F.pmod(F.coalesce(F.sum("odds").over(order), F.lit(0)), F.lit(2)))
+    starts = F.when(F.col("open") == 0, F.col("starts0")).otherwise(F.col("starts1"))
+    blocks = blocks.withColumn("before", F.coalesce(F.sum(starts).over(order), F.lit(0))).select(
+        F.col("file_path").alias("_f"), F.col("block").alias("_b"), "open", "before")
+
+    x = inside.join(blocks, (F.col("file_path") == F.col("_f")) & (F.col("block") == F.col("_b")))
+    goes_on = F.pmod(F.col("turned") + F.col("open"), F.lit(2))             # a quote is open where the line starts
+    x = x.withColumn("goes_on", goes_on)
+    started = F.sum(1 - F.col("goes_on")).over(per_block.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ends_open = F.pmod(F.col("goes_on") + F.col("odd"), F.lit(2)) == 1
+    part = (F.when((F.col("goes_on") == 0) & ~ends_open, "whole").when(F.col("goes_on") == 0, "first").when(ends_open, "inside").otherwise("last"))
+    return x.select("value", "file_path", "block", "place", (F.col("before") + started - 1).alias("record"), part.alias("part"))
+
+
+def broken_records(placed: DataFrame) -> DataFrame:
+    """file_path, record, n_lines and text of the records that span several lines, put together again: what the line rules drop
+    as separate lines. A record whose quote never closes has no last line and runs to the end of its file; only
+    its first line is given."""
+    many = placed.filter(F.col("part") != "whole").groupBy("file_path", "record").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.max((F.col("part") == "last").cast("int")).alias("closed"))
+    closed = many.filter("closed = 1").select(F.col("file_path").alias("_f"), F.col("record").alias("_r"), "n_lines")
+    rows = placed.join(closed, (F.col("file_path") == F.col("_f")) & (F.col("record") == F.col("_r")))
+    whole = rows.groupBy("file_path", "record", "n_lines").agg(F.array_sort(F.collect_list(F.struct("block", "place", "value"))).alias("l"))
+    whole = whole.select("file_path", "record", "n_lines", F.array_join(F.col("l.value"), "\n").alias("text"))
+    lost = many.filter("closed = 0").select(F.col("file_path").alias("_f"), F.col("record").alias("_r"))
+    first = placed.filter("part = 'first'").join(lost, (F.col("file_path") == F.col("_f")) & (F.col("record") == F.col("_r")))
+    return whole.unionByName(first.select("file_path", "record", F.lit(1).cast("long").alias("n_lines"), F.col("value").alias("text")))
+
+
 def strip_double_quotes(lines: DataFrame) -> DataFrame:
     """Remove every double quote (single, doubled or tripled)."""
     return lines.withColumn("value", F.translate("value", '"', ""))
