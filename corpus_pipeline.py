@@ -10,6 +10,14 @@ remaining document with its place in the mix:
 4. secrets: secrets in the texts are masked; no document goes.
 5. mixing: copies and words taken of every document, sources at their target weights.
 
+Edge cases, by stage: a document with a null or empty text fails the base rules and goes in the first stage, so the later ones see
+texts only; a null id is kept and counts last among near copies; equal rows (same id and text) are one document from the second
+stage on, of equal texts under different ids the smallest id stays; near copies of which each links with another are one
+group, also where the ends of a chain do not link; a null source is a source of its own in the mix; a null lang is a stratum of
+its own; very long texts are judged whole; tables without labels give no certified cutoffs (the base rules stay), an empty benchmark
+keeps every document, and an empty table of documents gives an empty mix; further columns pass through the first four stages whatever their
+names and are left out of the mix.
+
 ``run`` writes each stage to the shared checkpoint folder and reads it back, so a lost executor costs
 at most the stage at hand. Labels and the benchmark are read from ``sf_dir``.
 """

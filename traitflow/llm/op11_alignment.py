@@ -25,8 +25,10 @@ are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +37,14 @@ from pyspark.sql import functions as F
 
 from traitflow.llm import common as C
 from traitflow.llm import textnum as N
+from traitflow.llm.op12_bpe import Bpe
 
 BLOCK = 4 << 20         # bytes of text in a block
 BLOCK_ROWS = 1 << 14    # documents in a block at most; places are 16 bits
 SLICE = 1 << 21         # id pairs of large groups expanded at once
 _ID, _DOC = 20, 16      # bits of an id and of a place
+# Fixed value: the split of byte-level BPE.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -49,10 +54,30 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+def same_merges(ranks: dict[bytes, int], merges: list[tuple[bytes, bytes]]) -> bool:
+    """Merging neighbours by the rank of their bytes gives what the list of merges gives, for every text. Up to the merge that makes a token,
+    its bytes merge as they do alone (no merge crosses their ends), so it is enough that every entry, merged alone by
+    rank, is made last from the pair that the list names, and that ranks rise along the list."""
+    made = {x + y: (x, y) for x, y in merges}
+    order = [ranks.get(x + y, -1) for x, y in merges]
+    if len(made) != len(merges) or order != sorted(set(order)) or order[:1] == [-1]:
+        return False
+    bpe = Bpe(ranks, ".")
+    for token in ranks:
+        if len(token) > 1:
+            end = bpe.by_rank(token, last=True)
+            if len(end) == 2 and made.get(token) != tuple(end):
+                return False
+            if len(end) > 2 and token in made:
+                return False
+    return True
+
+
 class ByteLevel:
-    """Tokenizer A from the text of its .json file."""
+    """Tokenizer A from the text of its .json file. ``ranked``: ``same_merges`` holds, so texts of common characters go through the faster
+    library; characters on whose class two libraries' tables may differ go through the file's own."""
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, ranked: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(spec)
@@ -63,12 +88,45 @@ class ByteLevel:
             token = self.tokenizer.id_to_token(i) or ""
             self.bytes.append(bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode())
         self.lengths = np.array([len(t) for t in self.bytes], np.int64)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
+        self.ranked = None
+        if ranked:
+            import tiktoken
+            self.ranked = tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=read_vocabulary(spec)[0], special_tokens={})
+            self.unusual = re.compile("[\x1c-\x1f\x85\xa0\u0250-\U0010ffff]")
+
+    def encode(self, texts: list[str]) -> list:
+        if self.ranked is None:
+            return self.by_file(texts)
+        out = [None if self.unusual.search(t) else self.ranked.encode_to_numpy(" " + t) for t in texts]
+        rest = [k for k, x in enumerate(out) if x is None]
+        for k, x in zip(rest, self.by_file([texts[k] for k in rest])):
+            out[k] = x
+        return out
+
+    def by_file(self, texts: list[str]) -> list[list[int]]:
         batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         return [e.ids for e in batch([" " + t for t in texts], add_special_tokens=False)]
 
 
+def read_vocabulary(spec: str) -> tuple[dict[bytes, int], list[tuple[bytes, bytes]]]:
+    """Token bytes -> id, and the merges, of a byte-level BPE file."""
+    alphabet = byte_alphabet()
+    raw = lambda token: bytes(alphabet[c] for c in token)
+    model = json.loads(spec)["model"]
+    added = {t["content"] for t in json.loads(spec).get("added_tokens", [])}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    return {raw(t): i for t, i in model["vocab"].items() if t not in added}, [(raw(x), raw(y)) for x, y in merges]
+
+
+def can_be_ranked(spec: str) -> bool:
+    """The file is a byte-level BPE with the usual split and nothing else before it, and ``same_merges`` holds."""
+    file = json.loads(spec)
+    split = file.get("pre_tokenizer") or {}
+    plain = (file.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True) and file["model"].get("type") == "BPE"
+             and not any(file["model"].get(k) for k in ("dropout", "byte_fallback", "ignore_merges", "continuing_subword_prefix", "end_of_word_suffix")))
+    return bool(plain) and same_merges(*read_vocabulary(spec))
+
+
 class Pieces:
     """Tokenizer B from the bytes of its .model file."""
 
@@ -88,14 +146,14 @@ class Side:
 
     def __init__(self, ids: list[list[int]], lengths: np.ndarray):
         self.counts = np.array([len(x) for x in ids], np.int64)
-        self.ids = np.concatenate([np.asarray(x, np.int64) for x in ids]) if ids else np.zeros(0, np.int64)
+        self.ids = np.concatenate([np.asarray(x, np.int32) for x in ids]).astype(np.int64) if ids else np.zeros(0, np.int64)
         self.ends = np.cumsum(lengths[self.ids])
 
-    def grouped(self, cuts: np.ndarray) -> None:
-        self.group = np.searchsorted(cuts, self.ends)
-        self.sizes = np.bincount(self.group, minlength=len(cuts))
-        self.closes = np.ones(len(self.ids), bool)
-        self.closes[:-1] = self.group[1:] != self.group[:-1]
+    def grouped(self, is_cut: np.ndarray) -> None:
+        """``is_cut`` tells for each byte offset whether tokens of both sides end there."""
+        self.closes = is_cut[self.ends]
+        self.group = np.cumsum(self.closes) - self.closes
+        self.sizes = np.bincount(self.group)
 
 
 def sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -109,9 +167,12 @@ class Aligned:
     """Groups and links of a block of documents, all of which both tokenizers give back."""
 
     def __init__(self, a: Side, b: Side):
-        cuts = np.intersect1d(a.ends, b.ends, assume_unique=True)
-        a.grouped(cuts)
-        b.grouped(cuts)
+        in_a, is_cut = np.zeros(a.ends[-1] + 1, bool), np.zeros(a.ends[-1] + 1, bool)
+        in_a[a.ends] = True
+        cuts = b.ends[in_a[b.ends]]
+        is_cut[cuts] = True
+        a.grouped(is_cut)
+        b.grouped(is_cut)
         self.a, self.b = a, b
         doc_ends = a.ends[np.cumsum(a.counts) - 1]
         self.doc = np.searchsorted(doc_ends, cuts)      # of each group
@@ -162,6 +223,10 @@ def added(keys: np.ndarray, links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, their links added."""
     if not len(keys):
         return keys, links
+    if links.sum() <= 2 * len(links):       # mostly single ones: sorting the keys alone is faster
+        keys = np.sort(np.repeat(keys, links))
+        first = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
+        return keys[first], np.diff(np.append(first, len(keys)))
     order = np.argsort(keys, kind="stable")
     keys, links = keys[order], links[order]
     first = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
@@ -252,11 +317,11 @@ def names(n: int, inside: bytes, last: bytes) -> np.ndarray:
 def inverted(docs: DataFrame, spec: str, model: bytes) -> DataFrame:
     """Document rows (n_a ... groups_sha256, and their block and place) and posting rows (a, b, n_docs, links, planes of a block of ``size``
     documents) in one table, ``a`` null in the former. The two files go to the workers once, as a broadcast variable of their size."""
-    shared = docs.sparkSession.sparkContext.broadcast((spec, model))
+    shared = docs.sparkSession.sparkContext.broadcast((spec, model, can_be_ranked(spec)))
 
     def run(batches):
         from pyspark import TaskContext
-        one, two = ByteLevel(shared.value[0]), Pieces(shared.value[1])
+        one, two = ByteLevel(shared.value[0], shared.value[2]), Pieces(shared.value[1])
         written = names(len(one.bytes), b",", b"|"), names(len(two.bytes), b",", b";")
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
@@ -274,6 +339,7 @@ def inverted(docs: DataFrame, spec: str, model: bytes) -> DataFrame:
         fit, coded = [], ([], [])
         for k, text, x, y in zip(rows, texts, one.encode(texts), two.encode(texts)):
             raw = b" " + text.encode()
+            x = x.tolist() if isinstance(x, np.ndarray) else x
             if b"".join([one.bytes[t] for t in x]) == raw and b"".join([two.bytes[t] for t in y]) == raw:
                 fit.append(k)
                 coded[0].append(x)

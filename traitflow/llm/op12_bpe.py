@@ -107,8 +107,9 @@ class Bpe:
                 return left[:-w] + new + right[w:]
             w *= 2
 
-    def by_rank(self, raw: bytes) -> list[bytes]:
-        """Merges of neighbours, lowest rank first, then leftmost, until none is in the vocabulary."""
+    def by_rank(self, raw: bytes, last: bool = False) -> list[bytes]:
+        """Merges of neighbours, lowest rank first, then leftmost, until none is in the vocabulary. With ``last`` the
+        merge that would make all one token is not done."""
         n, ranks = len(raw), self.ranks
         end = list(range(1, n + 1))         # end of the part that starts at i
         before = list(range(-1, n))         # start of the part before
@@ -122,6 +123,8 @@ class Bpe:
             j = end[i]
             if ranks.get(raw[i:end[j]]) != r:
                 continue                    # one of the two parts has grown
+            if last and i == 0 and end[j] == n:
+                continue
             live[j] = False
             end[i] = end[j]
             if end[i] < n:
