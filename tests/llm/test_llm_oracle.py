@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not
 
 
 def test_registered():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in E.queries()) == 1
     assert "pipeline" in E.queries() and set(registry.ORACLE) <= set(E.oracle_sql())
 
