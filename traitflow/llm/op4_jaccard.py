@@ -14,7 +14,7 @@ Candidates, each pair verified at most once a round, on whole sets:
   these is the next hub, which meets the whole group, for two more rounds. Links contract classes into components.
 * Rest: groups that still hold two components or more are joined with themselves for pairs between
   different components only, under the length filter, the positional filter (what can still follow
-  the common shingle) and the suffix filter: the parities of a set's hashes in 2,048 cells; two sets differ in at
+  the common shingle) and the suffix filter: the parities of a set's hashes in 1,024 cells; two sets differ in at
   least as many shingles as cells, so near copies that fall short of the limit are mostly rejected in the join and never
   written. Pairs inside a component cannot change it.
 
@@ -42,7 +42,7 @@ WORDS = 3
 PERCENT = 90
 SKETCH_BITS = 20        # counters of the document-frequency sketch: 2 ** 20, whatever the input
 CHUNK = 4096
-CELLS = 2048            # parities of the suffix filter
+CELLS = 1024            # parities of the suffix filter
 ROUNDS = 3              # of hubs, before the rest is joined
 MANY = 16               # classes of a group without a link that make another round worth while; fewer go to the rest
 FILTER_BITS = 26        # bits of the id filter: 2 ** 26 (8 MB), whatever the input
@@ -98,7 +98,7 @@ def frequency_ranks(docs: DataFrame, words: int) -> np.ndarray:
 
 def parities(s: np.ndarray) -> np.ndarray:
     """Parity of the number of hashes in each cell, as 64-bit words."""
-    odd = np.bincount((s >> np.uint64(53)).astype(np.int64), minlength=CELLS) & 1
+    odd = np.bincount((s >> np.uint64(65 - CELLS.bit_length())).astype(np.int64), minlength=CELLS) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
