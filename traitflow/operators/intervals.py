@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from traitflow import schema as S
 from traitflow.functions import scalars as X
 from traitflow.functions.regions import canonical_regions
+from traitflow.session import spread
 
 _FLAGS = ["_a", "_bb", "_ba"]
 
@@ -148,9 +149,10 @@ def admission_windows(stays: DataFrame, min_days: int = S.MIN_ADMISSION_DAYS,
 
     Merge overlapping stays, round both ends to the nearest day, keep stays longer than
     ``min_days`` days, add the buffers, then split and re-merge into labelled segments.
+    Stays are dealt by id once, to partitions that grow in number with the input.
     """
-    stays = stays.select(id_col, admission_col, discharge_col,
-                         F.array(F.lit("APC")).alias("region_types"))
+    stays = spread(stays.filter(F.col(id_col).isNotNull()).select(id_col, admission_col, discharge_col), id_col).withColumn(
+        "region_types", F.array(F.lit("APC")))
     merged = split_and_remerge_intervals(stays, id_col, admission_col, discharge_col)
     days = (merged
             .select(id_col, X.round_to_day(admission_col).alias("start_date"),

@@ -99,7 +99,7 @@ def q_admission_windows(spark, d):
 
 @query("split_and_remerge_intervals", with_clause("m1") + "SELECT id, s, e FROM m1")
 def q_split_and_remerge(spark, d):
-    st = B.stays(spark, d).withColumn("region_types", F.array(F.lit("APC")))
+    st = _stay_intervals(spark, d)
     m = IV.split_and_remerge_intervals(st, "pseudo_nhs_number", "hospital_admission_datetime",
                                        "hospital_discharge_datetime")
     return m.select(F.col("pseudo_nhs_number").alias("id"), F.col("hospital_admission_datetime").alias("s"),
@@ -298,7 +298,8 @@ def q_classify_regions_join(spark, d):
 @query("setting_split", with_clause("tiled_set") + """SELECT setting, trait, count(*) AS n,
     count(DISTINCT pseudo_nhs_number) AS n_people FROM tiled_set GROUP BY setting, trait""")
 def q_setting_split(spark, d):
-    return (tiled_settings(spark, d).groupBy("setting", "trait")
+    people = spread(tiled(spark, d).select("pseudo_nhs_number", "trait", "region_types"), "pseudo_nhs_number")
+    return (RG.setting_split(people).groupBy("setting", "trait")
             .agg(F.count("*").alias("n"), F.countDistinct("pseudo_nhs_number").alias("n_people")))
 
 
