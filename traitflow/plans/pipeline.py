@@ -24,6 +24,7 @@ from traitflow.operators import people as PE
 from traitflow.operators import regions as RG
 from traitflow.operators import tiles as TI
 from traitflow.operators import traits as TR
+from traitflow.session import spread
 
 
 def ranged_readings(readings: DataFrame, traits: DataFrame, aliases: DataFrame, units: DataFrame) -> DataFrame:
@@ -33,8 +34,11 @@ def ranged_readings(readings: DataFrame, traits: DataFrame, aliases: DataFrame,
 
 
 def people_restricted(ranged: DataFrame, linkage: DataFrame, questionnaire: DataFrame, as_of: str) -> DataFrame:
-    """Valid ids, demographics, in-range values, plausible dates, age >= 16."""
-    x = PE.join_valid_people_semi(ranged, PE.valid_pseudo_nhs_numbers(linkage))
+    """Valid ids, demographics, in-range values, plausible dates, age >= 16. The readings are dealt by person once, to
+    partitions that grow in number with the input; the people joins and the tile dedup work inside these."""
+    # the ids are dealt, too: a side that is grouped already would impose its number of partitions on the readings
+    valid = spread(PE.valid_pseudo_nhs_numbers(linkage), "pseudo_nhs_number")
+    x = PE.join_valid_people_semi(spread(ranged, "pseudo_nhs_number"), valid)
     demo = PE.valid_demographics(linkage, PE.questionnaire_demographics(questionnaire))
     x = PE.join_demographics(x, demo)
     x = FL.filter_in_range(x)
