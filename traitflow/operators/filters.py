@@ -15,6 +15,17 @@ def _all(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)
 
 
+def computed(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``df`` with ``cols`` computed once per row. Catalyst copies a column's expression into every expression and filter
+    that uses it; the output of a generator is not copied."""
+    cols = [c for c in df.columns if c in cols]
+    if not cols:
+        return df
+    others = [F.col(f"`{c}`") for c in df.columns if c not in cols]
+    out = df.select(*others, F.inline(F.array(F.struct(*[F.col(f"`{c}`").alias(c) for c in cols]))))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def filter_not_null_all(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.filter(_all([F.col(c).isNotNull() for c in cols]))
 

@@ -182,10 +182,18 @@ def ingest(spark: SparkSession, recipe: Recipe, paths, dedup: bool = True, count
         df = df.withColumnRenamed(raw, canon)
     for canon, value in recipe.constants.items():
         df = df.withColumn(canon, F.lit(value))
+    # all that later filters read is computed together: a filter on a column that is not would go below, before earlier ones
+    used = ["pseudo_nhs_number", "test_date", "original_term", "result", "result_value_units", recipe.date_col, *(recipe.date_candidates or [])]
+    changed = False
     for step in recipe.steps:
-        df = apply_step(df, step)
         if step[0] in FILTER_STEPS:
-            df = see(df, step_label(step))
+            if changed:
+                df, changed = FL.computed(df, used), False
+            df = see(apply_step(df, step), step_label(step))
+        else:
+            df, changed = apply_step(df, step), True
+    if changed:
+        df = FL.computed(df, used)
     if recipe.date_candidates:
         date = X.first_valid_date(recipe.date_candidates, recipe.date_format)
     elif recipe.clock12:

@@ -12,6 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from traitflow.operators.filters import computed
 from traitflow.sources.readers import apply_null_tokens
 
 
@@ -87,11 +88,11 @@ def broken_records(placed: DataFrame) -> DataFrame:
 
 def strip_double_quotes(lines: DataFrame) -> DataFrame:
     """Remove every double quote (single, doubled or tripled)."""
-    return lines.withColumn("value", F.translate("value", '"', ""))
+    return computed(lines.withColumn("value", F.replace("value", F.lit('"'), F.lit(""))), ["value"])
 
 
 def delimiter_count(sep: str = "\t"):
-    return F.length("value") - F.length(F.translate("value", sep, ""))
+    return F.length("value") - F.length(F.replace("value", F.lit(sep), F.lit("")) if len(sep) == 1 else F.translate("value", sep, ""))
 
 
 def delimiter_count_profile(lines: DataFrame, sep: str = "\t") -> DataFrame:
@@ -135,9 +136,9 @@ def parse_lines(lines: DataFrame, sep: str, columns: list[str], null_values=("",
     """Parse text lines into all-string columns; header lines (equal to the column names) drop."""
     ddl = ", ".join(f"`{c}` STRING" for c in columns)
     opts = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-    parsed = lines.select(F.from_csv(F.col("value"), ddl, opts).alias("_r"),
-                          *(["file_path"] if keep_file else []))
-    out = parsed.select(*[F.col("_r").getField(c).alias(c) for c in columns], *(["file_path"] if keep_file else []))
+    # a generator, so that a line is parsed once and not again in every expression on one of its columns
+    parsed = lines.select(F.inline(F.array(F.from_csv(F.col("value"), ddl, opts))), *(["file_path"] if keep_file else []))
+    out = parsed.toDF(*columns, *(["file_path"] if keep_file else []))
     if header:
         out = out.filter(~F.coalesce(F.col(f"`{columns[0]}`") == columns[0], F.lit(False)))
     return apply_null_tokens(out, null_values)
