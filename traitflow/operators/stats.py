@@ -31,7 +31,8 @@ def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out_col:
     ``percentile_approx`` sketch per group brackets the median's rank (rank error at most
     n / accuracy), values outside the bracket collapse into one row below and one above, and
     only the bracket's distinct values reach the window. A group whose median rank falls
-    outside its bracket (not expected) is recomputed without banding, so the result is exact."""
+    outside its bracket (not expected) is recomputed without banding, so the result is exact.
+    The brackets (a row per group, bounded by the dictionary) are broadcast, so the values meet them where they are read."""
     vals = df.filter(F.col(value_col).isNotNull()).select(*group_cols, F.col(value_col).alias("_v"))
     if not band_accuracy:
         return _median_from_counts(vals.groupBy(*group_cols, "_v").agg(F.count("*").alias("_c")),
@@ -41,16 +42,16 @@ def exact_median(df: DataFrame, group_cols: list[str], value_col: str, out_col:
         F.percentile_approx("_v", [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], band_accuracy).alias("_q"),
         F.min("_v").alias("_gmin"), F.max("_v").alias("_gmax"))
     v, lo, hi = F.col("_v"), F.col("_q")[0], F.col("_q")[1]
-    clipped = (vals.join(bounds, group_cols)
+    clipped = (vals.join(F.broadcast(bounds), group_cols)
                .select(*group_cols, F.when(v < lo, F.lit(float("-inf"))).when(v > hi, F.lit(float("inf")))
                        .otherwise(v).alias("_v"), "_gmin", "_gmax"))
     counts = clipped.groupBy(*group_cols, "_v", "_gmin", "_gmax").agg(F.count("*").alias("_c"))
     banded = _median_from_counts(counts, group_cols, out_col, extremes, exact_extremes=("_gmin", "_gmax"))
     ok = F.col(out_col).between(float("-1.7e308"), float("1.7e308"))   # false for +-inf and NaN
     # Groups whose median rank fell outside the bracket are recomputed without banding. The
-    # branch is lazy: when no group needs it, AQE sees an empty side at run time and prunes it.
+    # branch is lazy: when no group needs it, no value of it is shuffled.
     bad_groups = banded.filter(~ok).select(*group_cols)
-    redo = vals.join(bad_groups, group_cols, "left_semi")
+    redo = vals.join(F.broadcast(bad_groups), group_cols, "left_semi")
     full = _median_from_counts(redo.groupBy(*group_cols, "_v").agg(F.count("*").alias("_c")),
                                group_cols, out_col, extremes)
     return banded.filter(ok).unionByName(full)
