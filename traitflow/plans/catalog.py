@@ -107,7 +107,7 @@ def q_split_and_remerge(spark, d):
 
 
 def _stay_intervals(spark, d):
-    return B.stays(spark, d).withColumn("region_types", F.array(F.lit("APC")))
+    return spread(B.stays(spark, d), "pseudo_nhs_number").withColumn("region_types", F.array(F.lit("APC")))
 
 
 _STAY_COLS = ("pseudo_nhs_number", "hospital_admission_datetime", "hospital_discharge_datetime")
@@ -1123,7 +1123,7 @@ from traitflow.sources import lines as LN  # noqa: E402
 from traitflow.sources import readers as RD  # noqa: E402
 from traitflow.sources import recipes as RC  # noqa: E402
 from traitflow.sources import sinks as SK  # noqa: E402
-from traitflow.session import staging_path  # noqa: E402
+from traitflow.session import spread, staging_path  # noqa: E402
 
 Q_SQL = "CAST(CAST(result AS BIGINT) AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR)"
 
