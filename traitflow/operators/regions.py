@@ -39,21 +39,47 @@ def _half(c: Column, level: Column, up: bool) -> Column:
     return (F.ceil(c / power) if up else F.floor(c / power)).cast("long")
 
 
+def _placed(intervals: DataFrame, bucket_days: int) -> tuple[DataFrame, Column]:
+    """Intervals of a positive length with ``_lo`` and ``_hi``, their buckets, and whether these are few."""
+    lo, hi = _span(bucket_days)
+    placed = intervals.filter(F.col("end_date") > F.col("start_date")).withColumn("_lo", lo).withColumn("_hi", hi)
+    return placed, F.col("_hi") - F.col("_lo") <= SHORT_BUCKETS
+
+
+def _ends(level: Column) -> tuple[Column, Column, Column, Column]:
+    """Of an interval at a level: its first and last node there, and whether it is filed under each of them."""
+    left, right = _half(F.col("_lo"), level, True), _half(F.col("_hi"), level, False)
+    some = left < right
+    return left, right - 1, some & (F.pmod(left, F.lit(2)) == 1), some & (F.pmod(right, F.lit(2)) == 1)
+
+
+def used_levels(intervals: DataFrame, bucket_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:
+    """One row: the levels that hold an interval (null without intervals), one bit a level, or-ed: nothing is exploded,
+    and a distinct below is not run for it (bits of repeated rows are the same)."""
+    placed, few = _placed(intervals, bucket_days)
+
+    def bit(level):
+        _, _, at_left, at_right = _ends(level)
+        return F.when(at_left | at_right, F.pow(F.lit(2.0), level).cast("long")).otherwise(F.lit(0).cast("long"))
+
+    levels = F.sequence(F.lit(0), F.lit(LEVELS))
+    bits = F.when(few, F.lit(1).cast("long")).otherwise(F.aggregate(F.transform(levels, bit), F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b)))
+    return placed.agg(F.bit_or(bits).alias("_bits")).select(F.filter(levels, lambda level: F.getbit("_bits", level) == 1).alias("_used"))
+
+
 def interval_nodes(intervals: DataFrame, bucket_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:
     """Every interval (``start_date``, ``end_date``) once per node that it is filed under: ``_level``, ``_node``.
     Intervals without a positive length are in no node."""
-    lo, hi = _span(bucket_days)
+    placed, few = _placed(intervals, bucket_days)
     node = lambda level, at: F.struct(level.cast("int").alias("level"), at.cast("long").alias("node"))
     short = F.transform(F.sequence("_lo", F.col("_hi") - 1), lambda b: node(F.lit(0), b))
 
     def at_level(level):
-        left, right = _half(F.col("_lo"), level, True), _half(F.col("_hi"), level, False)
-        return F.array_compact(F.array(F.when((left < right) & (F.pmod(left, F.lit(2)) == 1), node(level, left)),
-                                       F.when((left < right) & (F.pmod(right, F.lit(2)) == 1), node(level, right - 1))))
+        left, right, at_left, at_right = _ends(level)
+        return F.array_compact(F.array(F.when(at_left, node(level, left)), F.when(at_right, node(level, right))))
 
     cover = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), at_level))
-    found = (intervals.filter(F.col("end_date") > F.col("start_date")).withColumn("_lo", lo).withColumn("_hi", hi)
-             .withColumn("_at", F.explode(F.when(F.col("_hi") - F.col("_lo") <= SHORT_BUCKETS, short).otherwise(cover))))
+    found = placed.withColumn("_at", F.explode(F.when(few, short).otherwise(cover)))
     return found.withColumn("_level", F.col("_at.level")).withColumn("_node", F.col("_at.node")).drop("_at", "_lo", "_hi")
 
 
@@ -61,8 +87,9 @@ def range_join_regions(points: DataFrame, segments: DataFrame, id_col: str = "ps
                        date_col: str = "test_date", bucket_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:
     """Points ``(id, date, ...)`` joined to every segment whose ``[start_date, end_date)`` holds
     the date. Adds ``start_date``, ``end_date`` and ``region_types``."""
-    nodes = interval_nodes(segments.select(F.col(id_col).alias("_sid"), "start_date", "end_date", "region_types"), bucket_days)
-    used = nodes.agg(F.collect_set("_level")).scalar()      # at most LEVELS + 1 numbers
+    segs = segments.select(F.col(id_col).alias("_sid"), "start_date", "end_date", "region_types")
+    nodes = interval_nodes(segs, bucket_days)
+    used = used_levels(segs, bucket_days).scalar()      # at most LEVELS + 1 numbers
     pts = points.withColumn("_pl", F.explode(used)).withColumn("_pn", _half(_bucket(F.col(date_col), bucket_days), F.col("_pl"), False))
     cond = ((F.col(id_col) == F.col("_sid")) & (F.col("_pl") == F.col("_level")) & (F.col("_pn") == F.col("_node"))
             & (F.col(date_col) >= F.col("start_date")) & (F.col(date_col) < F.col("end_date")))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from traitflow.functions import scalars as X
+from traitflow.operators import filters as FL
 
 AS_OF = "2001-06-30"
 
@@ -98,10 +99,12 @@ def stays_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stays(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = stays_raw(spark, sf_dir)
-    return raw.select(F.col("STUDY_ID").alias("pseudo_nhs_number"),
-                      X.day_bounds("ADMIDATE").alias("hospital_admission_datetime"),
-                      X.day_bounds("DISDATE", end=True).alias("hospital_discharge_datetime"),
-                      F.lit("APC").alias("hospital_stay_type")).distinct()
+    parsed = raw.select(F.col("STUDY_ID").alias("pseudo_nhs_number"),
+                        X.day_bounds("ADMIDATE").alias("hospital_admission_datetime"),
+                        X.day_bounds("DISDATE", end=True).alias("hospital_discharge_datetime"))
+    # parsed once a row: else every later filter on a date, which Spark moves below the distinct, parses it again
+    once = FL.computed(parsed, ["hospital_admission_datetime", "hospital_discharge_datetime"])
+    return once.withColumn("hospital_stay_type", F.lit("APC")).distinct()
 
 
 def _dob() -> F.Column:
