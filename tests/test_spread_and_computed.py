@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from traitflow import session as SN
 from traitflow.operators import filters as FL
 from traitflow.operators import intervals as IV
+from traitflow.operators import stats as ST
 from traitflow.sources import lines as LN
 from traitflow.sources import recipes as RC
 from traitflow.sources.ingest import ingest
@@ -89,3 +90,36 @@ def test_rows_that_an_earlier_filter_drops_are_not_parsed(spark, tmp_path):
     (tmp_path / "x.csv").write_text("\n".join("\t".join(r) for r in (header, good, shifted)) + "\n")
     got = ingest(spark, RC.barts_meas_2023_12(), str(tmp_path)).collect()
     assert [(r.pseudo_nhs_number, str(r.test_date), r.result) for r in got] == [("P1", "2020-04-01", 7.0)]
+
+
+def test_an_island_ends_at_the_next_change(spark):
+    """Segments are not aggregated again once their label sets are known, and the running counts need one frame."""
+    rows = [("P1", 1, 9, ["APC"]), ("P1", 3, 5, ["APC"]), ("P1", 5, 5, ["buffer_after"]), ("P1", 9, 12, ["buffer_after"]), ("P1", 10, 14, ["APC"]),
+            ("P1", 20, None, ["APC"]), ("P2", 4, 4, ["APC"]), ("P2", 6, 2, ["APC"]), ("P2", 7, 8, ["APC"]), ("P2", 8, 9, ["APC"]), (None, 1, 2, ["APC"])]
+    df = spark.createDataFrame(rows, "pseudo_nhs_number string, start_date int, end_date int, region_types array<string>")
+    merged = IV.split_and_remerge_intervals(df)
+    assert plan(merged).count("Aggregate") == 1
+    got = sorted((r.pseudo_nhs_number, r.start_date, r.end_date, tuple(r.region_types)) for r in merged.collect())
+    assert got == [("P1", 1, 9, ("APC",)), ("P1", 9, 10, ("buffer_after",)), ("P1", 10, 12, ("APC", "buffer_after")), ("P1", 12, 14, ("APC",)),
+                   ("P2", 7, 9, ("APC",))]
+    by_islands = IV.islands_min_max(IV.covered_segments(df))
+    assert sorted(map(str, by_islands.collect())) == sorted(map(str, merged.collect()))
+    assert "-1" not in plan(IV.sweep_segments(df)).split("Aggregate")[0].replace("bigint", "")
+
+
+@pytest.mark.parametrize("what", ["phenotype"])
+def test_a_cohorts_readings_are_dealt_once_by_person(spark, monkeypatch, what):
+    """AQE merged the pivot's partitions to as many as there are cores before, so a task's memory grew with the input."""
+    df = spark.createDataFrame([("all", f"P{i % 30}", "t1" if i % 2 else "t2", float(i % 7), None if i % 11 == 0 else 20 + i / 8) for i in range(400)],
+                               "setting string, pseudo_nhs_number string, trait string, value double, age_at_test double")
+    ids = spark.createDataFrame([(f"P{i}", f"G{i}") for i in range(25)], "pseudo_nhs_number string, IID string")
+
+    def wide():
+        return ST.phenotype_wide(ST.phenotype_table(df, ids), ["t1", "t2"]) if what == "phenotype" else ST.covariate_megawide(df, ids)
+    want = sorted(map(str, wide().collect()))
+    n = 3 * spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(SN.spread, "__kwdefaults__", {"part_bytes": 1})
+    monkeypatch.setattr(SN, "input_bytes", lambda df: n)
+    many = wide()
+    assert many.rdd.getNumPartitions() == n
+    assert len(want) == 25 and sorted(map(str, many.collect())) == want

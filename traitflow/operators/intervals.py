@@ -10,11 +10,11 @@ sets. It is computed as a sweep line, not a self join:
      before the shuffle;
   3. one running sum per id ordered by boundary gives, for the elementary segment starting at
      each boundary, how many intervals of each label cover it;
-  4. covered segments are chained into islands (a label-set change, including to or from an
-     uncovered gap, starts a new island) with a second running sum, and each island is reduced
-     to min(start), max(end).
+  4. covered segments are chained into islands: a label-set change, including to or from an
+     uncovered gap, starts a new island, which ends at the next change (a second window over the
+     changes only).
 
-Both windows and the final aggregation are partitioned by id only, so there is one shuffle
+Both windows are partitioned by id only, so there is one shuffle
 (on id) for the whole operator; per-id rows are bounded by distinct boundaries (at most two
 per calendar day), never by the raw row count.
 """
@@ -58,17 +58,12 @@ def add_buffers(df: DataFrame, before: int = S.BUFFER_BEFORE_DAYS, after: int =
                     F.array(F.col("_p.r")).alias("region_types")))
 
 
-def sweep_segments(df: DataFrame, id_col: str = "pseudo_nhs_number", start_col: str = "start_date",
-                   end_col: str = "end_date", regions_col: str = "region_types") -> DataFrame:
-    """Every elementary segment between consecutive boundaries, covered or not:
-    ``(_id, _x, _e, _code, _new, _g)`` where ``_code`` is the 3-bit label set (0 = uncovered),
-    ``_new`` marks a covered segment that starts an island and ``_g`` numbers the islands.
+def _coded_points(df: DataFrame, id_col: str, start_col: str, end_col: str, regions_col: str) -> DataFrame:
+    """Boundaries ``(_id, _x)`` with their label changes ``_d0..``, ``_code`` (3-bit label set from here on, 0 = uncovered) and
+    ``_pcode`` (label set up to here, 0 at an id's first boundary).
 
-    Two window passes: (1) next boundary, and each label's running count up to this row and up
-    to the previous row (the previous row's label set, no separate ``lag`` pass); (2) a running
-    count of island starts. Uncovered segments stay until the end, so a gap is just a change of
-    label set and needs no extra comparison. Rows without an id belong to nobody and are left out
-    (they would be one group of any size)."""
+    One running sum per label: the count up to a boundary is the count from there on without the boundary's own change.
+    Rows without an id belong to nobody and are left out (they would be one group of any size)."""
     s, e, r = F.col(start_col), F.col(end_col), F.col(regions_col)
     valid = e.isNotNull() & (e > s)
     labels = range(len(S.REGION_ORDER))
@@ -83,15 +78,27 @@ def sweep_segments(df: DataFrame, id_col: str = "pseudo_nhs_number", start_col:
               .select("_id", "_ev.*")
               .filter(F.col("_x").isNotNull()))
     points = events.groupBy("_id", "_x").agg(*[F.sum(f"_d{i}").alias(f"_d{i}") for i in labels])
-    before = _w().rowsBetween(Window.unboundedPreceding, -1)
+    counted = points.select("*", *[F.sum(f"_d{i}").over(_run()).alias(f"_c{i}") for i in labels])
 
-    def code(frame):
-        return sum((F.when(F.sum(f"_d{i}").over(frame) > 0, F.lit(1 << i)).otherwise(F.lit(0)) for i in labels), F.lit(0))
-    first = F.count(F.lit(1)).over(before) == 0
-    coded = points.select("_id", "_x", F.lead("_x").over(_w()).alias("_e"), code(_run()).alias("_code"),
-                          F.when(~first, code(before)).alias("_pcode"))
-    starts = ((F.col("_code") != 0) & (F.col("_pcode").isNull() | (F.col("_pcode") != F.col("_code")))).cast("int")
-    return coded.withColumn("_new", starts).withColumn("_g", F.sum("_new").over(_run())).drop("_pcode")
+    def code(count):
+        return sum((F.when(count(i) > 0, F.lit(1 << i)).otherwise(F.lit(0)) for i in labels), F.lit(0))
+    return counted.select("_id", "_x", code(lambda i: F.col(f"_c{i}")).alias("_code"),
+                          code(lambda i: F.col(f"_c{i}") - F.col(f"_d{i}")).alias("_pcode"))
+
+
+def sweep_segments(df: DataFrame, id_col: str = "pseudo_nhs_number", start_col: str = "start_date",
+                   end_col: str = "end_date", regions_col: str = "region_types") -> DataFrame:
+    """Every elementary segment between consecutive boundaries, covered or not:
+    ``(_id, _x, _e, _code, _new, _g)`` where ``_code`` is the 3-bit label set (0 = uncovered),
+    ``_new`` marks a covered segment that starts an island and ``_g`` numbers the islands.
+
+    Two window passes: (1) each label's running count, (2) next boundary and a running
+    count of island starts. Uncovered segments stay until the end, so a gap is just a change of
+    label set and needs no extra comparison."""
+    coded = _coded_points(df, id_col, start_col, end_col, regions_col)
+    starts = ((F.col("_code") != 0) & (F.col("_pcode") != F.col("_code"))).cast("int")
+    return coded.select("_id", "_x", "_code", starts.alias("_new")).select(
+        "_id", "_x", F.lead("_x").over(_w()).alias("_e"), "_code", "_new", F.sum("_new").over(_run()).alias("_g"))
 
 
 def covered_segments(df: DataFrame, id_col: str = "pseudo_nhs_number", start_col: str = "start_date",
@@ -108,6 +115,10 @@ def islands_min_max(islands: DataFrame, id_col: str = "pseudo_nhs_number", start
                     end_col: str = "end_date", regions_col: str = "region_types") -> DataFrame:
     """One row per island: min start, max end and its region list in canonical order."""
     merged = islands.groupBy("_id", "_g", "_code").agg(F.min("_x").alias("_s"), F.max("_e").alias("_e"))
+    return _labelled(merged, id_col, start_col, end_col, regions_col)
+
+
+def _labelled(merged: DataFrame, id_col: str, start_col: str, end_col: str, regions_col: str) -> DataFrame:
     flags = [(F.col("_code").bitwiseAND(F.lit(1 << i))) != 0 for i in range(3)]
     return merged.select(
         F.col("_id").alias(id_col), F.col("_s").alias(start_col), F.col("_e").alias(end_col),
@@ -119,9 +130,12 @@ def split_and_remerge_intervals(df: DataFrame, id_col: str = "pseudo_nhs_number"
                                 regions_col: str = "region_types") -> DataFrame:
     """Disjoint, maximal segments ``(id, start, end, region_types)`` (see module doc).
 
-    All windows share (partition by id, order by boundary), so one sort serves them all."""
-    segs = covered_segments(df, id_col, start_col, end_col, regions_col)
-    return islands_min_max(segs, id_col, start_col, end_col, regions_col)
+    An island reaches from a boundary at which the label set changes to the next such boundary, so only these
+    are kept and nothing is aggregated again. All windows share (partition by id, order by boundary): one sort serves them."""
+    points = _coded_points(df, id_col, start_col, end_col, regions_col)
+    changes = points.filter(F.col("_code") != F.col("_pcode"))
+    islands = changes.select("_id", F.col("_x").alias("_s"), F.lead("_x").over(_w()).alias("_e"), "_code").filter(F.col("_code") != 0)
+    return _labelled(islands, id_col, start_col, end_col, regions_col)
 
 
 def boundaries(df: DataFrame, id_col: str = "pseudo_nhs_number", start_col: str = "start_date",

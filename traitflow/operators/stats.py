@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from traitflow.functions import scalars as X
+from traitflow.session import spread
 
 
 # Sketch accuracy for medians of coarse groups: the bracket holds about 4 / accuracy of a group.
@@ -134,10 +135,11 @@ def trait_log10_histogram(df: DataFrame, bins: int = 48, keys=("setting", "trait
 
 
 def phenotype_table(df: DataFrame, ids: DataFrame, keys=("setting", "trait")) -> DataFrame:
-    """FID '1', IID, median/min/max of ``value`` per trait (and setting) for one genotype cohort."""
+    """FID '1', IID, median/min/max of ``value`` per trait (and setting) for one genotype cohort. Readings are dealt by
+    person once, to partitions that grow in number with the input; a pivot of the rows works inside these."""
     from traitflow.operators.people import join_genotype_ids
     keys = list(keys)
-    data = join_genotype_ids(df, ids)
+    data = spread(join_genotype_ids(df, ids).select(*keys, "IID", "value"), "IID")
     out = data.groupBy(*keys, "IID").agg(_median("value").alias("median"), F.min("value").alias("min"), F.max("value").alias("max"))
     return out.select(*keys, F.lit("1").alias("FID"), "IID", "median", "min", "max")
 

@@ -1486,13 +1486,19 @@ def _pheno_wide_sql(stats=("median", "min", "max")):
     return f"SELECT setting, FID, IID, {cols} FROM (" + ORACLE["phenotype_table"] + ") p GROUP BY setting, FID, IID"
 
 
+def _gsa_phenotypes(spark, d):
+    """The cohort's phenotype table and its traits, listed from the readings before these are dealt."""
+    ids = PE.genotype_ids(B.linkage(spark, d), "gsa")
+    return ST.phenotype_table(tiled_settings(spark, d), ids), ST.traits_present(PE.join_genotype_ids(tiled(spark, d), ids))
+
+
 @query("pivot_traits", _pheno_wide_sql())
 def q_pivot_traits(spark, d):
-    pheno = ST.phenotype_table(tiled_settings(spark, d), PE.genotype_ids(B.linkage(spark, d), "gsa"))
-    return ST.phenotype_wide(pheno)
+    pheno, traits = _gsa_phenotypes(spark, d)
+    return ST.phenotype_wide(pheno, traits)
 
 
 @query("align_traits_full_outer", _pheno_wide_sql(("median",)))
 def q_align_traits_full_outer(spark, d):
-    pheno = ST.phenotype_table(tiled_settings(spark, d), PE.genotype_ids(B.linkage(spark, d), "gsa"))
-    return ST.phenotype_wide(pheno, stats=("median",))
+    pheno, traits = _gsa_phenotypes(spark, d)
+    return ST.phenotype_wide(pheno, traits, stats=("median",))
