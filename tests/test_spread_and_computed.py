@@ -107,7 +107,7 @@ def test_an_island_ends_at_the_next_change(spark):
     assert "-1" not in plan(IV.sweep_segments(df)).split("Aggregate")[0].replace("bigint", "")
 
 
-@pytest.mark.parametrize("what", ["phenotype"])
+@pytest.mark.parametrize("what", ["phenotype", "covariate"])
 def test_a_cohorts_readings_are_dealt_once_by_person(spark, monkeypatch, what):
     """AQE merged the pivot's partitions to as many as there are cores before, so a task's memory grew with the input."""
     df = spark.createDataFrame([("all", f"P{i % 30}", "t1" if i % 2 else "t2", float(i % 7), None if i % 11 == 0 else 20 + i / 8) for i in range(400)],

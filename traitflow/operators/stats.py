@@ -146,12 +146,13 @@ def phenotype_table(df: DataFrame, ids: DataFrame, keys=("setting", "trait")) ->
 
 def covariate_long(df: DataFrame, ids: DataFrame, keys=("setting",)) -> DataFrame:
     """Per (setting, IID, trait): min/median/max of age at test and of its square, both
-    rounded to one decimal before and after aggregating (square taken before rounding)."""
+    rounded to one decimal before and after aggregating (square taken before rounding). Readings are dealt by person
+    once, to partitions that grow in number with the input; a pivot of the rows works inside these."""
     from traitflow.operators.people import join_genotype_ids
     keys = list(keys)
-    data = join_genotype_ids(df, ids).select(
-        *keys, "IID", "trait", X.round_half_away("age_at_test", 1).alias("AgeAtTest"),
-        X.power_round("age_at_test", 2, 1).alias("AgeAtTest_Squared"))
+    ages = spread(join_genotype_ids(df, ids).filter(F.col("age_at_test").isNotNull()).select(*keys, "IID", "trait", "age_at_test"), "IID")
+    data = ages.select(*keys, "IID", "trait", X.round_half_away("age_at_test", 1).alias("AgeAtTest"),
+                       X.power_round("age_at_test", 2, 1).alias("AgeAtTest_Squared"))
     g = keys + ["IID", "trait"]
     out = data.filter(F.col("AgeAtTest").isNotNull() | F.col("AgeAtTest_Squared").isNotNull()).groupBy(*g).agg(*[
         f(c).alias(f"{name}_{stat}") for name, c in (("age", "AgeAtTest"), ("age2", "AgeAtTest_Squared"))
