@@ -95,6 +95,20 @@ def test_forest_held_out(spark):
     assert out.agg(F.avg((F.col("prediction") == F.col("label")).cast("int"))).first()[0] > 0.97
 
 
+def test_secrets_plans_stay_small_on_the_driver(spark, monkeypatch):
+    # parts that many texts use are planned once each (in one expression the plan had 20,131 characters) ...
+    plan = op8_secrets.labelled_findings(spark)._jdf.queryExecution().executedPlan().toString()
+    assert len(plan) < 10_000 and all(plan.count(c + "#") > 1 for c in ("p_key", "p_name", "p_hash"))
+    # ... and the forest's jobs read written vectors
+    seen = []
+    fit = op8_secrets.RandomForestClassifier.fit
+    monkeypatch.setattr(op8_secrets.RandomForestClassifier, "fit", lambda self, data: seen.append(data) or fit(self, data))
+    made = [("password = hunter%02d" % i, "hunter%02d" % i, i % 2) for i in range(20)]
+    rows = spark.createDataFrame(made, "word string, value string, label int").withColumns({"one": F.lit("="), "two": F.lit("password"), "next": F.lit("more"), "covered": F.lit(0.0)})
+    op8_secrets.forest(rows)
+    assert seen[0].inputFiles() and seen[0].rdd.getNumPartitions() == 1 and seen[0].count() == 20
+
+
 # -- op9
 
 def test_quality(spark):

@@ -111,7 +111,10 @@ def features(rows: DataFrame) -> tuple[DataFrame, list[str]]:
 
 
 def labelled_findings(spark: SparkSession, examples: int = EXAMPLES) -> DataFrame:
-    """label, text: short texts with one finding each, made by rule from hashes of row numbers."""
+    """label, text: short texts with one finding each, made by rule from hashes of row numbers.
+
+    The parts that several texts use are columns of a projection of their own: in one expression each use would be a
+    copy of its tree, which the driver would plan, print and compile."""
     i = F.col("id")
     h = lambda salt: F.sha2(F.concat(i.cast("string"), F.lit(salt)).cast("binary"), 256)
     padded = lambda salt, k: F.base64(F.unhex(F.substring(h(salt), 1, k)))
@@ -127,14 +130,16 @@ def labelled_findings(spark: SparkSession, examples: int = EXAMPLES) -> DataFram
                b64("i"), pick("s5", padded("P", 32), padded("P", 40), padded("P", 64)), F.concat(pick("s3", "Sommer", "hunter", "Blue!", "qwe", "Pa55"), digits("j", 4), pick("s4", "!", "$x", "#A", "zz", "Kp")), F.concat(F.lit("AIza"), F.substring(alnum("l"), 1, 35)))
     name = pick("n", "token", "secret", "password", "api_key", "API_KEY", "access_key", "auth_token", "passwd", "client_secret", "apikey")
     q = pick("q", "\"", "'", "\"", "")
+    parts = spark.range(0, examples, 1, 1).select("id", key.alias("p_key"), name.alias("p_name"), q.alias("p_quote"), uuid.alias("p_uuid"), h("m").alias("p_hash"))
+    key, name, q, uuid, hashed = (F.col(c) for c in ("p_key", "p_name", "p_quote", "p_uuid", "p_hash"))
     secret = pick("w", F.concat(name, F.lit(" = "), q, key, q), F.concat(name, F.lit(" = "), q, key, q), F.concat(name, F.lit(": "), q, key, q), F.concat(name, F.lit("="), q, key, q), F.concat(F.lit("Bearer "), key))
-    harmless = pick("x", F.concat(F.lit("commit "), F.substring(h("m"), 1, 40)), F.concat(pick("y", "md5 ", "sha256 ", "checksum: ", "digest = "), pick("y2", F.substring(h("m"), 1, 32), h("m"), padded("m", 64))),
+    harmless = pick("x", F.concat(F.lit("commit "), F.substring(hashed, 1, 40)), F.concat(pick("y", "md5 ", "sha256 ", "checksum: ", "digest = "), pick("y2", F.substring(hashed, 1, 32), hashed, padded("m", 64))),
                     F.concat(F.lit("/files/"), uuid, pick("y3", ".html", ".png", "/index")), F.concat(F.lit("uuid: "), uuid), digits("o", 16), F.concat(F.lit("https://example.com/"), word("p"), F.lit("/"), digits("p", 8), F.lit("?page=2&ref=x")),
                     F.concat(word("r"), F.lit("."), digits("r", 2), F.lit("@mail"), digits("s", 1), F.lit(".example.com")), F.concat(F.lit("2024-05-"), digits("t", 2), F.lit("T10:"), digits("v", 2), F.lit(":00.000Z")),
                     F.concat(F.lit("IMG_"), digits("z", 8), F.lit("_123456.jpg")), F.concat(name, F.lit(" = \""), pick("y4", "your_api_key_here_1", "xxxxxxxxxxxxxxxx1", "EXAMPLE_KEY_12345678", "changeme1", "0000000000000000", "placeholder_123456"), F.lit("\"")),
                     F.concat(F.lit("section"), digits("A", 2), F.lit("-paragraph"), digits("A", 2), F.lit("-overview")), F.concat(F.lit("order "), digits("B", 18)), F.concat(F.lit("lib/python3.11/site-packages/"), word("B"), F.lit("_"), digits("C", 3), F.lit("/core.py")))
     label = F.pmod(F.xxhash64(i, F.lit("label")), F.lit(2)).cast("int")
-    return spark.range(0, examples, 1, 1).select("id", label.alias("label"), F.concat_ws(" ", word("L1"), word("L2"), F.when(label == 1, secret).otherwise(harmless), word("R1"), word("R2")).alias("text"))
+    return parts.select("id", label.alias("label"), F.concat_ws(" ", word("L1"), word("L2"), F.when(label == 1, secret).otherwise(harmless), word("R1"), word("R2")).alias("text"))
 
 
 def covered(rows: DataFrame, known: DataFrame) -> DataFrame:
@@ -145,9 +150,11 @@ def covered(rows: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def forest(examples: DataFrame):
-    """Random forest on labelled candidates (label, and what ``features`` reads)."""
+    """Random forest on labelled candidates (label, and what ``features`` reads). The vectors are written first: each of
+    the forest's jobs sends the lineage of its rows to the tasks, which is then a scan and not the plan of the features."""
     rows, names = features(examples)
-    data = VectorAssembler(inputCols=names, outputCol="x").transform(rows).select("label", "x").coalesce(1)
+    vectors = VectorAssembler(inputCols=names, outputCol="x").transform(rows).select("label", "x").coalesce(1)
+    data = C.written(vectors, "secret-vectors").coalesce(1)
     return RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(data)
 
 
